@@ -1,4 +1,4 @@
 """The query catalog: importing it registers every query."""
 
-from plinth.catalog import q_rows  # noqa: F401
+from plinth.catalog import q_joins, q_rows  # noqa: F401
 from plinth.catalog.registry import REGISTRY  # noqa: F401
