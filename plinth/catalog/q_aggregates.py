@@ -62,9 +62,8 @@ def _(t):
 
 
 SQL_VIEWS["shortfalls"] = f"""
-    SELECT q.category, q.complexity, quota, count(seq) AS created, greatest(0, quota - count(seq)) AS short FROM quotas q
-    LEFT JOIN (SELECT seq, category, {_KIND} AS complexity FROM samples) s ON s.category = q.category AND s.complexity = q.complexity
-    GROUP BY ALL"""
+    SELECT category, complexity, quota, coalesce(n, 0) AS created, greatest(0, quota - coalesce(n, 0)) AS short FROM quotas
+    LEFT JOIN (SELECT category, {_KIND} AS complexity, count(*) AS n FROM samples GROUP BY 1, 2) USING (category, complexity)"""
 
 
 def shortfalls(t):
