@@ -37,6 +37,8 @@ _LINE_ORDER = (
     "l_partkey, l_suppkey, l_quantity, l_extendedprice, l_shipdate, l_discount, l_tax, l_returnflag, l_linestatus"
 )
 
+_BOX_SIDES = ["p_size", "(1 + p_partkey % 7)", "(1 + p_partkey % 5)"]
+
 SQL_VIEWS: dict[str, str] = {
     "assets": f"""
         SELECT md5(doc_id::VARCHAR) AS uid, doc_id, round(n_chars::DOUBLE / 1000, 3) AS aesthetic,
@@ -90,7 +92,7 @@ SQL_VIEWS: dict[str, str] = {
         FROM lines WHERE l_linenumber = 2""",
     "boxes": f"""
         SELECT p_partkey AS mesh_id, k AS tri_id,
-               {", ".join(f"{c} * {['p_size', '(1 + p_partkey % 7)', '(1 + p_partkey % 5)'][i % 3]}::DOUBLE AS {c}" for i, c in enumerate(COORDS))}
+               {", ".join(f'"{c}" * {_BOX_SIDES[i % 3]}::DOUBLE AS "{c}"' for i, c in enumerate(COORDS))}
         FROM part, (VALUES {", ".join("(" + ", ".join(str(v) for v in (k, *signs)) + ")" for k, signs in enumerate(BOX_SIGNS))})
-          AS f(k, {", ".join(COORDS)})""",
+          AS f(k, {", ".join(f'"{c}"' for c in COORDS)})""",
 }

@@ -157,7 +157,7 @@ def area_picks(triangles: DataFrame, draws: DataFrame) -> DataFrame:
 def surface_draws(meshes: DataFrame, per_mesh: int, seed: str) -> DataFrame:
     """Seeded uniform draws for each mesh id: ``(mesh_id, draw_id, u, u1, u2)``."""
     key = F.concat_ws("/", "mesh_id", "draw_id")
-    spread = meshes.select("mesh_id", F.explode(F.sequence(F.lit(0), F.lit(per_mesh - 1))).cast("long").alias("draw_id"))
+    spread = meshes.select("mesh_id", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(per_mesh - 1).cast("long"))).alias("draw_id"))
     return spread.select("*", *[T.md5_uniform(f"{seed}{n}", key).alias(n) for n in ("u", "u1", "u2")])
 
 
