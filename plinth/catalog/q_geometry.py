@@ -178,8 +178,8 @@ _TRI = ", ".join(f't."{c}"' for c in M.COORDS)
 def _(t):
     own = t.triangles.withColumn("point_id", F.floor(F.col("tri_id") / 7)).drop("mesh_id")
     rows = t.points.join(own, "point_id")
-    v, w = G.closest_barycentric(G.vec(""), *M.corners())
-    witness = G.blend(*M.corners(), v, w)
+    rows = G.with_closest(rows, G.vec(""), *M.corners())
+    witness = G.blend(*M.corners(), F.col("_v"), F.col("_w"))
     return rows.select(
         "point_id", "tri_id", T.fixed(G.norm(G.sub(witness, G.vec("")))).alias("dist"),
         *[T.fixed(c).alias(f"w{a}") for c, a in zip(witness, "xyz")],

@@ -186,7 +186,7 @@ SQL_VIEWS["phi"] = """
 def field(t):
     """Field corners and headers of the soup meshes; the field is written once and read often."""
     phi, headers = V.distance_field(t.triangles, FIELD_RESOLUTION)
-    return cut(X.corner_table(phi)), headers
+    return cut(X.corner_table(phi)), cut(headers)
 
 
 @query("v7_signed_distance", f"SELECT mesh_id, x, y, z, {r6('phi')} AS phi FROM phi")
@@ -228,7 +228,8 @@ def _(t):
 
 
 @query("v10_toward_anchor", f"""
-    SELECT mesh_id, arg_min(point_id, phi) AS point_id, {", ".join(f"{r6(f'-arg_min(grad{a}, phi)')} AS dir{a}" for a in "xyz")} FROM graded GROUP BY mesh_id""")
+    SELECT mesh_id, point_id, {", ".join(f"{r6(f'-grad{a}')} AS dir{a}" for a in "xyz")} FROM graded
+    QUALIFY row_number() OVER (PARTITION BY mesh_id ORDER BY round(phi, 9), point_id) = 1""")
 def _(t):
     found = X.toward_anchor(X.field_gradient(t.points, *field(t)))
     return found.select("mesh_id", "point_id", *[T.fixed(F.col(f"dir{a}")).alias(f"dir{a}") for a in "xyz"])
@@ -250,9 +251,9 @@ def _(t):
                         T.fixed(F.coalesce("wx", F.lit(9.0))).alias("wx"))
 
 
-def measured(t):
+def measured(t, known=None):
     """Points with field value, gradient and nearest surface."""
-    graded = X.field_gradient(t.points, *field(t)).drop("x", "y", "z")
+    graded = X.field_gradient(t.points, *(known or field(t))).drop("x", "y", "z")
     return X.nearest_surface(t.points, t.triangles, REACH).join(graded, ["mesh_id", "point_id"])
 
 
@@ -304,7 +305,7 @@ def _(t):
     now = M.moments(end, "mesh_id").select("mesh_id", *[F.col(f"c{a}").alias(f"e{a}") for a in "xyz"])
     turned = end.groupBy("mesh_id").agg(F.max("degrees").alias("degrees"))
     closest = X.sample_field(end, corners, headers).groupBy("mesh_id").agg(F.min("phi").alias("closest"))
-    rows = X.body_gap(measured(t)).join(radius, "mesh_id").join(now, "mesh_id").join(turned, "mesh_id").join(closest, "mesh_id").join(
+    rows = X.body_gap(measured(t, (corners, headers))).join(radius, "mesh_id").join(now, "mesh_id").join(turned, "mesh_id").join(closest, "mesh_id").join(
         headers.select("mesh_id", "cell"), "mesh_id")
     drop = F.col("cy") - F.col("ey")
     horizontal = F.sqrt((F.col("cx") - F.col("ex")) ** 2 + (F.col("cz") - F.col("ez")) ** 2)
@@ -321,6 +322,9 @@ _DIRECTED = f"""
     WHERE -grady <= -0.5 AND CASE WHEN dist < 0.001 THEN {_NLEN.format(**_N)} > 1e-12 AND abs({_N['y']}) >= 0.8 * {_NLEN.format(**_N)} ELSE abs(n.wy - n.y) >= 0.5 * dist END"""
 
 
+SQL_VIEWS["directed"] = _DIRECTED
+
+
 @query("v11_directional_gap", f"""
     SELECT p.mesh_id, {r6("coalesce((SELECT min(g) FROM directed d WHERE d.mesh_id = p.mesh_id), -1)")} AS gap,
        {r6(f"least(coalesce((SELECT min(g) FROM directed d WHERE d.mesh_id = p.mesh_id), 1e9), min(p.y) - {_GROUND})")} AS with_ground FROM points p GROUP BY p.mesh_id""")
@@ -332,7 +336,6 @@ def _(t):
     return free.join(floor, "mesh_id").select("mesh_id", T.fixed(F.coalesce("gap", F.lit(-1.0))).alias("gap"), T.fixed(F.col("with_ground")).alias("with_ground"))
 
 
-SQL_VIEWS["directed"] = _DIRECTED
 SQL_VIEWS["shifted"] = "SELECT mesh_id, point_id, n, x, y - n * 0.1::DOUBLE AS y, z FROM points, range(4) r(n)"
 SQL_VIEWS["shifted_phi"] = sampled_sql("shifted", "point_id, n")
 

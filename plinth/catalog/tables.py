@@ -98,7 +98,8 @@ class Tables:
                 )
             )
 
-        relations = F.array(*[F.array(*[F.lit(r) for r in c[3]]) for c in CATEGORIES])
+        nested = ", ".join("array(" + ", ".join(f"'{r}'" for r in c[3]) + ")" for c in CATEGORIES)
+        relations = F.expr(f"array({nested})")
         of_category = F.get(relations, (F.col("seq") % 6).cast("int"))
         joined = (
             self.orders.select(

@@ -6,7 +6,7 @@ formula stays a flat arithmetic expression inside whole-stage codegen: no arrays
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Vec = tuple[Column, Column, Column]
@@ -110,41 +110,42 @@ def triangle_cross(a: Vec, b: Vec, c: Vec) -> Vec:
     return cross(sub(b, a), sub(c, a))
 
 
-def closest_barycentric(p: Vec, a: Vec, b: Vec, c: Vec) -> tuple[Column, Column]:
-    """Weights (v, w) of b and c for the point of triangle abc closest to p.
+def with_closest(df: DataFrame, p: Vec, a: Vec, b: Vec, c: Vec, names: tuple[str, str] = ("_v", "_w")) -> DataFrame:
+    """Adds the weights (v, w) of b and c for the point of triangle abc closest to p.
 
-    The plane splits into seven Voronoi regions: three vertices, three edges, the face. Each
-    ``when`` below is one region; the remaining case is the face.
+    The plane splits into seven Voronoi regions: three vertices, three edges, the face. Dot
+    products and areas are columns of their own first; inlined into every region test they would
+    outgrow the size limit of generated code.
     """
     ab, ac = sub(b, a), sub(c, a)
-    pa, pb, pc = sub(p, a), sub(p, b), sub(p, c)
-    ab_a, ac_a = dot(ab, pa), dot(ac, pa)
-    ab_b, ac_b = dot(ab, pb), dot(ac, pb)
-    ab_c, ac_c = dot(ab, pc), dot(ac, pc)
-    area_c = ab_a * ac_b - ab_b * ac_a
-    area_b = ab_c * ac_a - ab_a * ac_c
-    area_a = ab_b * ac_c - ab_c * ac_b
+    corner = {"a": sub(p, a), "b": sub(p, b), "c": sub(p, c)}
+    dots = {f"_{side}_{k}": dot(edge, v) for k, v in corner.items() for side, edge in (("ab", ab), ("ac", ac))}
+    ab_a, ac_a, ab_b, ac_b, ab_c, ac_c = (F.col(n) for n in dots)
+    areas = {
+        "_area_a": ab_b * ac_c - ab_c * ac_b,
+        "_area_b": ab_c * ac_a - ab_a * ac_c,
+        "_area_c": ab_a * ac_b - ab_b * ac_a,
+    }
+    area_a, area_b, area_c = (F.col(n) for n in areas)
     zero, one = F.lit(0.0), F.lit(1.0)
-    at_a = (ab_a <= 0) & (ac_a <= 0)
-    at_b = (ab_b >= 0) & (ac_b <= ab_b)
-    on_ab = (area_c <= 0) & (ab_a >= 0) & (ab_b <= 0)
-    at_c = (ac_c >= 0) & (ab_c <= ac_c)
-    on_ac = (area_b <= 0) & (ac_a >= 0) & (ac_c <= 0)
-    on_bc = (area_a <= 0) & (ac_b - ab_b >= 0) & (ab_c - ac_c >= 0)
-    edge_ab = ab_a / F.nullif(ab_a - ab_b, zero)
-    edge_ac = ac_a / F.nullif(ac_a - ac_c, zero)
-    edge_bc = (ac_b - ab_b) / F.nullif((ac_b - ab_b) + (ab_c - ac_c), zero)
+    region = (
+        F.when((ab_a <= 0) & (ac_a <= 0), "a")
+        .when((ab_b >= 0) & (ac_b <= ab_b), "b")
+        .when((area_c <= 0) & (ab_a >= 0) & (ab_b <= 0), "ab")
+        .when((ac_c >= 0) & (ab_c <= ac_c), "c")
+        .when((area_b <= 0) & (ac_a >= 0) & (ac_c <= 0), "ac")
+        .when((area_a <= 0) & (ac_b - ab_b >= 0) & (ab_c - ac_c >= 0), "bc")
+        .otherwise("face")
+    )
+    along_bc = (ac_b - ab_b) / F.nullif((ac_b - ab_b) + (ab_c - ac_c), zero)
     total = F.nullif(area_a + area_b + area_c, zero)
-
-    def pick(va, vb, vab, vc, vac, vbc, face):
-        return (
-            F.when(at_a, va).when(at_b, vb).when(on_ab, vab).when(at_c, vc)
-            .when(on_ac, vac).when(on_bc, vbc).otherwise(face)
-        )
-
-    v = pick(zero, one, edge_ab, zero, zero, one - edge_bc, area_b / total)
-    w = pick(zero, zero, zero, one, edge_ac, edge_bc, area_c / total)
-    return v, w
+    at = F.col("_region")
+    v = F.when(at == "b", one).when(at == "ab", ab_a / F.nullif(ab_a - ab_b, zero)).when(at == "bc", 1 - along_bc).when(
+        at == "face", area_b / total).otherwise(zero)
+    w = F.when(at == "c", one).when(at == "ac", ac_a / F.nullif(ac_a - ac_c, zero)).when(at == "bc", along_bc).when(
+        at == "face", area_c / total).otherwise(zero)
+    staged = df.withColumns(dots).withColumns(areas).withColumn("_region", region)
+    return staged.withColumns(dict(zip(names, (v, w)))).drop(*dots, *areas, "_region")
 
 
 def blend(a: Vec, b: Vec, c: Vec, v: Column, w: Column) -> Vec:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plinth.functions import vectors as G
 from plinth.operators import meshes as M
 from plinth.operators.skew import salted_join
+from plinth.runtime import spread
 
 TOUCH = 0.001          # closer than this the witness point offers no direction
 BLOCKING = 0.8         # share of a touched triangle's normal that must oppose the motion
@@ -25,7 +26,7 @@ def nearest_surface(points: DataFrame, triangles: DataFrame, reach: float) -> Da
     """
     side = F.lit(float(reach))
     cell = lambda v: F.floor(v / side).cast("int")
-    listed = triangles
+    listed = M.exact(spread(triangles, "mesh_id", "tri_id"), M.COORDS)
     for a in "xyz":
         low = F.least(*[F.col(v + a) for v in "abc"]) - side
         high = F.greatest(*[F.col(v + a) for v in "abc"]) + side
@@ -35,18 +36,18 @@ def nearest_surface(points: DataFrame, triangles: DataFrame, reach: float) -> Da
     off_plane = F.abs(G.dot(normal, G.sub(middle, G.vec("a"))))
     # Half a cell diagonal (0.8661 sides) plus the reach itself.
     listed = listed.where(off_plane <= 1.8661 * reach * G.norm(normal) + 1e-12)
-    located = points.select("mesh_id", "point_id", "x", "y", "z", *[cell(F.col(a)).alias(f"c{a}_") for a in "xyz"])
+    located = M.exact(points.select("mesh_id", "point_id", "x", "y", "z"), ["x", "y", "z"]).select("*", *[cell(F.col(a)).alias(f"c{a}_") for a in "xyz"])
     pairs = salted_join(located, listed, ["mesh_id", "cx_", "cy_", "cz_"], "point_id", "tri_id")
     p = G.vec("")
-    v, w = G.closest_barycentric(p, *M.corners())
-    near = pairs.select("mesh_id", "point_id", "tri_id", *[c.alias(c_) for c, c_ in zip(p, "xyz")], *M.COORDS,
-                        v.alias("_v"), w.alias("_w"))
+    near = G.with_closest(pairs, p, *M.corners())
     witness = G.blend(*M.corners(), F.col("_v"), F.col("_w"))
     near = near.select("mesh_id", "point_id", "tri_id", "x", "y", "z", *[c.alias(f"w{a}") for c, a in zip(witness, "xyz")])
-    near = near.withColumn("dist", G.norm(G.sub(G.vec("w"), p))).where(F.col("dist") <= reach)
+    near = near.withColumn("dist", G.norm(G.sub(G.vec("w"), p)))
+    # The reach test waits for the minimum: as a row filter the optimizer would inline the whole
+    # distance formula below the join.
     best = near.groupBy("mesh_id", "point_id").agg(
         F.min(F.struct("dist", "tri_id", "wx", "wy", "wz")).alias("b")
-    ).select("mesh_id", "point_id", "b.*")
+    ).where(F.col("b.dist") <= reach).select("mesh_id", "point_id", "b.*")
     return points.select("mesh_id", "point_id", "x", "y", "z").join(best, ["mesh_id", "point_id"], "left")
 
 
@@ -210,7 +211,8 @@ def contact_flags(gap: Column, radius: Column, drop: Column, near: Column, horiz
 
 def toward_anchor(points: DataFrame) -> DataFrame:
     """Direction from each body's closest sample toward the anchor: minus the field gradient."""
-    rest = F.struct("phi", "point_id", "gradx", "grady", "gradz")
+    # Samples in the same cell layer differ by rounding only, so near ties go to the lowest id.
+    rest = F.struct(F.round("phi", 9).alias("_phi"), "point_id", "phi", "gradx", "grady", "gradz")
     best = points.groupBy("mesh_id").agg(F.min(rest).alias("b")).select("mesh_id", "b.*")
     return best.select(
         "mesh_id", "point_id", "phi",

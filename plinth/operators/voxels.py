@@ -7,6 +7,8 @@ by the number of triangles: those are reduced to distinct cells before they meet
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from plinth.functions import vectors as G
 from plinth.operators import meshes as M
+from plinth.runtime import spread
 
 SAMPLES_PER_CELL = 2
 SUBDIVISION = 3
@@ -59,7 +62,8 @@ def surface_cells(triangles: DataFrame, headers: DataFrame) -> DataFrame:
     u, v = G.sub(b, a), G.sub(c, a)
     longest = F.greatest(G.norm(u), G.norm(v), G.norm(G.sub(v, u)))
     steps = F.greatest(F.lit(1), F.ceil(longest / (F.col("cell") / SAMPLES_PER_CELL))).cast("int")
-    joined = triangles.join(headers.select("mesh_id", "cell", "nx", "ny", "nz", "gx", "gy", "gz"), "mesh_id")
+    grid = headers.select("mesh_id", "cell", "nx", "ny", "nz", "gx", "gy", "gz")
+    joined = spread(triangles, "mesh_id", "tri_id").join(grid, "mesh_id")
     lattice = (
         joined.withColumn("n", steps)
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"))))
@@ -81,38 +85,54 @@ def clamped_cell(value: Column, axis: str) -> Column:
     return F.least(F.col(f"n{axis}") - 1, F.greatest(F.lit(0), cell_index(value, axis))).cast("int")
 
 
-def _flood(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Solid cells of one grid: everything the empty border cannot reach through faces."""
-    nx, ny, nz = (int(pdf[n].iloc[0]) for n in ("nx", "ny", "nz"))
-    wall = np.zeros((nx + 2, ny + 2, nz + 2), dtype=bool)
-    wall[pdf["x"] + 1, pdf["y"] + 1, pdf["z"] + 1] = True
-    # One free layer around the grid joins all border cells into a single start region.
-    wall_flat = wall.ravel()
-    outside = np.zeros_like(wall_flat)
-    edge = np.zeros_like(wall)
-    edge[[0, -1], :, :] = edge[:, [0, -1], :] = edge[:, :, [0, -1]] = True
-    front = np.flatnonzero(edge.ravel())
-    outside[front] = True
-    steps = [(ny + 2) * (nz + 2), nz + 2, 1]
-    inner = ~edge.ravel()
-    while front.size:
-        near = np.concatenate([front + d for s in steps for d in (s, -s)])
-        near = near[(near >= 0) & (near < outside.size)]
-        near = np.unique(near[inner[near] & ~wall_flat[near] & ~outside[near]])
-        outside[near] = True
-        front = near
-    solid = np.argwhere(~outside.reshape(wall.shape)[1:-1, 1:-1, 1:-1]).astype(np.int32)
-    return pd.DataFrame({"mesh_id": pdf["mesh_id"].iloc[0], "x": solid[:, 0], "y": solid[:, 1], "z": solid[:, 2]})
+def _solid(surface: np.ndarray, shape: tuple[int, int, int]) -> np.ndarray:
+    """Flat indices of the cells of one grid that the empty border cannot reach through faces."""
+    padded = tuple(n + 2 for n in shape)  # a free layer around the grid joins all border cells
+    blocked = np.zeros(padded, dtype=bool)
+    inner = (slice(1, -1),) * 3
+    wall = np.zeros(shape, dtype=bool)
+    wall.reshape(-1)[surface] = True
+    blocked[inner] = wall
+    reached = np.ones(padded, dtype=bool)
+    reached[inner] = False
+    while True:
+        grown = reached.copy()
+        for axis in range(3):
+            low = tuple(slice(None, -1) if a == axis else slice(None) for a in range(3))
+            high = tuple(slice(1, None) if a == axis else slice(None) for a in range(3))
+            grown[high] |= reached[low]
+            grown[low] |= reached[high]
+        grown &= ~blocked
+        if (grown == reached).all():
+            return np.flatnonzero(~reached[inner].reshape(-1)).astype(np.int32)
+        reached = grown
+
+
+def _fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for frame in frames:
+        solid = [
+            _solid(np.asarray(cells), (nx, ny, nz))
+            for cells, nx, ny, nz in zip(frame["cells"], frame["nx"], frame["ny"], frame["nz"])
+        ]
+        yield frame[["mesh_id", "ny", "nz"]].assign(cells=solid)
 
 
 def filled_cells(cells: DataFrame, headers: DataFrame) -> DataFrame:
     """Surface plus enclosed cells (6-connected outside-in fill).
 
-    One shuffle by mesh; a group is one grid of distinct surface cells, bounded by the
-    resolution, so no iteration across the cluster is needed.
+    A mesh's distinct surface cells travel as one array of flat indices: one shuffle by mesh, one
+    row per grid, bounded by the resolution, so no iteration across the cluster is needed.
     """
     sized = cells.join(headers.select("mesh_id", "nx", "ny", "nz"), "mesh_id")
-    return sized.groupBy("mesh_id").applyInPandas(_flood, "mesh_id long, x int, y int, z int")
+    index = (F.col("x") * F.col("ny") + F.col("y")) * F.col("nz") + F.col("z")
+    packed = spread(sized, "mesh_id").groupBy("mesh_id").agg(
+        F.collect_list(index).alias("cells"), *[F.first(n).alias(n) for n in ("nx", "ny", "nz")]
+    )
+    filled = packed.mapInPandas(_fill, "mesh_id long, ny int, nz int, cells array<int>")
+    return filled.select("mesh_id", "ny", "nz", F.explode("cells").alias("cell")).select(
+        "mesh_id", F.expr("cell div (ny * nz)").cast("int").alias("x"),
+        F.expr("cell div nz % ny").cast("int").alias("y"), F.expr("cell % nz").alias("z"),
+    )
 
 
 def downsample(fine: DataFrame, parts: int = SUBDIVISION, min_fill: float = MIN_FILL) -> DataFrame:
@@ -157,9 +177,9 @@ def blocks(cells: DataFrame) -> DataFrame:
         F.struct(F.lit(k).alias("ord"), *[F.col(axis).alias(n) for axis, n in zip(order, "pqr")])
         for k, order in enumerate(AXIS_ORDERS)
     ]))
-    spread = cells.select("mesh_id", orders.alias("o")).select("mesh_id", "o.*").repartition("mesh_id", "ord")
     key = ["mesh_id", "ord"]
-    lines = runs(spread, "p", [*key, "q", "r"], "p0", "p1")
+    tried = spread(cells.select("mesh_id", orders.alias("o")).select("mesh_id", "o.*"), *key)
+    lines = runs(tried, "p", [*key, "q", "r"], "p0", "p1")
     slabs = runs(lines, "q", [*key, "r", "p0", "p1"], "q0", "q1")
     boxes = runs(slabs, "r", [*key, "p0", "p1", "q0", "q1"], "r0", "r1")
     sized = boxes.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))

@@ -32,3 +32,11 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder, so a lost executor never replays its lineage."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Even out rows whose processing is far heavier than their size before they unfold.
+
+    The explicit count keeps adaptive execution from packing such rows back together by bytes.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
