@@ -1,4 +1,13 @@
 """The query catalog: importing it registers every query."""
 
-from plinth.catalog import q_aggregates, q_geometry, q_joins, q_rows, q_voxels, q_windows  # noqa: F401
+from plinth.catalog import (  # noqa: F401
+    q_aggregates,
+    q_files,
+    q_geometry,
+    q_joins,
+    q_rows,
+    q_streams,
+    q_voxels,
+    q_windows,
+)
 from plinth.catalog.registry import REGISTRY  # noqa: F401

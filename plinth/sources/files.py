@@ -98,9 +98,9 @@ def images_by_stem(files: DataFrame) -> DataFrame:
     return files.where(F.col("name").rlike(IMAGE_PATTERN)).groupBy("folder", "stem").agg(F.min("name").alias("image"))
 
 
-def mesh_listing(files: DataFrame) -> DataFrame:
+def mesh_listing(files: DataFrame, pattern: str = MESH_PATTERN) -> DataFrame:
     """Folders with at least one mesh and their sorted mesh names (a folder is one sample)."""
-    return files.where(F.col("name").rlike(MESH_PATTERN)).groupBy("folder").agg(
+    return files.where(F.col("name").rlike(pattern)).groupBy("folder").agg(
         F.sort_array(F.collect_list("name")).alias("meshes")
     )
 

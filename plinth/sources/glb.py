@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import json
 from collections.abc import Iterator
 
@@ -9,6 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from plinth.operators.meshes import COORDS
 
@@ -154,3 +156,37 @@ def posed(roots: DataFrame) -> DataFrame:
         for name, value in default.items()
     ]
     return roots.select("path", flag.alias("posed"), *values)
+
+
+class _File(InputPartition):
+    def __init__(self, path: str):
+        self.path = path
+
+
+class _MeshReader(DataSourceReader):
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self) -> list[_File]:
+        return [_File(p) for p in sorted(glob.glob(self.path, recursive=True))]
+
+    def read(self, partition: _File) -> Iterator[tuple]:
+        with open(partition.path, "rb") as file:
+            frame = pd.DataFrame({"path": [partition.path], "content": [file.read()]})
+        for out in _read(iter([frame])):
+            for row in out.astype(object).where(out.notna(), None).itertuples(index=False):
+                yield tuple(row)
+
+
+class MeshSource(DataSource):
+    """``spark.read.format("mesh").load(glob)`` over a shared file system: one task per file."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "mesh"
+
+    def schema(self) -> str:
+        return "path string, tri_id long, " + ", ".join(f"{c} double" for c in COORDS) + ", error string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _MeshReader(self.options["path"])
