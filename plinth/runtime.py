@@ -18,8 +18,6 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
@@ -29,9 +27,15 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor never replays its lineage."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    A lost executor then never replays the lineage. Reading a table also starts from a clean plan:
+    a checkpointed frame carries its inferred constraints along, and in a loop those grow until
+    planning takes longer than the work.
+    """
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

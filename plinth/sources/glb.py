@@ -23,8 +23,8 @@ ROOT = "struct<name:string,translation:array<double>,rotation:array<double>,scal
 
 
 def _chunks(content: bytes) -> tuple[dict, bytes]:
-    head = np.frombuffer(content[:12], "<u4")
-    if len(head) < 3 or head[0] != MAGIC:
+    head = np.frombuffer(content[:12], "<u4") if len(content) >= 12 else []
+    if not len(head) or head[0] != MAGIC:
         raise ValueError("not a GLB file")
     parts, at = {}, 12
     while at + 8 <= int(head[2]):
@@ -95,13 +95,15 @@ def scene_triangles(content: bytes) -> np.ndarray:
 def _read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     columns = ["path", "tri_id", *COORDS, "error"]
     for frame in frames:
+        out = []
         for path, content in zip(frame["path"], frame["content"]):
             try:
                 rows = scene_triangles(bytes(content))
-                out = pd.DataFrame(rows, columns=COORDS).assign(path=path, tri_id=np.arange(len(rows)), error=None)
+                out.append(pd.DataFrame(rows, columns=COORDS).assign(path=path, tri_id=np.arange(len(rows)), error=None))
             except (ValueError, KeyError, IndexError, TypeError) as failure:
-                out = pd.DataFrame([{"path": path, "error": str(failure)}]).reindex(columns=columns)
-            yield out[columns]
+                out.append(pd.DataFrame([{"path": path, "error": str(failure)}]).reindex(columns=columns))
+        if out:
+            yield pd.concat([o[columns] for o in out], ignore_index=True)
 
 
 def mesh_rows(files: DataFrame) -> DataFrame:
