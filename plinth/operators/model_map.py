@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 Reply = tuple[list[str | None], float]
 
@@ -54,8 +56,14 @@ def model_map(df: DataFrame, key: str, prompt: str, call: Callable[[list[str]],
 
 
 def parsed(replies: DataFrame, schema: str) -> DataFrame:
-    """Replies against a schema: ``data`` is null where the reply is missing or does not fit."""
-    return replies.withColumn("data", F.from_json("reply", schema))
+    """Replies against a schema whose top-level fields are all required.
+
+    ``data`` is null where the reply is missing, is not JSON or lacks a field.
+    """
+    data = F.from_json("reply", schema)
+    fields = StructType.fromDDL(schema).fieldNames()
+    complete = reduce(lambda a, b: a & b, [data[name].isNotNull() for name in fields])
+    return replies.withColumn("data", F.when(complete, data))
 
 
 def split_done(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
