@@ -64,6 +64,16 @@ def rotate(q: Quat, v: Vec) -> Vec:
     return add(add(v, scaled(t, q[3])), cross(axis, t))
 
 
+def rotation_matrix(q: Quat, k: Column) -> list[list[Column]]:
+    """Rotation by unit ``q`` times ``k`` as rows of a matrix: nine products per turned point."""
+    x, y, z, w = q
+    return [
+        [(1 - (y * y + z * z) * 2) * k, (x * y - z * w) * 2 * k, (x * z + y * w) * 2 * k],
+        [(x * y + z * w) * 2 * k, (1 - (x * x + z * z) * 2) * k, (y * z - x * w) * 2 * k],
+        [(x * z - y * w) * 2 * k, (y * z + x * w) * 2 * k, (1 - (x * x + y * y) * 2) * k],
+    ]
+
+
 def conjugate(q: Quat) -> Quat:
     return (-q[0], -q[1], -q[2], q[3])
 
