@@ -108,12 +108,13 @@ def deck(members: DataFrame, seed: str) -> DataFrame:
     return ranked.select("role", "category", "uid", (F.col("_rn") - 1).alias("rank"))
 
 
-def offers(reqs: DataFrame, ranked_deck: DataFrame) -> DataFrame:
+def offers(reqs: DataFrame, ranked_deck: DataFrame, taken: DataFrame | None = None) -> DataFrame:
     """Assets offered to each request: consecutive cards of the deck, wrapping, never repeating.
 
     Takes of one category continue where the previous take stopped, so usage counts of any two
     assets of a bucket differ by at most one wrap. The running start is an ``Ordered`` sum; cards
     are then fetched by an equi-join on (role, category, rank), which spreads evenly.
+    ``taken(role, category, taken)`` continues after the cards of earlier rounds (twelve rows).
     """
     sized = reqs.select(
         "request_id", "category", "order_key",
@@ -124,7 +125,11 @@ def offers(reqs: DataFrame, ranked_deck: DataFrame) -> DataFrame:
     ).select("request_id", "category", "order_key", "t.*")
     started = Ordered(sized, ["order_key", "request_id"], by=["role", "category"]).running_sum("k", "upto").done()
     cards = started.withColumn("pos", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1)))
-    rank = (F.col("upto") - F.col("k") + F.col("pos")) % F.col("size")
+    before = F.lit(0)
+    if taken is not None:
+        cards = cards.join(F.broadcast(taken), ["role", "category"], "left")
+        before = F.coalesce("taken", F.lit(0))
+    rank = (before + F.col("upto") - F.col("k") + F.col("pos")) % F.col("size")
     return cards.select("request_id", "role", "category", "pos", rank.alias("rank")).join(
         ranked_deck, ["role", "category", "rank"]
     )

@@ -41,13 +41,16 @@ def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, roun
     captions = pool.select("uid", "caption")
     quota = cut(Q.quotas(spark, total))
     accepted = spark.createDataFrame([], ACCEPTED)
+    taken = spark.createDataFrame([], "role string, category string, taken long")
     for turn in range(rounds):
         short = cut(Q.shortfall(quota, accepted).select("category", "complexity", "relations", "levels", "short"))
         plan = cut(DL.deal(short, sizes, contexts, f"{seed}/{turn}", batch))
         if plan.isEmpty():
             break
         requests = cut(DL.requests(plan, f"{seed}/{turn}"))
-        offered = cut(DL.offers(requests, deck))
+        offered = cut(DL.offers(requests, deck, taken))
+        dealt_out = offered.groupBy("role", "category").agg(F.count(F.lit(1)).alias("taken"))
+        taken = cut(taken.unionByName(dealt_out).groupBy("role", "category").agg(F.sum("taken").alias("taken")))
         lines = offered.join(captions, "uid").select(
             "request_id", "role", "pos", A.asset_line(F.col("uid"), F.col("caption")).alias("line")
         )
