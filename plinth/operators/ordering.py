@@ -34,21 +34,33 @@ def range_bounds(df: DataFrame, order: Sequence[str], buckets: int, per_bucket:
     return sorted(set(cuts))
 
 
-def _before(order: Sequence[str], bound: tuple) -> Column:
-    """Lexicographic ``order < bound``."""
-    test = F.lit(False)
+def _literal(value, kind: str) -> str:
+    """SQL text of a collected order key."""
+    if kind == "string":
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if kind == "timestamp":
+        # Collected in the driver's zone; seconds since the epoch do not depend on any zone.
+        return f"timestamp_micros({round(value.timestamp() * 1_000_000)}L)"
+    if kind in ("timestamp_ntz", "date"):
+        return f"{kind.upper()}'{value}'"
+    return f"CAST('{value}' AS {kind})"
+
+
+def _before(order: Sequence[str], bound: Sequence[str]) -> str:
+    """Lexicographic ``order < bound`` as SQL."""
+    test = "false"
     for name, value in reversed(list(zip(order, bound))):
-        test = (F.col(name) < F.lit(value)) | ((F.col(name) == F.lit(value)) & test)
+        test = f"(`{name}` < {value} OR (`{name}` = {value} AND {test}))" if test != "false" else f"`{name}` < {value}"
     return test
 
 
-def _locate(order: Sequence[str], bounds: list[tuple], lo: int, hi: int) -> Column:
-    """Balanced tree of comparisons: log2(buckets) tests per row, all inside codegen."""
+def _locate(order: Sequence[str], bounds: list[list[str]], lo: int, hi: int) -> str:
+    """Balanced tree of comparisons: log2(buckets) tests per row. One text, so it is built at once."""
     if lo == hi:
-        return F.lit(lo)
+        return str(lo)
     mid = (lo + hi) // 2
-    return F.when(_before(order, bounds[mid]), _locate(order, bounds, lo, mid)).otherwise(
-        _locate(order, bounds, mid + 1, hi)
+    return (
+        f"if({_before(order, bounds[mid])}, {_locate(order, bounds, lo, mid)}, {_locate(order, bounds, mid + 1, hi)})"
     )
 
 
@@ -63,8 +75,9 @@ class Ordered:
         spark = df.sparkSession
         buckets = buckets or min(512, max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
         self.order, self.by = list(order), list(by)
-        bounds = range_bounds(df, self.order, buckets)
-        self.df = df.withColumn(BUCKET, _locate(self.order, bounds, 0, len(bounds)))
+        kinds = [df.schema[name].dataType.simpleString() for name in self.order]
+        bounds = [[_literal(v, k) for v, k in zip(row, kinds)] for row in range_bounds(df, self.order, buckets)]
+        self.df = df.withColumn(BUCKET, F.expr(_locate(self.order, bounds, 0, len(bounds))))
 
     @property
     def keys(self) -> list[str]:

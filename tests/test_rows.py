@@ -154,3 +154,12 @@ def test_log_with_broken_transforms_keeps_sections(spark, tmp_path):
     row = L.parse_logs(L.log_files(spark, str(tmp_path))).first()
     assert (row["stamp"], row["sample_id"]) == ("2024-01-01T00-00-00-000Z", "mug_1")
     assert (row["model"], row["cost"], row["placement"], row["user"], row["transforms"]) == ("m", "$0.01", "on it", "hi\nyou", None)
+
+
+def test_ranges_over_text_and_zoned_times(spark):
+    names = sorted(f"{q}{n:03d}" for n in range(150) for q in ("'", "\\", "a"))
+    df = spark.createDataFrame([(n,) for n in names], "name string").withColumn(
+        "at", F.timestamp_seconds(F.abs(F.xxhash64("name")) % 1_000_000))
+    assert [r["name"] for r in ranked(df, ["name"], buckets=9).orderBy("rn").collect()] == names
+    times = [r["at"] for r in ranked(df, ["at", "name"], buckets=9).orderBy("rn").collect()]
+    assert times == sorted(times)
