@@ -120,7 +120,7 @@ def _(t):
 
 @query("w4_first_wins_two_keys")
 def _(t):
-    """Two-key duplicates against the earlier half of the samples (checked against the plain loop in tests)."""
+    """Valid scenes without duplicates under either key (checked against the plain loop in tests)."""
     scenes = cut(keyed_scenes(t))
     return AC.first_wins(scenes, ["k1", "k2"], "seq").select("seq", "k1", "k2")
 
