@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plinth.llm.near_dups import Threshold, near_duplicates
+from plinth.llm.substrings import without_repeats
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -15,6 +17,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+OP3_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, ws[i:i + 12] AS w FROM words, unnest(range(1, len(ws) - 11)) AS t(i)
+), firsts AS (SELECT w, min(doc_id) AS d FROM windows GROUP BY w
+), hits AS (
+  SELECT DISTINCT doc_id, i + k AS at FROM windows JOIN firsts USING (w), unnest(range(0, 13)) AS t(k) WHERE d < doc_id
+), flat AS (
+  SELECT doc_id, i, ws[i] AS word FROM words, unnest(range(1, len(ws) + 1)) AS t(i)
+), kept AS (
+  SELECT flat.doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM flat ANTI JOIN hits ON hits.doc_id = flat.doc_id AND hits.at = flat.i GROUP BY flat.doc_id
+)
+SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Threshold(85, 100))
 
@@ -43,8 +70,10 @@ FROM words JOIN roots ON roots.id = words.doc_id LEFT JOIN sizes ON sizes.doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_substring_dedup": op3_substring_dedup,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {
+    "op3_substring_dedup": OP3_SQL,
     "op10_near_duplicates": OP10_SQL,
 }
