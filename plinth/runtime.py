@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) is a temporary folder created and remembered in the session.
+    The cluster names it in ``spark.checkpoint.dir``; only where that is unset and all tasks run on this
+    machine (tests) is a temporary folder created and remembered in the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     return root
@@ -26,16 +28,40 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Lets Spark delete the shuffle files of a finished write at once; without it they stay until the driver's garbage goes.
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     A lost executor then never replays the lineage. Reading a table also starts from a clean plan:
     a checkpointed frame carries its inferred constraints along, and in a loop those grow until
-    planning takes longer than the work.
+    planning takes longer than the work. ``discard`` removes the table again.
     """
-    path = scratch(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch(spark, "cut")
+    before = spark.conf.get(TIDY, "false")
+    spark.conf.set(TIDY, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(TIDY, before)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept.cut_path = path
+    return kept
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove the tables behind frames that came straight from ``cut`` and that no later step reads."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.cut_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that Spark uses for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
