@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.runtime import cut
+from plinth.runtime import cut, discard
 
 
 def _round(edges: DataFrame) -> DataFrame:
@@ -20,7 +20,9 @@ def _round(edges: DataFrame) -> DataFrame:
     low = large.groupBy("u").agg(F.min("v").alias("m"))
     joined = large.join(low, "u")
     small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(joined.select("u", F.col("m").alias("v")))
-    return cut(small.where("u <> v").distinct())
+    result = cut(small.where("u <> v").distinct())
+    discard(large)
+    return result
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -36,7 +38,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-        edges = _round(edges)
+        last, edges = edges, _round(edges)
+        discard(last)
     leaves = edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     return leaves.unionByName(roots)

@@ -10,8 +10,8 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
   order: a set has to consist of them nearly whole before it enters their inverted lists. Their number is bounded by
   construction, ``HOT_VALUES``, so they can be broadcast.
 * An inverted list is never expanded into all its pairs. First every member is compared with the list's most central
-  member only. Links found there join members into classes; a second pass compares what is still in different classes
-  and could reach the threshold by the bound on the overlap.
+  member only, beginning with the member that shares the most lists. Links found there join members into classes; a
+  last pass compares all that is still in different classes and could reach the threshold by the bound on the overlap.
 * The union of two sketches estimates the Jaccard index; pairs far below the threshold stop there. The rest is
   confirmed on the full sets.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm.graph import components
 from plinth.llm.words import lists, mix, sequences, slices
-from plinth.runtime import cut
+from plinth.runtime import cut, discard
 
 HOT_VALUES = 50_000  # at most so many hashes can be hot, whatever the corpus size
 HOT_LEAST = 64  # a shorter inverted list is never hot
@@ -116,36 +116,51 @@ def _full_sets(width: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, texts: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs ``(a, b)`` whose full sets reach the threshold. Full sets are built for the documents in pairs only."""
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    full = cut(
-        texts.join(needed, "doc_id", "left_semi")
-        .mapInArrow(_full_sets(rule.width), "doc_id long, hashes array<long>")
-    )
-    one = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
-    two = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
-    shared = F.size(F.array_intersect("ha", "hb"))
-    return (
-        pairs.select("a", "b").join(one, "a").join(two, "b")
-        .where(rule.holds(shared, F.size("ha"), F.size("hb")))
-        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+def _reach(rule: Threshold, p_a: Column, p_b: Column, n_a: Column, n_b: Column, before: bool = True) -> Column:
+    """Can sets of ``n_a`` and ``n_b`` hashes that share one at positions ``p_a`` and ``p_b`` reach the threshold?
+
+    At most ``min(p_a, p_b)`` hashes before that one and the shorter rest after it can be shared too. With ``before``
+    false that one is the first shared hash: nothing before it is shared.
+    """
+    most = F.least(n_a - p_a, n_b - p_b) + (F.least(p_a, p_b) if before else F.lit(0))
+    return rule.holds(most, n_a, n_b)
+
+
+def _first_shared(rows: DataFrame, rule: Threshold) -> DataFrame:
+    """One row per member and pair from rows ``a, b, p_a, p_b, n_a, n_b, rep``, if the threshold is in reach."""
+    bounds = ("p_a", "p_b", "n_a", "n_b")
+    columns = [F.col(c) for c in bounds]
+    first = rows.where(_reach(rule, *columns)).groupBy("a", "b", "rep").agg(
+        *[F.min(c).alias(c) for c in bounds], F.count(F.lit(1)).alias("lists")
     )
+    return first.where(_reach(rule, *columns, before=False))
 
 
-def _reach(rule: Threshold) -> Column:
-    """Can sets of ``n_a`` and ``n_b`` hashes that share one at positions ``p_a`` and ``p_b`` reach the threshold?
+def _classes(links: DataFrame) -> DataFrame:
+    return cut(components(links))
 
-    At most ``min(p_a, p_b)`` hashes before that one and the shorter rest after it can be shared too.
-    """
-    most = F.least("p_a", "p_b") + F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-    return rule.holds(most, F.col("n_a"), F.col("n_b"))
 
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose ends are in different classes so far."""
+    one = classes.select(F.col("id").alias("a"), F.col("component").alias("class_a"))
+    two = classes.select(F.col("id").alias("b"), F.col("component").alias("class_b"))
+    return pairs.join(one, "a", "left").join(two, "b", "left").where(
+        F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
+    )
 
-def _first_reach(rule: Threshold) -> Column:
-    """The same with the first shared hash: nothing before it is shared."""
-    most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
-    return rule.holds(most, F.col("n_a"), F.col("n_b"))
+
+def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs that pass the estimate and the check on full sets, as a written table."""
+    near = cut(_estimated(pairs, sketches, rule))
+    one = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
+    two = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
+    shared = F.size(F.array_intersect("ha", "hb"))
+    result = cut(
+        near.join(one, "a").join(two, "b").where(rule.holds(shared, F.size("ha"), F.size("hb")))
+        .select(F.col("a").alias("u"), F.col("b").alias("v"))
+    )
+    discard(near)
+    return result
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
@@ -177,12 +192,13 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     kind = "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>"
-    every = cut(texts.mapInArrow(_sketched(rule, None), kind))
     digest = ["d1", "d2", "n_shingles"]
-    usable = every.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    members = usable.select("doc_id", *digest)
+    first = cut(texts.mapInArrow(_sketched(rule, None), kind))
+    every = cut(first.select("doc_id", *digest))
+    usable = first.where("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = cut(usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
 
+    discard(first)
     retained = sets.agg(F.sum(F.size("sketch"))).first()[0] or 0
     limit = max(HOT_LEAST, -(-retained // HOT_VALUES))
     counts = sets.select(F.explode("sketch").alias("value")).groupBy("value").count()
@@ -194,55 +210,71 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         sketches = sketches.join(again.select(*digest), digest, "left_anti").unionByName(
             again.select(*digest, "rep", "sketch").withColumn("plain", F.lit(False))
         )
-    sketches = sketches.select("rep", F.col("n_shingles").alias("n"), "sketch", "plain")
-
+    sketches = cut(sketches.withColumn("n", F.col("n_shingles")))
+    discard(sets)
     postings = sketches.select("rep", "n", F.posexplode("sketch").alias("p", "value"))
-    sizes = postings.groupBy("value").agg(
+    hubs = postings.groupBy("value").agg(
         F.count(F.lit(1)).alias("length"), F.min(F.struct("p", "n", "rep")).alias("hub")
     ).where("length > 1")
-    listed = cut(postings.join(sizes, "value"))
-    sided = lambda hub: (
-        F.least("rep", hub("rep")).alias("a"), F.greatest("rep", hub("rep")).alias("b"),
-        F.when(F.col("rep") < hub("rep"), F.col("p")).otherwise(hub("p")).alias("p_a"),
-        F.when(F.col("rep") < hub("rep"), hub("p")).otherwise(F.col("p")).alias("p_b"),
-        F.when(F.col("rep") < hub("rep"), F.col("n")).otherwise(hub("n")).alias("n_a"),
-        F.when(F.col("rep") < hub("rep"), hub("n")).otherwise(F.col("n")).alias("n_b"),
+    listed = cut(postings.join(hubs, "value").drop("length"))
+    full = cut(
+        texts.join(listed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+        .mapInArrow(_full_sets(rule.width), "doc_id long, hashes array<long>")
     )
 
-    def candidates(rows: DataFrame) -> DataFrame:
-        """One row per pair, at its first shared hash, if the threshold is in reach."""
-        first = rows.where(_reach(rule)).groupBy("a", "b").agg(
-            *[F.min(c).alias(c) for c in ("p_a", "p_b", "n_a", "n_b")]
-        )
-        return _estimated(first.where(_first_reach(rule)).select("a", "b"), sketches, rule)
+    def side(one: Column, two: Column, out: str) -> Column:
+        return F.when(F.col("rep") < F.col("hub.rep"), one).otherwise(two).alias(out)
 
-    starred = listed.where("rep <> hub.rep").select(*sided(lambda c: F.col(f"hub.{c}")))
-    tested = cut(candidates(starred))
-    links = cut(_verified(tested, sets, texts, rule))
+    p, n, hub_p, hub_n = (F.col(c) for c in ("p", "n", "hub.p", "hub.n"))
+    starred = _first_shared(
+        listed.where("rep <> hub.rep").select(
+            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
+            side(p, hub_p, "p_a"), side(hub_p, p, "p_b"), side(n, hub_n, "n_a"), side(hub_n, n, "n_b"), "rep",
+        ), rule
+    )
+    # The hub that shares the most lists with a member is tried first; most members need no other.
+    likely = cut(
+        starred.groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("lists", "a", "b")).alias("x")).select("x.*").distinct()
+    )
+    links = _linked(likely, sketches, full, rule)
+    classes = _classes(links)
+    others = cut(
+        _apart(starred.select("a", "b").distinct(), classes).select("a", "b").join(likely, ["a", "b"], "left_anti")
+    )
+    more = _linked(others, sketches, full, rule)
+    discard(classes)
+    classes = _classes(links.unionByName(more))
 
-    classes = cut(components(links))
     labelled = listed.select("value", "rep", "p", "n").join(
         classes.withColumnRenamed("id", "rep"), "rep", "left"
     ).withColumn("class", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
     open_lists = cut(labelled.join(mixed.select("value"), "value", "left_semi").select("value", "rep", "p", "n", "class"))
     one, two = open_lists.alias("x"), open_lists.alias("y")
-    rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class")).select(
+    reach = _reach(rule, *(F.col(c) for c in ("x.p", "y.p", "x.n", "y.n")))
+    rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class") & reach).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.p").alias("p_a"), F.col("y.p").alias("p_b"),
-        F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
+        F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"), F.col("x.rep").alias("rep"),
     )
-    others = cut(candidates(rest).join(tested, ["a", "b"], "left_anti"))
-    links = links.unionByName(cut(_verified(others, sets, texts, rule)))
-
+    last = cut(
+        _first_shared(rest, rule).select("a", "b")
+        .join(likely.unionByName(others), ["a", "b"], "left_anti")
+    )
+    final = _linked(last, sketches, full, rule)
+    discard(listed, open_lists, likely, others, last, classes, full)
+    links = cut(links.unionByName(more).unionByName(final))
     found = components(links).select(F.col("id").alias("rep"), "component")
-    reps = sets.select(*digest, "rep").join(found, "rep", "left").select(
-        *digest, F.coalesce("component", "rep").alias("component_id")
+    classes = cut(
+        sketches.select(*digest, "rep").join(found, "rep", "left")
+        .select(*digest, F.coalesce("component", "rep").alias("component_id"))
+    )
+    discard(sketches, links)
+    placed = (
+        every.where("doc_id IS NOT NULL").join(classes, digest)
+        .groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     )
-    placed = members.join(reps, digest).groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     return (
         every.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
-        .select(
-            "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
-        )
+        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
