@@ -10,8 +10,8 @@ Three shuffles, none of which knows a hot key:
 1. documents by a hash of doc_id into chunks (used twice: by step 2 and by step 3),
 2. the super-k-mers of a chunk by bucket. Equal ones of a chunk collapse first, so a passage that a third of all documents
    carry reaches its bucket once per chunk,
-3. for each chunk, the windows that some document precedes, with the smallest doc_id that holds them. The chunk looks
-   its own windows up by a 128-bit hash.
+3. for each chunk and bucket, the smallest doc_id that holds each window of the packed strings, in their order. The
+   chunk packs its documents again (the order follows from the words and doc_ids alone) and reads the values off.
 
 Chunks and buckets follow ``spark.sql.shuffle.partitions``; one chunk or one bucket is in memory at a time.
 """
@@ -31,6 +31,8 @@ from plinth.llm.words import Slice, sequences, slices
 WINDOW = 13
 MINIMISER = 3
 CHUNKS_PER_PARTITION, BUCKETS_PER_PARTITION = 2, 4
+LEVEL = 6  # of zstandard: the packed strings are most of what is shuffled
+NOBODY = np.iinfo(np.int64).max
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -81,7 +83,7 @@ class Packed:
 
 def _dump(low: np.ndarray, high: np.ndarray, lengths: np.ndarray, text: bytes) -> bytes:
     head = np.array([len(low)], dtype=np.int64).tobytes()
-    return zstandard.compress(head + low.tobytes() + high.tobytes() + lengths.astype(np.int64).tobytes() + text, 1)
+    return zstandard.compress(head + low.tobytes() + high.tobytes() + lengths.astype(np.int64).tobytes() + text, LEVEL)
 
 
 def _load(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
@@ -91,69 +93,84 @@ def _load(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
     return low, high, lengths, raw[8 + 24 * n:]
 
 
-def _ids(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    column = table.column("doc_id").combine_chunks()
-    return column.fill_null(0).to_numpy(zero_copy_only=False), ~column.is_null().to_numpy(zero_copy_only=False)
+class Chunk:
+    """The super-k-mers of a chunk of documents.
 
+    Per occurrence (in text order): ``group``. Per group of equal super-k-mers, ordered by bucket, size and hashes:
+    ``bucket``, ``low`` and ``high`` (smallest and largest doc_id), ``begin`` and ``size`` in ``data``, ``windows``.
+    """
 
-def _super_kmers(window: int, buckets: int):
-    """Chunk of documents -> one row per bucket with the chunk's distinct super-k-mers."""
-
-    def run(key, table):
-        ids, known = _ids(table)
-        parts: list[tuple] = []
-        for piece in slices(table.column("text").combine_chunks()):
+    def __init__(self, table: pa.Table, window: int, buckets: int):
+        column = table.column("doc_id").combine_chunks()
+        self.ids = column.fill_null(0).to_numpy(zero_copy_only=False)
+        known = ~column.is_null().to_numpy(zero_copy_only=False)
+        self.pieces, self.found = list(slices(table.column("text").combine_chunks())), []
+        parts, data, base = [], [], 0
+        for piece in self.pieces:
             found = Windows(piece, window, known[piece.lo:piece.hi], minimisers=True)
-            if not len(found.at):
-                continue
+            self.found.append(found)
             at, doc = found.at, piece.doc[found.at]
+            if not len(at):
+                found.count = np.empty(0, dtype=np.int64)
+                continue
             new = np.ones(len(at), dtype=bool)
             new[1:] = (found.least[1:] != found.least[:-1]) | (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
             first = np.flatnonzero(new)
-            count = np.diff(first, append=len(at))
+            found.count = np.diff(first, append=len(at))
             packed = Packed(piece)
-            begin = packed.start[at[first]]
-            last = at[first] + count + window - 2
-            size = packed.start[last] + packed.lengths[last] - begin
+            begin, last = packed.start[at[first]], at[first] + found.count + window - 2
             parts.append((
-                found.least[first] % np.uint64(buckets), np.add.reduceat(found.one, first), np.add.reduceat(found.two, first),
-                ids[piece.lo:piece.hi][doc[first]], begin, size, packed.data,
+                (found.least[first] % np.uint64(buckets)).astype(np.int64), np.add.reduceat(found.one, first),
+                np.add.reduceat(found.two, first), self.ids[piece.lo:piece.hi][doc[first]], begin + base,
+                packed.start[last] + packed.lengths[last] - begin, found.count,
             ))
+            data.append(packed.data)
+            base += len(packed.data)
+            found.one = found.two = found.least = None
+        if not parts:
+            parts = [tuple(np.empty(0, dtype=np.int64) for _ in range(7))]
+        self.data = np.concatenate(data) if data else np.empty(0, np.uint8)
+        bucket, one, two, owner, begin, size, count = (np.concatenate([p[k] for p in parts]) for k in range(7))
+        order = np.lexsort((owner, two, one, size, bucket))
+        new = np.ones(len(order), dtype=bool)
+        for key in (bucket, size, one, two):
+            new[1:] &= key[order][1:] == key[order][:-1]
+        new[1:] = ~new[1:]
+        first = np.flatnonzero(new)
+        self.group = np.empty(len(order), dtype=np.int64)
+        self.group[order] = np.cumsum(new) - 1
+        self.low = owner[order][first]
+        self.high = np.maximum.reduceat(owner[order], first) if len(first) else self.low
+        self.bucket, self.begin, self.size, self.windows = (x[order][first] for x in (bucket, begin, size, count))
+
+    def buckets(self):
+        edges = np.flatnonzero(np.concatenate([[True], self.bucket[1:] != self.bucket[:-1], [True]])) if len(self.bucket) else []
+        return zip(edges[:-1], edges[1:])
+
+
+def _super_kmers(window: int, buckets: int):
+    """Chunk of documents -> one row per bucket with the chunk's distinct super-k-mers."""
+
+    def run(key, table):
+        chunk = Chunk(table, window, buckets)
         rows = {"bucket": [], "chunk": [], "packed": []}
-        if parts:
-            bucket, one, two, owner = (np.concatenate([p[k] for p in parts]) for k in range(4))
-            base = np.cumsum([0] + [len(p[6]) for p in parts[:-1]])
-            begin = np.concatenate([p[4] + b for p, b in zip(parts, base)])
-            size = np.concatenate([p[5] for p in parts])
-            data = np.concatenate([p[6] for p in parts])
-            order = np.lexsort((owner, two, one, size, bucket))
-            same = np.zeros(len(order), dtype=bool)
-            same[1:] = (
-                (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-                & (size[order][1:] == size[order][:-1]) & (bucket[order][1:] == bucket[order][:-1])
-            )
-            first = np.flatnonzero(~same)
-            low = owner[order][first]
-            high = np.maximum.reduceat(owner[order], first)
-            bucket, begin, size = bucket[order][first], begin[order][first], size[order][first]
-            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
-            raw = memoryview(data)
-            for lo, hi in zip(edges[:-1], edges[1:]):
-                text = b"".join([raw[b:b + s] for b, s in zip(begin[lo:hi].tolist(), size[lo:hi].tolist())])
-                rows["bucket"].append(int(bucket[lo]))
-                rows["chunk"].append(key[0].as_py())
-                rows["packed"].append(_dump(low[lo:hi], high[lo:hi], size[lo:hi], text))
+        raw = memoryview(chunk.data)
+        for lo, hi in chunk.buckets():
+            begin, size = chunk.begin[lo:hi], chunk.size[lo:hi]
+            text = b"".join([raw[b:b + s] for b, s in zip(begin.tolist(), size.tolist())])
+            rows["bucket"].append(int(chunk.bucket[lo]))
+            rows["chunk"].append(key[0].as_py())
+            rows["packed"].append(_dump(chunk.low[lo:hi], chunk.high[lo:hi], size, text))
         return pa.table(rows, schema=pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("packed", pa.binary())]))
 
     return run
 
 
-def _preceded(window: int):
-    """Bucket of super-k-mers -> per chunk, its windows that a smaller doc_id holds than some document of the chunk."""
+def _first_holders(window: int):
+    """Bucket of super-k-mers -> per chunk, the smallest doc_id of each window that precedes a document of the chunk."""
 
-    def run(table):
+    def run(key, table):
         loaded = [_load(x) for x in table.column("packed").to_pylist()]
-        chunk = np.repeat(table.column("chunk").to_numpy(), [len(x[0]) for x in loaded])
         low, high, lengths = (np.concatenate([x[k] for x in loaded]) for k in range(3))
         data = b"".join(x[3] for x in loaded)
         offsets = np.concatenate([[0], np.cumsum(lengths)])
@@ -168,28 +185,30 @@ def _preceded(window: int):
             end.append(offsets[piece.lo] + piece.end[found.at + window - 1])
         owner, one, two, begin, end = (np.concatenate(x) for x in (owner, one, two, begin, end))
         order = np.lexsort((two, one))
-        owner, one, two, begin, end = (x[order] for x in (owner, one, two, begin, end))
+        one, two = one[order], two[order]
         first = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
         size = np.diff(first, append=len(one))
-        least = np.repeat(np.minimum.reduceat(low[owner], first), size)
+        least = np.repeat(np.minimum.reduceat(low[owner[order]], first), size)
         for lo, n in zip(first[size > 1].tolist(), size[size > 1].tolist()):
-            held = [data[b:e] for b, e in zip(begin[lo:lo + n].tolist(), end[lo:lo + n].tolist())]
+            at = order[lo:lo + n]
+            held = [data[b:e] for b, e in zip(begin[at].tolist(), end[at].tolist())]
             if held.count(held[0]) != n:  # the hashes agree, the words don't
                 own: dict[bytes, int] = {}
-                for text, doc in zip(held, low[owner[lo:lo + n]].tolist()):
+                for text, doc in zip(held, low[owner[at]].tolist()):
                     own[text] = min(doc, own.get(text, doc))
                 least[lo:lo + n] = [own[text] for text in held]
-        hit = least < high[owner]
-        target = chunk[owner[hit]]
-        order = np.argsort(target, kind="stable")
-        target = target[order]
-        values = [x[hit][order] for x in (one, two, least)]
-        edges = np.flatnonzero(np.concatenate([[True], target[1:] != target[:-1], [True]])) if len(target) else np.array([0])
-        rows = {"chunk": [], "windows": []}
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            rows["chunk"].append(int(target[lo]))
-            rows["windows"].append(zstandard.compress(b"".join(v[lo:hi].tobytes() for v in values), 1))
-        return pa.table(rows, schema=pa.schema([("chunk", pa.int64()), ("windows", pa.binary())]))
+        holder = np.empty(len(order), dtype=np.int64)
+        holder[order] = least
+        holder[holder >= high[owner]] = NOBODY
+        chunk_of = np.repeat(np.arange(len(loaded)), [len(x[0]) for x in loaded])[owner]
+        edges = np.searchsorted(chunk_of, np.arange(len(loaded) + 1))
+        rows = {"chunk": [], "bucket": [], "holders": []}
+        for chunk, lo, hi in zip(table.column("chunk").to_pylist(), edges[:-1], edges[1:]):
+            if (holder[lo:hi] != NOBODY).any():
+                rows["chunk"].append(chunk)
+                rows["bucket"].append(key[0].as_py())
+                rows["holders"].append(zstandard.compress(holder[lo:hi].tobytes(), 3))
+        return pa.table(rows, schema=pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("holders", pa.binary())]))
 
     return run
 
@@ -211,25 +230,27 @@ def _kept(piece: Slice, drop: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(rows, pa.py_buffer(ends.tobytes()), pa.py_buffer(packed.data[letters].tobytes()))
 
 
-def _removed(window: int, carry: Sequence[str]):
-    """Chunk of documents and its preceded windows -> documents without the words these windows cover."""
+def _removed(window: int, buckets: int, carry: Sequence[str]):
+    """Chunk of documents and the holders of its windows -> documents without the words that preceded windows cover."""
 
     def run(key, docs, found):
-        ids, known = _ids(docs)
-        blobs = [np.frombuffer(zstandard.decompress(x), np.uint64).reshape(3, -1) for x in found.column("windows").to_pylist()]
-        one, two, least = np.concatenate(blobs, axis=1) if blobs else np.empty((3, 0), dtype=np.uint64)
-        order = np.argsort(one)
-        one, two, least = one[order], two[order], least[order].view(np.int64)
-        texts, words, removed = [], [], []
-        for piece in slices(docs.column("text").combine_chunks()):
+        chunk = Chunk(docs, window, buckets)
+        holders = dict(zip(found.column("bucket").to_pylist(), found.column("holders").to_pylist()))
+        first = np.cumsum(chunk.windows) - chunk.windows  # of each group, in ``holder``
+        holder = np.full(int(chunk.windows.sum()), NOBODY, dtype=np.int64)
+        for lo, hi in chunk.buckets():
+            if blob := holders.get(int(chunk.bucket[lo])):
+                own = np.frombuffer(zstandard.decompress(blob), np.int64)
+                holder[first[lo]:first[lo] + len(own)] = own
+        texts, words, removed, done = [], [], [], 0
+        for piece, own in zip(chunk.pieces, chunk.found):
+            group = chunk.group[done:done + len(own.count)]
+            done += len(own.count)
+            place = np.arange(len(own.at)) - np.repeat(np.cumsum(own.count) - own.count, own.count)
+            hit = holder[np.repeat(first[group], own.count) + place] < chunk.ids[piece.lo:piece.hi][piece.doc[own.at]]
             cover = np.zeros(len(piece.start) + 1, dtype=np.int64)
-            own = Windows(piece, window, known[piece.lo:piece.hi])
-            if len(one) and len(own.at):
-                place = np.minimum(np.searchsorted(one, own.one), len(one) - 1)
-                hit = (one[place] == own.one) & (two[place] == own.two)
-                hit &= least[place] < ids[piece.lo:piece.hi][piece.doc[own.at]]
-                cover[own.at[hit]] += 1
-                np.subtract.at(cover, own.at[hit] + window, 1)
+            cover[own.at[hit]] += 1
+            cover[own.at[hit] + window] -= 1  # at most one window starts at a word
             drop = np.cumsum(cover[:-1]) > 0
             texts.append(_kept(piece, drop))
             words.append(piece.count)
@@ -261,11 +282,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str]
         chunk, F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *carry
     ).repartition(parts, "chunk")
     kmers = dealt.groupBy("chunk").applyInArrow(_super_kmers(window, buckets), "bucket long, chunk long, packed binary")
-    found = kmers.groupBy("bucket").applyInArrow(_preceded(window), "chunk long, windows binary")
+    found = kmers.groupBy("bucket").applyInArrow(_first_holders(window), "chunk long, bucket long, holders binary")
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return (
         dealt.groupBy("chunk").cogroup(found.groupBy("chunk"))
-        .applyInArrow(_removed(window, carry), f"doc_id long, n_words long, n_removed long, kept string{kinds}")
+        .applyInArrow(_removed(window, buckets, carry), f"doc_id long, n_words long, n_removed long, kept string{kinds}")
     )
 
 
