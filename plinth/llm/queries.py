@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm.near_dups import Threshold, near_duplicates
+from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
+from plinth.llm.token_files import read_tokens, write_tokens
+from plinth.runtime import cut, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -17,6 +21,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pack(cut(found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")), ["doc_id", "start", "ids_crc32"])
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "tokens")
+    write_tokens(_table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_tokens(spark, folder).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
@@ -70,6 +85,8 @@ FROM words JOIN roots ON roots.id = words.doc_id LEFT JOIN sizes ON sizes.doc_id
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_token_files": op2_token_files,
     "op3_substring_dedup": op3_substring_dedup,
     "op10_near_duplicates": op10_near_duplicates,
 }
