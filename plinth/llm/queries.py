@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm.byte_pairs import decode, encode
 from plinth.llm.near_dups import Threshold, near_duplicates
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
@@ -57,6 +58,16 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coder = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    found = decode(encode(_table(spark, sf_dir, "documents"), *coder), *coder)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Threshold(85, 100))
 
@@ -88,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_substring_dedup": op3_substring_dedup,
+    "op5_byte_pairs": op5_byte_pairs,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {
