@@ -12,6 +12,8 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
 * An inverted list is never expanded into all its pairs. First every member is compared with the list's most central
   member only, beginning with the member that shares the most lists. Links found there join members into classes; a
   last pass compares all that is still in different classes and could reach the threshold by the bound on the overlap.
+* A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
+  bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there.
 * The union of two sketches estimates the Jaccard index; pairs far below the threshold stop there. The rest is
   confirmed on the full sets.
 """
@@ -30,6 +32,7 @@ from plinth.llm.words import lists, mix, sequences, slices
 from plinth.runtime import cut, discard
 
 HOT_VALUES = 50_000  # at most so many hashes can be hot, whatever the corpus size
+MARK_WORDS = 16
 HOT_LEAST = 64  # a shorter inverted list is never hot
 
 
@@ -44,6 +47,10 @@ class Threshold:
     def kept(self, n: int) -> int:
         return n + self.num * n // -self.den + 1
 
+    def differ(self, most: Column, a: Column, b: Column) -> Column:
+        """Can sets of ``a`` and ``b`` hashes, ``most`` or more of them in one set alone, reach the threshold?"""
+        return (self.num + self.den) * most <= (self.den - self.num) * (a + b)
+
     def holds(self, shared: Column, a: Column, b: Column) -> Column:
         return self.den * shared >= self.num * (a + b - shared)
 
@@ -63,6 +70,13 @@ def shingle_sets(piece, width: int):
             yield np.empty(0, dtype=np.int64)
 
 
+def _mark(own: np.ndarray) -> np.ndarray:
+    """Parity mark: bit i is the parity of the number of hashes whose top bits say i."""
+    bits = MARK_WORDS * 64
+    odd = np.bincount((own.view(np.uint64) >> np.uint64(64 - bits.bit_length() + 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sketched(rule: Threshold, hot: np.ndarray | None):
     """Task: documents -> set size, digest of the set and sketch. With ``hot``, only documents whose sketch changes."""
 
@@ -70,7 +84,7 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
         for batch in batches:
             ids = batch.column(0)
             for piece in slices(batch.column(1)):
-                rows, sizes, ones, twos, values, counts = [], [], [], [], [], []
+                rows, sizes, ones, twos, values, counts, marks = [], [], [], [], [], [], []
                 for row, own in enumerate(shingle_sets(piece, rule.width)):
                     k = rule.kept(len(own)) if len(own) else 0
                     sketch = own[:k]
@@ -86,6 +100,7 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
                     twos.append(mix(unsigned ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                     values.append(sketch)
                     counts.append(k)
+                    marks.append(_mark(own))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(piece.lo, piece.hi - piece.lo).take(pa.array(rows, type=pa.int64())),
@@ -93,8 +108,9 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
                         pa.array(np.array(ones, dtype=np.uint64).view(np.int64)),
                         pa.array(np.array(twos, dtype=np.uint64).view(np.int64)),
                         lists(np.concatenate(values) if values else np.empty(0, np.int64), np.array(counts, dtype=np.int64), pa.int64()),
+                        lists(np.concatenate(marks) if marks else np.empty(0, np.int64), np.full(len(rows), MARK_WORDS), pa.int64()),
                     ],
-                    names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
+                    names=["doc_id", "n_shingles", "d1", "d2", "sketch", "mark"],
                 )
 
     return run
@@ -151,7 +167,7 @@ def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs that pass the estimate and the check on full sets, as a written table."""
-    near = cut(_estimated(pairs, sketches, rule))
+    near = cut(_estimated(_marked(pairs, sketches, rule), sketches, rule))
     one = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
     two = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
     shared = F.size(F.array_intersect("ha", "hb"))
@@ -163,6 +179,18 @@ def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Thresh
     return result
 
 
+def _marks_apart(one: Column, two: Column) -> Column:
+    """Number of bits in which two marks differ, written out so that it is compiled."""
+    return sum((F.bit_count(F.get(one, i).bitwiseXOR(F.get(two, i))) for i in range(MARK_WORDS)), F.lit(0))
+
+
+def _marked(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
+    one = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
+    two = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
+    apart = _marks_apart(F.col("ma"), F.col("mb"))
+    return pairs.join(one, "a").join(two, "b").where(rule.differ(apart, F.col("na"), F.col("nb"))).select("a", "b")
+
+
 def _estimated(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
     """Drop pairs whose union sketch puts the Jaccard index far (six deviations) below the threshold.
 
@@ -191,12 +219,12 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     has a null component and is kept. Rows with the same doc_id share their component. Other columns are ignored.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kind = "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>"
+    kind = "doc_id long, n_shingles long, d1 long, d2 long, sketch array<long>, mark array<long>"
     digest = ["d1", "d2", "n_shingles"]
     first = cut(texts.mapInArrow(_sketched(rule, None), kind))
     every = cut(first.select("doc_id", *digest))
     usable = first.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    sets = cut(usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
+    sets = cut(usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("mark").alias("mark")))
 
     discard(first)
     retained = sets.agg(F.sum(F.size("sketch"))).first()[0] or 0
@@ -206,9 +234,9 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     sketches = sets.withColumn("plain", F.lit(True))
     if len(hot):
         changed = texts.where("doc_id IS NOT NULL").mapInArrow(_sketched(rule, hot), kind)
-        again = cut(changed.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
+        again = cut(changed.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("mark").alias("mark")))
         sketches = sketches.join(again.select(*digest), digest, "left_anti").unionByName(
-            again.select(*digest, "rep", "sketch").withColumn("plain", F.lit(False))
+            again.select(*digest, "rep", "sketch", "mark").withColumn("plain", F.lit(False))
         )
     sketches = cut(sketches.withColumn("n", F.col("n_shingles")))
     discard(sets)
@@ -249,10 +277,14 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         classes.withColumnRenamed("id", "rep"), "rep", "left"
     ).withColumn("class", F.coalesce("component", "rep"))
     mixed = labelled.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    open_lists = cut(labelled.join(mixed.select("value"), "value", "left_semi").select("value", "rep", "p", "n", "class"))
+    open_lists = cut(
+        labelled.join(mixed.select("value"), "value", "left_semi").select("value", "rep", "p", "n", "class")
+        .join(sketches.select("rep", "mark"), "rep")
+    )
     one, two = open_lists.alias("x"), open_lists.alias("y")
     reach = _reach(rule, *(F.col(c) for c in ("x.p", "y.p", "x.n", "y.n")))
-    rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class") & reach).select(
+    close = rule.differ(_marks_apart(F.col("x.mark"), F.col("y.mark")), F.col("x.n"), F.col("y.n"))
+    rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class") & reach & close).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.p").alias("p_a"), F.col("y.p").alias("p_b"),
         F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"), F.col("x.rep").alias("rep"),
     )
