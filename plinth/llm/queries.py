@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plinth.llm.byte_pairs import decode, encode
+from plinth.llm.exact_top import exact_top
 from plinth.llm.near_dups import Threshold, near_duplicates
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
 from plinth.llm.token_files import read_tokens, write_tokens
+from plinth.llm.vectors import usable
 from plinth.runtime import cut, scratch
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -68,6 +70,25 @@ def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    rows = vectors.select("id", F.transform("vector", lambda x: F.floor(x * 1024)).alias("weights"))
+    return exact_top(rows, rows.where("id % 100 = 0"), 10)
+
+
+OP8_SQL = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.w, r.w)::BIGINT AS score
+  FROM rows q JOIN rows r ON q.vec_id % 100 = 0 AND r.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 10
+"""
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Threshold(85, 100))
 
@@ -100,9 +121,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_files": op2_token_files,
     "op3_substring_dedup": op3_substring_dedup,
     "op5_byte_pairs": op5_byte_pairs,
+    "op8_exact_top": op8_exact_top,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
+    "op8_exact_top": OP8_SQL,
     "op10_near_duplicates": OP10_SQL,
 }
