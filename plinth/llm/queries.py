@@ -14,6 +14,7 @@ from plinth.llm.near_dups import Threshold, near_duplicates
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
 from plinth.llm.token_files import read_tokens, write_tokens
+from plinth.llm.toxicity import toxicity
 from plinth.llm.vectors import usable
 from plinth.runtime import cut, scratch
 
@@ -89,6 +90,10 @@ FROM scores QUALIFY rank <= 10
 """
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), Threshold(85, 100))
 
@@ -122,6 +127,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op5_byte_pairs": op5_byte_pairs,
     "op8_exact_top": op8_exact_top,
+    "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
 }
 ORACLE_SQL: dict[str, str] = {
