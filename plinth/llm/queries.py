@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from plinth.llm.byte_pairs import decode, encode
 from plinth.llm.exact_top import exact_top
+from plinth.llm.licenses import PHRASES, TEMPLATES, scan
 from plinth.llm.near_dups import Threshold, near_duplicates
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
@@ -61,6 +62,50 @@ FROM words LEFT JOIN kept USING (doc_id)
 """
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(_table(spark, sf_dir, "documents"))
+    base, blocks = F.col("places.label"), F.col("blocks.label")
+    text = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"),
+        F.array_min("places.word").alias("first_word"), F.array_max("places.word").alias("last_word"),
+        text(base).alias("base_labels"), text(F.concat(base, blocks)).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce(F.array_max("blocks.share"), F.lit(0.0))).alias("score"),
+    )
+
+
+def _op4_sql() -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    split = f"regexp_extract_all(translate(%s, '{UPPER}', '{LOWER}'), '{pattern}')"
+    values = lambda pairs: ", ".join(f"('{label}', '{text}')" for text, label in pairs)
+    return f"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text, {split % "coalesce(text, '')"} AS ws FROM documents
+), phrases AS (SELECT label, {split % "t"} AS p FROM (VALUES {values(PHRASES.items())}) v(label, t)
+), templates AS (
+  SELECT label, list_distinct({split % "t"}) AS tw FROM (VALUES {values((t, k) for k, t in TEMPLATES.items())}) v(label, t)
+), places AS (
+  SELECT doc_id, label, i - 1 AS word FROM words, phrases, unnest(range(1, len(ws) + 1)) AS r(i)
+  WHERE ws[i] = p[1] AND ws[i:i + len(p) - 1] = p
+), based AS (
+  SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word, list(label) AS base FROM places GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, list_distinct({split % "line"}) AS b FROM words, unnest(string_split(text, chr(10))) AS l(line)
+), blocks AS (
+  SELECT doc_id, list(label) AS found, max(len(list_intersect(b, tw)) / len(tw)) AS share
+  FROM lines, templates WHERE 5 * len(list_intersect(b, tw)) >= 4 * len(tw) GROUP BY doc_id
+)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  array_to_string(list_sort(list_distinct(coalesce(base, []::VARCHAR[]))), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []::VARCHAR[]), coalesce(found, []::VARCHAR[])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM words LEFT JOIN based USING (doc_id) LEFT JOIN blocks USING (doc_id)
+"""
+
+
+OP4_SQL = _op4_sql()
+
+
 def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     coder = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     found = decode(encode(_table(spark, sf_dir, "documents"), *coder), *coder)
@@ -125,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_license_scan": op4_license_scan,
     "op5_byte_pairs": op5_byte_pairs,
     "op8_exact_top": op8_exact_top,
     "op9_toxicity": op9_toxicity,
@@ -132,6 +178,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
+    "op4_license_scan": OP4_SQL,
     "op8_exact_top": OP8_SQL,
     "op10_near_duplicates": OP10_SQL,
 }
