@@ -167,7 +167,7 @@ def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs that pass the estimate and the check on full sets, as a written table."""
-    near = cut(_estimated(_marked(pairs, sketches, rule), sketches, rule))
+    near = cut(_estimated(pairs, sketches, rule))
     one = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
     two = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
     shared = F.size(F.array_intersect("ha", "hb"))
@@ -188,7 +188,15 @@ def _marked(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame
     one = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
     two = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
     apart = _marks_apart(F.col("ma"), F.col("mb"))
-    return pairs.join(one, "a").join(two, "b").where(rule.differ(apart, F.col("na"), F.col("nb"))).select("a", "b")
+    return pairs.join(one, "a").join(two, "b").where(rule.differ(apart, F.col("na"), F.col("nb"))).select(*pairs.columns)
+
+
+def _full(texts: DataFrame, pairs: DataFrame, rule: Threshold) -> DataFrame:
+    """Full sets of the documents in pairs, as a written table."""
+    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return cut(
+        texts.join(needed, "doc_id", "left_semi").mapInArrow(_full_sets(rule.width), "doc_id long, hashes array<long>")
+    )
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
@@ -245,21 +253,18 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         F.count(F.lit(1)).alias("length"), F.min(F.struct("p", "n", "rep")).alias("hub")
     ).where("length > 1")
     listed = cut(postings.join(hubs, "value").drop("length"))
-    full = cut(
-        texts.join(listed.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-        .mapInArrow(_full_sets(rule.width), "doc_id long, hashes array<long>")
-    )
 
     def side(one: Column, two: Column, out: str) -> Column:
         return F.when(F.col("rep") < F.col("hub.rep"), one).otherwise(two).alias(out)
 
     p, n, hub_p, hub_n = (F.col(c) for c in ("p", "n", "hub.p", "hub.n"))
-    starred = _first_shared(
+    starred = cut(_marked(_first_shared(
         listed.where("rep <> hub.rep").select(
             F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
             side(p, hub_p, "p_a"), side(hub_p, p, "p_b"), side(n, hub_n, "n_a"), side(hub_n, n, "n_b"), "rep",
         ), rule
-    )
+    ), sketches, rule))
+    full = _full(texts, starred, rule)
     # The hub that shares the most lists with a member is tried first; most members need no other.
     likely = cut(
         starred.groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("lists", "a", "b")).alias("x")).select("x.*").distinct()
@@ -270,7 +275,7 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         _apart(starred.select("a", "b").distinct(), classes).select("a", "b").join(likely, ["a", "b"], "left_anti")
     )
     more = _linked(others, sketches, full, rule)
-    discard(classes)
+    discard(classes, full, starred)
     classes = _classes(links.unionByName(more))
 
     labelled = listed.select("value", "rep", "p", "n").join(
@@ -292,6 +297,7 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         _first_shared(rest, rule).select("a", "b")
         .join(likely.unionByName(others), ["a", "b"], "left_anti")
     )
+    full = _full(texts, last, rule)
     final = _linked(last, sketches, full, rule)
     discard(listed, open_lists, likely, others, last, classes, full)
     links = cut(links.unionByName(more).unionByName(final))
