@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from plinth.llm.byte_pairs import decode, encode
 from plinth.llm.exact_top import exact_top
 from plinth.llm.licenses import PHRASES, TEMPLATES, scan
+from plinth.llm.lm import score, train
 from plinth.llm.near_dups import Threshold, near_duplicates
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
@@ -116,6 +117,13 @@ def op5_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False)).alias("held_out")
+    trie = train(docs.where(~held), scratch(spark, "lm"))
+    return score(docs.select("doc_id", held, "text"), trie).withColumn("train_tokens", F.lit(trie.tokens).cast("long"))
+
+
 def op8_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     rows = vectors.select("id", F.transform("vector", lambda x: F.floor(x * 1024)).alias("weights"))
@@ -172,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_license_scan": op4_license_scan,
     "op5_byte_pairs": op5_byte_pairs,
+    "op6_lm_score": op6_lm_score,
     "op8_exact_top": op8_exact_top,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
