@@ -30,7 +30,7 @@ from plinth.llm.words import Slice, sequences, slices
 
 WINDOW = 13
 MINIMISER = 3
-CHUNKS_PER_PARTITION, BUCKETS_PER_PARTITION = 2, 4
+CHUNKS_PER_PARTITION, BUCKETS_PER_PARTITION = 2, 2
 LEVEL = 6  # of zstandard: the packed strings are most of what is shuffled
 NOBODY = np.iinfo(np.int64).max
 
