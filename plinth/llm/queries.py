@@ -13,6 +13,7 @@ from plinth.llm.exact_top import exact_top
 from plinth.llm.licenses import PHRASES, TEMPLATES, scan
 from plinth.llm.lm import score, train
 from plinth.llm.near_dups import Threshold, near_duplicates
+from plinth.llm.neighbours import nearest
 from plinth.llm.packing import pack, pieces
 from plinth.llm.substrings import without_repeats
 from plinth.llm.token_files import read_tokens, write_tokens
@@ -124,6 +125,11 @@ def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs.select("doc_id", held, "text"), trie).withColumn("train_tokens", F.lit(trie.tokens).cast("long"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cut(usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", zeros=False))
+    return nearest(vectors, vectors.where("id % 20 = 0"), 20)
+
+
 def op8_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     rows = vectors.select("id", F.transform("vector", lambda x: F.floor(x * 1024)).alias("weights"))
@@ -181,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_license_scan": op4_license_scan,
     "op5_byte_pairs": op5_byte_pairs,
     "op6_lm_score": op6_lm_score,
+    "op7_neighbours": op7_neighbours,
     "op8_exact_top": op8_exact_top,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
