@@ -192,6 +192,7 @@ def _decoded(path: str, pattern: str, column: int):
 
 
 def decode(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``rows`` with ``decoded`` (binary): the bytes of ``ids`` one after another; null ids give null."""
+    """``rows`` with ``decoded`` (binary): the bytes of ``ids`` one after another; null ids give null. A column of that name is replaced."""
+    rows = rows.drop("decoded")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
     return rows.mapInArrow(_decoded(path, pattern, rows.columns.index("ids")), f"{kinds}, decoded binary")

@@ -356,8 +356,9 @@ def train(texts: DataFrame, folder: str, range_tokens: int = RANGE_TOKENS, nodes
 def score(docs: DataFrame, trie: Trie) -> DataFrame:
     """``docs`` without ``text``, with ``n_tokens, n_known, base_score, score`` (log10) of each whole text.
 
-    Null and empty texts are one end token. Extra columns stay; any column may be null.
+    Null and empty texts are one end token. Extra columns stay, but for ones named like the results; any may be null.
     """
+    docs = docs.drop("n_tokens", "n_known", "base_score", "score")
     keep = docs.columns.index("text")
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
     return docs.mapInArrow(_scored(trie, keep), f"{kinds}n_tokens long, n_known long, base_score double, score double")

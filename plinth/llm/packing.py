@@ -104,9 +104,10 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY) -> DataFra
     """Give each row with a ``length`` in 1..capacity a ``sequence_id`` and a gapless ``offset`` there.
 
     ``order`` names columns that tell the rows of one length apart; rows that agree in all of them may swap places. Read
-    twice, so give it a table. Other columns stay.
+    twice, so give it a table. Other columns stay, but for ones named like the two results or ``_share, _own, _base, _slot``.
     """
     spark = rows.sparkSession
+    rows = rows.drop("sequence_id", "offset", "_share", "_own", "_base", "_slot")
     histogram = {r.length: r["count"] for r in rows.groupBy("length").count().collect()}
     if any(not 1 <= n <= capacity for n in histogram):
         raise ValueError("lengths must be between 1 and the capacity")

@@ -118,7 +118,8 @@ def _evidence(lexicon: Lexicon, column: int):
 
 
 def evidence(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with ``_evidence`` of each whole ``text``."""
+    """``docs`` with ``_evidence`` of each whole ``text``; a column of that name is replaced."""
+    docs = docs.drop("_evidence")
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
     return docs.mapInArrow(_evidence(lexicon, docs.columns.index("text")), f"{kinds}, _evidence double")
 
@@ -205,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, phrases: Sequence[st
 
 
 def scored(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a half on)."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from a half on); columns of these names are replaced."""
+    docs = docs.drop("score", "predicted")
     z = F.col("_evidence") * lexicon.slope + lexicon.offset
     score = 1 / (1 + F.exp(-F.greatest(F.lit(-50.0), F.least(F.lit(50.0), z))))
     return (
