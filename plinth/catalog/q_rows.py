@@ -251,7 +251,7 @@ CONTACT_LIST = strings(D.CONTACTS)
 
 @query("p18_report_summary", f"""
     SELECT sample_id, CASE WHEN sample_id % 10 = 0 THEN 'disabled'
-        WHEN sample_id % 9 = 0 THEN '✗ degenerate — baked the transforms unrefined'
+        WHEN sample_id % 9 = 0 THEN 'failed, poses left as they were: degenerate'
         ELSE {CONTACT_LIST}[sample_id % 6 + 1] || ' · moved ' || {_NUM('cx')} || ' · rotated ' || {_NUM('yaw')} || '° · gap '
           || {_NUM('cy')} || ' → ' || CASE WHEN cz > 0.05 THEN '0' ELSE {_NUM('cz')} END
           || CASE WHEN pitch > 45 AND cx > 0.95 THEN ' · flags: drifted, no_contact' WHEN pitch > 45 THEN ' · flags: drifted'
@@ -271,9 +271,9 @@ def _(t):
     WITH v AS (SELECT seq, role, CASE role WHEN 'anchor' THEN 0 ELSE floor(({uniform('az', "seq || '/' || role")} * 2 - 1) * 160 + 0.5)::BIGINT END AS azimuth,
         CASE role WHEN 'anchor' THEN 10 ELSE floor(5 + {uniform('el', "seq || '/' || role")} * 30 + 0.5)::BIGINT END AS elevation
       FROM samples, (VALUES ('anchor'), ('placed')) r(role))
-    SELECT seq, role, azimuth, elevation, 'Photographed ' || CASE WHEN azimuth = 0 THEN 'straight-on from the front'
-        ELSE 'from ' || abs(azimuth) || ' degrees to the ' || CASE WHEN azimuth > 0 THEN 'right' ELSE 'left' END || ' of straight-on' END
-        || ', with the camera raised ' || elevation || ' degrees above the object so its top surface is slightly visible.' AS sentence
+    SELECT seq, role, azimuth, elevation, 'View ' || CASE WHEN azimuth = 0 THEN 'of the front'
+        ELSE 'turned ' || abs(azimuth) || ' degrees to the ' || CASE WHEN azimuth > 0 THEN 'right' ELSE 'left' END END
+        || ', camera ' || elevation || ' degrees up.' AS sentence
     FROM v""")
 def _(t):
     rows = t.samples.select("seq", F.explode(F.array(*[F.lit(r) for r in D.ROLES])).alias("role"))

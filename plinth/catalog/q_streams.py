@@ -77,8 +77,8 @@ def compose(prompts: list[str]) -> tuple[list[str | None], float]:
         blocks = prompt.split("\n\n")
         uids = lambda block: [line[2:34] for line in block.split("\n") if line.startswith("- ")]
         relations = [line.split(". ", 1)[1].split(" — ")[0] for line in blocks[1].split("\n")[1:]]
-        anchors = uids(next(b for b in blocks if b.startswith("Anchor assets")))
-        placed = uids(next(b for b in blocks if b.startswith("Placed-object assets")))
+        anchors = uids(next(b for b in blocks if b.startswith("Anchors on offer")))
+        placed = uids(next(b for b in blocks if b.startswith("Objects to place")))
         samples = []
         for i, relation in enumerate(relations):
             a, b = anchors[i % len(anchors)], placed[(i * 7) % len(placed)]

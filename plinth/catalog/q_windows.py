@@ -211,12 +211,12 @@ _ASSET_LINES = lambda role: f"string_agg('- ' || uid || ' — ' || substr(captio
 
 @query("a22_scene_prompts", f"""
     WITH r AS (SELECT request_id, context, count(*) AS n, string_agg((i + 1) || '. ' || relation || ' — ' ||
-           CASE level WHEN 'bare' THEN 'no position detail' WHEN 'position' THEN 'add one simple position' ELSE 'tie it to a real part of the anchor' END,
+           CASE level WHEN 'bare' THEN 'leave the place open' WHEN 'position' THEN 'say roughly where' ELSE 'name the part of the anchor that it touches' END,
            chr(10) ORDER BY i) AS lines FROM plan GROUP BY request_id, context),
       o AS (SELECT request_id, {_ASSET_LINES('anchor')} AS anchors, {_ASSET_LINES('placed')} AS placed FROM offer JOIN pool USING (uid) GROUP BY request_id)
-    SELECT request_id, md5('Compose ' || n || ' sample(s) set in a ' || context || '.' || chr(10) || chr(10) || 'Assigned relations, one per sample in order:' || chr(10) || lines
-       || chr(10) || chr(10) || 'Anchor assets — choose a different one for each sample:' || chr(10) || anchors
-       || chr(10) || chr(10) || 'Placed-object assets — choose one for each sample (repeats allowed):' || chr(10) || placed) AS prompt FROM r JOIN o USING (request_id)""")
+    SELECT request_id, md5('Write ' || n || ' scene(s) for this setting: ' || context || chr(10) || chr(10) || 'Relations, scene by scene:' || chr(10) || lines
+       || chr(10) || chr(10) || 'Anchors on offer (never twice):' || chr(10) || anchors
+       || chr(10) || chr(10) || 'Objects to place on offer (may repeat):' || chr(10) || placed) AS prompt FROM r JOIN o USING (request_id)""")
 def _(t):
     dealt = cut(plan(t))
     lines = offer(t, DL.requests(dealt, SEED)).join(t.pool.select("uid", "caption"), "uid").select(

@@ -113,12 +113,12 @@ def request_prompt(plan: DataFrame, offer_lines: DataFrame, avoid: DataFrame | N
     if avoid is not None:
         joined = joined.join(avoid, ["category", "context"], "left")
         tail = F.when(F.col("avoid").isNotNull(), F.concat(
-            F.lit("\n\nAvoid these placed objects, already used in this setting: "), "avoid")).otherwise("")
+            F.lit("\n\nObjects this setting has had enough of: "), "avoid")).otherwise("")
     prompt = F.concat(
-        F.lit("Compose "), F.col("n").cast("string"), F.lit(" sample(s) set in a "), "context", F.lit(".\n\n"),
-        F.lit("Assigned relations, one per sample in order:\n"), "relations",
-        F.lit("\n\nAnchor assets — choose a different one for each sample:\n"), "anchor",
-        F.lit("\n\nPlaced-object assets — choose one for each sample (repeats allowed):\n"), "placed", tail,
+        F.lit("Write "), F.col("n").cast("string"), F.lit(" scene(s) for this setting: "), "context", F.lit("\n\n"),
+        F.lit("Relations, scene by scene:\n"), "relations",
+        F.lit("\n\nAnchors on offer (never twice):\n"), "anchor",
+        F.lit("\n\nObjects to place on offer (may repeat):\n"), "placed", tail,
     )
     return joined.select("request_id", prompt.alias("prompt"))
 
@@ -134,7 +134,7 @@ def block_text(blocks: DataFrame) -> DataFrame:
 
 def placement_prompt(phrase: Column, anchor_name: Column, anchor_text: Column, placed_name: Column, placed_text: Column) -> Column:
     return F.concat(
-        F.lit('PLACEMENT: "'), phrase, F.lit('"\n\nA (anchor, stays fixed) — "'), anchor_name, F.lit('"\n'), anchor_text,
-        F.lit('\n\nB (place this) — "'), placed_name, F.lit('"\n'), placed_text,
+        F.lit('Phrase: "'), phrase, F.lit('"\n\nObject that stays — "'), anchor_name, F.lit('"\n'), anchor_text,
+        F.lit('\n\nObject to be put there — "'), placed_name, F.lit('"\n'), placed_text,
     )
 

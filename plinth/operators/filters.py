@@ -83,12 +83,12 @@ def reference_view(role: Column, u1: Column, u2: Column) -> tuple[Column, Column
 
 def view_sentence(azimuth: Column, elevation: Column) -> Column:
     side = F.when(azimuth > 0, "right").otherwise("left")
-    aim = F.when(azimuth == 0, "straight-on from the front").otherwise(
-        F.concat(F.lit("from "), F.abs(azimuth).cast("string"), F.lit(" degrees to the "), side, F.lit(" of straight-on"))
+    aim = F.when(azimuth == 0, "of the front").otherwise(
+        F.concat(F.lit("turned "), F.abs(azimuth).cast("string"), F.lit(" degrees to the "), side)
     )
     return F.concat(
-        F.lit("Photographed "), aim, F.lit(", with the camera raised "), elevation.cast("string"),
-        F.lit(" degrees above the object so its top surface is slightly visible."),
+        F.lit("View "), aim, F.lit(", camera "), elevation.cast("string"),
+        F.lit(" degrees up."),
     )
 
 

@@ -28,13 +28,13 @@ CATEGORIES = [
 ]
 CATEGORY_IDS = [c[0] for c in CATEGORIES]
 
-# Complexities, their detail levels, and the prompt text of a level.
+# Complexities and their detail levels. The prompt text of a level is our own.
 COMPLEXITIES = ["simple", "complex"]
 LEVELS = {"simple": ["bare", "position"], "complex": ["position", "part"]}
 LEVEL_TEXT = {
-    "bare": "no position detail",
-    "position": "add one simple position",
-    "part": "tie it to a real part of the anchor",
+    "bare": "leave the place open",
+    "position": "say roughly where",
+    "part": "name the part of the anchor that it touches",
 }
 
 # Phrasing kinds, contact kinds, roles, lanes, image extensions, loss counters.
