@@ -15,7 +15,7 @@ The stitched segments are rows again and are encoded in parallel. A text of one
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,19 +28,32 @@ from plinth.llm.words import lists
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 9
 MARGIN = 8  # characters; more than the longest literal of the pattern
 BATCH_CHARS = 1 << 19
-CACHED_MATCHES = 300_000  # forgotten all at once when there are more; bounds memory, never results
+DECODED_ROWS = 256
+CACHED_MATCHES = 200_000  # forgotten all at once when there are more; bounds memory, never results
 
 
 class BytePairs:
     def __init__(self, path: str, pattern: str):
+        self.path, self.pattern = path, regex.compile(pattern)
+        self.known: dict[str, bytes] = {}
+
+    def _ranks(self) -> dict[bytes, int]:
+        with open(self.path, "rb") as lines:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+    @cached_property
+    def single(self):
         import tiktoken
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        self.pattern = regex.compile(pattern)
-        self.single = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.bytes = {rank: raw for raw, rank in ranks.items()}
-        self.known: dict[str, bytes] = {}
+        return tiktoken.Encoding("ranks", pat_str=self.pattern.pattern, mergeable_ranks=self._ranks(), special_tokens={}).encode_ordinary
+
+    @cached_property
+    def bytes(self) -> np.ndarray:
+        ranks = self._ranks()
+        table = np.full(max(ranks.values()) + 1, b"", dtype=object)
+        for raw, rank in ranks.items():
+            table[rank] = raw
+        return table
 
     def encode(self, text: str) -> bytes:
         """Ids of a text that begins and ends at boundaries, as little-endian 32-bit integers."""
@@ -55,7 +68,7 @@ class BytePairs:
         return [m.start() for m in self.pattern.finditer(text, start)]
 
     def decode(self, ids) -> bytes:
-        return b"".join(map(self.bytes.__getitem__, ids))
+        return b"".join(self.bytes[ids])
 
 
 @lru_cache(maxsize=2)
@@ -185,8 +198,10 @@ def _decoded(path: str, pattern: str, column: int):
     def run(batches):
         coder = byte_pairs(path, pattern)
         for batch in batches:
-            raw = [None if x is None else coder.decode(x) for x in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(raw, type=pa.binary())], names=[*batch.schema.names, "decoded"])
+            for lo in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(lo, DECODED_ROWS)
+                raw = [coder.decode(x.values.to_numpy()) if x.is_valid else None for x in part.column(column)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, type=pa.binary())], names=[*part.schema.names, "decoded"])
 
     return run
 
