@@ -43,17 +43,24 @@ def latest_before(left: DataFrame, logs: DataFrame, key: str, time: str, cutoff:
 
 
 def as_of(left: DataFrame, right: DataFrame, key: str, time: str, value: str, tie: str) -> DataFrame:
-    """Newest ``value`` of ``right`` strictly before each left row's time, per key.
+    """Newest ``value`` of ``right`` strictly before each left row's time, per key, even where it is null.
 
     Both sides are merged by time and the value is carried forward through ``Ordered``, so a key
-    with a third of all rows is still split into time ranges; nothing is paired.
+    with a third of all rows is still split into time ranges; nothing is paired. The left columns travel along, so
+    ids need not be unique. Left rows with a null key or time find nothing.
     """
-    a = left.select(key, time, F.col(tie).alias("_tie"), F.lit(0).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias(value))
-    b = right.select(key, time, F.col(tie).alias("_tie"), F.lit(1).alias("_side"), value)
+    kind = f"struct<v:{right.schema[value].dataType.simpleString()}>"
+    whole = left.schema.simpleString()
+    merge = lambda df, side, row, held: df.select(
+        F.col(key).alias("_key"), F.col(time).alias("_time"), F.col(tie).alias("_tie"), F.lit(side).alias("_side"),
+        row.alias("_row"), held.alias("_value"),
+    )
+    a = merge(left, 0, F.struct(*left.columns), F.lit(None).cast(kind))
+    b = merge(right.where(F.col(time).isNotNull()), 1, F.lit(None).cast(whole), F.struct(F.col(value).alias("v")))
     # At equal times left rows come first, so only strictly earlier values reach them.
-    merged = Ordered(a.unionByName(b), [time, "_side", "_tie"], by=[key]).last_before(value, "_found").done()
-    found = merged.where("_side = 0").select(F.col("_tie").alias(tie), F.col("_found").alias(value))
-    return left.join(found, tie, "left")
+    merged = Ordered(a.unionByName(b), ["_time", "_side", "_tie"], by=["_key"]).last_before("_value", "_found").done()
+    found = F.when(F.col("_key").isNotNull(), F.col("_found.v")).alias(value)
+    return merged.where("_side = 0").select("_row.*", found)
 
 
 def matching_pose(logs: DataFrame, baked: DataFrame, key: str, parts: list[str]) -> DataFrame:

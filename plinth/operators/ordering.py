@@ -24,13 +24,13 @@ def range_bounds(df: DataFrame, order: Sequence[str], buckets: int, per_bucket:
     the table size; it only chooses where to cut, so it never decides which rows survive.
     """
     sample = (
-        df.select(*order)
+        df.select(*order).dropna()
         .orderBy(F.xxhash64(*order), *order)
         .limit(buckets * per_bucket)
         .collect()
     )
     keys = sorted(tuple(row) for row in sample)
-    cuts = [keys[i * len(keys) // buckets] for i in range(1, buckets)] if len(keys) >= buckets else []
+    cuts = [keys[i * len(keys) // buckets] for i in range(1, buckets)] if keys else []
     return sorted(set(cuts))
 
 
@@ -47,10 +47,11 @@ def _literal(value, kind: str) -> str:
 
 
 def _before(order: Sequence[str], bound: Sequence[str]) -> str:
-    """Lexicographic ``order < bound`` as SQL."""
+    """Lexicographic ``order < bound`` as SQL; a null key comes before every bound, as windows sort it."""
     test = "false"
     for name, value in reversed(list(zip(order, bound))):
-        test = f"(`{name}` < {value} OR (`{name}` = {value} AND {test}))" if test != "false" else f"`{name}` < {value}"
+        less = f"`{name}` IS NULL OR `{name}` < {value}"
+        test = f"({less} OR (`{name}` = {value} AND {test}))" if test != "false" else f"({less})"
     return test
 
 
@@ -65,7 +66,7 @@ def _locate(order: Sequence[str], bounds: list[list[str]], lo: int, hi: int) ->
 
 
 class Ordered:
-    """Rows of ``df`` in ascending ``order`` within each ``by`` key (order keys must be non-null).
+    """Rows of ``df`` in ascending ``order`` within each ``by`` key, null order keys first.
 
     Descending orders are expressed by negating the column. ``order`` should end in a unique
     column, so that ties cannot pile up in one range and ranks are reproducible.
@@ -73,7 +74,7 @@ class Ordered:
 
     def __init__(self, df: DataFrame, order: Sequence[str], by: Sequence[str] = (), buckets: int | None = None):
         spark = df.sparkSession
-        buckets = buckets or min(512, max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+        buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
         self.order, self.by = list(order), list(by)
         kinds = [df.schema[name].dataType.simpleString() for name in self.order]
         bounds = [[_literal(v, k) for v, k in zip(row, kinds)] for row in range_bounds(df, self.order, buckets)]
@@ -92,7 +93,9 @@ class Ordered:
         return window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
 
     def _attach(self, summary: DataFrame, local: DataFrame, value: Column, out: str, extra: str) -> "Ordered":
-        joined = local.join(summary, self.keys, "left").withColumn(out, value).drop(extra, f"_{out}")
+        same = [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in self.keys]
+        joined = local.alias("l").join(summary.alias("s"), all_of(same), "left").drop(*[F.col(f"s.{k}") for k in self.keys])
+        joined = joined.withColumn(out, value).drop(extra, f"_{out}")
         self.df = joined
         return self
 
@@ -130,7 +133,9 @@ class Ordered:
             .groupBy(*self.keys)
             .agg(F.max_by(F.col(column), F.struct(*self.order)).alias("_v"))
         )
-        every = self.df.select(*self.keys).distinct().join(newest, self.keys, "left")
+        every = newest.unionByName(self.df.select(*self.keys).distinct(), allowMissingColumns=True).groupBy(*self.keys).agg(
+            F.max("_v").alias("_v")
+        )
         starts = every.select(*self.keys, F.last("_v", ignorenulls=True).over(self._earlier()).alias("_start"))
         return self._attach(starts, local, F.coalesce(F.col(f"_{out}"), F.col("_start")), out, "_start")
 
@@ -145,9 +150,14 @@ def ranked(df: DataFrame, order: Sequence[str], by: Sequence[str] = (), out: str
 
 
 def hash_ranked(df: DataFrame, digest: str, tie: str, by: Sequence[str] = (), out: str = "rn",
-                hex_digits: int = 2) -> DataFrame:
-    """``ranked`` for a hex digest column: its leading digits are already equal-sized ranges."""
+                hex_digits: int | None = None) -> DataFrame:
+    """``ranked`` for a hex digest column: its leading digits are already equal-sized ranges.
+
+    Their number follows the shuffle partitions unless given.
+    """
     order = [digest, tie]
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    hex_digits = hex_digits or max(2, -(-(parts - 1).bit_length() // 4))
     spread = df.withColumn(BUCKET, F.substring(F.col(digest), 1, hex_digits))
     ordered = Ordered.__new__(Ordered)
     ordered.order, ordered.by, ordered.df = order, list(by), spread

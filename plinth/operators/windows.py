@@ -46,10 +46,10 @@ def local_batches(df: DataFrame, size: int) -> DataFrame:
 
 
 def islands(feed: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
-    """Rows with ``island``: numbered stretches of an unchanged ``value`` per key."""
-    ordered = Ordered(feed, order, by=by).last_before(value, "_prev")
-    ordered.df = ordered.df.withColumn("_new", F.when(F.col("_prev").eqNullSafe(F.col(value)), 0).otherwise(1))
-    return ordered.running_sum("_new", "island").done().drop("_prev", "_new")
+    """Rows with ``island``: numbered stretches of an unchanged ``value`` per key; null is a value like others."""
+    ordered = Ordered(feed.withColumn("_value", F.struct(value)), order, by=by).last_before("_value", "_prev")
+    ordered.df = ordered.df.withColumn("_new", F.when(F.col("_prev").eqNullSafe(F.col("_value")), 0).otherwise(1))
+    return ordered.running_sum("_new", "island").done().drop("_prev", "_new", "_value")
 
 
 def settled(feed: DataFrame, by: list[str], time: str, tie: str, value: str, threshold: Column) -> DataFrame:
@@ -66,10 +66,10 @@ def verdicts(feed: DataFrame, by: list[str], time: str, tie: str, missing: Colum
              vanish_grace: int) -> DataFrame:
     """Stretches of missing state that outlast their grace period.
 
-    Before anything was published the long grace applies (``never published``); afterwards the
+    A null state is not missing. Before anything was published the long grace applies (``never published``); afterwards the
     short one (``vanished``).
     """
-    state = feed.withColumn("_missing", missing.cast("int")).withColumn("_seen", 1 - F.col("_missing"))
+    state = feed.withColumn("_missing", F.coalesce(missing.cast("int"), F.lit(0))).withColumn("_seen", 1 - F.col("_missing"))
     ordered = Ordered(state, [time, tie], by=by).running_max("_seen", "published").last_before("_missing", "_prev")
     ordered.df = ordered.df.withColumn("_new", F.when(F.col("_prev").eqNullSafe(F.col("_missing")), 0).otherwise(1))
     marked = ordered.running_sum("_new", "island").done()

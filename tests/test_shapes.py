@@ -158,3 +158,22 @@ def test_surface_points_follow_area(spark, shapes):
     slab = boxes(spark, [(7, (0.0, 0.0, 0.0), (4.0, 0.01, 1.0)), (7, (0.0, 3.0, 0.0), (1.0, 0.01, 1.0))])
     got = M.surface_points(slab, 400).agg(F.count_if(F.col("y") < 1).alias("low")).first()["low"]
     assert 285 < got < 355  # four fifths of the area
+
+
+def test_order_with_null_keys_and_values(spark):
+    from plinth.operators.joins import as_of
+    from plinth.operators.ordering import ranked
+    from plinth.operators.windows import islands
+
+    feed = spark.createDataFrame(
+        [("a", 1, 5), ("a", 2, None), ("a", 3, 5), ("a", None, 5), (None, 1, 1), (None, 2, 1)], "k string, t long, v long"
+    )
+    got = {(r.k, r.t): r.island for r in islands(feed, ["k"], ["t"], "v").collect()}
+    assert got == {("a", None): 1, ("a", 1): 1, ("a", 2): 2, ("a", 3): 3, (None, 1): 1, (None, 2): 1}
+    many = spark.range(500).selectExpr("id", "if(id % 7 = 0, null, id) AS o")
+    ranks = [r.rn for r in ranked(many, ["o", "id"]).orderBy("o", "id").collect()]
+    assert ranks == list(range(1, 501))
+    left = spark.createDataFrame([("a", 4, 1), ("b", 4, 1), (None, 4, 2), ("a", None, 3)], "k string, t long, id long")
+    right = spark.createDataFrame([("a", 1, 5.0, 7), ("a", 2, None, 8), ("b", 3, 6.0, 9), ("a", 4, 9.0, 1)], "k string, t long, v double, id long")
+    found = {(r.k, r.t): r.v for r in as_of(left, right, "k", "t", "v", "id").collect()}
+    assert found == {("a", 4): None, ("b", 4): 6.0, (None, 4): None, ("a", None): None}
