@@ -13,7 +13,7 @@ from plinth.catalog.registry import query
 from plinth.catalog.sqlviews import strip
 from plinth.functions import text as T
 from plinth.operators.meshes import COORDS
-from plinth.runtime import scratch, spread
+from plinth.runtime import cut, scratch, spread
 from plinth.sources import files as S
 from plinth.sources import glb, logs as L, sinks as K
 
@@ -149,16 +149,16 @@ def _(t):
 def _(t):
     path = scratch(t.spark, "placement-log")
     rows = pose_logs(t)
-    for parity in (0, 1):
-        K.append(rows.where(F.col("sample_id") % 2 == parity), path, ["day"])
+    for parity in (0, 1, 1):  # the second batch is written twice, as by a rerun
+        K.append(rows.where(F.col("sample_id") % 2 == parity), path, str(parity), ["day"])
     return t.spark.read.schema("sample_id long, text string, day string").parquet(path).groupBy("day").agg(F.count(F.lit(1)).alias("logs"))
 
 
 @query("k1_append_batches", "SELECT doc_id, md5(text) AS text FROM documents")
 def _(t):
     path = scratch(t.spark, "pool")
-    for n in range(3):
-        K.append(t.documents.where(F.col("doc_id") % 3 == n).select("doc_id", "text"), path)
+    for n in (0, 1, 1, 2):  # one batch is written twice, as by a rerun
+        K.append(t.documents.where(F.col("doc_id") % 3 == n).select("doc_id", "text"), path, str(n))
     return t.spark.read.parquet(path).select("doc_id", F.md5("text").alias("text"))
 
 
@@ -171,15 +171,33 @@ def _(t):
     return K.changed(old, new, "o_orderkey", ["o_totalprice"])
 
 
+@query("k3_write_partitions", """
+    SELECT o_orderkey, o_orderkey % 16 AS part, CASE WHEN o_orderkey % 16 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+      o_orderkey % 16 IN (3, 5) AS rewritten FROM orders""")
+def _(t):
+    path = scratch(t.spark, "metadata")
+    old = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 16).alias("part"))
+    old.where("part <> 3").repartition("part").write.partitionBy("part").parquet(path)
+    name = F.input_file_name()
+    before = cut(t.spark.read.schema(old.schema).parquet(path).select(name.alias("file")).distinct())
+    new = old.withColumn("o_totalprice", F.when(F.col("part") == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    K.write_changed(path, new, "o_orderkey", ["o_totalprice"], "part")
+    now = t.spark.read.schema(old.schema).parquet(path).withColumn("file", name)
+    return now.join(before.withColumn("kept", F.lit(True)), "file", "left").select(
+        "o_orderkey", "part", "o_totalprice", F.col("kept").isNull().alias("rewritten"))
+
+
 @query("k4_publish", """
     SELECT o_orderkey AS sample_id, CASE WHEN o_orderstatus = 'F' THEN 'published' ELSE 'pending' END AS state FROM orders""")
 def _(t):
     data, manifest = scratch(t.spark, "published"), scratch(t.spark, "manifest")
     rows = t.orders.select(F.col("o_orderkey").alias("sample_id"), "o_orderstatus")
-    batch = F.floor(F.col("sample_id") / 250)
-    K.publish(rows.where("o_orderstatus = 'F'"), data, manifest, batch)
-    # A run that died before its manifest: the rows are there but do not count.
-    K.append(rows.where("o_orderstatus = 'O'").withColumn("batch", batch + 1_000_000), data)
+    ready = rows.where("o_orderstatus = 'F'")
+    K.publish(ready.where("sample_id % 2 = 0"), data, manifest, "even")
+    # A run that died before its manifest and is repeated, and one that never is: its rows do not count.
+    ready.where("sample_id % 2 = 1").write.parquet(f"{data}/run=odd")
+    K.publish(ready.where("sample_id % 2 = 1"), data, manifest, "odd")
+    rows.where("o_orderstatus = 'O'").write.parquet(f"{data}/run=open")
     done = K.published(t.spark, data, manifest).select("sample_id", F.lit("published").alias("state"))
     return done.unionByName(K.pending(rows, done, "sample_id").select("sample_id", F.lit("pending").alias("state")))
 
@@ -193,6 +211,22 @@ def _(t):
     return kept.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query("k6_discard_version", """
+    WITH doomed AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F')
+    SELECT l_orderkey, 1 AS version, false AS tombstone, count(*) AS rows FROM lineitem GROUP BY l_orderkey
+    UNION ALL SELECT l_orderkey, 2, false, count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM doomed) GROUP BY l_orderkey
+    UNION ALL SELECT l_orderkey, 2, true, 1 FROM doomed""")
+def _(t):
+    root = scratch(t.spark, "versions")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    rows.write.parquet(f"{root}/rows/version=1")
+    first = t.spark.read.parquet(f"{root}/rows/version=1")
+    K.discard_version(root, first, first.where("l_returnflag = 'R' and l_linestatus = 'F'"), "l_orderkey", 2)
+    counted = lambda df, dead: df.groupBy("l_orderkey", "version").agg(F.count(F.lit(1)).alias("rows")).select(
+        "l_orderkey", F.col("version").cast("int").alias("version"), F.lit(dead).alias("tombstone"), "rows")
+    return counted(t.spark.read.parquet(f"{root}/rows"), False).unionByName(counted(t.spark.read.parquet(f"{root}/tombstones"), True))
+
+
 @query("k7_base64_payload", "SELECT doc_id, md5(text) AS text, length(base64(encode(text))) AS encoded FROM documents")
 def _(t):
     # The encoder breaks lines; the payload format does not.
@@ -201,11 +235,11 @@ def _(t):
 
 
 @query("k8_export_records", """
-    SELECT category, '{"seq":' || seq || ',"placement":"' || placement || '"}' AS record FROM samples WHERE category = 'soft'""")
+    SELECT category, '{"seq":' || seq || ',"placement":"' || placement || '"}' AS record FROM samples""")
 def _(t):
     path = scratch(t.spark, "export")
-    K.append(t.samples.select("category", "seq", K.payload(["seq", "placement"]).alias("record")), path, ["category"])
-    return t.spark.read.parquet(path).where("category = 'soft'").select("category", "record")
+    K.append(t.samples.select("category", "seq", K.payload(["seq", "placement"]).alias("record")), path, "all", ["category"])
+    return t.spark.read.parquet(path).select("category", "record")
 
 
 @query("u5_union_of_shards", "SELECT doc_id, lang FROM documents")

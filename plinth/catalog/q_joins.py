@@ -151,9 +151,9 @@ def _(t):
 
 @query("j11_reattach", """
     SELECT event_id, json_extract(props, '$.k')::BIGINT AS p_partkey, p_name FROM events
-    JOIN part ON p_partkey = json_extract(props, '$.k')::BIGINT WHERE event_type = 'signup'""")
+    JOIN part ON p_partkey = json_extract(props, '$.k')::BIGINT""")
 def _(t):
-    saved = t.events.where("event_type = 'signup'").select(
+    saved = t.events.select(
         "event_id", F.explode(F.from_json("props", "map<string,bigint>")).alias("key", "p_partkey")
     )
     return saved.join(t.part.select("p_partkey", "p_name"), "p_partkey").select("event_id", "p_partkey", "p_name")
@@ -230,15 +230,14 @@ def _(t):
 
 @query("j19_quota_grid", f"""
     SELECT category, complexity, count(seq) AS samples FROM (SELECT unnest({IDS}) AS category) CROSS JOIN (SELECT unnest(['simple', 'complex']) AS complexity)
-    LEFT JOIN (SELECT seq, category, CASE WHEN complexity = 'simple' THEN 'simple' ELSE 'complex' END AS complexity FROM samples WHERE context = 'MACHINERY' AND category <> 'soft') s
+    LEFT JOIN (SELECT seq, category, CASE WHEN complexity = 'simple' THEN 'simple' ELSE 'complex' END AS complexity FROM samples) s
       USING (category, complexity) GROUP BY ALL""")
 def _(t):
     from plinth.plans.dimensions import kinds
     from plinth.plans.quotas import created_counts
 
-    some = t.samples.where("context = 'MACHINERY' and category <> 'soft'")
     grid = kinds(t.spark).select("category", "complexity")
-    joined = grid.join(created_counts(some), ["category", "complexity"], "left")
+    joined = grid.join(created_counts(t.samples), ["category", "complexity"], "left")
     return joined.select("category", "complexity", F.coalesce("created", F.lit(0)).alias("samples"))
 
 

@@ -29,10 +29,10 @@ def feed_folder(t, parts=4, close=True):
     return path
 
 
-@query("r1_fill_gaps", "SELECT event_id, event_type = 'error' AS junk FROM events WHERE value > 1")
+@query("r1_fill_gaps", "SELECT event_id, event_type = 'error' AS junk FROM events")
 def _(t):
     source, out, state = feed_folder(t, close=False), scratch(t.spark, "tagged"), scratch(t.spark, "state")
-    tag = lambda rows: rows.where("value > 1").select("event_id", (F.col("event_type") == "error").alias("junk"))
+    tag = lambda rows: rows.select("event_id", (F.col("event_type") == "error").alias("junk"))
     for _run in range(2):  # the second run finds nothing new
         R.fill_gaps(R.folder(t.spark, source, SCHEMA, 2), tag, out, state)
     return t.spark.read.parquet(out).select("event_id", "junk")
@@ -42,7 +42,7 @@ def _(t):
 def _(t):
     source, out, state = feed_folder(t, close=False), scratch(t.spark, "accepted"), scratch(t.spark, "state")
     stream = R.folder(t.spark, source, SCHEMA, 2)
-    R.run_available(R.accept_once(stream, ["user_id", "event_type"], "ts", "60 days").select("user_id", "event_type"), out, state)
+    R.run_available(R.accept_once(stream, ["user_id", "event_type"]).select("user_id", "event_type"), out, state)
     return t.spark.read.parquet(out)
 
 
@@ -52,7 +52,7 @@ def _(t):
     SELECT user_id, epoch_us(min(ts)) AS since_us, epoch_us(max(ts)) + 7200000000 AS until_us, count(*) AS rows FROM b GROUP BY user_id, s""")
 def _(t):
     source, out, state = feed_folder(t), scratch(t.spark, "sessions"), scratch(t.spark, "state")
-    R.run_available(R.sessions(R.folder(t.spark, source, SCHEMA), "user_id", "ts", "2 hours"), out, state)
+    R.run_available(R.sessions(R.folder(t.spark, source, SCHEMA), "user_id", "ts", "2 hours", "1 minute"), out, state)
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     us = lambda c: F.timestamp_diff("MICROSECOND", zero, F.col(c)).alias(f"{c}_us")
     return t.spark.read.parquet(out).where("user_id >= 0").select("user_id", us("since"), us("until"), "rows")
@@ -62,7 +62,7 @@ def _(t):
     SELECT epoch_us(date_trunc('hour', ts)) AS since_us, event_type AS kind, count(*) AS rows FROM events GROUP BY ALL""")
 def _(t):
     source, out, state = feed_folder(t), scratch(t.spark, "progress"), scratch(t.spark, "state")
-    R.run_available(R.progress(R.folder(t.spark, source, SCHEMA), "ts", "1 hour", F.col("event_type")), out, state)
+    R.run_available(R.progress(R.folder(t.spark, source, SCHEMA), "ts", "1 hour", F.col("event_type"), "1 minute"), out, state)
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return t.spark.read.parquet(out).where("kind <> 'end'").select(F.timestamp_diff("MICROSECOND", zero, F.col("since")).alias("since_us"), "kind", "rows")
 

@@ -1,15 +1,26 @@
-"""Writers: append logs, write-if-changed, publish with a manifest, discard, export."""
+"""Writers: append logs, write-if-changed, publish with a manifest, discard, export.
+
+Every write names its batch, and a batch owns one folder that is overwritten. So a batch that is
+written again after a crash, by a rerun or by a second attempt, counts once.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.runtime import cut
+from plinth.runtime import discard as discard_table
+
+
+def append(df: DataFrame, path: str, batch: str, partition: list[str] | None = None) -> None:
+    """Add one batch to a table; writing the same batch again replaces it.
 
-def append(df: DataFrame, path: str, partition: list[str] | None = None) -> None:
-    """Append rows; each call commits whole or not at all."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    Rows are clustered by the partition columns first, so that a partition isn't cut into a file per task.
+    """
+    rows = df.repartition(*partition) if partition else df
+    writer = rows.write.mode("overwrite")
+    (writer.partitionBy(*partition) if partition else writer).parquet(f"{path}/batch={batch}")
 
 
 def changed(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> DataFrame:
@@ -20,20 +31,32 @@ def changed(old: DataFrame, new: DataFrame, key: str, fields: list[str]) -> Data
     return joined.where(~same | F.col("_k").isNull()).drop("_k", "_old")
 
 
+def write_changed(path: str, new: DataFrame, key: str, fields: list[str], partition: str) -> None:
+    """Bring the table at ``path``, partitioned by ``partition``, to ``new``.
+
+    Only partitions with a changed or added row are rewritten, each whole, so the write may be repeated.
+    """
+    touched = cut(changed(new.sparkSession.read.schema(new.schema).parquet(path), new, key, fields).select(partition).distinct())
+    rows = new.join(touched, partition, "left_semi").repartition(partition)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    discard_table(touched)
+
+
 def published(spark: SparkSession, data: str, manifest: str) -> DataFrame:
     """Published rows: only those a manifest names count, whatever else was written."""
     rows = spark.read.parquet(data)
-    return rows.join(spark.read.parquet(manifest), ["sample_id", "batch"], "left_semi")
+    return rows.join(spark.read.parquet(manifest), ["sample_id", "run"], "left_semi")
 
 
-def publish(df: DataFrame, data: str, manifest: str, batch: Column) -> None:
+def publish(df: DataFrame, data: str, manifest: str, run: str) -> None:
     """Write rows first and their manifest last, so a crash between leaves nothing half published.
 
-    ``df`` has ``sample_id``; a batch appears as a whole because its manifest rows land together.
+    ``df`` has ``sample_id``. ``run`` names the batch: publishing it again replaces rows and manifest. The manifest is
+    made from the rows that were written, so both agree even where ``df`` gives other rows a second time.
     """
-    batched = df.withColumn("batch", batch)
-    append(batched, data)
-    append(batched.select("sample_id", "batch"), manifest)
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{data}/run={run}")
+    spark.read.parquet(f"{data}/run={run}").select("sample_id").write.mode("overwrite").parquet(f"{manifest}/run={run}")
 
 
 def pending(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -46,6 +69,16 @@ def discard(df: DataFrame, doomed: DataFrame, key: str) -> tuple[DataFrame, Data
     return df.join(keys, key, "left_anti"), keys
 
 
+def discard_version(root: str, df: DataFrame, doomed: DataFrame, key: str, version: int) -> None:
+    """Write version ``version`` of a table without the doomed keys, and the keys as its tombstones.
+
+    Earlier versions stay readable. The tombstones are written last: a version without them is not complete.
+    """
+    kept, keys = discard(df, doomed, key)
+    kept.write.mode("overwrite").parquet(f"{root}/rows/version={version}")
+    keys.write.mode("overwrite").parquet(f"{root}/tombstones/version={version}")
+
+
 def payload(columns: list[str]) -> Column:
     """One self-contained JSON record."""
     return F.to_json(F.struct(*columns))

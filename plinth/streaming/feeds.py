@@ -1,6 +1,6 @@
 """Incremental runs over growing folders: gap filling, de-duplication, sessions, progress counts.
 
-State of the last three is bounded by their watermark. For large state run the session with the
+State of the last two is bounded by their watermark. For large state run the session with the
 RocksDB state store provider; nothing here depends on which one is used.
 """
 
@@ -44,20 +44,29 @@ def timed(df: DataFrame, ts: str, delay: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def accept_once(stream: DataFrame, key: list[str], ts: str, delay: str) -> DataFrame:
-    """First arrival of each key; a key is remembered for ``delay`` of event time."""
-    return timed(stream, ts, delay).dropDuplicatesWithinWatermark(key)
+def accept_once(stream: DataFrame, key: list[str], ts: str | None = None, remember: str | None = None) -> DataFrame:
+    """First arrival of each key.
+
+    A key is remembered for good, so the state grows with the keys; only a caller that knows when a key cannot come
+    back names a time ``remember`` (by ``ts``), after which it would be accepted again.
+    """
+    if remember is None:
+        return stream.dropDuplicates(key)
+    return timed(stream, ts, remember).dropDuplicatesWithinWatermark(key)
 
 
-def sessions(df: DataFrame, by: str, ts: str, gap: str, delay: str = "1 minute") -> DataFrame:
-    """Bursts of activity per key: a key is settled once nothing arrives for ``gap``."""
+def sessions(df: DataFrame, by: str, ts: str, gap: str, delay: str) -> DataFrame:
+    """Bursts of activity per key: a key is settled once nothing arrives for ``gap``.
+
+    ``delay`` is how late a row may come; later ones are dropped, so it is the caller's to choose.
+    """
     grouped = timed(df, ts, delay).groupBy(F.session_window(ts, gap).alias("s"), by)
     return grouped.agg(F.count(F.lit(1)).alias("rows")).select(
         by, F.col("s.start").cast("timestamp_ntz").alias("since"), F.col("s.end").cast("timestamp_ntz").alias("until"), "rows"
     )
 
 
-def progress(df: DataFrame, ts: str, width: str, kind: Column, delay: str = "1 minute") -> DataFrame:
-    """Rows per kind and tumbling window; rows later than the watermark are dropped."""
+def progress(df: DataFrame, ts: str, width: str, kind: Column, delay: str) -> DataFrame:
+    """Rows per kind and tumbling window; rows that come more than ``delay`` late are dropped."""
     grouped = timed(df, ts, delay).groupBy(F.window(ts, width).alias("w"), kind.alias("kind"))
     return grouped.agg(F.count(F.lit(1)).alias("rows")).select(F.col("w.start").cast("timestamp_ntz").alias("since"), "kind", "rows")
