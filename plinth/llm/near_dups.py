@@ -10,8 +10,8 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
   order: a set has to consist of them nearly whole before it enters their inverted lists. Their number is bounded by
   construction, ``HOT_VALUES``, so they can be broadcast.
 * An inverted list is never expanded into all its pairs. First every member is compared with the list's most central
-  member only, beginning with the member that shares the most lists. Links found there join members into classes; a
-  last pass compares all that is still in different classes and could reach the threshold by the bound on the overlap.
+  member only. Links found there join members into classes; a second pass compares all that is still in different
+  classes and could reach the threshold by the bounds.
 * A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
   bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there.
 * The union of two sketches estimates the Jaccard index; pairs far below the threshold stop there. The rest is
@@ -143,11 +143,11 @@ def _reach(rule: Threshold, p_a: Column, p_b: Column, n_a: Column, n_b: Column,
 
 
 def _first_shared(rows: DataFrame, rule: Threshold) -> DataFrame:
-    """One row per member and pair from rows ``a, b, p_a, p_b, n_a, n_b, rep``, if the threshold is in reach."""
+    """One row per pair from rows ``a, b, p_a, p_b, n_a, n_b``, if the threshold is in reach."""
     bounds = ("p_a", "p_b", "n_a", "n_b")
     columns = [F.col(c) for c in bounds]
-    first = rows.where(_reach(rule, *columns)).groupBy("a", "b", "rep").agg(
-        *[F.min(c).alias(c) for c in bounds], F.count(F.lit(1)).alias("lists")
+    first = rows.where(_reach(rule, *columns)).groupBy("a", "b").agg(
+        *[F.min(c).alias(c) for c in bounds]
     )
     return first.where(_reach(rule, *columns, before=False))
 
@@ -156,15 +156,6 @@ def _classes(links: DataFrame) -> DataFrame:
     return cut(components(links))
 
 
-def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose ends are in different classes so far."""
-    one = classes.select(F.col("id").alias("a"), F.col("component").alias("class_a"))
-    two = classes.select(F.col("id").alias("b"), F.col("component").alias("class_b"))
-    return pairs.join(one, "a", "left").join(two, "b", "left").where(
-        F.coalesce("class_a", "a") != F.coalesce("class_b", "b")
-    )
-
-
 def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
     """Pairs that pass the estimate and the check on full sets, as a written table."""
     near = cut(_estimated(pairs, sketches, rule))
@@ -261,22 +252,14 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     starred = cut(_marked(_first_shared(
         listed.where("rep <> hub.rep").select(
             F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
-            side(p, hub_p, "p_a"), side(hub_p, p, "p_b"), side(n, hub_n, "n_a"), side(hub_n, n, "n_b"), "rep",
+            side(p, hub_p, "p_a"), side(hub_p, p, "p_b"), side(n, hub_n, "n_a"), side(hub_n, n, "n_b"),
         ), rule
     ), sketches, rule))
     full = _full(texts, starred, rule)
-    # The hub that shares the most lists with a member is tried first; most members need no other.
-    likely = cut(
-        starred.groupBy("rep").agg(F.max_by(F.struct("a", "b"), F.struct("lists", "a", "b")).alias("x")).select("x.*").distinct()
-    )
-    links = _linked(likely, sketches, full, rule)
+    tested = starred.select("a", "b").distinct()
+    links = _linked(tested, sketches, full, rule)
+    discard(full)
     classes = _classes(links)
-    others = cut(
-        _apart(starred.select("a", "b").distinct(), classes).select("a", "b").join(likely, ["a", "b"], "left_anti")
-    )
-    more = _linked(others, sketches, full, rule)
-    discard(classes, full, starred)
-    classes = _classes(links.unionByName(more))
 
     labelled = listed.select("value", "rep", "p", "n").join(
         classes.withColumnRenamed("id", "rep"), "rep", "left"
@@ -291,22 +274,22 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     close = rule.differ(_marks_apart(F.col("x.mark"), F.col("y.mark")), F.col("x.n"), F.col("y.n"))
     rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class") & reach & close).select(
         F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.p").alias("p_a"), F.col("y.p").alias("p_b"),
-        F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"), F.col("x.rep").alias("rep"),
+        F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
     )
     last = cut(
         _first_shared(rest, rule).select("a", "b")
-        .join(likely.unionByName(others), ["a", "b"], "left_anti")
+        .join(tested, ["a", "b"], "left_anti")
     )
     full = _full(texts, last, rule)
     final = _linked(last, sketches, full, rule)
-    discard(listed, open_lists, likely, others, last, classes, full)
-    links = cut(links.unionByName(more).unionByName(final))
+    discard(listed, starred, open_lists, last, classes, full)
+    links = links.unionByName(final)
     found = components(links).select(F.col("id").alias("rep"), "component")
     classes = cut(
         sketches.select(*digest, "rep").join(found, "rep", "left")
         .select(*digest, F.coalesce("component", "rep").alias("component_id"))
     )
-    discard(sketches, links)
+    discard(sketches)
     placed = (
         every.where("doc_id IS NOT NULL").join(classes, digest)
         .groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
