@@ -229,7 +229,9 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     retained = sets.agg(F.sum(F.size("sketch"))).first()[0] or 0
     limit = max(HOT_LEAST, -(-retained // HOT_VALUES))
     counts = sets.select(F.explode("sketch").alias("value")).groupBy("value").count()
-    hot = np.sort(np.array([r[0] for r in counts.where(F.col("count") > limit).select("value").collect()], dtype=np.int64))
+    common = cut(counts.where(F.col("count") > limit).select("value"))
+    hot = np.sort(np.array([r[0] for r in common.collect()], dtype=np.int64))
+    discard(common)
     sketches = sets.withColumn("plain", F.lit(True))
     if len(hot):
         changed = texts.where("doc_id IS NOT NULL").mapInArrow(_sketched(rule, hot), kind)
