@@ -99,6 +99,6 @@ def first_wins(df: DataFrame, keys: Sequence[str], seq: str, existing: DataFrame
 def within_quota(df: DataFrame, by: Sequence[str], seq: str, remaining: DataFrame) -> DataFrame:
     """Earliest rows of each kind up to ``remaining(by..., remaining)``; kinds may be huge."""
     ranked = Ordered(df, [seq], by=by).row_number("_place").done()
-    return ranked.join(F.broadcast(remaining), list(by)).where(F.col("_place") <= F.col("remaining")).drop(
+    return ranked.join(remaining, list(by)).where(F.col("_place") <= F.col("remaining")).drop(
         "_place", "remaining"
     )
