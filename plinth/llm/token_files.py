@@ -33,7 +33,7 @@ from plinth.llm.tokens import encoder
 from plinth.runtime import cut, discard
 
 MAGIC, TAIL = b"TOKIDS01", b"TOKIDSIX"
-SAMPLE_DOCUMENTS = 1_000  # that the dictionary is trained on: those with the smallest hash of doc_id
+SAMPLE_DOCUMENTS = 1_000  # at most so many train the dictionary, chosen by a hash of doc_id
 SAMPLE_CHARS = 8_192  # longer documents aren't sampled; a dictionary serves short ones
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
@@ -130,9 +130,11 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, end_id: int) -> N
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    short = texts.where(F.length("text") <= SAMPLE_CHARS).select(F.xxhash64("doc_id").alias("h"), "doc_id", "text")
+    # About twice as many as are taken come from all tasks together, whatever the number of tasks is.
+    one_in = max(1, short.count() // (2 * SAMPLE_DOCUMENTS))
     chosen = (
-        texts.where(F.length("text") <= SAMPLE_CHARS).select(F.xxhash64("doc_id").alias("h"), "doc_id", "text")
-        .orderBy("h", "doc_id", "text").limit(SAMPLE_DOCUMENTS).collect()
+        short.where(F.pmod("h", F.lit(one_in)) == 0).orderBy("h", "doc_id", "text").limit(SAMPLE_DOCUMENTS).collect()
     )
     own = encoder(tokenizer)
     width = 2 if max(own.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
