@@ -82,21 +82,17 @@ class Tables:
 
     @cached_property
     def samples(self) -> DataFrame:
-        part = self.part.select("p_partkey", "p_name")
-
-        def role(number: int, name: str) -> DataFrame:
-            return (
-                self._line(number)
-                .join(part, F.col("l_partkey") == F.col("p_partkey"))
-                .select(
-                    F.col("l_orderkey").alias("seq"),
-                    F.col("l_partkey").alias(f"{name}_partkey"),
-                    F.col("p_name").alias(f"{name}_name"),
-                    F.col("l_returnflag").alias(f"_{name}_flag"),
-                    F.col("l_quantity").alias(f"_{name}_qty"),
-                    F.col("l_suppkey").alias(f"_{name}_supp"),
-                )
-            )
+        ends = ("anchor", "placed")  # lines one and two of an order
+        values = F.struct("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate", "l_discount", "l_tax", "l_returnflag")
+        pairs = self.lineitem.where("l_linenumber IN (1, 2)").groupBy(F.col("l_orderkey").alias("seq")).agg(
+            *[F.min(F.when(F.col("l_linenumber") == i + 1, values)).alias(name) for i, name in enumerate(ends)]
+        ).select(
+            "seq", *[F.col(f"{name}.{column}").alias(out.format(name)) for name in ends for column, out in (
+                ("l_partkey", "{}_partkey"), ("l_returnflag", "_{}_flag"), ("l_quantity", "_{}_qty"), ("l_suppkey", "_{}_supp"))]
+        )
+        for name in ends:
+            named = self.part.select(F.col("p_partkey").alias(f"{name}_partkey"), F.col("p_name").alias(f"{name}_name"))
+            pairs = pairs.join(named, f"{name}_partkey")
 
         nested = ", ".join("array(" + ", ".join(f"'{r}'" for r in c[3]) + ")" for c in CATEGORIES)
         relations = F.expr(f"array({nested})")
@@ -105,8 +101,7 @@ class Tables:
             self.orders.select(
                 F.col("o_orderkey").alias("seq"), "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
             )
-            .join(role(1, "anchor"), "seq")
-            .join(role(2, "placed"), "seq")
+            .join(pairs, "seq")
             .join(
                 self.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("context")),
                 "o_custkey",
