@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +29,25 @@ ACCEPTED = (
 )
 
 
+class Filled(NamedTuple):
+    """What a fill came to: scenes, what each kind still lacks (empty if all quotas are met), and what the calls cost."""
+
+    scenes: DataFrame
+    shortfall: DataFrame
+    spend: DataFrame
+
+
 def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, rounds: int = D.FILL_ROUNDS,
          batch: int = D.SCENE_BATCH) -> DataFrame:
+    """The scenes of ``fill_report``."""
+    return fill_report(pool, total, contexts, call, seed, rounds, batch).scenes
+
+
+def fill_report(pool: DataFrame, total: int, contexts: list[str], call, seed: str, rounds: int = D.FILL_ROUNDS,
+                batch: int = D.SCENE_BATCH) -> Filled:
     """Accepted scenes toward quotas for ``total``; stops when nothing is short or rounds run out.
 
-    The driver only decides whether another round is needed. Each round is one set-oriented pass,
+    Replies are written as they come, before anything is made of them, so a lost stage asks for none of them again. The driver only decides whether another round is needed. Each round is one set-oriented pass,
     and its accepted rows are written to the shared folder before the next. Rows past a quota are
     dropped within their round and reserve nothing afterwards.
     """
@@ -42,6 +59,7 @@ def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, roun
     quota = cut(Q.quotas(spark, total))
     accepted = spark.createDataFrame([], ACCEPTED)
     taken = spark.createDataFrame([], "role string, category string, taken long")
+    spent = [spark.createDataFrame([], "calls int, cost double")]
     for turn in range(rounds):
         short = cut(Q.shortfall(quota, accepted).select("category", "complexity", "relations", "levels", "short"))
         plan = cut(DL.deal(short, sizes, contexts, f"{seed}/{turn}", batch))
@@ -56,7 +74,9 @@ def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, roun
         )
         avoid = W.recent_list(accepted, ["category", "context"], "seq", "placed_name", D.AVOID_PLACED, "avoid")
         prompts = A.request_prompt(plan, lines, avoid)
-        replies = MM.parsed(MM.model_map(prompts, "request_id", "prompt", call, batch=1), REPLY)
+        answered = cut(MM.model_map(prompts, "request_id", "prompt", call, batch=1))
+        spent.append(answered.select("calls", "cost"))
+        replies = MM.parsed(answered, REPLY)
         scenes = replies.select("request_id", F.posexplode("data.samples").alias("i", "s")).select("request_id", F.col("i").cast("long").alias("i"), "s.*")
         role = lambda name: offered.where(F.col("role") == name).select(
             "request_id", F.col("uid").alias(f"{name}_uid"), F.lit(True).alias(f"{name}_offered"))
@@ -80,4 +100,5 @@ def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, roun
         remaining = short.select("category", "complexity", F.col("short").alias("remaining"))
         kept = AC.within_quota(cut(fresh), ["category", "complexity"], "seq", remaining)
         accepted = cut(accepted.unionByName(kept.select(*accepted.columns)))
-    return accepted
+    short = Q.shortfall(quota, accepted).select("category", "complexity", "short").where("short > 0")
+    return Filled(accepted, short, MM.spend(reduce(DataFrame.unionByName, spent)))
