@@ -242,14 +242,19 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     sketches = cut(sketches.withColumn("n", F.col("n_shingles")))
     discard(sets)
     postings = sketches.select("rep", "n", F.posexplode("sketch").alias("p", "value"))
+    # Most retained hashes occur once; they go before anything wider than a count is shuffled.
+    repeated = cut(postings.groupBy("value").count().where("count > 1").select("value"))
+    shared = cut(postings.join(repeated, "value", "left_semi"))
+    discard(repeated)
     # Lists with the same members say the same; the first of them in the common order, where each member's position is
     # smallest, stands for all. Members are compared by two sums of hashes and their number.
-    lists_ = postings.groupBy("value").agg(
+    lists_ = shared.groupBy("value").agg(
         F.count(F.lit(1)).alias("length"), F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"),
         F.sum("p").alias("depth"), F.min(F.struct("p", "n", "rep")).alias("hub"),
-    ).where("length > 1")
+    )
     hubs = lists_.groupBy("length", "s1", "s2").agg(F.min(F.struct("depth", "value", "hub")).alias("x")).select("x.value", "x.hub")
-    listed = cut(postings.join(hubs, "value"))
+    listed = cut(shared.join(hubs, "value"))
+    discard(shared)
 
     def side(one: Column, two: Column, out: str) -> Column:
         return F.when(F.col("rep") < F.col("hub.rep"), one).otherwise(two).alias(out)
