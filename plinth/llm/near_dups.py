@@ -33,6 +33,7 @@ from plinth.runtime import cut, discard
 
 HOT_VALUES = 50_000  # at most so many hashes can be hot, whatever the corpus size
 MARK_WORDS = 16
+CELLS = 1 << 18
 HOT_LEAST = 64  # a shorter inverted list is never hot
 
 
@@ -116,9 +117,12 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
     return run
 
 
-def _full_sets(width: int):
+def _full_sets(width: int, cells: np.ndarray):
+    """Task: documents whose cell is one of ``cells`` (ascending) -> full sets."""
+
     def run(batches):
         for batch in batches:
+            batch = batch.filter(pa.array(np.isin(batch.column(2).to_numpy(), cells)))
             for piece in slices(batch.column(1)):
                 sets = list(shingle_sets(piece, width))
                 yield pa.RecordBatch.from_arrays(
@@ -183,11 +187,18 @@ def _marked(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame
 
 
 def _full(texts: DataFrame, pairs: DataFrame, rule: Threshold) -> DataFrame:
-    """Full sets of the documents in pairs, as a written table."""
+    """Full sets of the documents in pairs, as a written table.
+
+    Ids are hashed into ``CELLS`` cells; those with a wanted id, at most ``CELLS`` numbers, go to every task, so texts are
+    filtered where they are read and only sets are shuffled. The join then takes the wanted ids exactly.
+    """
     needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    return cut(
-        texts.join(needed, "doc_id", "left_semi").mapInArrow(_full_sets(rule.width), "doc_id long, hashes array<long>")
-    )
+    cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS)).alias("cell")
+    wanted = cut(needed.select(cell).distinct())
+    cells = np.sort(np.array([r[0] for r in wanted.collect()], dtype=np.int64))
+    discard(wanted)
+    sets = texts.select("doc_id", "text", cell).mapInArrow(_full_sets(rule.width, cells), "doc_id long, hashes array<long>")
+    return cut(sets.join(needed, "doc_id", "left_semi"))
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
