@@ -1,7 +1,9 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton on folded words.
 
 Folding lower-cases, maps homoglyphs to Latin letters and, in words that have letters, digits and signs to the letters
-they stand for. A lexicon entry is the beginning of a word or a whole word; its weight is the log ratio of how often
+they stand for. A word with ``1`` or ``!`` (i or l) or with signs at its ends (letters or punctuation) has several
+readings: an entry counts if any of them meets it, unless a reading that begins like the entry is an exception. In
+training such a word counts once for each of at most eight readings, see ``readings``. A lexicon entry is the beginning of a word or a whole word; its weight is the log ratio of how often
 toxic and other labelled training documents hold it. Words that begin like an entry but are themselves clean in the
 training documents are exceptions, as are the phrases that a caller names: an entry inside one doesn't count. A
 document's evidence is the sum of the weights of its matches over the square root of its number of words; one logistic
@@ -39,17 +41,60 @@ HOMOGLYPHS = {
     "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i", "ɑ": "a", "ɡ": "g",
 }
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i"}
+EITHER = {"1": "il", "!": "il"}
+SIGNS = "@$!"
 
-_FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()} | {0xFF41 + i: chr(97 + i) for i in range(26)}
+_FOLD = {ord(k): v for k, v in HOMOGLYPHS.items()} | {0xFF41 + i: chr(97 + i) for i in range(26)} | {ord("_"): " "}
 _LEET = {ord(k): v for k, v in LEET.items()}
-_TOKEN = re.compile(r"[^\W_]+(?:[0-9@$!]+[^\W_]+)*")
+_SURE = {ord(k): v for k, v in LEET.items() if k not in EITHER}
+_LETTERS = LEET | EITHER
+_TOKEN = re.compile(r"[\w@$!]+")
 _SIGNS = re.compile(r"[0-9@$!]")
+_DOUBT = re.compile(r"(?<= )[^ 1@$!]*[1@$!][^ ]*")
 
 
 def folded(text: str | None) -> list[str]:
-    """Folded words of a text; null counts as empty."""
-    words = _TOKEN.findall((text or "").lower().translate(_FOLD))
-    return [w.translate(_LEET) if _SIGNS.search(w) and not w.isdigit() else w for w in words]
+    """Folded words of a text; what has several readings (``EITHER``, signs at the ends) stays. Null counts as empty."""
+    words = []
+    for word in _TOKEN.findall((text or "").lower().translate(_FOLD)):
+        if _SIGNS.search(word):
+            core = word.strip(SIGNS)
+            if not core:
+                continue
+            if core.isdigit():
+                word = core
+            else:
+                head, tail = _ends(word)
+                word = word[:head] + core.translate(_SURE) + word[tail:]
+        words.append(word)
+    return words
+
+
+def _ends(word: str) -> tuple[int, int]:
+    """Where a word's first sign-free place is, and where its signs at the end begin."""
+    return len(word) - len(word.lstrip(SIGNS)), len(word.rstrip(SIGNS))
+
+
+def readings(word: str) -> set[str]:
+    """Readings by which training documents count a folded word: ``EITHER`` as i or as l throughout, with and without
+    the signs at its ends; ``!`` at the end is punctuation here."""
+    if word.isdigit() or not _DOUBT.match(f" {word}", 1):
+        return {word}
+    word = word.rstrip("!")
+    head, tail = _ends(word)
+    found = {word[lo:hi] for lo in (0, head) for hi in (tail, len(word))}
+    return {w.translate(_LEET | {ord(k): v[at] for k, v in EITHER.items()}) for w in found for at in (0, 1)}
+
+
+def reads_as(word: str, plain: str) -> bool:
+    """Whether a folded word has the reading ``plain``."""
+    if word == plain or word.isdigit():
+        return word == plain
+    head, tail = _ends(word)
+    return any(
+        all(b in _LETTERS.get(a, a) for a, b in zip(word[lo:lo + len(plain)], plain))
+        for lo in range(max(0, tail - len(plain)), min(head, len(word) - len(plain)) + 1)
+    )
 
 
 @dataclass
@@ -61,6 +106,8 @@ class Lexicon:
     slope: float = 1.0
     offset: float = 0.0
     _machine: object = field(default=None, repr=False)
+    _begun: set[str] = field(default=None, repr=False)
+    _around: dict[str, list[tuple[list[str], int]]] = field(default=None, repr=False)
 
     def machine(self):
         if self._machine is None:
@@ -70,27 +117,69 @@ class Lexicon:
             for phrase in self.exceptions:
                 self._machine.add_word(f" {phrase} ", (len(phrase) + 2, None))
             self._machine.make_automaton()
+            self._begun = {e[:k] for e in self.entries for k in range(1, len(e) + 1)}
+            self._around = {}
+            for phrase in self.exceptions:
+                own = phrase.split(" ")
+                for at, word in enumerate(own):
+                    whole = f" {word} "
+                    for entry in {whole[:k] for k in range(1, len(whole) + 1)} & self.entries.keys():
+                        self._around.setdefault(entry, []).append((own, at))
         return self._machine
 
+    def met(self, word: str) -> set[str]:
+        """Entries that some reading of a folded word meets; what is followed shrinks to beginnings of entries."""
+        found, (head, tail) = set(), _ends(word)
+        for lo in range(head + 1):
+            states = {" "} & self._begun
+            for at in range(lo, len(word) + 1):
+                found |= states & self.entries.keys()
+                if at >= tail:
+                    found |= {s + " " for s in states} & self.entries.keys()
+                if at == len(word) or not states:
+                    break
+                states = {s + c for s in states for c in _LETTERS.get(word[at], word[at])} & self._begun
+        return found
+
+    def excused(self, words: list[str], at: int, entry: str, least: int) -> bool:
+        """Whether an entry met by the word at ``at`` lies in an exception, of ``least`` words on, that the words there
+        can be read as."""
+        for own, k in self._around.get(entry, ()):
+            if len(own) < least:
+                continue
+            lo = at - k
+            if lo >= 0 and lo + len(own) <= len(words) and all(map(reads_as, words[lo:lo + len(own)], own)):
+                return True
+        return False
+
     def evidence(self, words: list[str]) -> float:
         """Sum of the best weight per word start, without matches inside exceptions, by length."""
         if not words or not (self.entries or self.exceptions):
             return 0.0
-        best: dict[int, float] = {}
+        machine, text = self.machine(), f" {' '.join(words)} "
+        doubtful = {m.start() - 1: m.group() for m in _DOUBT.finditer(text) if not m.group().isdigit()}
+        met: dict[int, dict[str, float]] = {}
         clean: list[tuple[int, int]] = []
-        for end, (size, weight) in self.machine().iter(f" {' '.join(words)} "):
+        for end, (size, weight) in machine.iter(text):
             start = end - size + 1
             if weight is None:
                 clean.append((start, end))
-            else:
-                best[start] = max(weight, best.get(start, 0.0))
+            elif start not in doubtful:
+                met.setdefault(start, {})[text[start:end + 1]] = weight
         for lo, hi in clean:
-            for start in [s for s in best if lo <= s < hi]:
-                del best[start]
-        return sum(best.values()) / math.sqrt(len(words))
+            for start in [s for s in met if lo <= s < hi]:
+                del met[start]
+        for start, word in doubtful.items():
+            if own := self.met(word):
+                met[start] = {entry: self.entries[entry] for entry in own}
+        if doubtful and self._around:
+            for start, own in met.items():
+                at = text.count(" ", 0, start)
+                met[start] = {e: w for e, w in own.items() if not self.excused(words, at, e, 1 if start in doubtful else 2)}
+        return sum(max(own.values(), default=0.0) for own in met.values()) / math.sqrt(len(words))
 
     def __getstate__(self):
-        return self.__dict__ | {"_machine": None}
+        return self.__dict__ | {"_machine": None, "_begun": None, "_around": None}
 
 
 def _counted(batches):
@@ -98,7 +187,7 @@ def _counted(batches):
     for batch in batches:
         held = Counter(), Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            held[toxic].update(set(folded(text)))
+            held[toxic].update({r for w in set(folded(text)) for r in readings(w)})
         words = list(held[0].keys() | held[1].keys())
         yield pa.RecordBatch.from_pydict({
             "word": pa.array(words, type=pa.string()), "toxic": pa.array([held[1][w] for w in words], type=pa.int64()),

@@ -281,6 +281,26 @@ def test_toxicity(spark, docs, nothing):
     assert lexicon.evidence(toxicity.folded("v1le")) == 3.0 and lexicon.evidence(toxicity.folded("near Vile Bay")) == 0
 
 
+def test_toxicity_of_disguised_words(spark):
+    entries = {f" {w} ": 3.0 for w in ("loser", "clown", "worthless", "stupid", "scum", "imbecile", "asshole")} | {" ment": 2.0}
+    lexicon = toxicity.Lexicon(entries, ["scum lake", "mentor"])
+    for text in ("1oser", "c1own", "worth1ess", "$tupid", "$cum", "!mbec11e", "@$$hole", "5tup1d!!", "(c!own)", "lo$er!", "_$cum_"):
+        assert lexicon.evidence(toxicity.folded(text)) == 3.0, text
+    for text in ("100 $5 !!", "@$$", "scum 1ake", "$cum lake!", "mentor!!", "ment0r", "$tupidity", "2021"):
+        assert lexicon.evidence(toxicity.folded(text)) == 0, text
+    assert lexicon.evidence(toxicity.folded("$cum bay, mental!")) == 5.0 / math.sqrt(3)
+    rng, words = random.Random(5), [f"{a}{b}" for a in ("bal", "dor", "fin", "gat") for b in "aeiouy"]
+    rows = []
+    for d in range(400):
+        own = rng.choices(words, k=rng.randint(5, 60))
+        own += rng.choices(["loser", "clown", "stupid"] if d % 8 else ["1oser", "c1own", "$tupid"], k=3) if d % 4 == 0 else ["good!"]
+        rng.shuffle(own)
+        rows.append((d, " ".join(own), int(d % 4 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.toxicity(table, table.where("doc_id % 8 <> 0").select("doc_id", "toxic")).collect()  # disguised ones unlabelled
+    assert all(r.predicted == (r.doc_id % 4 == 0) for r in got)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
