@@ -208,6 +208,30 @@ def test_licenses(docs, nothing):
     assert licenses.scan(nothing).collect() == []
 
 
+def license_labels(spark, texts):
+    found = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    return [[(b.label, b.line, round(b.share, 2)) for b in r.blocks] for r in sorted(found, key=lambda r: r.doc_id)]
+
+
+def test_licenses_by_telling_words(spark):
+    others = [
+        "Released under the BSD License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under CC BY-NC-SA 4.0",
+        "This work is licensed under the GNU General Public License, version 2", "Licensed under the Apache License, Version 1.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3",
+        "This work has not been released into the public domain",
+        f"It was released {'and ' * 9} under {'and ' * 9} the {'and ' * 9} mit {'and ' * 9} license",
+    ]
+    assert license_labels(spark, others) == [[]] * len(others)
+    same = {
+        "This program is licensed under the GNU General Public License v3": ("gpl-3.0", 0, 0.75),
+        "This work is licensed under version 3 of the GNU General Public License": ("gpl-3.0", 0, 1.0),
+        "Released under MIT License": ("mit", 0, 0.8), "x\nnot sold. Licensed under the Apache License 2.0": ("apache-2.0", 1, 0.88),
+        "The work has been released into the public domain": ("public-domain", 0, 0.89),
+    }
+    assert license_labels(spark, list(same)) == [[x] if x[2] >= 0.8 else [] for x in same.values()]
+    assert license_labels(spark, [f"{t} {t}" for t in licenses.TEMPLATES.values()]) == [[(k, 0, 1.0)] * 2 for k in licenses.TEMPLATES]
+
+
 def test_license_filters_lose_nothing():
     rng = random.Random(4)
     words = [f"t{i}" for i in range(14)]
