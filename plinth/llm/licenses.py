@@ -1,6 +1,6 @@
 """License scans: an exact set-similarity join between text blocks and license templates.
 
-A block is a run of words of one line, at most as long as the template over ``share``; its set holds the distinct words. A
+A block is a run of words, across lines too, at most as long as the template over ``share``; its set holds the distinct words. A
 template is found where a block holds at least ``share`` of the template's distinct words, all of its telling words, and
 none that names another license. Of overlapping blocks the best counts, the first of equal ones. Which templates a document
 can hold at all is a join on the document's words. Tokens have one global order, rarest first, by the number of documents that hold them. With
@@ -14,8 +14,10 @@ Phrases are also looked for as such: places where their words stand consecutivel
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Mapping
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -96,11 +98,11 @@ class Windows:
         self.rivals = frozenset(words(telling[1]))
         self.seen = self.own.union(self.rivals, *self.must)
 
-    def blocks(self, line: list[bytes]) -> list[tuple[int, float]]:
+    def blocks(self, own: list[bytes]) -> list[tuple[int, float]]:
         """First word and part of the template's words of each block."""
         found: list[tuple[int, int, float]] = []
         held, hits, first = Counter(), [], 0  # words of the window hits[first:]
-        for at, word in enumerate(line):
+        for at, word in enumerate(own):
             if word not in self.seen:
                 continue
             if word in self.rivals:
@@ -157,10 +159,11 @@ def _scanned(index: Index, windows: Mapping[str, Windows], phrases: Mapping[str,
                               if held.issuperset(phrase) for at in places(own, phrase)])
                 met = []
                 if not held.isdisjoint(index.probes) and (possible := index.matches(held)):
-                    for line, raw in enumerate(text.encode().translate(_LINES).split(b"\n")):
-                        run_of = raw.split()
-                        met += [{"label": label, "line": line, "share": part} for label in possible
-                                for _, part in windows[label].blocks(run_of)]
+                    if any(found := [windows[label].blocks(own) for label in possible]):
+                        lines = text.encode().translate(_LINES).split(b"\n")
+                        ends = list(accumulate(len(line.split()) for line in lines))  # words up to each line's end
+                        met = [{"label": label, "line": bisect_right(ends, start), "share": part}
+                               for label, starts in zip(possible, found) for start, part in starts]
                 blocks.append(met)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, type=pa.int64()), pa.array(bases, type=spot), pa.array(blocks, type=kind)],

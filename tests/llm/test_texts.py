@@ -232,6 +232,21 @@ def test_licenses_by_telling_words(spark):
     assert license_labels(spark, [f"{t} {t}" for t in licenses.TEMPLATES.values()]) == [[(k, 0, 1.0)] * 2 for k in licenses.TEMPLATES]
 
 
+def test_licenses_across_lines(spark):
+    wrapped = {
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided": ("bsd", 0, 1.0),
+        "a\n\n# Licensed under the Apache License,\n# Version 2.0 (the": ("apache-2.0", 2, 1.0),
+        "Copyright\nReleased under the\r\n\tMIT License": ("mit", 1, 1.0),
+        "Permission is hereby granted, free of charge, to any person obtaining\na copy of this software and": ("mit-grant", 0, 1.0),
+        "Licensed under CC\nBY-NC\n4.0": ("cc-by-nc-4.0", 0, 1.0),
+    }
+    assert license_labels(spark, list(wrapped)) == [[x] for x in wrapped.values()]
+    for label, template in licenses.TEMPLATES.items():
+        own = template.split()
+        texts = [f"é {' '.join(own[:k])}\n{' '.join(own[k:])}\nend" for k in range(1, len(own))]
+        assert license_labels(spark, texts) == [[(label, 0, 1.0)]] * len(texts)
+
+
 def test_license_filters_lose_nothing():
     rng = random.Random(4)
     words = [f"t{i}" for i in range(14)]
