@@ -33,9 +33,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of 13-word windows that a document before them holds; emptied ones stay, empty."""
-    kept = without_repeats(docs, carry=("lang", "source"))
-    return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.length("kept").cast("long").alias("n_chars"))
+    """Documents without the words of 13-word windows that a document before them holds; emptied ones stay, empty, and
+    those that lose nothing stay as they are."""
+    marked = docs.withColumn("_null", F.col("text").isNull())
+    kept = without_repeats(marked, carry=("lang", "source", "n_chars", "_null"), as_is=True)
+    whole = F.col("n_removed") == 0
+    return kept.select(
+        "doc_id", F.when(~(whole & F.col("_null")), F.col("kept")).alias("text"), "lang", "source",
+        F.when(whole, F.col("n_chars")).otherwise(F.length("kept")).cast("long").alias("n_chars"),
+    )
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

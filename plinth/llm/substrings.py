@@ -22,6 +22,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -230,7 +231,7 @@ def _kept(piece: Slice, drop: np.ndarray) -> pa.Array:
     return pa.LargeStringArray.from_buffers(rows, pa.py_buffer(ends.tobytes()), pa.py_buffer(packed.data[letters].tobytes()))
 
 
-def _removed(window: int, buckets: int, carry: Sequence[str]):
+def _removed(window: int, buckets: int, carry: Sequence[str], as_is: bool):
     """Chunk of documents and the holders of its windows -> documents without the words that preceded windows cover."""
 
     def run(key, docs, found):
@@ -255,21 +256,26 @@ def _removed(window: int, buckets: int, carry: Sequence[str]):
             texts.append(_kept(piece, drop))
             words.append(piece.count)
             removed.append(np.bincount(piece.doc, weights=drop, minlength=piece.hi - piece.lo).astype(np.int64))
+        kept = pa.chunked_array(texts, type=pa.large_string()).cast(pa.string())
+        gone = pa.array(np.concatenate(removed) if removed else [], type=pa.int64())
+        if as_is:
+            kept = pc.if_else(pc.equal(gone, 0), docs.column("text"), kept)
         return pa.table({
             "doc_id": docs.column("doc_id"),
             "n_words": pa.array(np.concatenate(words) if words else [], type=pa.int64()),
-            "n_removed": pa.array(np.concatenate(removed) if removed else [], type=pa.int64()),
-            "kept": pa.chunked_array(texts, type=pa.large_string()).cast(pa.string()),
+            "n_removed": gone,
+            "kept": kept,
         } | {c: docs.column(c) for c in carry})
 
     return run
 
 
-def without_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] = ()) -> DataFrame:
+def without_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str] = (), as_is: bool = False) -> DataFrame:
     """``docs(doc_id long, text, *carry)`` -> per row ``doc_id, n_words, n_removed, kept, *carry``.
 
     Words are runs of other bytes than space and 0x09-0x0D, unchanged. A word goes if a window covers it whose words also
-    start somewhere in a document with a smaller doc_id. ``kept`` joins the rest by one space.
+    start somewhere in a document with a smaller doc_id. ``kept`` joins the rest by one space; with
+    ``as_is`` it is the text itself where nothing goes.
 
     Null or empty texts have no words and come back as empty text. A null doc_id precedes nothing and loses nothing. Rows
     that repeat a doc_id don't precede each other. An empty table gives an empty one.
@@ -286,7 +292,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, carry: Sequence[str]
     kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     return (
         dealt.groupBy("chunk").cogroup(found.groupBy("chunk"))
-        .applyInArrow(_removed(window, buckets, carry), f"doc_id long, n_words long, n_removed long, kept string{kinds}")
+        .applyInArrow(_removed(window, buckets, carry, as_is), f"doc_id long, n_words long, n_removed long, kept string{kinds}")
     )
 
 

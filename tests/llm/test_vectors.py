@@ -1,6 +1,7 @@
 """Vector searches and the pipeline against brute force."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -88,6 +89,41 @@ def test_level(parents, size):
     assert level.find(asked[:, 0], asked[:, 1])[0].tolist() == [place.get(tuple(p), -1) for p in asked.tolist()]
 
 
+def test_pipeline_keeps_what_loses_nothing(spark):
+    import corpus_pipeline as pipeline
+
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = [
+        (1, f"one\n\n{passage}\ttail ", "en", "a", 7), (2, f"two\n{passage}\nend", "de", "b", 9), (3, passage, "en", "c", None),
+        (4, None, None, "d", 0), (5, " \n", "fr", None, 2), (None, f"x\n{passage}", "en", "e", 1),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(map(tuple, pipeline.drop_repeats(spark, table, "").collect()), key=repr)
+    changed = {2: (2, "two end", "de", "b", 7), 3: (3, "", "en", "c", 0)}
+    assert got == sorted((changed.get(r[0], r) for r in rows), key=repr)
+
+
+def test_pipeline_texts_of_the_third_stage(spark):
+    """The stage's texts against a plain loop over the whole table."""
+    import corpus_pipeline as pipeline
+
+    rows = spark.read.parquet(f"{SF_DIR}/documents.parquet").select(*pipeline.COLUMNS).collect()
+    word, first = re.compile(r"[^\x20\x09-\x0D]+"), {}
+    words = {r.doc_id: word.findall(r.text or "") for r in rows}
+    for d, own in words.items():
+        for i in range(len(own) - 12):
+            key = tuple(own[i:i + 13])
+            first[key] = min(d, first.get(key, d))
+    expected = {}
+    for r in rows:
+        own = words[r.doc_id]
+        gone = {i + k for i in range(len(own) - 12) if first[tuple(own[i:i + 13])] < r.doc_id for k in range(13)}
+        text = " ".join(w for i, w in enumerate(own) if i not in gone)
+        expected[r.doc_id] = (text, len(text)) if gone else (r.text, r.n_chars)
+    got = pipeline.drop_repeats(spark, spark.createDataFrame(rows), "").collect()
+    assert {r.doc_id: (r.text, r.n_chars) for r in got} == expected and len(got) == len(rows)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as pipeline
 
