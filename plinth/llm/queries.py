@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plinth.llm import sentence_pieces
 from plinth.llm.byte_pairs import decode, encode
+from plinth.llm.clustering import clusters, first_centroids, whole_vectors
 from plinth.llm.exact_top import exact_top
+from plinth.llm.fill_middle import fill_in_middle, restored
 from plinth.llm.licenses import PHRASES, TEMPLATES, scan
 from plinth.llm.lm import score, train
 from plinth.llm.near_dups import Threshold, near_duplicates
@@ -180,6 +183,75 @@ SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id, words.doc_id =
 FROM words JOIN roots ON roots.id = words.doc_id LEFT JOIN sizes ON sizes.doc_id = words.doc_id
 """
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = sentence_pieces.decode(sentence_pieces.encode(_table(spark, sf_dir, "documents"), model), model)
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cut(whole_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 64, 256))
+    found = clusters(rows, first_centroids(rows, 40, seed=2), rounds=5)
+    return found.select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"),
+    )
+
+
+def _op12_sql(rounds: int = 5) -> str:
+    assigned = lambda centroids: f"""(
+  SELECT r, vec_id, v, k, list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+  FROM kept, {centroids} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1)"""
+    moves = "".join(f""", m{n} AS MATERIALIZED (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT k, i, sum(v[i])::BIGINT AS s, count(*) AS n FROM {assigned(f"c{n}")}, unnest(range(1, 65)) AS t(i) GROUP BY k, i) GROUP BY k
+), c{n + 1} AS MATERIALIZED (SELECT k, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (k))""" for n in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS k, v AS c FROM kept QUALIFY k < 40
+){moves}, last AS MATERIALIZED {assigned(f"c{rounds}")}
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, sum(d) OVER (PARTITION BY k)::BIGINT AS cluster_inertia, sum(d) OVER ()::BIGINT AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM last JOIN c{rounds} USING (k)
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle(_table(spark, sf_dir, "documents"), seed=42, share=50, suffix_first=80)
+    return found.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP13_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents
+), drawn AS (
+  SELECT doc_id, text, u, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR ('0x' || h[17:24])::BIGINT % 100 >= 50
+      THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM units
+), parts AS (
+  SELECT *, array_to_string(u[1:least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m,
+    array_to_string(u[greatest(a, b) + 1:], '') AS s FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256
+FROM parts
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -191,10 +263,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top": op8_exact_top,
     "op9_toxicity": op9_toxicity,
     "op10_near_duplicates": op10_near_duplicates,
+    "op11_sentence_pieces": op11_sentence_pieces,
+    "op12_clusters": op12_clusters,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op4_license_scan": OP4_SQL,
     "op8_exact_top": OP8_SQL,
     "op10_near_duplicates": OP10_SQL,
+    "op12_clusters": OP12_SQL,
+    "op13_fill_in_middle": OP13_SQL,
 }
