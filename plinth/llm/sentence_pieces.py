@@ -5,7 +5,8 @@ score first and then leftmost; the pair on top becomes one symbol and brings its
 that are no piece fall back to their bytes.
 
 No merge crosses two characters that stand side by side in no piece, so a text is cut there first and the agenda runs within
-the parts; parts recur, and each worker keeps the ids of those it has met. In every Arrow batch the ids are compared with
+the parts; parts recur, and each worker keeps the ids of those it has met. The new parts of an Arrow batch share one agenda
+in arrays, from which each part takes its best pair per step; a long part has an agenda of its own, a heap. In every batch the ids are compared with
 those of the ``sentencepiece`` library for the same whole texts, and a difference is an error. Texts beyond ``CHECKED_CHARS``
 are compared in slices that begin where a run of spaces does, which bounds what the library holds.
 """
@@ -26,7 +27,9 @@ from plinth.llm.words import lists
 
 SPACE = "▁"
 BATCH_CHARS, CHECKED_CHARS = 1 << 19, 1 << 20
-CACHED_PARTS, CACHED_CHARS = 200_000, 48  # forgotten all at once when there are more; bounds memory, never results
+CACHED_PARTS = 400_000  # forgotten all at once when there are more; bounds memory, never results
+SHORT = 48  # characters of a part that is merged together with others and kept; below 64, which its places are packed by
+NONE = np.iinfo(np.int64).max
 DECODED_IDS = 1 << 18
 
 
@@ -53,6 +56,15 @@ class SentencePieces:
         self.beside = {p[i:i + 2] for p in self.order for i in range(len(p) - 1)}
         self.parts = self._parts()
         self.known: dict[str, bytes] = {}
+        # Symbols of the array agenda: pieces by id, then joined characters that are no piece.
+        loose = sorted({c for p in self.beside for c in p}.difference(self.ids))
+        symbols = self.ids | {c: count + n for n, c in enumerate(loose)}
+        self.symbols, self.base = symbols, count + len(loose) + 1
+        splits = sorted(
+            (symbols[a] * self.base + symbols[b], self.order[p], i) for p, i in self.ids.items()
+            for a, b in ((p[:k], p[k:]) for k in range(1, len(p))) if a in symbols and b in symbols
+        )
+        self.pairs, self.place, self.into = (np.array(c, dtype=np.int64) for c in zip(*splits))
 
     def _parts(self) -> re.Pattern:
         """Runs that merges stay within: spaces lead a word unless some piece has one behind another character."""
@@ -94,7 +106,50 @@ class SentencePieces:
             at = after[at]
         return out
 
-    def _part(self, part: str) -> bytes:
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place on the agenda (``NONE``: no piece) and merged symbol of adjacent symbols."""
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == key, self.place[at], NONE), self.into[at]
+
+    def merged_together(self, parts: list[str]) -> list[bytes]:
+        """Ids of short parts, all merged at once: per step each part takes its best and then leftmost pair."""
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")
+        seen, code = np.unique(points, return_inverse=True)
+        symbol = np.array([self.symbols.get(chr(c), self.base - 1) for c in seen.tolist()], dtype=np.int64)[code]
+        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        same = np.append(owner[1:] == owner[:-1], False)
+        place, into = self._found(symbol, np.append(symbol[1:], 0))
+        place[~same] = NONE
+        while len(symbol):
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            sizes = np.diff(first, append=len(symbol))
+            spot = np.arange(len(symbol)) - np.repeat(first, sizes)
+            top = np.minimum.reduceat(np.where(place < NONE, place << 6 | spot, NONE), first)
+            live = top < NONE
+            rest = np.repeat(live, sizes)
+            done.append((owner[~rest], symbol[~rest]))
+            at = (first + (top & 63))[live]
+            symbol[at] = into[at]
+            rest[at + 1] = False
+            moved = np.zeros(len(symbol), dtype=bool)
+            moved[at] = True
+            moved[np.maximum(at - 1, 0)] = True
+            owner, symbol, place, into, moved = owner[rest], symbol[rest], place[rest], into[rest], np.flatnonzero(moved[rest])
+            following = np.minimum(moved + 1, len(symbol) - 1)
+            place[moved], into[moved] = self._found(symbol[moved], symbol[following])
+            place[moved[(following == moved) | (owner[moved] != owner[following])]] = NONE
+        owner, symbol = (np.concatenate(c) for c in zip(*done))
+        order = np.argsort(owner, kind="stable")
+        raw, ends = symbol[order].astype("<i4").tobytes(), (4 * np.cumsum(np.bincount(owner, minlength=len(parts)))).tolist()
+        out = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        for i in np.unique(owner[symbol >= self.library.get_piece_size()]).tolist():
+            out[i] = self.merged_alone(parts[i])
+        return out
+
+    def merged_alone(self, part: str) -> bytes:
+        """Ids of one part by a heap per stretch of characters that may merge, with bytes for what is no piece."""
         symbols, start = [], 0
         for i in range(1, len(part) + 1):
             if i == len(part) or part[i - 1:i + 1] not in self.beside:
@@ -106,22 +161,24 @@ class SentencePieces:
             ids += [i] if i is not None else [self.bytes[b] for b in s.encode()]
         return np.array(ids, dtype="<i4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        """Ids of a text without an end id, as little-endian 32-bit integers."""
-        if not text:
-            return b""
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text without an end id, as little-endian 32-bit integers."""
         if len(self.known) > CACHED_PARTS:
             self.known.clear()
-        known, parts = self.known, self.parts.findall(SPACE + text.replace(" ", SPACE))
-        out = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self._part(part)
-                if len(part) <= CACHED_CHARS:
-                    known[part] = ids
-            out.append(ids)
-        return b"".join(out)
+        split = [self.parts.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
+        seen: set[str] = set()
+        for own in split:
+            seen.update(own)
+        new = list(seen.difference(self.known))
+        short = [p for p in new if len(p) <= SHORT]
+        self.known.update(zip(short, self.merged_together(short) if short else ()))
+        long = [p for p in new if len(p) > SHORT]
+        self.known.update((p, self.merged_alone(p)) for p in long)
+        get = self.known.__getitem__
+        found = [b"".join(map(get, own)) for own in split]
+        for p in long:
+            del self.known[p]
+        return found
 
     def slices(self, text: str, limit: int = CHECKED_CHARS) -> list[str]:
         """The text in slices of about ``limit`` characters, whose ids in a row are those of the text.
@@ -166,7 +223,7 @@ def _encoded(path: str, end: bool):
                     some.append(texts[hi].as_py() or "")
                     chars += len(some[-1])
                     hi += 1
-                ids = [coder.encode(t) for t in some]
+                ids = coder.encode(some)
                 coder.check(some, ids)
                 flat = np.frombuffer(b"".join(x + tail for x in ids), "<i4")
                 yield pa.RecordBatch.from_arrays(

@@ -71,7 +71,14 @@ def test_agenda(library):
             _, i = min(pairs)
             symbols[i:i + 2] = [symbols[i] + symbols[i + 1]]
         assert coder.merged(text) == symbols
-        assert np.frombuffer(coder.encode(text), "<i4").tolist() == library.encode(text)
+        assert np.frombuffer(coder.encode([text])[0], "<i4").tolist() == library.encode(text)
+
+
+def test_parts_together_and_alone():
+    coder, rng = sentence_pieces.SentencePieces(MODEL), random.Random(6)
+    parts = ["".join(rng.choices("▁aeinorsthlcd" if n % 3 else "▁a字中é日x𝒳qz", k=rng.randint(1, sentence_pieces.SHORT))) for n in range(2000)]
+    assert coder.merged_together(parts) == [coder.merged_alone(p) for p in parts]
+    assert coder.merged_together(["𝒳"]) == [coder.merged_alone("𝒳")]
 
 
 def test_checked_slices(library):
