@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from plinth.catalog.q_geometry import nearest_sql
+from plinth.catalog.q_geometry import matrix, nearest_sql, turned
 from plinth.catalog.registry import query
 from plinth.catalog.sqlviews import SQL_VIEWS, r6
 from plinth.catalog.tables import BOX_RESOLUTION, SOUP_RESOLUTION
@@ -12,12 +12,14 @@ from plinth.functions import text as T
 from plinth.functions import vectors as G
 from plinth.operators import aggregates as A
 from plinth.operators import meshes as M
+from plinth.operators import poses as PO
 from plinth.operators import proximity as X
 from plinth.operators import voxels as V
 from plinth.runtime import cut
 
-FIELD_RESOLUTION = 6
-REACH = 0.2
+FIELD_RESOLUTION = 16
+FINE_RESOLUTION = 48
+KEYS = ("sample_id", "point_id")
 
 
 def headers_sql(bounds: str, resolution: int, pad: int = 0, parts: int = 1) -> str:
@@ -91,7 +93,7 @@ def _(t):
 
 def fine_soup(t):
     fine = V.subdivide(V.grid_headers(t.triangles, SOUP_RESOLUTION), V.SUBDIVISION)
-    return V.filled_cells(V.surface_cells(t.triangles, fine), fine)
+    return V.filled_runs(V.surface_cells(t.triangles, fine), fine)
 
 
 def soup_solid(t):
@@ -100,7 +102,7 @@ def soup_solid(t):
 
 @query("v3_filled_cells", "SELECT mesh_id, x, y, z FROM fine_solid")
 def _(t):
-    return fine_soup(t)
+    return V.run_cells(fine_soup(t))
 
 
 @query("v4_downsampled_cells", "SELECT mesh_id, x, y, z FROM soup_solid UNION ALL SELECT -mesh_id - 1, x, y, z FROM box_solid")
@@ -171,22 +173,36 @@ def _(t):
 
 # ---- distance field ---------------------------------------------------------------------
 
-SQL_VIEWS["sdf_head"] = headers_sql("mesh_bounds", FIELD_RESOLUTION, V.FIELD_PAD)
-SQL_VIEWS["sdf_surface"] = surface_sql("triangles", "sdf_head")
-add_fill("sdf", "sdf_head", "sdf_surface")
-SQL_VIEWS["sdf_grid"] = """
-    SELECT g.*, s.mesh_id IS NOT NULL AS solid FROM (SELECT mesh_id, cell, x::INTEGER AS x, y::INTEGER AS y, z::INTEGER AS z FROM (SELECT *, unnest(range(nx)) AS x FROM (
-      SELECT *, unnest(range(ny)) AS y FROM (SELECT *, unnest(range(nz)) AS z FROM sdf_head)))) g LEFT JOIN sdf_solid s USING (mesh_id, x, y, z)"""
-SQL_VIEWS["phi"] = """
-    SELECT a.mesh_id, a.x, a.y, a.z, CASE WHEN any_value(a.solid) THEN -1 ELSE 1 END
-       * sqrt(min((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) + (a.z - b.z) * (a.z - b.z))) * any_value(a.cell) AS phi
-    FROM sdf_grid a JOIN sdf_grid b ON a.mesh_id = b.mesh_id AND a.solid <> b.solid GROUP BY a.mesh_id, a.x, a.y, a.z"""
+def add_field(name: str, resolution: int) -> None:
+    """Views ``<name>_head``, ``<name>_solid`` and ``<name>_squares``: squared distances, in cells, to the nearest cell of the other kind.
+
+    Minima are taken along x, then z, then y, which is the minimum over the whole grid.
+    """
+    SQL_VIEWS[f"{name}_head"] = headers_sql("mesh_bounds", resolution, V.FIELD_PAD)
+    SQL_VIEWS[f"{name}_surface"] = surface_sql("triangles", f"{name}_head")
+    add_fill(name, f"{name}_head", f"{name}_surface")
+    SQL_VIEWS[f"{name}_grid"] = f"""
+        SELECT g.*, s.mesh_id IS NOT NULL AS solid FROM (SELECT mesh_id, cell, x::INTEGER AS x, y::INTEGER AS y, z::INTEGER AS z FROM (SELECT *, unnest(range(nx)) AS x FROM (
+          SELECT *, unnest(range(ny)) AS y FROM (SELECT *, unnest(range(nz)) AS z FROM {name}_head)))) g LEFT JOIN {name}_solid s USING (mesh_id, x, y, z)"""
+    before = f"(SELECT mesh_id, x, y, z, CASE WHEN solid THEN 0 END AS o, CASE WHEN solid THEN NULL ELSE 0 END AS i FROM {name}_grid)"
+    for axis, rest in (("x", "y, z"), ("z", "x, y"), ("y", "x, z")):
+        SQL_VIEWS[f"{name}_along_{axis}"] = f"""
+          SELECT a.mesh_id, {rest}, a.{axis}, min(b.o + (a.{axis} - b.{axis}) * (a.{axis} - b.{axis})) AS o, min(b.i + (a.{axis} - b.{axis}) * (a.{axis} - b.{axis})) AS i
+          FROM {before} a JOIN {before} b USING (mesh_id, {rest}) GROUP BY a.mesh_id, {rest}, a.{axis}"""
+        before = f"{name}_along_{axis}"
+    SQL_VIEWS[f"{name}_squares"] = f"SELECT mesh_id, x, y, z, cell, CASE WHEN o = 0 THEN -i ELSE o END AS square FROM {before} JOIN {name}_head USING (mesh_id)"
+
+
+add_field("sdf", FIELD_RESOLUTION)
+SQL_VIEWS["phi"] = "SELECT mesh_id, x, y, z, sign(square) * sqrt(abs(square)) * cell AS phi FROM sdf_squares"
+add_field("fsdf", FINE_RESOLUTION)
 
 
 def field(t):
-    """Field corners and headers of the soup meshes; the field is written once and read often."""
+    """Bricks of the field and headers of the soup meshes; the field is written once and read often."""
     phi, headers = V.distance_field(t.triangles, FIELD_RESOLUTION)
-    return cut(X.corner_table(phi)), cut(headers)
+    headers = cut(headers)
+    return cut(X.field_bricks(phi, headers)), headers
 
 
 @query("v7_signed_distance", f"SELECT mesh_id, x, y, z, {r6('phi')} AS phi FROM phi")
@@ -195,6 +211,20 @@ def _(t):
     return phi.withColumn("phi", T.fixed(F.col("phi")))
 
 
+@query("v7_fine_field", """
+    SELECT mesh_id, x, y, count(*) AS cells, sum(square)::BIGINT AS squares, min(square) AS deepest, max(square) AS farthest,
+      sum(square * (z + 1) % 1009)::BIGINT AS digest FROM fsdf_squares GROUP BY mesh_id, x, y""")
+def _(t):
+    """Every cell of the fine grids, as sums over their lines: squared distances in cells are whole numbers."""
+    phi, headers = V.distance_field(t.triangles, FINE_RESOLUTION)
+    length = F.col("phi") / F.col("cell")
+    square = (F.signum("phi") * F.round(length * length)).cast("long")
+    rows = phi.join(headers.select("mesh_id", "cell"), "mesh_id").select("mesh_id", "x", "y", "z", square.alias("square"))
+    return rows.groupBy("mesh_id", "x", "y").agg(
+        F.count(F.lit(1)).alias("cells"), F.sum("square").alias("squares"), F.min("square").alias("deepest"),
+        F.max("square").alias("farthest"), F.sum(F.col("square") * (F.col("z") + 1) % 1009).alias("digest"))
+
+
 def sampled_sql(source: str, keys: str) -> str:
     """Relation ``(keys, x, y, z, phi)`` of trilinear samples at ``source(mesh_id, keys, x, y, z)``."""
     raw = lambda a: f"(({a} - g{a}) / cell - 0.5)"
@@ -209,62 +239,101 @@ def sampled_sql(source: str, keys: str) -> str:
         WHERE f.mesh_id = s.mesh_id AND f.x = floor(ux) + ox AND f.y = floor(uy) + oy AND f.z = floor(uz) + oz GROUP BY s.mesh_id, {", ".join("s." + k.strip() for k in keys.split(","))})"""
 
 
-SQL_VIEWS["probes"] = """
-    SELECT p.mesh_id, point_id, tag, x + dx * cell / 2 AS x, y + dy * cell / 2 AS y, z + dz * cell / 2 AS z FROM points p JOIN sdf_head USING (mesh_id),
-      (VALUES ('o', 0, 0, 0), ('x1', 1, 0, 0), ('x2', -1, 0, 0), ('y1', 0, 1, 0), ('y2', 0, -1, 0), ('z1', 0, 0, 1), ('z2', 0, 0, -1)) d(tag, dx, dy, dz)"""
-SQL_VIEWS["probed"] = sampled_sql("probes", "point_id, tag")
-SQL_VIEWS["graded"] = """
-    SELECT mesh_id, point_id, phi, CASE WHEN n > 1e-12 THEN gx / n ELSE 0 END AS gradx, CASE WHEN n > 1e-12 THEN gy / n ELSE 1 END AS grady,
-       CASE WHEN n > 1e-12 THEN gz / n ELSE 0 END AS gradz FROM (SELECT *, sqrt(gx * gx + gy * gy + gz * gz) AS n FROM (
-         SELECT mesh_id, point_id, max(phi) FILTER (tag = 'o') AS phi, max(phi) FILTER (tag = 'x1') - max(phi) FILTER (tag = 'x2') AS gx,
-           max(phi) FILTER (tag = 'y1') - max(phi) FILTER (tag = 'y2') AS gy, max(phi) FILTER (tag = 'z1') - max(phi) FILTER (tag = 'z2') AS gz FROM probed GROUP BY ALL))"""
+SQL_VIEWS["placed_rotations"] = SQL_VIEWS["rotations"].replace("FROM poses", "FROM placements")
+SQL_VIEWS["placed_turns"] = f"SELECT *, {matrix()} FROM placed_rotations"
+SQL_VIEWS["posed"] = f"""
+    SELECT sample_id, anchor_mesh AS mesh_id, point_id, {", ".join(f"{e} + c{a} + n.mid{a} AS {a}" for e, a in zip(turned([f"(p.{a} - o.mid{a}) * scale" for a in "xyz"]), "xyz"))}
+    FROM placed_turns t JOIN points p ON p.mesh_id = t.mesh_id JOIN mesh_bounds o ON o.mesh_id = t.mesh_id JOIN mesh_bounds n ON n.mesh_id = t.anchor_mesh"""
+SQL_VIEWS["posed_after"] = """
+    SELECT sample_id, mesh_id, point_id, mx + cos(radians(turn)) * (x - mx) + sin(radians(turn)) * (z - mz) + slide AS x, y - fall AS y,
+       mz - sin(radians(turn)) * (x - mx) + cos(radians(turn)) * (z - mz) AS z
+    FROM posed JOIN (SELECT sample_id, avg(x) AS mx, avg(z) AS mz FROM posed GROUP BY sample_id) USING (sample_id) JOIN (SELECT sample_id, turn, slide, fall FROM placements) USING (sample_id)"""
+
+
+def posed(t):
+    """Points of every placed mesh in the frame of its anchor."""
+    return PO.place_bodies(t.points, t.placements, M.bounds(t.triangles))
+
+
+def posed_after(t, before):
+    """The bodies after a turn about the upright axis through their centroid, a slide and a fall."""
+    centre = before.groupBy("sample_id").agg(*[F.avg(a).alias(f"m{a}") for a in "xyz"])
+    rows = before.join(centre, "sample_id").join(t.placements.select("sample_id", "turn", "slide", "fall"), "sample_id")
+    q = G.from_euler(F.lit(0.0), F.col("turn"), F.lit(0.0))
+    placed = G.add(G.add(G.rotate(q, G.sub(G.vec(""), G.vec("m"))), G.vec("m")), (F.col("slide"), -F.col("fall"), F.lit(0.0)))
+    return rows.select("sample_id", "mesh_id", "point_id", *[c.alias(a) for c, a in zip(placed, "xyz")])
+
 
+def add_graded(name: str, source: str) -> None:
+    """View ``<name>``: field value and unit gradient of ``source(mesh_id, sample_id, point_id, x, y, z)``."""
+    SQL_VIEWS[f"{name}_probes"] = f"""
+        SELECT p.mesh_id, sample_id, point_id, tag, x + dx * cell / 2 AS x, y + dy * cell / 2 AS y, z + dz * cell / 2 AS z FROM {source} p JOIN sdf_head USING (mesh_id),
+          (VALUES ('o', 0, 0, 0), ('x1', 1, 0, 0), ('x2', -1, 0, 0), ('y1', 0, 1, 0), ('y2', 0, -1, 0), ('z1', 0, 0, 1), ('z2', 0, 0, -1)) d(tag, dx, dy, dz)"""
+    SQL_VIEWS[f"{name}_probed"] = sampled_sql(f"{name}_probes", "sample_id, point_id, tag")
+    SQL_VIEWS[name] = f"""
+        SELECT mesh_id, sample_id, point_id, phi, CASE WHEN n > 1e-12 THEN gx / n ELSE 0 END AS gradx, CASE WHEN n > 1e-12 THEN gy / n ELSE 1 END AS grady,
+           CASE WHEN n > 1e-12 THEN gz / n ELSE 0 END AS gradz FROM (SELECT *, sqrt(gx * gx + gy * gy + gz * gz) AS n FROM (
+             SELECT mesh_id, sample_id, point_id, max(phi) FILTER (tag = 'o') AS phi, max(phi) FILTER (tag = 'x1') - max(phi) FILTER (tag = 'x2') AS gx,
+               max(phi) FILTER (tag = 'y1') - max(phi) FILTER (tag = 'y2') AS gy, max(phi) FILTER (tag = 'z1') - max(phi) FILTER (tag = 'z2') AS gz
+             FROM {name}_probed GROUP BY mesh_id, sample_id, point_id))"""
 
-@query("g9_field_samples", f"SELECT point_id, {r6('phi')} AS phi, {', '.join(f'{r6(f'grad{a}')} AS grad{a}' for a in 'xyz')} FROM graded")
+
+add_graded("graded", "posed")
+
+
+@query("g9_field_samples", f"SELECT sample_id, point_id, {r6('phi')} AS phi, {', '.join(f'{r6(f'grad{a}')} AS grad{a}' for a in 'xyz')} FROM graded")
 def _(t):
-    corners, headers = field(t)
-    found = X.field_gradient(t.points, corners, headers)
-    return found.select("point_id", *[T.fixed(F.col(c)).alias(c) for c in ("phi", "gradx", "grady", "gradz")])
+    found = X.field_gradient(posed(t), *field(t), KEYS)
+    return found.select("sample_id", "point_id", *[T.fixed(F.col(c)).alias(c) for c in ("phi", "gradx", "grady", "gradz")])
 
 
 @query("v10_toward_anchor", f"""
-    SELECT mesh_id, point_id, {", ".join(f"{r6(f'-grad{a}')} AS dir{a}" for a in "xyz")} FROM graded
-    QUALIFY row_number() OVER (PARTITION BY mesh_id ORDER BY round(phi, 9), point_id) = 1""")
+    SELECT sample_id, mesh_id, point_id, {", ".join(f"{r6(f'-grad{a}')} AS dir{a}" for a in "xyz")} FROM graded
+    QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY round(phi, 9), point_id) = 1""")
 def _(t):
-    found = X.toward_anchor(X.field_gradient(t.points, *field(t)))
-    return found.select("mesh_id", "point_id", *[T.fixed(F.col(f"dir{a}")).alias(f"dir{a}") for a in "xyz"])
+    found = X.toward_anchor(X.field_gradient(posed(t), *field(t), KEYS), KEYS)
+    return found.select("sample_id", "mesh_id", "point_id", *[T.fixed(F.col(f"dir{a}")).alias(f"dir{a}") for a in "xyz"])
 
 
 # ---- nearest surface and contact --------------------------------------------------------
 
-_PAIRS = "SELECT p.mesh_id, p.point_id, p.x, p.y, p.z, t.tri_id, " + ", ".join(f't."{c}"' for c in M.COORDS) + " FROM points p JOIN triangles t ON t.mesh_id = p.mesh_id"
-SQL_VIEWS["nearest"] = f"""
-    WITH {nearest_sql(_PAIRS)},
-      b AS (SELECT *, row_number() OVER (PARTITION BY point_id ORDER BY dist, tri_id) AS rn FROM near WHERE dist <= {REACH})
-    SELECT p.mesh_id, p.point_id, p.x, p.y, p.z, b.tri_id, b.dist, b.wx, b.wy, b.wz FROM points p LEFT JOIN b ON b.point_id = p.point_id AND rn = 1"""
+def add_nearest(name: str, source: str, cells: float) -> None:
+    """View ``<name>``: every pair of point and anchor triangle, the nearest within ``cells`` cells of the anchor's grid."""
+    pairs = f"SELECT p.mesh_id, p.sample_id, p.point_id, p.x, p.y, p.z, cell, t.tri_id, {', '.join(f't."{c}"' for c in M.COORDS)} FROM {source} p JOIN triangles t ON t.mesh_id = p.mesh_id JOIN sdf_head h ON h.mesh_id = p.mesh_id"
+    SQL_VIEWS[name] = f"""
+        WITH {nearest_sql(pairs)},
+          b AS (SELECT *, row_number() OVER (PARTITION BY sample_id, point_id ORDER BY dist, tri_id) AS rn FROM near WHERE dist <= {cells} * cell)
+        SELECT p.mesh_id, p.sample_id, p.point_id, p.x, p.y, p.z, b.tri_id, b.dist, b.wx, b.wy, b.wz
+        FROM {source} p LEFT JOIN b ON b.sample_id = p.sample_id AND b.point_id = p.point_id AND rn = 1"""
+
+
+add_nearest("nearest", "posed", X.GAP_CELLS)
 
 
-@query("j14_nearest_surface", f"SELECT point_id, coalesce(tri_id, -1) AS tri_id, {r6('coalesce(dist, -1)')} AS dist, {r6('coalesce(wx, 9)')} AS wx FROM nearest")
+@query("j14_nearest_surface", f"""
+    SELECT sample_id, point_id, coalesce(tri_id, -1) AS tri_id, {r6('coalesce(dist, -1)')} AS dist, {r6('coalesce(wx, 9)')} AS wx FROM nearest""")
 def _(t):
-    found = X.nearest_surface(t.points, t.triangles, REACH)
-    return found.select("point_id", F.coalesce("tri_id", F.lit(-1)).alias("tri_id"), T.fixed(F.coalesce("dist", F.lit(-1.0))).alias("dist"),
+    headers = V.grid_headers(t.triangles, FIELD_RESOLUTION, V.FIELD_PAD)
+    found = X.nearest_surface(cut(posed(t)), t.triangles, headers, X.GAP_CELLS, KEYS)
+    return found.select("sample_id", "point_id", F.coalesce("tri_id", F.lit(-1)).alias("tri_id"), T.fixed(F.coalesce("dist", F.lit(-1.0))).alias("dist"),
                         T.fixed(F.coalesce("wx", F.lit(9.0))).alias("wx"))
 
 
-def measured(t, known=None):
-    """Points with field value, gradient and nearest surface."""
-    graded = X.field_gradient(t.points, *(known or field(t))).drop("x", "y", "z")
-    return X.nearest_surface(t.points, t.triangles, REACH).join(graded, ["mesh_id", "point_id"])
+def gaps_sql(near: str, graded: str) -> str:
+    """Field minimum, exact distance of points less than six cells away by the field, and gap per sample."""
+    return f"""
+        SELECT sample_id, mesh_id, min(phi) AS field_min, min(dist) FILTER (phi < {X.GAP_CELLS} * cell) AS exact,
+          CASE WHEN min(phi) < 0 THEN min(phi) ELSE coalesce(min(dist) FILTER (phi < {X.GAP_CELLS} * cell), min(phi)) END AS gap
+        FROM {near} JOIN {graded} USING (mesh_id, sample_id, point_id) JOIN (SELECT mesh_id, cell FROM sdf_head) USING (mesh_id) GROUP BY sample_id, mesh_id"""
 
 
-SQL_VIEWS["gaps"] = """
-    SELECT mesh_id, min(phi) AS field_min, min(dist) AS exact, CASE WHEN min(phi) < 0 THEN min(phi) ELSE coalesce(min(dist), min(phi)) END AS gap
-    FROM nearest JOIN graded USING (mesh_id, point_id) GROUP BY mesh_id"""
+SQL_VIEWS["gaps"] = gaps_sql("nearest", "graded")
 
 
-@query("a20_minimum_gap", f"SELECT mesh_id, {r6('field_min')} AS field_min, {r6('exact')} AS exact, {r6('gap')} AS gap FROM gaps")
+@query("a20_minimum_gap", f"SELECT sample_id, mesh_id, {r6('field_min')} AS field_min, {r6('exact')} AS exact, {r6('gap')} AS gap FROM gaps")
 def _(t):
-    return X.body_gap(measured(t)).select("mesh_id", *[T.fixed(F.col(c)).alias(c) for c in ("field_min", "exact", "gap")])
+    found = X.body_gap(X.measured(posed(t), t.triangles, *field(t), KEYS), KEYS)
+    return found.select("sample_id", "mesh_id", *[T.fixed(F.col(c)).alias(c) for c in ("field_min", "exact", "gap")])
 
 
 SQL_VIEWS["moves"] = """
@@ -287,67 +356,69 @@ def after(t):
     return rows.select("mesh_id", "point_id", *[c.alias(a) for c, a in zip(placed, "xyz")], "degrees")
 
 
-SQL_VIEWS["after_phi"] = sampled_sql("after", "point_id")
+SQL_VIEWS["after_phi"] = sampled_sql("posed_after", "sample_id, point_id")
+add_nearest("after_nearest", "posed_after", X.GAP_CELLS)
+SQL_VIEWS["after_gaps"] = gaps_sql("after_nearest", "after_phi")
+SQL_VIEWS["contact_base"] = """
+    SELECT g.sample_id, g.mesh_id, g.gap / l AS gap, greatest(0, -g.field_min) / l AS depth, radius / l AS radius, fall / l AS drop_, a.gap / l AS after_,
+      drift / l AS drift, travel / l AS travel, turn, a.field_min < h.cell AS near
+    FROM gaps g JOIN after_gaps a USING (sample_id) JOIN placements p USING (sample_id)
+    JOIN (SELECT mesh_id, cell, greatest(sizex, sizey, sizez) AS l FROM sdf_head) h ON h.mesh_id = g.mesh_id
+    JOIN (SELECT sample_id, max(sqrt((x - mx) * (x - mx) + (y - my) * (y - my) + (z - mz) * (z - mz))) AS radius FROM posed JOIN (
+      SELECT sample_id, avg(x) AS mx, avg(y) AS my, avg(z) AS mz FROM posed GROUP BY sample_id) USING (sample_id) GROUP BY sample_id) r USING (sample_id)
+    JOIN (SELECT b.sample_id, sqrt((e.x - b.x) * (e.x - b.x) + (e.z - b.z) * (e.z - b.z)) AS drift FROM (
+      SELECT * FROM posed QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY y, point_id) = 1) b JOIN posed_after e USING (sample_id, point_id)) d USING (sample_id)
+    JOIN (SELECT sample_id, sqrt(slide * slide + fall * fall) AS travel FROM placements) m USING (sample_id)"""
 SQL_VIEWS["contact_qc"] = """
-    SELECT mesh_id, gap, radius, drop_, horizontal, degrees, closest, CASE WHEN gap < -radius THEN 'deep_penetration;' ELSE '' END
-      || CASE WHEN drop_ > greatest(0.35, 3 * radius) AND NOT closest < cell THEN 'dropped_far;' ELSE '' END
-      || CASE WHEN horizontal > 0.1 OR degrees > 60 THEN 'drifted;' ELSE '' END AS flags
-    FROM gaps JOIN (SELECT mesh_id, max(sqrt(dx*dx+dy*dy+dz*dz)) AS radius FROM bodies GROUP BY mesh_id) USING (mesh_id)
-    JOIN (SELECT mesh_id, any_value(-sy) AS drop_, any_value(degrees) AS degrees, any_value(abs(sx)) AS horizontal FROM moves GROUP BY mesh_id) USING (mesh_id)
-    JOIN (SELECT mesh_id, min(phi) AS closest FROM after_phi GROUP BY mesh_id) USING (mesh_id) JOIN sdf_head USING (mesh_id)"""
+    SELECT *, gap < -radius AS deep, gap >= -radius AND (drift > greatest(0.25, 1.5 * radius) OR turn > 60) AS drifted,
+      drop_ > greatest(0.35, 3 * radius) AND NOT near AS far FROM contact_base"""
 
 
-@query("v9_contact_qc", f"SELECT mesh_id, {r6('gap')} AS gap, {r6('drop_')} AS dropped, {r6('degrees')} AS rotated, flags FROM contact_qc")
+@query("v9_contact_qc", f"""
+    SELECT sample_id, mesh_id, {", ".join(f"{r6(c)} AS {c}" for c in ("gap", "depth", "radius", "drift"))}, {r6('drop_')} AS dropped,
+      {r6('CASE WHEN deep OR drifted THEN 0 ELSE travel END')} AS moved, {r6('CASE WHEN deep OR drifted THEN 0 ELSE turn END')} AS rotated,
+      {r6('CASE WHEN deep OR drifted THEN gap ELSE after_ END')} AS gap_after,
+      CASE WHEN deep THEN 'deep_penetration' WHEN drifted THEN 'drifted' WHEN far THEN 'dropped_far' ELSE '' END AS flags FROM contact_qc""")
 def _(t):
-    corners, headers = field(t)
-    end = after(t)
-    radius = M.moments(t.points, "mesh_id").select("mesh_id", "radius", "cx", "cy", "cz")
-    now = M.moments(end, "mesh_id").select("mesh_id", *[F.col(f"c{a}").alias(f"e{a}") for a in "xyz"])
-    turned = end.groupBy("mesh_id").agg(F.max("degrees").alias("degrees"))
-    closest = X.sample_field(end, corners, headers).groupBy("mesh_id").agg(F.min("phi").alias("closest"))
-    rows = X.body_gap(measured(t, (corners, headers))).join(radius, "mesh_id").join(now, "mesh_id").join(turned, "mesh_id").join(closest, "mesh_id").join(
-        headers.select("mesh_id", "cell"), "mesh_id")
-    drop = F.col("cy") - F.col("ey")
-    horizontal = F.sqrt((F.col("cx") - F.col("ex")) ** 2 + (F.col("cz") - F.col("ez")) ** 2)
-    flags = X.contact_flags(F.col("gap"), F.col("radius"), drop, F.col("closest") < F.col("cell"), horizontal, F.lit(0.1), F.col("degrees"))
-    marked = F.array_join(F.transform(flags, lambda f: F.concat(f, F.lit(";"))), "")
-    return rows.select("mesh_id", T.fixed(F.col("gap")).alias("gap"), T.fixed(drop).alias("dropped"), T.fixed(F.col("degrees")).alias("rotated"), marked.alias("flags"))
+    before = cut(posed(t))
+    turned_by = t.placements.select("sample_id", F.col("anchor_mesh").alias("mesh_id"), F.col("turn").alias("rotated"))
+    found = X.contact_table(before, cut(posed_after(t, before)), t.triangles, *field(t), turned_by, KEYS)
+    lengths = {"gap": "gap", "depth": "depth", "radius": "radius", "drift": "drift", "drop": "dropped", "moved": "moved", "rotated": "rotated", "gap_after": "gap_after"}
+    return found.select("sample_id", "mesh_id", *[T.fixed(F.col(c)).alias(name) for c, name in lengths.items()], F.array_join("flags", ";").alias("flags"))
 
 
 _GROUND = -0.6
 _NLEN = "sqrt(({x})*({x}) + ({y})*({y}) + ({z})*({z}))"
 _N = {"x": '(t."by"-t.ay)*(t.cz-t.az)-(t.bz-t.az)*(t.cy-t.ay)', "y": "(t.bz-t.az)*(t.cx-t.ax)-(t.bx-t.ax)*(t.cz-t.az)", "z": '(t.bx-t.ax)*(t.cy-t.ay)-(t."by"-t.ay)*(t.cx-t.ax)'}
-_DIRECTED = f"""
-    SELECT n.mesh_id, dist AS g FROM nearest n JOIN graded USING (mesh_id, point_id) JOIN triangles t ON t.tri_id = n.tri_id AND t.mesh_id = n.mesh_id
-    WHERE -grady <= -0.5 AND CASE WHEN dist < 0.001 THEN {_NLEN.format(**_N)} > 1e-12 AND abs({_N['y']}) >= 0.8 * {_NLEN.format(**_N)} ELSE abs(n.wy - n.y) >= 0.5 * dist END"""
-
-
-SQL_VIEWS["directed"] = _DIRECTED
+SQL_VIEWS["directed"] = f"""
+    SELECT n.sample_id, dist AS g FROM nearest n JOIN graded USING (mesh_id, sample_id, point_id) JOIN triangles t ON t.tri_id = n.tri_id AND t.mesh_id = n.mesh_id
+    JOIN sdf_head h ON h.mesh_id = n.mesh_id WHERE phi <= {X.BAND_CELLS} * h.cell AND dist <= {X.BAND_CELLS} * h.cell
+    AND -grady <= -0.5 AND CASE WHEN dist < 0.001 THEN {_NLEN.format(**_N)} > 1e-12 AND abs({_N['y']}) >= 0.8 * {_NLEN.format(**_N)} ELSE abs(n.wy - n.y) >= 0.5 * dist END"""
 
 
 @query("v11_directional_gap", f"""
-    SELECT p.mesh_id, {r6("coalesce((SELECT min(g) FROM directed d WHERE d.mesh_id = p.mesh_id), -1)")} AS gap,
-       {r6(f"least(coalesce((SELECT min(g) FROM directed d WHERE d.mesh_id = p.mesh_id), 1e9), min(p.y) - {_GROUND})")} AS with_ground FROM points p GROUP BY p.mesh_id""")
+    SELECT p.sample_id, p.mesh_id, {r6("coalesce(any_value(d.g), -1)")} AS gap, {r6(f"least(coalesce(any_value(d.g), 1e9), min(p.y) - {_GROUND})")} AS with_ground
+    FROM posed p LEFT JOIN (SELECT sample_id, min(g) AS g FROM directed GROUP BY sample_id) d USING (sample_id) GROUP BY p.sample_id, p.mesh_id""")
 def _(t):
-    rows = cut(measured(t))
+    rows = cut(X.measured(posed(t), t.triangles, *field(t), KEYS))
     down = (0.0, -1.0, 0.0)
-    free = X.directional_gap(rows, t.triangles, down)
-    floor = X.directional_gap(rows, t.triangles, down, F.lit(_GROUND)).withColumnRenamed("gap", "with_ground")
-    return free.join(floor, "mesh_id").select("mesh_id", T.fixed(F.coalesce("gap", F.lit(-1.0))).alias("gap"), T.fixed(F.col("with_ground")).alias("with_ground"))
+    free = X.directional_gap(rows, t.triangles, down, keys=KEYS)
+    floor = X.directional_gap(rows, t.triangles, down, F.lit(_GROUND), KEYS).withColumnRenamed("gap", "with_ground")
+    return free.join(floor, ["sample_id", "mesh_id"]).select(
+        "sample_id", "mesh_id", T.fixed(F.coalesce("gap", F.lit(-1.0))).alias("gap"), T.fixed(F.col("with_ground")).alias("with_ground"))
 
 
-SQL_VIEWS["shifted"] = "SELECT mesh_id, point_id, n, x, y - n * 0.1::DOUBLE AS y, z FROM points, range(4) r(n)"
-SQL_VIEWS["shifted_phi"] = sampled_sql("shifted", "point_id, n")
+SQL_VIEWS["shifted"] = "SELECT mesh_id, sample_id, point_id, n, x, y - n * 0.1::DOUBLE AS y, z FROM posed, range(4) r(n)"
+SQL_VIEWS["shifted_phi"] = sampled_sql("shifted", "sample_id, point_id, n")
 
 
 @query("v13_lowest_field", f"""
-    SELECT mesh_id, n * 0.1::DOUBLE AS t, {r6(f'min(least(phi, y - {_GROUND}))')} AS least FROM shifted_phi GROUP BY mesh_id, n""")
+    SELECT sample_id, mesh_id, n * 0.1::DOUBLE AS t, {r6(f'min(least(phi, y - {_GROUND}))')} AS least FROM shifted_phi GROUP BY sample_id, mesh_id, n""")
 def _(t):
-    corners, headers = field(t)
     steps = F.explode(F.array(*[F.lit(n * 0.1) for n in range(4)]))
-    shifts = t.points.select("mesh_id").distinct().select("mesh_id", steps.alias("t"), F.lit(0.0).alias("dx"), F.lit(-1.0).alias("dy"), F.lit(0.0).alias("dz"))
-    found = X.lowest_field(t.points, corners, headers, shifts, F.lit(_GROUND))
-    return found.select("mesh_id", (F.round(F.col("t") * 10) * 0.1).alias("t"), T.fixed(F.col("least")).alias("least"))
+    shifts = t.placements.select("sample_id", F.col("anchor_mesh").alias("mesh_id"), steps.alias("t"), F.lit(0.0).alias("dx"), F.lit(-1.0).alias("dy"), F.lit(0.0).alias("dz"))
+    found = X.lowest_field(posed(t), *field(t), shifts, F.lit(_GROUND), KEYS)
+    return found.select("sample_id", "mesh_id", (F.round(F.col("t") * 10) * 0.1).alias("t"), T.fixed(F.col("least")).alias("least"))
 
 
 @query("v14_displacement", f"""
@@ -362,8 +433,10 @@ def _(t):
        sqrt((a.x-p.x)*(a.x-p.x)+(a.z-p.z)*(a.z-p.z)) > 0.25 OR degrees > 60 AS drifted
     FROM (SELECT * FROM points QUALIFY row_number() OVER (PARTITION BY mesh_id ORDER BY y, point_id) = 1) p JOIN after a USING (mesh_id, point_id)""")
 def _(t):
-    found = X.support_drift(t.points, after(t), 0.25, F.col("degrees"))
-    return found.select("mesh_id", "point_id", T.fixed(F.col("drift")).alias("drift"), "drifted")
+    end = after(t)
+    found = X.support_drift(t.points, end).join(end.select("mesh_id", "point_id", "degrees"), ["mesh_id", "point_id"])
+    verdict = (F.col("drift") > 0.25) | (F.col("degrees") > X.ROTATION_CAP)
+    return found.select("mesh_id", "point_id", T.fixed(F.col("drift")).alias("drift"), verdict.alias("drifted"))
 
 
 # ---- lattice ----------------------------------------------------------------------------

@@ -90,6 +90,13 @@ SQL_VIEWS: dict[str, str] = {
                (l_linenumber * 10)::DOUBLE AS roll, 1 + l_discount AS scale, l_quantity / 50 AS cx,
                l_tax AS cy, l_discount AS cz, l_partkey % 10 AS mesh_id
         FROM lines WHERE l_linenumber = 2""",
+    "placements": """
+        SELECT s_suppkey AS sample_id, s_suppkey % 10 AS mesh_id, (s_suppkey * 3 + 1) % 10 AS anchor_mesh, (s_nationkey * 15)::DOUBLE AS yaw,
+               (s_suppkey % 7 * 5)::DOUBLE AS pitch, (s_suppkey % 5 * 4)::DOUBLE AS roll, (s_suppkey % 5) * 0.1::DOUBLE + 0.05::DOUBLE AS scale,
+               (s_suppkey * 7 % 11) / 11::DOUBLE - 0.5::DOUBLE AS cx, (s_suppkey * 5 % 13) / 13::DOUBLE * 2.4::DOUBLE - 0.6::DOUBLE AS cy,
+               (s_suppkey * 3 % 17) / 17::DOUBLE - 0.5::DOUBLE AS cz, (s_suppkey % 8 * 10)::DOUBLE AS turn,
+               (s_suppkey % 6) * 0.05::DOUBLE AS slide, (s_suppkey % 9) * 0.07::DOUBLE AS fall
+        FROM supplier""",
     "boxes": f"""
         SELECT p_partkey AS mesh_id, k AS tri_id,
                {", ".join(f'"{c}" * {_BOX_SIDES[i % 3]}::DOUBLE AS "{c}"' for i, c in enumerate(COORDS))}

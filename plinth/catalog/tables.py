@@ -16,8 +16,8 @@ from plinth.operators import meshes as M
 from plinth.operators import voxels as V
 from plinth.plans.dimensions import CATEGORIES, CATEGORY_IDS
 
-SOUP_RESOLUTION = 8
-BOX_RESOLUTION = 4
+SOUP_RESOLUTION = 16
+BOX_RESOLUTION = 4  # of closed boxes, one per part; soups stand for the real meshes
 
 
 class Tables:
@@ -162,6 +162,19 @@ class Tables:
             (F.col("l_partkey") % 10).alias("mesh_id"),
         )
 
+    @cached_property
+    def placements(self) -> DataFrame:
+        """A placed mesh before its anchor, another mesh, for every supplier: near, inside and far; then a turn, a slide and a fall."""
+        k = F.col("s_suppkey")
+        part = lambda factor, base: (k * factor % base) / F.lit(float(base))
+        return self.supplier.select(
+            k.alias("sample_id"), (k % 10).alias("mesh_id"), ((k * 3 + 1) % 10).alias("anchor_mesh"),
+            (F.col("s_nationkey") * 15).cast("double").alias("yaw"), (k % 7 * 5).cast("double").alias("pitch"),
+            (k % 5 * 4).cast("double").alias("roll"), (k % 5 * F.lit(0.1) + 0.05).alias("scale"),
+            (part(7, 11) - 0.5).alias("cx"), (part(5, 13) * 2.4 - 0.6).alias("cy"), (part(3, 17) - 0.5).alias("cz"),
+            (k % 8 * 10).cast("double").alias("turn"), (k % 6 * F.lit(0.05)).alias("slide"), (k % 9 * F.lit(0.07)).alias("fall"),
+        )
+
     @cached_property
     def boxes(self) -> DataFrame:
         """A closed box of twelve triangles for every part."""

@@ -81,15 +81,16 @@ def surface_area(triangles: DataFrame) -> DataFrame:
     return triangles.groupBy("mesh_id").agg(F.sum(area()).alias("area"), F.count(F.lit(1)).alias("triangles"))
 
 
-def moments(points: DataFrame, by: str) -> DataFrame:
+def moments(points: DataFrame, by: str | list[str]) -> DataFrame:
     """Centroid, radius and inertia tensor entries of a sample shell.
 
     The second pass joins back one row per body; AQE broadcasts it or splits a hot body.
     """
-    centre = points.groupBy(by).agg(*[F.avg(a).alias(f"m{a}") for a in "xyz"])
+    by = [by] if isinstance(by, str) else by
+    centre = points.groupBy(*by).agg(*[F.avg(a).alias(f"m{a}") for a in "xyz"])
     d = {a: F.col(a) - F.col(f"m{a}") for a in "xyz"}
     x, y, z = d["x"], d["y"], d["z"]
-    return points.join(centre, by).groupBy(by).agg(
+    return points.join(centre, by).groupBy(*by).agg(
         *[F.first(f"m{a}").alias(f"c{a}") for a in "xyz"],
         F.max(F.sqrt(x * x + y * y + z * z)).alias("radius"),
         F.avg(y * y + z * z).alias("ixx"), F.avg(x * x + z * z).alias("iyy"), F.avg(x * x + y * y).alias("izz"),

@@ -2,84 +2,124 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions import vectors as G
 from plinth.operators import meshes as M
 from plinth.operators.skew import salted_join
-from plinth.runtime import spread
+from plinth.runtime import cut, spread
 
+FIRST_RING = 2.0       # cells of the anchor's grid that every point looks at
+SURE = 1 + 1e-9        # a reach counts as searched only by less than rounding could move a cell
+GAP_CELLS, BAND_CELLS = 6.0, 5.0  # how far gaps and directional gaps are read off triangles
+BRICK = 8              # cells a side of a brick of the field
+SLIDE, SLIDE_SHARE = 0.25, 1.5    # horizontal travel of the support that a placement may show, and per radius
 TOUCH = 0.001          # closer than this the witness point offers no direction
 BLOCKING = 0.8         # share of a touched triangle's normal that must oppose the motion
 ROTATION_CAP = 60.0    # degrees
 EMBED_LEAST, EMBED_MOST, EMBED_SHARE = 0.02, 0.5, 0.45
 
 
-def nearest_surface(points: DataFrame, triangles: DataFrame, reach: float) -> DataFrame:
-    """Nearest triangle of the same mesh within ``reach`` of each point, with its witness point.
+def rings(cells: float, first: float = FIRST_RING) -> list[float]:
+    """Reaches of the search in cells: doubled until the last one covers ``cells``, a hair more so that it is exact."""
+    out = [first]
+    while out[-1] < cells:
+        out.append(2 * out[-1])
+    return [*out[:-1], cells * SURE]
+
+
+def _within(points: DataFrame, triangles: DataFrame, reach: Column, key: list[str]) -> DataFrame:
+    """Nearest triangle of each point, exact where it is no farther than ``reach``; farther ones may be missed.
 
-    A triangle is listed in every cell of side ``reach`` that its box, grown by ``reach``,
-    overlaps and its plane comes near to; a point lies in exactly one cell. So the distance
-    predicate becomes an equi-join on (mesh, cell), salted because one cell may be crowded on
-    both sides, and each point's candidates fold to one row. Points out of reach keep nulls.
+    A triangle is listed in every cell of side ``reach`` that its box, grown by ``reach``, overlaps and its plane comes
+    near to; a point lies in exactly one cell. So the distance predicate becomes an equi-join on (mesh, cell), and each
+    pair is tested once. Crowded cells are split by their counts, and a point's candidates fold to one row.
     """
-    side = F.lit(float(reach))
-    cell = lambda v: F.floor(v / side).cast("int")
-    listed = M.exact(spread(triangles, "mesh_id", "tri_id"), M.COORDS)
+    cell = lambda v: F.floor(v / reach).cast("int")
+    listed = triangles
     for a in "xyz":
-        low = F.least(*[F.col(v + a) for v in "abc"]) - side
-        high = F.greatest(*[F.col(v + a) for v in "abc"]) + side
+        low = F.least(*[F.col(v + a) for v in "abc"]) - reach
+        high = F.greatest(*[F.col(v + a) for v in "abc"]) + reach
         listed = listed.withColumn(f"c{a}_", F.explode(F.sequence(cell(low), cell(high))))
     normal = G.triangle_cross(*M.corners())
-    middle = tuple((F.col(f"c{a}_") + 0.5) * side for a in "xyz")
+    middle = tuple((F.col(f"c{a}_") + 0.5) * reach for a in "xyz")
     off_plane = F.abs(G.dot(normal, G.sub(middle, G.vec("a"))))
     # Half a cell diagonal (0.8661 sides) plus the reach itself.
-    listed = listed.where(off_plane <= 1.8661 * reach * G.norm(normal) + 1e-12)
-    located = M.exact(points.select("mesh_id", "point_id", "x", "y", "z"), ["x", "y", "z"]).select("*", *[cell(F.col(a)).alias(f"c{a}_") for a in "xyz"])
-    pairs = salted_join(located, listed, ["mesh_id", "cx_", "cy_", "cz_"], "point_id", "tri_id")
+    listed = listed.where(off_plane <= 1.8661 * reach * G.norm(normal) + 1e-12).drop("_h")
+    located = points.select("*", *[cell(F.col(a)).alias(f"c{a}_") for a in "xyz"]).drop("_h")
+    pairs = salted_join(located, listed, ["mesh_id", "cx_", "cy_", "cz_"], key[-1], "tri_id")
     p = G.vec("")
     near = G.with_closest(pairs, p, *M.corners())
     witness = G.blend(*M.corners(), F.col("_v"), F.col("_w"))
-    near = near.select("mesh_id", "point_id", "tri_id", "x", "y", "z", *[c.alias(f"w{a}") for c, a in zip(witness, "xyz")])
+    near = near.select(*key, "tri_id", "x", "y", "z", *[c.alias(f"w{a}") for c, a in zip(witness, "xyz")])
     near = near.withColumn("dist", G.norm(G.sub(G.vec("w"), p)))
-    # The reach test waits for the minimum: as a row filter the optimizer would inline the whole
-    # distance formula below the join.
-    best = near.groupBy("mesh_id", "point_id").agg(
-        F.min(F.struct("dist", "tri_id", "wx", "wy", "wz")).alias("b")
-    ).where(F.col("b.dist") <= reach).select("mesh_id", "point_id", "b.*")
-    return points.select("mesh_id", "point_id", "x", "y", "z").join(best, ["mesh_id", "point_id"], "left")
+    return near.groupBy(*key).agg(F.min(F.struct("dist", "tri_id", "wx", "wy", "wz")).alias("b"))
+
+
+def nearest_surface(points: DataFrame, triangles: DataFrame, grids: DataFrame, cells: float, keys: Sequence[str] = ("point_id",)) -> DataFrame:
+    """Nearest triangle of its mesh within ``cells`` grid cells of each point, with its witness point.
+
+    ``points(mesh_id, keys, x, y, z)`` are in the mesh's frame, ``grids(mesh_id, cell)`` give the length of a cell per
+    mesh. The search goes in rings: all points look as far as ``FIRST_RING`` cells, those without a sure hit look twice as
+    far, and so on; most points end in the first ring, where few triangles share a cell. Points without a triangle in
+    reach, with null coordinates or of a mesh without a grid keep nulls. Ties go to the smaller ``tri_id``.
+    """
+    key = ["mesh_id", *keys]
+    step = grids.select("mesh_id", F.col("cell").alias("_h"))
+    wanted = points.select(*key, "x", "y", "z")
+    open_ = M.exact(wanted.join(step, "mesh_id"), ["x", "y", "z"])
+    shapes = cut(M.exact(spread(triangles.select("mesh_id", "tri_id", *M.COORDS), "mesh_id", "tri_id").join(step, "mesh_id"), M.COORDS))
+    ends = rings(cells)
+    found = []
+    for end in ends:
+        met = open_.join(_within(open_, shapes, F.col("_h") * end, key), key, "left")
+        if end != ends[-1]:
+            met = cut(met)
+            sure = F.coalesce(F.col("b.dist") <= F.col("_h") * end / SURE, F.lit(False))
+            found.append(met.where(sure).select(*key, "b.*"))
+            open_ = met.where(~sure).drop("b")
+        else:
+            found.append(met.where(F.col("b.dist") <= F.col("_h") * cells).select(*key, "b.*"))
+    best = found[0]
+    for more in found[1:]:
+        best = best.unionByName(more)
+    return wanted.join(best, key, "left")
 
 
 # ---- field sampling ---------------------------------------------------------------------
 
-def corner_table(phi: DataFrame) -> DataFrame:
-    """The eight field values around each cell as one row, so that sampling is a single join."""
-    steps = [(i, j, k) for i in (0, 1) for j in (0, 1) for k in (0, 1)]
-    shift = F.explode(F.array(*[
-        F.struct(F.lit(f"{i}{j}{k}").alias("at"), F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit(k).alias("k"))
-        for i, j, k in steps
-    ]))
-    spread = phi.select("mesh_id", "x", "y", "z", "phi", shift.alias("s")).select(
-        "mesh_id", (F.col("x") - F.col("s.i")).alias("bx"), (F.col("y") - F.col("s.j")).alias("by"),
-        (F.col("z") - F.col("s.k")).alias("bz"), "s.at", "phi",
-    )
-    return spread.groupBy("mesh_id", "bx", "by", "bz").agg(
-        *[F.max(F.when(F.col("at") == f"{i}{j}{k}", F.col("phi"))).alias(f"f{i}{j}{k}") for i, j, k in steps]
+def field_bricks(phi: DataFrame, headers: DataFrame) -> DataFrame:
+    """The field as bricks: values of ``BRICK`` cells a side and one layer more, so that a sample reads one row.
+
+    Only cells on a brick's lower faces are held twice, which is 1.4 rows per cell instead of the eight that one row per
+    sample cell would take. Values lie in the order x, y, z.
+    """
+    sized = phi.join(headers.select("mesh_id", "nx", "ny", "nz"), "mesh_id")
+    for a in "xyz":
+        home, last = F.floor(F.col(a) / BRICK), F.floor((F.col(f"n{a}") - 2) / BRICK)
+        lower = F.when((F.col(a) % BRICK == 0) & (F.col(a) > 0), home - 1).otherwise(home)
+        sized = sized.withColumn(f"b{a}", F.explode(F.sequence(lower, F.least(home, last)).cast("array<int>")))
+    return sized.groupBy("mesh_id", "bx", "by", "bz").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("x", "y", "z", "phi"))), lambda v: v["phi"]).alias("values")
     )
 
 
-def sample_field(points: DataFrame, corners: DataFrame, headers: DataFrame, out: str = "phi") -> DataFrame:
+def sample_field(points: DataFrame, bricks: DataFrame, headers: DataFrame, out: str = "phi") -> DataFrame:
     """Trilinear field value at each row's ``x, y, z``; beyond the grid a safe lower bound."""
     joined = points.join(headers.select("mesh_id", "cell", "nx", "ny", "nz", "gx", "gy", "gz"), "mesh_id")
     raw = {a: (F.col(a) - F.col(f"g{a}")) / F.col("cell") - 0.5 for a in "xyz"}
     clamped = {a: F.greatest(F.lit(0.0), F.least(raw[a], F.col(f"n{a}") - 1.001)) for a in "xyz"}
     outside = F.sqrt(sum(((raw[a] - clamped[a]) * F.col("cell")) ** 2 for a in "xyz"))
     based = joined.withColumns({**{f"u{a}": clamped[a] for a in "xyz"}, "_outside": outside}).withColumns(
-        {f"b{a}": F.floor(f"u{a}").cast("int") for a in "xyz"}
+        {f"b{a}": F.floor(F.col(f"u{a}") / BRICK).cast("int") for a in "xyz"}
     )
-    met = based.join(corners, ["mesh_id", "bx", "by", "bz"])
-    frac = {a: F.col(f"u{a}") - F.col(f"b{a}") for a in "xyz"}
+    met = based.join(bricks, ["mesh_id", "bx", "by", "bz"])
+    low = {a: (F.floor(f"u{a}") - F.col(f"b{a}") * BRICK).cast("int") for a in "xyz"}
+    side = {a: F.least(F.lit(BRICK + 1), F.col(f"n{a}") - F.col(f"b{a}") * BRICK) for a in "yz"}
+    frac = {a: F.col(f"u{a}") - F.floor(f"u{a}") for a in "xyz"}
 
     def weight(a: str, bit: int) -> Column:
         return frac[a] if bit else 1 - frac[a]
@@ -88,7 +128,8 @@ def sample_field(points: DataFrame, corners: DataFrame, headers: DataFrame, out:
     for i in (0, 1):
         for j in (0, 1):
             for k in (0, 1):
-                value = value + F.col(f"f{i}{j}{k}") * weight("x", i) * weight("y", j) * weight("z", k)
+                at = ((low["x"] + i) * side["y"] + low["y"] + j) * side["z"] + low["z"] + k
+                value = value + F.get("values", at) * weight("x", i) * weight("y", j) * weight("z", k)
     inside = met.withColumn("_value", value)
     result = F.when(
         F.col("_outside") > 0, F.greatest(F.col("_outside"), F.col("_value") - F.col("_outside"))
@@ -96,43 +137,44 @@ def sample_field(points: DataFrame, corners: DataFrame, headers: DataFrame, out:
     return inside.withColumn(out, result).select(*points.columns, out)
 
 
-def field_gradient(points: DataFrame, corners: DataFrame, headers: DataFrame) -> DataFrame:
+def field_gradient(points: DataFrame, bricks: DataFrame, headers: DataFrame, keys: Sequence[str] = ("point_id",)) -> DataFrame:
     """``points`` with the field value and its unit central-difference gradient (+Y when flat)."""
-    keys = ["mesh_id", "point_id"]
+    key = ["mesh_id", *keys]
     probes = [("o", None, 0)] + [(f"{a}{s}", a, s) for a in "xyz" for s in (1, -1)]
     tag = F.explode(F.array(*[
         F.struct(F.lit(name).alias("tag"), *[F.lit(0.5 * s if axis == a else 0.0).alias(f"d{a}") for a in "xyz"])
         for name, axis, s in probes
     ]))
     step = headers.select("mesh_id", F.col("cell").alias("_h"))
-    moved = points.select(*keys, "x", "y", "z", tag.alias("t")).join(step, "mesh_id").select(
-        *keys, F.col("t.tag").alias("tag"), *[(F.col(a) + F.col(f"t.d{a}") * F.col("_h")).alias(a) for a in "xyz"]
+    moved = points.select(*key, "x", "y", "z", tag.alias("t")).join(step, "mesh_id").select(
+        *key, F.col("t.tag").alias("tag"), *[(F.col(a) + F.col(f"t.d{a}") * F.col("_h")).alias(a) for a in "xyz"]
     )
-    sampled = sample_field(moved, corners, headers)
+    sampled = sample_field(moved, bricks, headers)
     at = lambda name: F.max(F.when(F.col("tag") == name, F.col("phi")))
-    wide = sampled.groupBy(*keys).agg(
+    wide = sampled.groupBy(*key).agg(
         at("o").alias("phi"), *[(at(f"{a}1") - at(f"{a}-1")).alias(f"g{a}_") for a in "xyz"]
     )
     g = tuple(F.col(f"g{a}_") for a in "xyz")
     length = G.norm(g)
     flat = {"x": 0.0, "y": 1.0, "z": 0.0}
     unit = [F.when(length > 1e-12, c / length).otherwise(flat[a]).alias(f"grad{a}") for c, a in zip(g, "xyz")]
-    return points.join(wide.select(*keys, "phi", *unit), keys)
+    return points.join(wide.select(*key, "phi", *unit), key)
 
 
-def lowest_field(points: DataFrame, corners: DataFrame, headers: DataFrame, shifts: DataFrame,
-                 ground: Column | None = None) -> DataFrame:
-    """Least field value of each mesh's points moved by ``t`` along ``dx, dy, dz``, per shift row.
+def lowest_field(points: DataFrame, bricks: DataFrame, headers: DataFrame, shifts: DataFrame,
+                 ground: Column | None = None, keys: Sequence[str] = ("point_id",)) -> DataFrame:
+    """Least field value of each body's points moved by ``t`` along ``dx, dy, dz``, per shift row.
 
-    ``shifts(mesh_id, t, dx, dy, dz)`` is a short list per mesh; with ``ground`` the height above
-    that plane also counts.
+    ``shifts(body, t, dx, dy, dz)`` is a short list per body, where ``body`` is mesh_id and all ``keys`` but the last;
+    with ``ground`` the height above that plane also counts.
     """
-    moved = points.select("mesh_id", "point_id", "x", "y", "z").join(shifts, "mesh_id").select(
-        "mesh_id", "point_id", "t", *[(F.col(a) + F.col(f"d{a}") * F.col("t")).alias(a) for a in "xyz"]
+    body = ["mesh_id", *keys[:-1]]
+    moved = points.select("mesh_id", *keys, "x", "y", "z").join(shifts, body).select(
+        "mesh_id", *keys, "t", *[(F.col(a) + F.col(f"d{a}") * F.col("t")).alias(a) for a in "xyz"]
     )
-    sampled = sample_field(moved, corners, headers)
+    sampled = sample_field(moved, bricks, headers)
     value = F.col("phi") if ground is None else F.least(F.col("phi"), F.col("y") - ground)
-    return sampled.groupBy("mesh_id", "t").agg(F.min(value).alias("least"))
+    return sampled.groupBy(*body, "t").agg(F.min(value).alias("least"))
 
 
 def embed_points(points: DataFrame, nodes: DataFrame, headers: DataFrame, radius: int = 3) -> DataFrame:
@@ -190,57 +232,107 @@ def embed_points(points: DataFrame, nodes: DataFrame, headers: DataFrame, radius
 
 
 # ---- contact measures -------------------------------------------------------------------
+#
+# A body is a set of points in the frame of its anchor ``mesh_id``; ``keys`` name its points, all but the last also the
+# body. Many bodies share an anchor, whose triangles and field are built once.
+
+def measured(points: DataFrame, triangles: DataFrame, bricks: DataFrame, headers: DataFrame, keys: Sequence[str] = ("point_id",),
+             cells: float = GAP_CELLS) -> DataFrame:
+    """Points with field value, gradient, the anchor's ``cell`` and their nearest surface within ``cells`` cells.
+
+    Only points whose field value is below that reach look for triangles.
+    """
+    graded = cut(field_gradient(points, bricks, headers, keys).join(headers.select("mesh_id", "cell"), "mesh_id"))
+    near = nearest_surface(graded.where(F.col("phi") < cells * F.col("cell")), triangles, headers, cells, keys)
+    return graded.join(near.drop("x", "y", "z"), ["mesh_id", *keys], "left")
+
 
-def body_gap(measured: DataFrame) -> DataFrame:
-    """Gap per body from rows ``(mesh_id, phi, dist)``: penetration if any, else exact distance."""
-    least = measured.groupBy("mesh_id").agg(F.min("phi").alias("field_min"), F.min("dist").alias("exact"))
+def body_gap(rows: DataFrame, keys: Sequence[str] = ("point_id",)) -> DataFrame:
+    """Gap per body from rows with ``phi`` and ``dist``: penetration if any, else exact distance, else the field's."""
+    least = rows.groupBy("mesh_id", *keys[:-1]).agg(F.min("phi").alias("field_min"), F.min("dist").alias("exact"))
     gap = F.when(F.col("field_min") < 0, F.col("field_min")).otherwise(F.coalesce("exact", "field_min"))
     return least.withColumn("gap", gap)
 
 
-def contact_flags(gap: Column, radius: Column, drop: Column, near: Column, horizontal: Column,
-                  budget: Column, rotated: Column) -> Column:
-    """The quality flags of one placement; lengths are in units of the anchor's longest side."""
-    tests = [
-        ("deep_penetration", gap < -radius),
-        ("dropped_far", (drop > F.greatest(F.lit(0.35), 3 * radius)) & ~near),
-        ("drifted", (horizontal > budget) | (rotated > ROTATION_CAP)),
-    ]
-    return F.array_compact(F.array(*[F.when(test, name) for name, test in tests]))
+def contact_table(before: DataFrame, after: DataFrame, triangles: DataFrame, bricks: DataFrame, headers: DataFrame,
+                  turned: DataFrame, keys: Sequence[str] = ("sample_id", "point_id")) -> DataFrame:
+    """Quality of each body's move from ``before`` to ``after`` (the same points): one row per body.
+
+    All lengths are shares of the anchor's longest side. ``gap`` and ``gap_after`` are signed, ``depth`` is how far the
+    body starts inside; ``drop`` and ``moved`` are travel of its centroid, ``drift`` is the horizontal travel of the point
+    that was lowest; ``turned(body, rotated)`` gives degrees. Flags: ``deep_penetration`` of a body more than half buried,
+    ``drifted`` beyond ``SLIDE`` or the rotation cap, ``dropped_far`` after a long fall that ends away from the anchor.
+    The first two refuse the move: such bodies keep their gap and count as unmoved.
+    """
+    body = ["mesh_id", *keys[:-1]]
+    longest = headers.select("mesh_id", F.greatest("sizex", "sizey", "sizez").alias("_l"), "cell")
+    start = M.moments(before, body).select(*body, "radius", *[F.col(f"c{a}").alias(f"s{a}") for a in "xyz"])
+    end = after.groupBy(*body).agg(*[F.avg(a).alias(f"e{a}") for a in "xyz"])
+    gap = body_gap(measured(before, triangles, bricks, headers, keys), keys).select(*body, "field_min", "gap")
+    then = body_gap(measured(after, triangles, bricks, headers, keys), keys).select(
+        *body, F.col("gap").alias("_after"), F.col("field_min").alias("_closest"))
+    slide = support_drift(before, after, keys).select(*body, "drift")
+    rows = gap.join(then, body).join(start, body).join(end, body).join(slide, body).join(turned, body).join(longest, "mesh_id")
+    share = lambda c: c / F.col("_l")
+    travel = G.norm(tuple(F.col(f"e{a}") - F.col(f"s{a}") for a in "xyz"))
+    placed = rows.select(
+        *body, share(F.col("gap")).alias("gap"), share(F.greatest(F.lit(0.0), -F.col("field_min"))).alias("depth"),
+        share(F.col("radius")).alias("radius"), share(F.col("sy") - F.col("ey")).alias("drop"), share(F.col("drift")).alias("drift"),
+        share(travel).alias("_moved"), share(F.col("_after")).alias("_after"), "rotated",
+        (F.col("_closest") < F.col("cell")).alias("_near"),
+    )
+    deep, drifted, far = contact_tests(
+        F.col("gap"), F.col("radius"), F.col("drop"), F.col("_near"), F.col("drift"),
+        F.greatest(F.lit(SLIDE), SLIDE_SHARE * F.col("radius")), F.col("rotated"))
+    refused = deep | drifted
+    flags = F.array_compact(F.array(F.when(deep, "deep_penetration"), F.when(~deep & drifted, "drifted"), F.when(~refused & far, "dropped_far")))
+    return placed.select(
+        *body, "gap", "depth", "radius", "drop", "drift", F.when(refused, 0.0).otherwise(F.col("_moved")).alias("moved"),
+        F.when(refused, 0.0).otherwise(F.col("rotated")).alias("rotated"),
+        F.when(refused, F.col("gap")).otherwise(F.col("_after")).alias("gap_after"), flags.alias("flags"),
+    )
 
 
-def toward_anchor(points: DataFrame) -> DataFrame:
+def contact_tests(gap: Column, radius: Column, drop: Column, near: Column, drift: Column, budget: Column, rotated: Column) -> list[Column]:
+    """Deep penetration, drift and a far drop of one placement; lengths are in units of the anchor's longest side."""
+    return [gap < -radius, (drift > budget) | (rotated > ROTATION_CAP), (drop > F.greatest(F.lit(0.35), 3 * radius)) & ~near]
+
+
+def toward_anchor(points: DataFrame, keys: Sequence[str] = ("point_id",)) -> DataFrame:
     """Direction from each body's closest sample toward the anchor: minus the field gradient."""
     # Samples in the same cell layer differ by rounding only, so near ties go to the lowest id.
-    rest = F.struct(F.round("phi", 9).alias("_phi"), "point_id", "phi", "gradx", "grady", "gradz")
-    best = points.groupBy("mesh_id").agg(F.min(rest).alias("b")).select("mesh_id", "b.*")
+    point, body = keys[-1], ["mesh_id", *keys[:-1]]
+    rest = F.struct(F.round("phi", 9).alias("_phi"), point, "phi", "gradx", "grady", "gradz")
+    best = points.groupBy(*body).agg(F.min(rest).alias("b")).select(*body, "b.*")
     return best.select(
-        "mesh_id", "point_id", "phi",
+        *body, point, "phi",
         *[c.alias(f"dir{a}") for c, a in zip(G.unit(tuple(-F.col(f"grad{a}") for a in "xyz")), "xyz")],
     )
 
 
-def directional_gap(points: DataFrame, triangles: DataFrame, direction: tuple[float, float, float],
-                    ground: Column | None = None) -> DataFrame:
-    """Distance left along ``direction`` per body; null when nothing ahead is within reach.
+def directional_gap(points: DataFrame, triangles: DataFrame, direction: tuple[float, float, float], ground: Column | None = None,
+                    keys: Sequence[str] = ("point_id",), band: float = BAND_CELLS) -> DataFrame:
+    """Distance left along ``direction`` per body; null when nothing ahead is within ``band`` cells.
 
-    ``points`` carry gradient and nearest-surface columns. A sample counts when its surface faces
-    the motion and its witness lies along the motion; a touching triangle must oppose it squarely.
+    ``points`` come from ``measured`` with at least that reach. A sample counts when its field value is at most the band,
+    its surface faces the motion and its witness lies along the motion; a touching triangle must oppose it squarely.
     """
+    body = ["mesh_id", *keys[:-1]]
     d = G.literal(direction)
-    facing = G.dot(G.vec("grad"), d) <= -0.5
+    reach = band * F.col("cell")
+    facing = (F.col("phi") <= reach) & (F.col("dist") <= reach) & (G.dot(G.vec("grad"), d) <= -0.5)
     shapes = triangles.select("mesh_id", "tri_id", *M.COORDS)
-    met = points.where(facing & F.col("tri_id").isNotNull()).join(shapes, ["mesh_id", "tri_id"])
+    met = points.where(facing).join(shapes, ["mesh_id", "tri_id"])
     normal = G.triangle_cross(*M.corners())
     length = G.norm(normal)
     blocking = (length > 1e-12) & (F.abs(G.dot(normal, d)) >= BLOCKING * length)
     along = G.dot(G.sub(G.vec("w"), G.vec("")), d)
     counts = F.when(F.col("dist") < TOUCH, blocking).otherwise(F.abs(along) >= 0.5 * F.col("dist"))
-    gaps = met.where(counts).select("mesh_id", F.col("dist").alias("g"))
+    gaps = met.where(counts).select(*body, F.col("dist").alias("g"))
     if ground is not None and direction[1] < -0.5:
-        gaps = gaps.unionByName(points.select("mesh_id", (F.col("y") - ground).alias("g")))
-    found = gaps.groupBy("mesh_id").agg(F.min("g").alias("gap"))
-    return points.select("mesh_id").distinct().join(found, "mesh_id", "left")
+        gaps = gaps.unionByName(points.select(*body, (F.col("y") - ground).alias("g")))
+    found = gaps.groupBy(*body).agg(F.min("g").alias("gap"))
+    return points.select(*body).distinct().join(found, body, "left")
 
 
 def embed_depth(points: DataFrame, direction: G.Vec, fraction: Column) -> DataFrame:
@@ -263,13 +355,11 @@ def displacement(before: DataFrame, after: DataFrame) -> DataFrame:
     )
 
 
-def support_drift(before: DataFrame, after: DataFrame, budget: float, rotated: Column) -> DataFrame:
-    """Horizontal travel of the point that was lowest, with the slide and topple verdict."""
-    pivot = before.groupBy("mesh_id").agg(F.min(F.struct("y", "point_id", "x", "z")).alias("p"))
-    start = pivot.select("mesh_id", "p.point_id", "p.x", "p.z")
-    now = after.select("mesh_id", "point_id", F.col("x").alias("x2"), F.col("z").alias("z2"), rotated.alias("rotated"))
+def support_drift(before: DataFrame, after: DataFrame, keys: Sequence[str] = ("point_id",)) -> DataFrame:
+    """Horizontal travel ``drift`` of the point of each body that was lowest (ties: the smaller id)."""
+    body, point = ["mesh_id", *keys[:-1]], keys[-1]
+    pivot = before.groupBy(*body).agg(F.min(F.struct("y", point, "x", "z")).alias("p"))
+    start = pivot.select(*body, f"p.{point}", "p.x", "p.z")
+    now = after.select(*body, point, F.col("x").alias("x2"), F.col("z").alias("z2"))
     drift = F.sqrt((F.col("x2") - F.col("x")) ** 2 + (F.col("z2") - F.col("z")) ** 2)
-    return start.join(now, ["mesh_id", "point_id"]).select(
-        "mesh_id", "point_id", drift.alias("drift"), "rotated",
-        ((drift > budget) | (F.col("rotated") > ROTATION_CAP)).alias("drifted"),
-    )
+    return start.join(now, [*body, point]).select(*body, point, drift.alias("drift"))

@@ -7,17 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+BLOCK = 4096  # rows of one side that meet in one place
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tie: str, right_tie: str,
-                salts: int = 4) -> DataFrame:
-    """Inner equi-join that splits every key into ``salts`` x ``salts`` blocks.
 
-    Each side is replicated ``salts`` times, so a key holding a third of all rows is worked on by
-    ``salts**2`` tasks. Whether a side is small enough to broadcast is left to AQE, which decides
-    on measured sizes.
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_tie: str, right_tie: str, block: int = BLOCK) -> DataFrame:
+    """Inner equi-join that deals the pairs of a hot key to many tasks.
+
+    Rows per key are counted on both sides. Where a key makes more than ``block`` squared pairs, each side is split into
+    parts of about ``block`` rows by a hash of its tie column, and rows are repeated once per part of the other side.
+    All other keys, usually every one, are joined without a copy. Both inputs are read twice, the first time for counts only.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    mine = lambda tie: F.pmod(F.xxhash64(tie), F.lit(salts)).cast("int")
-    a = left.withColumn("_l", mine(left_tie)).withColumn("_r", every)
-    b = right.withColumn("_r", mine(right_tie)).withColumn("_l", every)
-    return a.join(b, [*on, "_l", "_r"]).drop("_l", "_r")
+    on = list(on)
+    sizes = lambda df, name: df.groupBy(*on).agg(F.count(F.lit(1)).alias(name))
+    hot = sizes(left, "_n").join(sizes(right, "_m"), on).where(F.col("_n") * F.col("_m") > block * block).select(
+        *on, F.ceil(F.col("_n") / block).cast("int").alias("_ln"), F.ceil(F.col("_m") / block).cast("int").alias("_rn"))
+
+    def dealt(df: DataFrame, tie: str, own: str, other: str) -> DataFrame:
+        parts = F.coalesce(F.col(f"{own}n"), F.lit(1))
+        copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(f"{other}n"), F.lit(1)) - 1))
+        return df.join(hot, on, "left").withColumn(own, F.pmod(F.xxhash64(tie), parts).cast("int")).withColumn(other, copies).drop("_ln", "_rn")
+
+    return dealt(left, left_tie, "_l", "_r").join(dealt(right, right_tie, "_r", "_l"), [*on, "_l", "_r"]).drop("_l", "_r")

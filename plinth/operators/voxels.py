@@ -1,8 +1,8 @@
 """Voxel grids over triangle tables: headers, rasterisation, fill, blocks, distance fields.
 
-A grid is sparse: ``cells(mesh_id, x, y, z)`` plus one header row per mesh. Everything keyed by
-mesh alone is bounded by the grid (at most ``resolution`` cells a side, 128 in practice), never
-by the number of triangles: those are reduced to distinct cells before they meet.
+A grid is sparse: ``cells(mesh_id, x, y, z)`` or runs of cells along x, plus one header row per mesh. Triangles are reduced
+to distinct cells before they meet. A group is a line or a slab of a grid (at most ``resolution`` cells a side, 128 in
+practice); no row or task holds a whole grid.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.functions import vectors as G
 from plinth.operators import meshes as M
-from plinth.runtime import spread
+from plinth.operators.components import GROUND, grounded_labels
+from plinth.runtime import cut, spread
 
 SAMPLES_PER_CELL = 2
 SUBDIVISION = 3
@@ -54,27 +55,26 @@ def subdivide(headers: DataFrame, parts: int) -> DataFrame:
 def surface_cells(triangles: DataFrame, headers: DataFrame) -> DataFrame:
     """Distinct cells touched by a half-cell barycentric lattice over every triangle.
 
-    A triangle's lattice is bounded by the resolution (its edges fit in the grid), samples are
-    produced by two generators and collapse in the map-side half of ``distinct``, so only
-    distinct cells per task are shuffled.
+    A triangle's lattice is bounded by the resolution (its edges fit in the grid). Along a line of the lattice only the
+    points that enter another cell become rows; the others go within compiled code, before anything is hashed or shuffled.
     """
     a, b, c = M.corners()
     u, v = G.sub(b, a), G.sub(c, a)
     longest = F.greatest(G.norm(u), G.norm(v), G.norm(G.sub(v, u)))
     steps = F.greatest(F.lit(1), F.ceil(longest / (F.col("cell") / SAMPLES_PER_CELL))).cast("int")
     grid = headers.select("mesh_id", "cell", "nx", "ny", "nz", "gx", "gy", "gz")
-    joined = spread(triangles, "mesh_id", "tri_id").join(grid, "mesh_id")
-    lattice = (
-        joined.withColumn("n", steps)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"))))
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("i"))))
-    )
-    s, t = F.col("i") / F.col("n"), F.col("j") / F.col("n")
-    point = G.add(G.add(a, G.scaled(u, s)), G.scaled(v, t))
-    return lattice.select(
-        "mesh_id",
-        *[clamped_cell(p, axis).alias(axis) for p, axis in zip(point, "xyz")],
-    ).distinct()
+    joined = spread(triangles, "mesh_id", "tri_id").join(grid, "mesh_id").withColumn("n", steps)
+    lines = joined.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n"))))
+    start = G.add(a, G.scaled(u, F.col("i") / F.col("n")))
+    lines = lines.select(*grid.columns, "n", "i", *[p.alias(f"s{axis}") for p, axis in zip(start, "xyz")], *[d.alias(f"d{axis}") for d, axis in zip(v, "xyz")])
+    lattice = lines.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("n") - F.col("i"))))
+
+    def cell(j: Column) -> list[Column]:
+        return [clamped_cell(p, axis) for p, axis in zip(G.add(G.vec("s"), G.scaled(G.vec("d"), j / F.col("n"))), "xyz")]
+
+    here, before = cell(F.col("j")), cell(F.col("j") - 1)
+    enters = (F.col("j") == 0) | (here[0] != before[0]) | (here[1] != before[1]) | (here[2] != before[2])
+    return lattice.where(enters).select("mesh_id", *[c.alias(axis) for c, axis in zip(here, "xyz")]).distinct()
 
 
 def cell_index(value: Column, axis: str) -> Column:
@@ -85,67 +85,67 @@ def clamped_cell(value: Column, axis: str) -> Column:
     return F.least(F.col(f"n{axis}") - 1, F.greatest(F.lit(0), cell_index(value, axis))).cast("int")
 
 
-def _solid(surface: np.ndarray, shape: tuple[int, int, int]) -> np.ndarray:
-    """Flat indices of the cells of one grid that the empty border cannot reach through faces."""
-    padded = tuple(n + 2 for n in shape)  # a free layer around the grid joins all border cells
-    blocked = np.zeros(padded, dtype=bool)
-    inner = (slice(1, -1),) * 3
-    wall = np.zeros(shape, dtype=bool)
-    wall.reshape(-1)[surface] = True
-    blocked[inner] = wall
-    reached = np.ones(padded, dtype=bool)
-    reached[inner] = False
-    while True:
-        grown = reached.copy()
-        for axis in range(3):
-            low = tuple(slice(None, -1) if a == axis else slice(None) for a in range(3))
-            high = tuple(slice(1, None) if a == axis else slice(None) for a in range(3))
-            grown[high] |= reached[low]
-            grown[low] |= reached[high]
-        grown &= ~blocked
-        if (grown == reached).all():
-            return np.flatnonzero(~reached[inner].reshape(-1)).astype(np.int32)
-        reached = grown
-
-
-def _fill(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        solid = [
-            _solid(np.asarray(cells), (nx, ny, nz))
-            for cells, nx, ny, nz in zip(frame["cells"], frame["nx"], frame["ny"], frame["nz"])
-        ]
-        yield frame[["mesh_id", "ny", "nz"]].assign(cells=solid)
+def filled_runs(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    """Surface plus enclosed cells (6-connected outside-in fill) as disjoint runs ``mesh_id, y, z, x0, x1`` along x.
+
+    Only a gap between two surface cells of a grid line can be enclosed; all other empty cells reach the border along
+    their line. Gaps that overlap in neighbouring lines are connected; one is a seed if it lies in a border line or if a
+    neighbouring line is open somewhere beside it. Components that hold a seed are outside. No step holds a whole grid.
+    """
+    line = ["mesh_id", "y", "z"]
+    before = F.lag("x").over(Window.partitionBy(*line).orderBy("x"))
+    gaps = cut(
+        cells.withColumn("_before", before).where(F.col("x") - F.col("_before") > 1)
+        .join(headers.select("mesh_id", "nx", "ny", "nz"), "mesh_id")
+        .select(
+            *line, (F.col("_before") + 1).alias("x0"), (F.col("x") - 1).alias("x1"),
+            ((F.col("y").cast("long") * F.col("nz") + F.col("z")) * F.col("nx") + F.col("_before") + 1).alias("id"),
+            ((F.col("y") == 0) | (F.col("z") == 0) | (F.col("y") == F.col("ny") - 1) | (F.col("z") == F.col("nz") - 1)).alias("edge"),
+        )
+    )
+    spans = cells.groupBy(*line).agg(F.min("x").alias("first"), F.max("x").alias("last"))
+    steps = lambda pairs: F.explode(F.array(*[F.struct(F.lit(p).alias("dy"), F.lit(q).alias("dz")) for p, q in pairs]))
+
+    def beside(pairs) -> DataFrame:
+        moved = gaps.withColumn("s", steps(pairs))
+        return moved.select("mesh_id", (F.col("y") + F.col("s.dy")).alias("y"), (F.col("z") + F.col("s.dz")).alias("z"),
+                            F.col("x0").alias("a0"), F.col("x1").alias("a1"), F.col("id").alias("a"), F.col("edge").alias("_edge"))
+
+    shut = F.coalesce((F.col("first") <= F.col("a0")) & (F.col("a1") <= F.col("last")), F.lit(False))
+    nodes = beside([(1, 0), (-1, 0), (0, 1), (0, -1)]).join(spans, line, "left").groupBy("mesh_id", F.col("a").alias("id")).agg(
+        F.max(F.col("_edge") | ~shut).alias("seed"))
+    edges = beside([(1, 0), (0, 1)]).join(gaps, line).where("a0 <= x1 AND x0 <= a1").select("mesh_id", "a", F.col("id").alias("b"))
+    labels = grounded_labels(nodes, edges, ["mesh_id"])
+    held = gaps.join(labels, ["mesh_id", "id"]).where(F.col("label") != GROUND).select(*line, "x0", "x1")
+    return cells.select(*line, F.col("x").alias("x0"), F.col("x").alias("x1")).unionByName(held)
+
+
+def run_cells(found: DataFrame) -> DataFrame:
+    """Cells of runs along x."""
+    return found.select("mesh_id", F.explode(F.sequence("x0", "x1")).alias("x"), "y", "z")
 
 
 def filled_cells(cells: DataFrame, headers: DataFrame) -> DataFrame:
-    """Surface plus enclosed cells (6-connected outside-in fill).
+    """The cells of ``filled_runs``."""
+    return run_cells(filled_runs(cells, headers))
 
-    A mesh's distinct surface cells travel as one array of flat indices: one shuffle by mesh, one
-    row per grid, bounded by the resolution, so no iteration across the cluster is needed.
-    """
-    sized = cells.join(headers.select("mesh_id", "nx", "ny", "nz"), "mesh_id")
-    index = (F.col("x") * F.col("ny") + F.col("y")) * F.col("nz") + F.col("z")
-    packed = spread(sized, "mesh_id").groupBy("mesh_id").agg(
-        F.collect_list(index).alias("cells"), *[F.first(n).alias(n) for n in ("nx", "ny", "nz")]
-    )
-    filled = packed.mapInPandas(_fill, "mesh_id long, ny int, nz int, cells array<int>")
-    return filled.select("mesh_id", "ny", "nz", F.explode("cells").alias("cell")).select(
-        "mesh_id", F.expr("cell div (ny * nz)").cast("int").alias("x"),
-        F.expr("cell div nz % ny").cast("int").alias("y"), F.expr("cell % nz").alias("z"),
-    )
 
+def downsample(found: DataFrame, parts: int = SUBDIVISION, min_fill: float = MIN_FILL) -> DataFrame:
+    """Coarse cells whose filled share of sub-cells exceeds ``min_fill``, from disjoint fine runs along x.
 
-def downsample(fine: DataFrame, parts: int = SUBDIVISION, min_fill: float = MIN_FILL) -> DataFrame:
-    """Coarse cells whose filled share of sub-cells exceeds ``min_fill``."""
+    A run counts once per coarse cell it passes, with the number of sub-cells it fills there.
+    """
     least = int(parts**3 * min_fill) + 1
-    coarse = [F.floor(F.col(a) / parts).cast("int").alias(a) for a in "xyz"]
-    return fine.groupBy("mesh_id", *coarse).count().where(F.col("count") >= least).drop("count")
+    over = lambda c: F.floor(F.col(c) / parts).cast("int")
+    passed = found.select("mesh_id", over("y").alias("y"), over("z").alias("z"), "x0", "x1", F.explode(F.sequence(over("x0"), over("x1"))).alias("x"))
+    held = F.least(F.col("x1"), (F.col("x") + 1) * parts - 1) - F.greatest(F.col("x0"), F.col("x") * parts) + 1
+    return passed.groupBy("mesh_id", "x", "y", "z").agg(F.sum(held).alias("_held")).where(F.col("_held") >= least).drop("_held")
 
 
 def solid_cells(triangles: DataFrame, headers: DataFrame) -> DataFrame:
     """Rasterise on the subdivided grid, fill, then downsample."""
     fine = subdivide(headers, SUBDIVISION)
-    return downsample(filled_cells(surface_cells(triangles, fine), fine))
+    return downsample(filled_runs(surface_cells(triangles, fine), fine))
 
 
 # ---- runs and blocks --------------------------------------------------------------------
@@ -168,19 +168,26 @@ AXIS_ORDERS = ["xyz", "xzy", "yxz", "yzx", "zxy", "zyx"]
 def blocks(cells: DataFrame) -> DataFrame:
     """Disjoint boxes that cover the cells exactly, largest first.
 
-    Cells merge to runs along the first axis of an order, equal runs to slabs along the second,
-    equal slabs to boxes along the third. All six orders are tried and the one with fewest boxes
-    wins per mesh. The cells are shuffled once by (mesh, order); every window and group after
-    that reuses the partitioning. Bounds are half-open: ``x0 <= x < x1``.
+    Cells merge to runs along the first axis of an order, equal runs to slabs along the second, equal slabs to boxes along
+    the third. All six orders are tried and the one with fewest boxes wins per mesh. Two orders share each first axis, so
+    a cell is read three times and only its runs, which are far fewer, six times. Bounds are half-open: ``x0 <= x < x1``.
     """
-    orders = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("ord"), *[F.col(axis).alias(n) for axis, n in zip(order, "pqr")])
-        for k, order in enumerate(AXIS_ORDERS)
+    number = {order: k for k, order in enumerate(AXIS_ORDERS)}
+    first = F.explode(F.array(*[
+        F.struct(F.lit(axis).alias("first"), *[F.col(a).alias(n) for a, n in zip([axis, *[o for o in "xyz" if o != axis]], "puv")]) for axis in "xyz"
     ]))
+    copies = spread(cells.select("mesh_id", first.alias("o")).select("mesh_id", "o.*"), "mesh_id", "first", "u")
+    lines = runs(copies, "p", ["mesh_id", "first", "u", "v"], "p0", "p1")
+    ways = []
+    for axis in "xyz":
+        u, v = (o for o in "xyz" if o != axis)
+        ways += [(axis, number[axis + u + v], "u", "v"), (axis, number[axis + v + u], "v", "u")]
+    second = F.explode(F.filter(F.array(*[
+        F.struct(F.lit(axis).alias("first"), F.lit(k).alias("ord"), F.col(q).alias("q"), F.col(r).alias("r")) for axis, k, q, r in ways
+    ]), lambda w: w["first"] == F.col("first")))
     key = ["mesh_id", "ord"]
-    tried = spread(cells.select("mesh_id", orders.alias("o")).select("mesh_id", "o.*"), *key)
-    lines = runs(tried, "p", [*key, "q", "r"], "p0", "p1")
-    slabs = runs(lines, "q", [*key, "r", "p0", "p1"], "q0", "q1")
+    tried = spread(lines.select("mesh_id", "p0", "p1", second.alias("w")).select("mesh_id", "w.ord", "w.q", "w.r", "p0", "p1"), *key)
+    slabs = runs(tried, "q", [*key, "r", "p0", "p1"], "q0", "q1")
     boxes = runs(slabs, "r", [*key, "p0", "p1", "q0", "q1"], "r0", "r1")
     sized = boxes.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
     best = Window.partitionBy("mesh_id")
@@ -234,62 +241,141 @@ def world_blocks(boxes: DataFrame, headers: DataFrame) -> DataFrame:
 
 # ---- signed distance field --------------------------------------------------------------
 
-def _spread(line: str) -> Column:
-    """One separable pass: squared distance along a line, ``min over p of (q - p)^2 + f[p]``."""
-    return F.expr(
-        f"transform({line}, (f, q) -> array_min(transform({line}, (g, p) -> (q - p) * (q - p) + g)))"
-    )
+FAR = 1 << 28  # squared distance, in cells, where a line holds no site; far beyond any grid
+
 
+def envelope(f: np.ndarray) -> np.ndarray:
+    """``min over p of (q - p)^2 + f[p]`` for every place q of each column of ``f``, in one pass along the columns.
 
-def signed_distance(cells: DataFrame, headers: DataFrame) -> DataFrame:
+    A column's lower envelope of parabolas is kept as a stack. A new parabola takes off those it undercuts, so each goes
+    on and off once: work grows with the cells, not with the square of a line. All columns advance together.
+    """
+    n, m = f.shape
+    f = f.astype(np.float64)
+    place, edge = np.zeros((n, m), dtype=np.int64), np.full((n + 1, m), np.inf)
+    edge[0] = -np.inf
+    top, every = np.zeros(m, dtype=np.int64), np.arange(m)
+    height = f + (np.arange(n, dtype=np.float64) ** 2)[:, None]
+    for q in range(1, n):
+        open_, cross = every, np.empty(m)
+        while len(open_):
+            held = place[top[open_], open_]
+            met = (height[q, open_] - height[held, open_]) / (2.0 * (q - held))
+            cross[open_] = met
+            under = met <= edge[top[open_], open_]
+            open_ = open_[under]
+            top[open_] -= 1
+        top += 1
+        place[top, every], edge[top, every] = q, cross
+        edge[np.minimum(top + 1, n), every] = np.inf
+    out = np.empty((n, m))
+    at = np.zeros(m, dtype=np.int64)
+    for q in range(n):
+        open_ = every
+        while len(open_):
+            open_ = open_[edge[at[open_] + 1, open_] < q]
+            at[open_] += 1
+        held = place[at, every]
+        out[q] = (q - held) ** 2 + f[held, every]
+    return np.minimum(out, FAR).astype(np.int64)
+
+
+def nearest_site(site: np.ndarray) -> np.ndarray:
+    """Squared distance to the nearest true cell along the last axis; ``FAR`` where there is none."""
+    n = site.shape[-1]
+    places = np.arange(n)
+    left = np.maximum.accumulate(np.where(site, places, -FAR), axis=-1)
+    right = np.minimum.accumulate(np.where(site, places, 2 * FAR)[..., ::-1], axis=-1)[..., ::-1]
+    near = np.minimum(places - left, right - places).astype(np.int64)
+    return np.where(near < FAR, near * near, FAR)
+
+
+def _alike(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in groups whose lines have the same length, which can then advance together."""
+    size = batch.column(column).to_numpy()
+    for n in np.unique(size):
+        yield batch.take(pa.array(np.flatnonzero(size == n)))
+
+
+def _columns(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[int]]:
+    return np.concatenate(blocks, axis=1), np.cumsum([b.shape[1] for b in blocks])[:-1].tolist()
+
+
+_LINES = pa.list_(pa.int32())
+
+
+def _slab_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slabs of constant y: passes along x and z, then one row per line along x with both squared distances."""
+    for batch in batches:
+        for alike in _alike(batch, "nz"):
+            sides = []
+            for i in range(alike.num_rows):
+                nx, nz = alike.column("nx")[i].as_py(), alike.column("nz")[i].as_py()
+                change = np.zeros((nz, nx + 1), dtype=np.int32)
+                runs_ = alike.column("runs")[i].values
+                if runs_ is not None and len(runs_):
+                    z, x0, x1 = (runs_.field(c).to_numpy() for c in ("z", "x0", "x1"))
+                    np.add.at(change, (z, x0), 1)
+                    np.add.at(change, (z, x1 + 1), -1)
+                solid = change.cumsum(axis=1)[:, :nx] > 0
+                sides += [nearest_site(solid), nearest_site(~solid)]
+            whole, cuts = _columns(sides)
+            done = np.split(envelope(whole), cuts, axis=1)
+            for i in range(alike.num_rows):
+                out, inner = done[2 * i], done[2 * i + 1]
+                nz = len(out)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([alike.column("mesh_id")[i].as_py()] * nz, pa.int64()), pa.array([alike.column("y")[i].as_py()] * nz, pa.int32()),
+                     pa.array(np.arange(nz), pa.int32()), pa.array(list(out), _LINES), pa.array(list(inner), _LINES)],
+                    names=["mesh_id", "y", "z", "o", "i"],
+                )
+
+
+def _last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slabs of constant z: the pass along y and the signed distance, one row per line along x."""
+    for batch in batches:
+        for alike in _alike(batch, "ny"):
+            sides = []
+            for i in range(alike.num_rows):
+                lines = alike.column("lines")[i].values
+                order = np.argsort(lines.field("y").to_numpy())
+                for side in "oi":
+                    sides.append(lines.field(side).flatten().to_numpy().reshape(len(order), -1)[order])
+            whole, cuts = _columns(sides)
+            done = np.split(envelope(whole), cuts, axis=1)
+            for i in range(alike.num_rows):
+                out, inner = done[2 * i], done[2 * i + 1]
+                ny = len(out)
+                value = np.where(out == 0, -np.sqrt(inner), np.sqrt(out)) * alike.column("cell")[i].as_py()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([alike.column("mesh_id")[i].as_py()] * ny, pa.int64()), pa.array(np.arange(ny), pa.int32()),
+                     pa.array([alike.column("z")[i].as_py()] * ny, pa.int32()), pa.array(list(value), pa.list_(pa.float64()))],
+                    names=["mesh_id", "y", "z", "phi"],
+                )
+
+
+def signed_distance(found: DataFrame, headers: DataFrame) -> DataFrame:
     """Exact signed distance at cell centres: positive outside, negative inside, world units.
 
-    Three passes, one per axis, each over whole grid lines held as arrays. The grid is shuffled
-    once by mesh (bounded by the resolution); lines of the later passes regroup locally.
+    ``found`` holds the solid as runs along x. Three passes, one per axis, each linear in the cells. Work is dealt by
+    (mesh, y) for the first two and by (mesh, z) for the last, so that a group is one slab of the grid; lines cross the
+    one shuffle between them as arrays. Every mesh needs a solid cell, as any header's mesh has.
     """
-    far = 1e9
-    size = ["cell", "nx"]
-    grid = headers.select("mesh_id", *size, "ny", "nz").withColumn(
-        "y", F.explode(F.sequence(F.lit(0), F.col("ny") - 1))
-    ).withColumn("z", F.explode(F.sequence(F.lit(0), F.col("nz") - 1)))
-    # Empty lines come from the headers, occupied cells from the table; one shuffle by mesh
-    # serves this and both later regroupings.
-    empty = grid.select("mesh_id", "y", "z", F.lit(None).cast("int").alias("x"), *size)
-    filled = cells.select("mesh_id", "y", "z", "x", *[F.lit(None).cast(t).alias(c) for c, t in zip(size, ("double", "int"))])
-    lines = (
-        empty.unionByName(filled)
-        .repartition("mesh_id")
-        .groupBy("mesh_id", "y", "z")
-        .agg(F.collect_set("x").alias("xs"), *[F.max(c).alias(c) for c in size])
-        .withColumn("hit", F.expr("transform(sequence(0, nx - 1), q -> array_contains(xs, q))"))
-    )
-    first = lines.select(
-        "mesh_id", "cell", "y", "z",
-        F.expr(f"transform(hit, h -> if(h, 0D, {far}D))").alias("o"),
-        F.expr(f"transform(hit, h -> if(h, {far}D, 0D))").alias("i"),
-    ).select("mesh_id", "cell", "y", "z", _spread("o").alias("o"), _spread("i").alias("i"))
-
-    def transposed(df: DataFrame, axis: str, others: list[str], by: str) -> DataFrame:
-        """Explode lines along ``axis`` and regroup them along ``by``."""
-        zipped = F.posexplode(F.arrays_zip("o", "i")).alias(axis, "v")
-        cells_of = df.select("mesh_id", "cell", *others, by, zipped)
-        ordered = F.array_sort(F.collect_list(F.struct(by, F.col("v.o").alias("o"), F.col("v.i").alias("i"))))
-        grouped = cells_of.groupBy("mesh_id", "cell", axis, *others).agg(ordered.alias("l"))
-        return grouped.select(
-            "mesh_id", "cell", axis, *others, F.col("l.o").alias("o"), F.col("l.i").alias("i")
-        ).select("mesh_id", "cell", axis, *others, _spread("o").alias("o"), _spread("i").alias("i"))
-
-    second = transposed(first, "x", ["y"], "z")
-    third = transposed(second, "z", ["x"], "y")
-    final = third.select("mesh_id", "cell", "x", "z", F.posexplode(F.arrays_zip("o", "i")).alias("y", "v"))
-    value = F.when(F.col("v.o") == 0, -F.sqrt("v.i")).otherwise(F.sqrt("v.o")) * F.col("cell")
-    return final.select("mesh_id", "x", "y", "z", value.alias("phi"))
+    slabs = headers.select("mesh_id", "nx", "nz", F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"))
+    held = found.groupBy("mesh_id", "y").agg(F.collect_list(F.struct("z", "x0", "x1")).alias("runs"))
+    first = spread(slabs.join(held, ["mesh_id", "y"], "left").select("mesh_id", "y", "nx", "nz", F.coalesce("runs", F.expr(
+        "cast(array() AS array<struct<z: int, x0: int, x1: int>>)")).alias("runs")), "mesh_id", "y")
+    lines = first.mapInArrow(_slab_pass, "mesh_id long, y int, z int, o array<int>, i array<int>")
+    second = spread(lines, "mesh_id", "z").groupBy("mesh_id", "z").agg(F.collect_list(F.struct("y", "o", "i")).alias("lines"))
+    last = second.join(headers.select("mesh_id", "ny", "cell"), "mesh_id").mapInArrow(
+        _last_pass, "mesh_id long, y int, z int, phi array<double>")
+    return last.select("mesh_id", "y", "z", F.posexplode("phi").alias("x", "phi")).select(*CELL, "phi")
 
 
 def distance_field(triangles: DataFrame, resolution: int) -> tuple[DataFrame, DataFrame]:
     """``(phi, headers)`` of padded, filled grids over the meshes."""
     headers = grid_headers(triangles, resolution, FIELD_PAD)
-    return signed_distance(filled_cells(surface_cells(triangles, headers), headers), headers), headers
+    return signed_distance(filled_runs(surface_cells(triangles, headers), headers), headers), headers
 
 
 # ---- lattice ----------------------------------------------------------------------------

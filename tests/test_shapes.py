@@ -88,25 +88,186 @@ def test_distance_field_of_a_cube(spark, shapes):
     cube = shapes.where("mesh_id = 1")
     phi, headers = V.distance_field(cube, 16)
     points = spark.createDataFrame([(1, 1, 0.0, 0.58, 0.0), (1, 2, 0.0, 0.0, 0.0), (1, 3, 0.0, 5.0, 0.0)], "mesh_id long, point_id long, x double, y double, z double")
-    got = {r["point_id"]: r for r in X.field_gradient(points, X.corner_table(phi), headers).collect()}
+    got = {r["point_id"]: r for r in X.field_gradient(points, X.field_bricks(phi, headers), headers).collect()}
     assert got[1]["phi"] == pytest.approx(0.08, abs=0.07) and got[1]["grady"] > 0.9
     assert got[2]["phi"] < -0.4 and got[3]["phi"] > 3.5
 
 
-def test_nearest_surface_against_brute_force(spark, shapes):
+def closest(p, a, b, c):
+    """Distance of a point to a triangle, by its plane and its three edges."""
+    n = np.cross(b - a, c - a)
+    out = []
+    if (size := np.linalg.norm(n)) > 0:
+        q = p - n * (np.dot(p - a, n) / size**2)
+        if all(np.dot(np.cross(v - u, q - u), n) >= 0 for u, v in ((a, b), (b, c), (c, a))):
+            out.append(np.linalg.norm(p - q))
+    for u, v in ((a, b), (b, c), (c, a)):
+        t = np.clip(np.dot(p - u, v - u) / max(np.dot(v - u, v - u), 1e-300), 0, 1)
+        out.append(np.linalg.norm(p - u - t * (v - u)))
+    return min(out)
+
+
+@pytest.mark.parametrize("cells", [1.0, 6.0])
+def test_nearest_surface_against_brute_force(spark, shapes, cells):
+    """Points inside, near and far, on grids of two sizes: exact within reach, null beyond."""
     rng = np.random.default_rng(1)
-    pts = [(m, m * 1000 + i, *map(float, rng.uniform(-0.8, 0.8, 3))) for m in (1, 2) for i in range(60)]
-    points = spark.createDataFrame(pts, "mesh_id long, point_id long, x double, y double, z double")
-    got = {r["point_id"]: r["dist"] for r in X.nearest_surface(points, shapes, 0.15).collect()}
-    tris = {m: [r for r in shapes.collect() if r["mesh_id"] == m] for m in (1, 2)}
-    grid = [(i / 60, j / 60) for i in range(61) for j in range(61 - i)]
-    weights = np.array([(1 - u - v, u, v) for u, v in grid])
-    for m, i, *p in pts:
-        best = min(np.linalg.norm(weights @ np.array([[t["ax"], t["ay"], t["az"]], [t["bx"], t["by"], t["bz"]], [t["cx"], t["cy"], t["cz"]]]) - p, axis=1).min() for t in tris[m])
-        if got[i] is None:
-            assert best > 0.15 - 1e-9
+    size = {1: 0.05, 2: 0.11}
+    pts = [(m, s, s * 1000 + i, *map(float, rng.uniform(-w, w, 3))) for m in (1, 2) for s, w in ((m, 0.7), (m + 5, 3.0)) for i in range(40)]
+    pts += [(1, 1, -1, None, 0.0, 0.0), (9, 1, -2, 0.0, 0.0, 0.0)]
+    points = spark.createDataFrame(pts, "mesh_id long, sample_id long, point_id long, x double, y double, z double")
+    grids = spark.createDataFrame(list(size.items()), "mesh_id long, cell double")
+    got = {r["point_id"]: r for r in X.nearest_surface(points, shapes, grids, cells, ["sample_id", "point_id"]).collect()}
+    assert len(got) == len(pts) and got.pop(-1)["dist"] is None and got.pop(-2)["dist"] is None
+    tris = {m: [[np.array([r[v + a] for a in "xyz"]) for v in "abc"] for r in shapes.collect() if r["mesh_id"] == m] for m in (1, 2)}
+    hits = 0
+    for m, _s, i, *p in pts[:-2]:
+        best = min(closest(np.array(p), *t) for t in tris[m])
+        if best <= size[m] * cells:
+            hits += 1
+            assert got[i]["dist"] == pytest.approx(best, abs=1e-12)
+            assert np.linalg.norm(np.array([got[i][f"w{a}"] for a in "xyz"]) - p) == pytest.approx(best, abs=1e-12)
         else:
-            assert got[i] <= best + 1e-9 and best - got[i] < 0.03
+            assert got[i]["dist"] is None and got[i]["tri_id"] is None
+    assert hits > (5 if cells == 1.0 else 20)
+
+
+def test_rings_double_until_the_reach_is_covered():
+    assert X.rings(6.0) == pytest.approx([2, 4, 6], rel=1e-6) and X.rings(6.0)[-1] > 6
+    assert X.rings(1.0) == pytest.approx([1]) and X.rings(16.0) == pytest.approx([2, 4, 8, 16], rel=1e-6)
+
+
+@pytest.mark.parametrize("n,m,share", [(1, 5, 0.5), (2, 3, 0.5), (17, 40, 0.2), (60, 30, 0.02), (33, 8, 0.0)])
+def test_envelope(n, m, share):
+    rng = np.random.default_rng(n)
+    f = np.where(rng.random((n, m)) < share, rng.integers(0, 3, (n, m)) * rng.integers(0, n * n + 1, (n, m)), V.FAR)
+    q = np.arange(n)
+    plain = np.minimum(((q[:, None, None] - q[None, :, None]) ** 2 + f[None]).min(axis=1), V.FAR)
+    assert (V.envelope(f) == plain).all()
+    site = rng.random((m, n)) < share
+    near = np.array([[min([(a - b) ** 2 for b in range(n) if row[b]], default=V.FAR) for a in range(n)] for row in site])
+    assert (V.nearest_site(site) == near).all()
+
+
+def test_envelope_is_linear():
+    """Comparisons per cell do not grow with the length of a line."""
+    import time
+
+    rng = np.random.default_rng(3)
+    spent = []
+    for n in (48, 384):
+        f = np.where(rng.random((n, 60_000 // n * 8)) < 0.1, 0, V.FAR)
+        V.envelope(f)
+        start = time.process_time()
+        V.envelope(f)
+        spent.append((time.process_time() - start) / f.size)
+    assert spent[1] < 3 * spent[0]  # the square would be 8 times
+
+
+def test_distance_field_against_brute_force(spark):
+    """Random solids in grids of different sides, one of them with a whole empty slab and one nearly full."""
+    rng = np.random.default_rng(6)
+    grids = {0: rng.random((7, 9, 5)) < 0.1, 1: rng.random((6, 4, 11)) < 0.5, 2: rng.random((12, 3, 8)) < 0.97}
+    grids[0][:, 4, :] = False
+    rows = [(m, int(y), int(z), int(x), int(x)) for m, g in grids.items() for x, y, z in np.argwhere(g)]
+    headers = spark.createDataFrame([(m, 0.5 + m, *g.shape) for m, g in grids.items()], "mesh_id long, cell double, nx int, ny int, nz int")
+    found = V.signed_distance(spark.createDataFrame(rows, "mesh_id long, y int, z int, x0 int, x1 int"), headers).collect()
+    assert len(found) == sum(g.size for g in grids.values())
+    for m, g in grids.items():
+        solid, empty = np.argwhere(g), np.argwhere(~g)
+        for r in (r for r in found if r["mesh_id"] == m):
+            p = np.array([r["x"], r["y"], r["z"]])
+            far = np.sqrt((((empty if g[tuple(p)] else solid) - p) ** 2).sum(axis=1).min()) * (0.5 + m)
+            assert r["phi"] == pytest.approx(-far if g[tuple(p)] else far)
+
+
+def test_fill_of_a_spiral_and_a_sealed_box(spark):
+    """A long winding corridor that is open at its end, and the same one closed there."""
+    n = 15
+    wall = np.ones((n, n), dtype=bool)
+    x = y = 0
+    dx, dy, path = 1, 0, [(0, 0)]
+    wall[0, 0] = False
+    for _ in range(400):
+        ax, ay = x + 2 * dx, y + 2 * dy
+        if not (0 <= ax < n and 0 <= ay < n) or not wall[ax, ay]:
+            dx, dy = -dy, dx
+            ax, ay = x + 2 * dx, y + 2 * dy
+            if not (0 <= ax < n and 0 <= ay < n) or not wall[ax, ay]:
+                break
+        for _step in range(2):
+            x, y = x + dx, y + dy
+            wall[x, y] = False
+            path.append((x, y))
+    rows, size = [], n + 2
+    for m, shut in ((0, False), (1, True)):
+        for px in range(size):
+            for py in range(size):
+                for pz in range(3):
+                    inner = 1 <= px <= n and 1 <= py <= n and pz == 1
+                    free = inner and not wall[px - 1, py - 1] or (px, py, pz) == (1, 0, 1) and not shut
+                    if not free:
+                        rows.append((m, px, py, pz))
+    headers = spark.createDataFrame([(m, size, size, 3) for m in (0, 1)], "mesh_id long, nx int, ny int, nz int")
+    got = V.filled_cells(spark.createDataFrame(rows, "mesh_id long, x int, y int, z int"), headers).collect()
+    assert len(path) > 90
+    assert sum(r["mesh_id"] == 0 for r in got) == size * size * 3 - len(path) - 1
+    assert sum(r["mesh_id"] == 1 for r in got) == size * size * 3
+
+
+def test_components(spark):
+    from plinth.operators.components import GROUND, grounded_labels
+
+    rng = np.random.default_rng(4)
+    nodes = [(k, i, bool(i == 0 and k == 1 or i == 77)) for k in (1, 2) for i in range(150)]
+    edges = [(k, i, i + 1) for k in (1, 2) for i in range(60)] + [(k, *map(int, rng.integers(61, 150, 2))) for k in (1, 2) for _ in range(60)] + [(1, 5, 5)]
+    root = {(k, i): (k, i) for k, i, _ in nodes}
+
+    def find(v):
+        while root[v] != v:
+            v = root[v]
+        return v
+
+    for k, a, b in edges:
+        x, y = sorted((find((k, a)), find((k, b))))
+        root[y] = x
+    seeds = {find((k, i)) for k, i, s in nodes if s}
+    expected = {(k, i): GROUND if find((k, i)) in seeds else find((k, i))[1] for k, i, _ in nodes}
+    got = grounded_labels(spark.createDataFrame(nodes, "k long, id long, seed boolean"), spark.createDataFrame(edges, "k long, a long, b long"), ["k"])
+    assert {(r.k, r.id): r.label for r in got.collect()} == expected
+    assert grounded_labels(spark.createDataFrame([], "k long, id long, seed boolean"), spark.createDataFrame([], "k long, a long, b long"), ["k"]).count() == 0
+
+
+def test_hot_keys_are_split_by_their_counts(spark):
+    from plinth.operators.skew import salted_join
+
+    left = spark.range(700).selectExpr("if(id < 400, 1, id) AS k", "id AS l")
+    right = spark.range(300).selectExpr("if(id < 200, 1, id + 300) AS k", "id AS r")
+    plain = sorted(map(tuple, left.join(right, "k").collect()))
+    for block in (7, 50, 4096):
+        assert sorted(map(tuple, salted_join(left, right, ["k"], "l", "r", block).collect())) == plain
+
+
+def test_contact_of_a_small_cube_over_a_large_one(spark):
+    """Known answers: a gap of 0.03, a burial, a slide, a long fall past the anchor; lengths over an anchor of side 2."""
+    cube = boxes(spark, [(1, (0.0, 0.0, 0.0), (2.0, 2.0, 2.0))])
+    corners = [(sx, sy, sz) for sx in (-0.1, 0.0, 0.1) for sy in (-0.1, 0.1) for sz in (-0.1, 0.0, 0.1)]
+    centre = {1: (0.0, 1.16, 0.0), 2: (0.0, 0.5, 0.0), 3: (0.0, 1.16, 0.0), 4: (2.5, 1.16, 0.0), 5: (0.0, 1.05, 0.0)}
+    shift = {1: (0.0, -0.06, 0.0), 2: (0.0, -0.1, 0.0), 3: (0.9, -0.06, 0.0), 4: (0.0, -1.4, 0.0), 5: (0.0, 0.0, 0.0)}
+    turn = {1: 5.0, 2: 0.0, 3: 0.0, 4: 0.0, 5: 70.0}
+    rows = [(s, 1, i, *[c + o for c, o in zip(centre[s], p)]) for s in centre for i, p in enumerate(corners)]
+    later = [(s, m, i, *[c + d for c, d in zip((x, y, z), shift[s])]) for s, m, i, x, y, z in rows]
+    schema = "sample_id long, mesh_id long, point_id long, x double, y double, z double"
+    turned = spark.createDataFrame([(s, 1, t) for s, t in turn.items()], "sample_id long, mesh_id long, rotated double")
+    phi, headers = V.distance_field(cube, 20)
+    found = X.contact_table(spark.createDataFrame(rows, schema), spark.createDataFrame(later, schema), cube, X.field_bricks(phi, headers), headers, turned)
+    got = {r["sample_id"]: r for r in found.collect()}
+    radius = math.sqrt(0.03) / 2
+    assert got[1]["gap"] == pytest.approx(0.03) and got[1]["gap_after"] == pytest.approx(0.0, abs=0.026) and got[1]["flags"] == []
+    assert got[1]["moved"] == pytest.approx(0.03) and got[1]["rotated"] == 5.0 and got[1]["depth"] == 0 and got[1]["radius"] == pytest.approx(radius)
+    assert got[2]["flags"] == ["deep_penetration"] and got[2]["depth"] > radius and got[2]["moved"] == 0 and got[2]["gap_after"] == got[2]["gap"] < -radius
+    assert got[3]["flags"] == ["drifted"] and got[3]["drift"] == pytest.approx(0.45) and got[3]["moved"] == 0
+    assert got[4]["flags"] == ["dropped_far"] and got[4]["drop"] == pytest.approx(0.7) and got[4]["moved"] == pytest.approx(0.7)
+    assert got[5]["flags"] == ["drifted"] and got[5]["rotated"] == 0 and got[5]["gap"] < 0.0
 
 
 def sphere(r=0.5, stacks=24, slices=48):
