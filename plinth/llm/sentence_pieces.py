@@ -14,6 +14,7 @@ are compared in slices that begin where a run of spaces does, which bounds what
 from __future__ import annotations
 
 import re
+import sys
 from array import array
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -43,7 +44,7 @@ class SentencePieces:
         for probe in ("a  b ", "ﬁ Ａ\t　é\n"):
             if library.normalize(probe) != SPACE + probe.replace(" ", SPACE):
                 raise ValueError(f"{path} rewrites texts before it encodes them, which is not supported")
-        count = library.get_piece_size()
+        self.count = count = library.get_piece_size()
         plain = [i for i in range(count) if not (library.is_unknown(i) or library.is_control(i) or library.is_byte(i) or library.is_unused(i))]
         self.ids = {library.id_to_piece(i): i for i in plain}
         self.bytes = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
@@ -60,6 +61,10 @@ class SentencePieces:
         loose = sorted({c for p in self.beside for c in p}.difference(self.ids))
         symbols = self.ids | {c: count + n for n, c in enumerate(loose)}
         self.symbols, self.base = symbols, count + len(loose) + 1
+        self.characters = np.full(sys.maxunicode + 1, self.base - 1, dtype=np.int64)
+        for s, i in symbols.items():
+            if len(s) == 1:
+                self.characters[ord(s)] = i
         splits = sorted(
             (symbols[a] * self.base + symbols[b], self.order[p], i) for p, i in self.ids.items()
             for a, b in ((p[:k], p[k:]) for k in range(1, len(p))) if a in symbols and b in symbols
@@ -114,10 +119,8 @@ class SentencePieces:
 
     def merged_together(self, parts: list[str]) -> list[bytes]:
         """Ids of short parts, all merged at once: per step each part takes its best and then leftmost pair."""
-        points = np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")
-        seen, code = np.unique(points, return_inverse=True)
-        symbol = np.array([self.symbols.get(chr(c), self.base - 1) for c in seen.tolist()], dtype=np.int64)[code]
-        owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        symbol = self.characters[np.frombuffer("".join(parts).encode("utf-32-le"), dtype="<u4")]
+        owner = np.repeat(np.arange(len(parts)), np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))
         done: list[tuple[np.ndarray, np.ndarray]] = []
         same = np.append(owner[1:] == owner[:-1], False)
         place, into = self._found(symbol, np.append(symbol[1:], 0))
@@ -144,7 +147,7 @@ class SentencePieces:
         order = np.argsort(owner, kind="stable")
         raw, ends = symbol[order].astype("<i4").tobytes(), (4 * np.cumsum(np.bincount(owner, minlength=len(parts)))).tolist()
         out = [raw[a:b] for a, b in zip([0, *ends], ends)]
-        for i in np.unique(owner[symbol >= self.library.get_piece_size()]).tolist():
+        for i in np.unique(owner[symbol >= self.count]).tolist():
             out[i] = self.merged_alone(parts[i])
         return out
 
