@@ -172,32 +172,39 @@ def _(t):
 
 
 @query("k3_write_partitions", """
-    SELECT o_orderkey, o_orderkey % 16 AS part, CASE WHEN o_orderkey % 16 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
-      o_orderkey % 16 IN (3, 5) AS rewritten FROM orders""")
+    SELECT o_orderkey, CASE WHEN o_orderkey % 32 = 2 THEN 9 ELSE o_orderkey % 16 END AS part,
+      CASE WHEN o_orderkey % 16 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderkey % 16 IN (2, 3, 5, 7, 9) AS rewritten
+    FROM orders WHERE o_orderkey % 16 <> 11 AND o_orderkey % 64 <> 7""")
 def _(t):
+    """Rows are added (3), altered (5), removed (7), moved (2 to 9), and one partition goes as a whole (11)."""
     path = scratch(t.spark, "metadata")
     old = t.orders.select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 16).alias("part"))
-    old.where("part <> 3").repartition("part").write.partitionBy("part").parquet(path)
-    name = F.input_file_name()
-    before = cut(t.spark.read.schema(old.schema).parquet(path).select(name.alias("file")).distinct())
-    new = old.withColumn("o_totalprice", F.when(F.col("part") == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
-    K.write_changed(path, new, "o_orderkey", ["o_totalprice"], "part")
-    now = t.spark.read.schema(old.schema).parquet(path).withColumn("file", name)
+    K.write_changed(path, old.where("part <> 3"), "part")
+    file = F.col("_metadata.file_path")
+    before = cut(t.spark.read.schema(old.schema).parquet(path).select(file.alias("file")).distinct())
+    moves, gone = F.col("o_orderkey") % 32 == 2, (F.col("part") == 11) | (F.col("o_orderkey") % 64 == 7)
+    new = old.where(~gone).withColumn("o_totalprice", F.when(F.col("part") == 5, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).withColumn(
+        "part", F.when(moves, F.lit(9).cast("long")).otherwise(F.col("part")))
+    for _run in range(2):  # the second run finds nothing to do
+        K.write_changed(path, new, "part")
+    now = t.spark.read.schema(old.schema).parquet(path).withColumn("file", file)
     return now.join(before.withColumn("kept", F.lit(True)), "file", "left").select(
         "o_orderkey", "part", "o_totalprice", F.col("kept").isNull().alias("rewritten"))
 
 
 @query("k4_publish", """
-    SELECT o_orderkey AS sample_id, CASE WHEN o_orderstatus = 'F' THEN 'published' ELSE 'pending' END AS state FROM orders""")
+    SELECT o_orderkey AS sample_id, CASE WHEN o_orderstatus = 'F' AND o_orderkey % 10 <> 4 THEN 'published' ELSE 'pending' END AS state FROM orders""")
 def _(t):
     data, manifest = scratch(t.spark, "published"), scratch(t.spark, "manifest")
     rows = t.orders.select(F.col("o_orderkey").alias("sample_id"), "o_orderstatus")
     ready = rows.where("o_orderstatus = 'F'")
-    K.publish(ready.where("sample_id % 2 = 0"), data, manifest, "even")
-    # A run that died before its manifest and is repeated, and one that never is: its rows do not count.
-    ready.where("sample_id % 2 = 1").write.parquet(f"{data}/run=odd")
-    K.publish(ready.where("sample_id % 2 = 1"), data, manifest, "odd")
-    rows.where("o_orderstatus = 'O'").write.parquet(f"{data}/run=open")
+    even, odd = ready.where("sample_id % 2 = 0"), ready.where("sample_id % 2 = 1")
+    K.publish(even, data, manifest, "even")
+    K.publish(even.where("sample_id % 10 <> 4"), data, manifest, "even")  # replaces the first
+    K.land(even.where("sample_id % 10 = 0"), data, "even")  # a third that died before it was named: the second stays
+    K.land(odd, data, "odd")  # died and is repeated
+    K.publish(odd, data, manifest, "odd")
+    K.land(rows.where("o_orderstatus = 'O'"), data, "open")  # died for good: its rows do not count
     done = K.published(t.spark, data, manifest).select("sample_id", F.lit("published").alias("state"))
     return done.unionByName(K.pending(rows, done, "sample_id").select("sample_id", F.lit("pending").alias("state")))
 
@@ -249,7 +256,7 @@ def _(t):
         paths.append(scratch(t.spark, "shard"))
         t.documents.where(F.col("lang") == lang).select("doc_id", "lang").write.parquet(paths[-1])
     paths.append(scratch(t.spark, "shard"))
-    t.documents.where(~F.col("lang").isin("en", "de")).select("doc_id", "lang").write.parquet(paths[-1])
+    t.documents.where(~F.coalesce(F.col("lang").isin("en", "de"), F.lit(False))).select("doc_id", "lang").write.parquet(paths[-1])
     return t.spark.read.parquet(*paths)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import json
 
@@ -29,6 +30,29 @@ def feed_folder(t, parts=4, close=True):
     return path
 
 
+HELD_BACK, AGAIN = 50, 40  # one row in so many comes after all others; one in so many comes twice
+
+
+def late_feed(t, parts=3):
+    """The events as files in the order of time, then rows that were held back or come again, then a far later row."""
+    path = scratch(t.spark, "feed")
+    rows = t.events.cache()
+    held = F.col("event_id") % HELD_BACK == 7
+    cuts = rows.where(~held).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
+    for k in range(parts):  # one file per write, so that files have an order
+        low, high = (cuts.a + (cuts.b - cuts.a) * n / parts for n in (k, k + 1))
+        inside = (F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k + 1 == parts))
+        rows.where(~held & inside).coalesce(1).write.mode("append").parquet(path)
+    rows.where(held).unionByName(rows.where(F.col("event_id") % AGAIN == 3)).coalesce(1).write.mode("append").parquet(path)
+    end = t.spark.createDataFrame([(-1, cuts.b + datetime.timedelta(days=10), -1, "end", 0.0, "{}")], SCHEMA)
+    end.coalesce(1).write.mode("append").parquet(path)
+    rows.unpersist()
+    return path
+
+
+_LATE_MARK = f"(SELECT epoch_ms(max(ts)) - 60000 FROM events WHERE event_id % {HELD_BACK} <> 7)"
+
+
 @query("r1_fill_gaps", "SELECT event_id, event_type = 'error' AS junk FROM events")
 def _(t):
     source, out, state = feed_folder(t, close=False), scratch(t.spark, "tagged"), scratch(t.spark, "state")
@@ -58,13 +82,45 @@ def _(t):
     return t.spark.read.parquet(out).where("user_id >= 0").select("user_id", us("since"), us("until"), "rows")
 
 
-@query("r4_progress_counts", """
-    SELECT epoch_us(date_trunc('hour', ts)) AS since_us, event_type AS kind, count(*) AS rows FROM events GROUP BY ALL""")
+_GRACES = 3600, 7200, 14400
+
+
+@query("r3_feed_verdicts", f"""
+    WITH f AS (SELECT user_id, ts, event_id, event_type = 'error' AS missing, event_id % {HELD_BACK} = 7 AND epoch_us(ts) < {_LATE_MARK} * 1000 AS late FROM events),
+      a AS (SELECT *, max((NOT missing)::INTEGER) OVER w AS published, lead(ts) OVER w AS after, CASE WHEN missing IS NOT DISTINCT FROM lag(missing) OVER w THEN 0 ELSE 1 END AS chg
+            FROM f WHERE NOT late WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+      b AS (SELECT *, sum(chg) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM a),
+      c AS (SELECT user_id, island, max(published) AS published, epoch_us(min(ts)) AS since_us, (epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000 AS seconds
+            FROM b WHERE missing GROUP BY user_id, island)
+    SELECT user_id, CASE WHEN published = 1 THEN 'vanished' ELSE 'never published' END AS kind, island::BIGINT AS island, since_us FROM c
+      WHERE seconds > CASE WHEN published = 1 THEN {_GRACES[1]} ELSE {_GRACES[0]} END
+    UNION ALL SELECT user_id, 'silent', island::BIGINT, epoch_us(ts) FROM b WHERE after IS NULL OR epoch_us(after) - epoch_us(ts) > {_GRACES[2] * 1000000}::BIGINT
+    UNION ALL SELECT user_id, 'late', -1, epoch_us(ts) FROM f WHERE late""")
+def _(t):
+    source, out, state = late_feed(t), scratch(t.spark, "verdicts"), scratch(t.spark, "state")
+    before = t.spark.conf.get(R.STATE_STORE)
+    t.spark.conf.set(R.STATE_STORE, R.ROCKS_DB)
+    try:
+        stream = R.accept_once(R.folder(t.spark, source, SCHEMA, 1), ["event_id"])
+        R.run_available(R.watch(stream, "user_id", "ts", "event_id", F.col("event_type") == "error", *_GRACES, "1 minute"), out, state)
+    finally:
+        t.spark.conf.set(R.STATE_STORE, before)
+    return t.spark.read.parquet(out).where("user_id >= 0").select("user_id", "kind", "island", "since_us")
+
+
+@query("r4_progress_counts", f"""
+    WITH f AS (SELECT *, event_id % {HELD_BACK} = 7 AND epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) <= {_LATE_MARK} AS late FROM events)
+    SELECT epoch_us(date_trunc('hour', ts)) AS since_us, event_type AS kind, count(*) AS rows, late FROM f GROUP BY ALL""")
 def _(t):
-    source, out, state = feed_folder(t), scratch(t.spark, "progress"), scratch(t.spark, "state")
-    R.run_available(R.progress(R.folder(t.spark, source, SCHEMA), "ts", "1 hour", F.col("event_type"), "1 minute"), out, state)
+    source, out, state = late_feed(t), scratch(t.spark, "progress"), scratch(t.spark, "state")
+    stream = R.accept_once(R.folder(t.spark, source, SCHEMA, 1), ["event_id"])
+    for _run in range(2):  # the second run finds nothing new
+        R.count_windows(stream, "ts", "1 hour", F.col("event_type"), "1 minute", out, state)
+    late = t.spark.read.parquet(f"{out}/late").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("since"), F.col("event_type").alias("kind")).agg(
+        F.count(F.lit(1)).alias("rows"))
+    both = R.counted(t.spark, out).withColumn("late", F.lit(False)).unionByName(late.withColumn("late", F.lit(True)))
     zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return t.spark.read.parquet(out).where("kind <> 'end'").select(F.timestamp_diff("MICROSECOND", zero, F.col("since")).alias("since_us"), "kind", "rows")
+    return both.where("kind <> 'end'").select(F.timestamp_diff("MICROSECOND", zero, F.col("since")).alias("since_us"), "kind", "rows", "late")
 
 
 def compose(prompts: list[str]) -> tuple[list[str | None], float]:

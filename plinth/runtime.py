@@ -58,9 +58,10 @@ def discard(*frames: DataFrame) -> None:
         remove(frame.sparkSession, frame.cut_path)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder through the file system that Spark uses for it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+def remove(spark: SparkSession, path: str, encoded: bool = False) -> None:
+    """Delete a folder through the file system that Spark uses for it; ``encoded`` paths are those of ``_metadata``."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(path) if encoded else path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
