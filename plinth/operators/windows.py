@@ -47,9 +47,7 @@ def local_batches(df: DataFrame, size: int) -> DataFrame:
 
 def islands(feed: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
     """Rows with ``island``: numbered stretches of an unchanged ``value`` per key; null is a value like others."""
-    ordered = Ordered(feed.withColumn("_value", F.struct(value)), order, by=by).last_before("_value", "_prev")
-    ordered.df = ordered.df.withColumn("_new", F.when(F.col("_prev").eqNullSafe(F.col("_value")), 0).otherwise(1))
-    return ordered.running_sum("_new", "island").done().drop("_prev", "_new", "_value")
+    return Ordered(feed, order, by=by).stretches(value, "island").done()
 
 
 def settled(feed: DataFrame, by: list[str], time: str, tie: str, value: str, threshold: Column) -> DataFrame:
@@ -70,9 +68,7 @@ def verdicts(feed: DataFrame, by: list[str], time: str, tie: str, missing: Colum
     short one (``vanished``).
     """
     state = feed.withColumn("_missing", F.coalesce(missing.cast("int"), F.lit(0))).withColumn("_seen", 1 - F.col("_missing"))
-    ordered = Ordered(state, [time, tie], by=by).running_max("_seen", "published").last_before("_missing", "_prev")
-    ordered.df = ordered.df.withColumn("_new", F.when(F.col("_prev").eqNullSafe(F.col("_missing")), 0).otherwise(1))
-    marked = ordered.running_sum("_new", "island").done()
+    marked = Ordered(state, [time, tie], by=by).running_max("_seen", "published").stretches("_missing", "island").done()
     spans = marked.where("_missing = 1").groupBy(*by, "island").agg(
         F.max("published").alias("published"), F.min(time).alias("since"), F.max(time).alias("until")
     ).withColumn("seconds", F.timestamp_diff("SECOND", F.col("since"), F.col("until")))
