@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -121,9 +123,81 @@ def transformed(joined: DataFrame, position: G.Vec, rotation: G.Quat, scale: G.V
     return joined.withColumns(moved)
 
 
-def pose_meshes(triangles: DataFrame, poses: DataFrame) -> DataFrame:
-    """Triangles of each pose's mesh: a mesh shared by a third of the poses is split by salting."""
-    return salted_join(triangles, poses, ["mesh_id"], "tri_id", "sample_id")
+def pose_meshes(parts: DataFrame, poses: DataFrame, tie: str = "tri_id") -> DataFrame:
+    """Triangles (or other parts) of each pose's mesh: a mesh shared by many poses is split by its counts."""
+    return salted_join(parts, poses, ["mesh_id"], tie, "sample_id")
+
+
+def _fan() -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """The 26 directions to a cube's corners, edges and faces, and the triangles they span on its surface."""
+    ways = [w for w in itertools.product((-1, 0, 1), repeat=3) if any(w)]
+    faces = []
+    for axis in range(3):
+        for side in (-1, 1):
+            def at(p: int, q: int) -> int:
+                way = [0, 0, 0]
+                way[axis], way[(axis + 1) % 3], way[(axis + 2) % 3] = side, p, q
+                return ways.index(tuple(way))
+
+            for p, q in itertools.product((-1, 0), repeat=2):
+                faces += [(at(p, q), at(p + 1, q), at(p + 1, q + 1)), (at(p, q), at(p + 1, q + 1), at(p, q + 1))]
+    return ways, faces
+
+
+FAN, FAN_FACES = _fan()
+
+
+def outer_vertices(triangles: DataFrame) -> DataFrame:
+    """Distinct vertices ``mesh_id, vx, vy, vz`` of each mesh without those that no direction can make extreme.
+
+    The farthest vertices along a fan of directions span tetrahedra around a point among them. What lies within one of
+    these is a mixture of other points of the mesh, so no turn makes it an end of the box; all else stays. Boxes of turned
+    meshes are the same with these vertices as with all of them. Vertices with a null or NaN coordinate are left out.
+    """
+    corner = F.explode(F.array(*[F.struct(*[F.col(v + a).alias(f"v{a}") for a in "xyz"]) for v in "abc"]))
+    every = triangles.select("mesh_id", corner.alias("v")).select("mesh_id", "v.*")
+    known = every.where(" AND ".join(f"v{a} IS NOT NULL AND NOT isnan(v{a})" for a in "xyz"))
+    reach = lambda w: sum((F.col(f"v{a}") * k for a, k in zip("xyz", w) if k), F.lit(0.0))
+    ends = known.groupBy("mesh_id").agg(F.array(*[F.max_by(F.struct("vx", "vy", "vz"), reach(w)) for w in FAN]).alias("e"))
+    axes = [FAN.index(tuple(s if b == a else 0 for b in range(3))) for a in range(3) for s in (-1, 1)]
+    middle = ends.select("mesh_id", "e", *[(sum(F.col("e")[i][f"v{a}"] for i in axes) / len(axes)).alias(f"m{a}") for a in "xyz"]).withColumn(
+        "_size", F.greatest(*[F.col("e")[axes[2 * n + 1]][f"v{a}"] - F.col("e")[axes[2 * n]][f"v{a}"] for n, a in enumerate("xyz")]))
+    centre = G.vec("m")
+
+    def inverse(face: Column) -> Column:
+        """Rows of the inverse of a tetrahedron's edges from the middle; null for a flat one."""
+        p, q, r = (G.sub(tuple(F.get("e", face[k])[f"v{a}"] for a in "xyz"), centre) for k in "ijk")
+        rows = [G.cross(q, r), G.cross(r, p), G.cross(p, q)]
+        det = G.dot(p, rows[0])
+        whole = F.struct(*[(c / det).alias(f"r{n}{a}") for n, row in enumerate(rows) for c, a in zip(row, "xyz")])
+        return F.when(F.abs(det) > 1e-9 * F.col("_size") * F.col("_size") * F.col("_size"), whole)
+
+    faces = F.array(*[F.struct(*[F.lit(i).alias(k) for k, i in zip("ijk", face)]) for face in FAN_FACES])
+    solids = middle.select("mesh_id", *[f"m{a}" for a in "xyz"], F.transform(faces, inverse).alias("solids"))
+
+    def within(solid: Column) -> Column:
+        shares = [sum(solid[f"r{n}{a}"] * (F.col(f"v{a}") - F.col(f"m{a}")) for a in "xyz") for n in range(3)]
+        return F.coalesce((shares[0] >= 0) & (shares[1] >= 0) & (shares[2] >= 0) & (shares[0] + shares[1] + shares[2] < 1 - 1e-9), F.lit(False))
+
+    # Most vertices lie in the tetrahedron of their own direction; the others are tried against all, once each is distinct.
+    own = F.array(F.get("solids", _face_of(G.sub(G.vec("v"), centre))))  # as an array of one, so that it is evaluated once
+    left = known.join(solids, "mesh_id").where(~F.exists(own, within))
+    distinct = left.groupBy("mesh_id", "vx", "vy", "vz").agg(*[F.first(c).alias(c) for c in ("mx", "my", "mz", "solids")])
+    return distinct.where(~F.exists("solids", within)).select("mesh_id", "vx", "vy", "vz")
+
+
+def _face_of(way: G.Vec) -> Column:
+    """Index in ``FAN_FACES`` of the triangle that a direction passes."""
+    size = [F.abs(w) for w in way]
+    longest = F.greatest(*size)
+    out = F.lit(0)
+    for axis in reversed(range(3)):
+        p, q = (way[(axis + k) % 3] / longest for k in (1, 2))
+        low = lambda c: F.when(c < 0, 0).otherwise(1)
+        above = F.when(p - F.when(p < 0, -1).otherwise(0) >= q - F.when(q < 0, -1).otherwise(0), 0).otherwise(1)
+        face = ((F.lit(2 * axis) + low(way[axis])) * 4 + low(p) * 2 + low(q)) * 2 + above
+        out = F.when(size[axis] == longest, face).otherwise(out)
+    return out
 
 
 def box_corners(boxes: DataFrame) -> DataFrame:
