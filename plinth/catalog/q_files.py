@@ -70,13 +70,13 @@ def _(t):
     return S.json_lines(t.spark, path, "doc_id long, text string").select("doc_id", F.md5("text").alias("text"))
 
 
-def nation_folders(t):
-    """One document per nation folder; every fifth is cut off."""
+def sample_folders(t):
+    """A folder with one JSON document per document of the corpus; every fifth is cut off."""
     path = scratch(t.spark, "corpus")
-    body = F.to_json(F.struct("n_nationkey", "n_name", F.col("r_name").alias("region")))
-    cut = F.when(F.col("n_nationkey") % 5 == 0, F.expr("substring(body, 1, length(body) - 4)")).otherwise(F.col("body"))
-    rows = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).withColumn("body", body)
-    rows.select("n_name", cut.alias("value")).withColumnRenamed("n_name", "folder").repartition("folder").write.partitionBy("folder").text(path)
+    body = F.to_json(F.struct("doc_id", "source", "n_chars"))
+    torn = F.when(F.col("doc_id") % 5 == 0, F.expr("substring(body, 1, length(body) - 4)")).otherwise(F.col("body"))
+    rows = t.documents.withColumn("body", body).select(F.concat(F.lit("s"), F.col("doc_id").cast("string")).alias("folder"), torn.alias("value"))
+    rows.repartition("folder").write.partitionBy("folder").text(path)
     return path
 
 
@@ -85,22 +85,23 @@ def plain_folder():
 
 
 @query("s5_corpus", """
-    SELECT n_name AS folder, n_nationkey % 5 = 0 AS broken, CASE WHEN n_nationkey % 5 > 0 THEN r_name ELSE '-' END AS region
-    FROM nation JOIN region ON n_regionkey = r_regionkey""")
+    SELECT 's' || doc_id AS folder, doc_id % 5 = 0 AS broken, CASE WHEN doc_id % 5 > 0 THEN source ELSE '-' END AS source,
+      CASE WHEN doc_id % 5 > 0 THEN n_chars END AS n_chars FROM documents""")
 def _(t):
-    rows = S.corpus(t.spark, nation_folders(t), "n_nationkey int, n_name string, region string", "*/*.txt")
-    return rows.select(plain_folder(), "broken", F.when(F.col("broken"), "-").otherwise(F.col("region")).alias("region"))
+    rows = S.corpus(t.spark, sample_folders(t), "doc_id long, source string, n_chars long", "*/*.txt")
+    known = lambda c, other: F.when(F.col("broken"), other).otherwise(F.col(c)).alias(c)
+    return rows.select(plain_folder(), "broken", known("source", F.lit("-")), known("n_chars", F.lit(None)))
 
 
-@query("s6_listing", "SELECT n_name AS folder, '.txt' AS extension, true AS filled FROM nation")
+@query("s6_listing", "SELECT 's' || doc_id AS folder, '.txt' AS extension, true AS filled FROM documents")
 def _(t):
-    files = S.listing(t.spark, nation_folders(t)).where("extension = '.txt'")
+    files = S.listing(t.spark, sample_folders(t)).where("extension = '.txt'")
     return files.select(plain_folder(), "extension", (F.col("length") > 0).alias("filled"))
 
 
-@query("s10_sample_listing", "SELECT n_name AS folder, 1 AS files FROM nation")
+@query("s10_sample_listing", "SELECT 's' || doc_id AS folder, 1 AS files FROM documents")
 def _(t):
-    found = S.mesh_listing(S.listing(t.spark, nation_folders(t)), r"(?i)\.txt$")
+    found = S.mesh_listing(S.listing(t.spark, sample_folders(t)), r"(?i)\.txt$")
     return found.select(plain_folder(), F.size("meshes").alias("files"))
 
 

@@ -288,7 +288,7 @@ def _(t):
     return M.vertex_normals(t.boxes).select("mesh_id", "vx", "vy", "vz", *[T.fixed(F.col(f"n{a}")).alias(f"n{a}") for a in "xyz"])
 
 
-DRAWS = 40
+DRAWS = 2_000  # per mesh
 _KEY = "mesh_id || '/' || draw_id"
 SQL_VIEWS["draws"] = f"""
     SELECT mesh_id, draw_id, {uniform('surfaceu', _KEY)} AS u, {uniform('surfaceu1', _KEY)} AS u1, {uniform('surfaceu2', _KEY)} AS u2

@@ -164,6 +164,26 @@ def _(t):
     return A.block_text(V.world_blocks(V.blocks(soup_solid(t)), headers))
 
 
+SQL_VIEWS["soup_about"] = f"""
+    SELECT mesh_id, 'Size ' || {" || ' by ' || ".join(rf"regexp_replace((round(any_value(size{a}), 4)::DECIMAL(24,6))::VARCHAR, '\.?0+$', '')" for a in "xyz")}
+      || ' along x, y and z, middle at the origin; blocks by volume: ' || count(*) || chr(10) || string_agg({_LINE}, chr(10) ORDER BY rank) AS about
+    FROM soup_blocks JOIN soup_head USING (mesh_id) GROUP BY mesh_id"""
+
+
+@query("a22_placement_prompts", """
+    SELECT sample_id, md5('Phrase: "thing ' || p.mesh_id || ' beside stand ' || anchor_mesh || '"' || chr(10) || chr(10) || 'Object that stays — "stand ' || anchor_mesh || '"' || chr(10) || a.about
+      || chr(10) || chr(10) || 'Object to be put there — "thing ' || p.mesh_id || '"' || chr(10) || b.about) AS prompt
+    FROM placements p JOIN soup_about a ON a.mesh_id = anchor_mesh JOIN soup_about b ON b.mesh_id = p.mesh_id""")
+def _(t):
+    headers = V.grid_headers(t.triangles, SOUP_RESOLUTION)
+    blocks = cut(V.blocks(soup_solid(t)))
+    about = cut(A.mesh_text(headers, A.block_text(V.world_blocks(blocks, headers)), blocks.groupBy("mesh_id").agg(F.count(F.lit(1)).alias("blocks"))))
+    rows = t.placements.join(about, "mesh_id").join(about.select(F.col("mesh_id").alias("anchor_mesh"), F.col("about").alias("anchor_about")), "anchor_mesh")
+    thing, stand = (F.concat(F.lit(n), F.col(c).cast("string")) for n, c in (("thing ", "mesh_id"), ("stand ", "anchor_mesh")))
+    prompt = A.placement_prompt(F.concat(thing, F.lit(" beside "), stand), stand, F.col("anchor_about"), thing, F.col("about"))
+    return rows.select("sample_id", F.md5(prompt).alias("prompt"))
+
+
 @query("w12_runs", """
     SELECT mesh_id, y, z, min(x) AS x0, max(x) AS x1 FROM (SELECT *, x - row_number() OVER (PARTITION BY mesh_id, y, z ORDER BY x) AS isl FROM soup_cells)
     GROUP BY mesh_id, y, z, isl""")

@@ -132,9 +132,19 @@ def block_text(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("mesh_id").agg(items.alias("l")).select("mesh_id", F.array_join("l.line", "\n").alias("text"))
 
 
-def placement_prompt(phrase: Column, anchor_name: Column, anchor_text: Column, placed_name: Column, placed_text: Column) -> Column:
+def mesh_text(headers: DataFrame, texts: DataFrame, counts: DataFrame) -> DataFrame:
+    """What a prompt says of a mesh, ``mesh_id, about``: its size to four decimals, how many blocks it has, and their list."""
+    number = lambda c: T.plain_number(F.round(F.col(c), 4), 4)
+    size = F.concat_ws(" by ", *[number(f"size{a}") for a in "xyz"])
+    joined = headers.join(counts, "mesh_id").join(texts, "mesh_id")
+    return joined.select("mesh_id", F.concat(
+        F.lit("Size "), size, F.lit(" along x, y and z, middle at the origin; blocks by volume: "), F.col("blocks").cast("string"), F.lit("\n"), "text",
+    ).alias("about"))
+
+
+def placement_prompt(phrase: Column, anchor_name: Column, anchor_about: Column, placed_name: Column, placed_about: Column) -> Column:
+    """What a placement model reads: the phrase, the object that stays and the one to be put there."""
     return F.concat(
-        F.lit('Phrase: "'), phrase, F.lit('"\n\nObject that stays — "'), anchor_name, F.lit('"\n'), anchor_text,
-        F.lit('\n\nObject to be put there — "'), placed_name, F.lit('"\n'), placed_text,
+        F.lit('Phrase: "'), phrase, F.lit('"\n\nObject that stays — "'), anchor_name, F.lit('"\n'), anchor_about,
+        F.lit('\n\nObject to be put there — "'), placed_name, F.lit('"\n'), placed_about,
     )
-
