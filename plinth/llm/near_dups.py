@@ -6,12 +6,14 @@ hashes with the other, so among its ``n - ceil(t * n) + 1`` first hashes, in an
 one is shared. Sketches of that size lose no link, whatever the sizes are.
 
 * Sets that are equal collapse into one before anything is compared.
-* Retained hashes that very many sets retain (a passage that a third of the corpus carries) come last in the common
-  order: a set has to consist of them nearly whole before it enters their inverted lists. Their number is bounded by
-  construction, ``HOT_VALUES``, so they can be broadcast.
-* An inverted list is never expanded into all its pairs. First every member is compared with the list's most central
-  member only. Links found there join members into classes; a second pass compares all that is still in different
-  classes and could reach the threshold by the bounds.
+* Retained hashes that more than ``HOT_LEAST`` sets retain (a passage that a third of the corpus carries) come last in
+  the common order: a set has to consist of them nearly whole before it enters their inverted lists. At most
+  ``HOT_VALUES`` of them, those that most sets retain, are broadcast; the order stays common whichever they are.
+* An inverted list is compared in rounds, hubs against members. The first round has one hub per list, the first member
+  in an order common to all lists, so that a group's lists agree on it. Links join members into classes; a list whose
+  members are of one class is closed. In the others each further round takes up to four times as many hubs, each of
+  another class, and compares them with the members of other classes. A hub has then met its whole list and leaves it.
+  The rounds end when no list is open: every pair of a list was compared, ruled out by a bound, or is of one class.
 * A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
   bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there.
 * The union of two sketches estimates the Jaccard index; pairs far below the threshold stop there. The rest is
@@ -24,17 +26,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plinth.llm.graph import components
 from plinth.llm.words import lists, mix, sequences, slices
 from plinth.runtime import cut, discard
 
-HOT_VALUES = 50_000  # at most so many hashes can be hot, whatever the corpus size
-MARK_WORDS = 16
-CELLS = 1 << 18
+HOT_VALUES = 200_000  # at most so many hashes are hot, whatever the corpus size
 HOT_LEAST = 64  # a shorter inverted list is never hot
+MARK_WORDS = 16
+CELLS = 1 << 26  # bits that tell which documents' full sets are wanted: 8 MB
+MORE_HUBS = 4
 
 
 @dataclass(frozen=True)
@@ -78,6 +81,11 @@ def _mark(own: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values occur in ``known`` (ascending, not empty)."""
+    return known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values
+
+
 def _sketched(rule: Threshold, hot: np.ndarray | None):
     """Task: documents -> set size, digest of the set and sketch. With ``hot``, only documents whose sketch changes."""
 
@@ -90,9 +98,9 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
                     k = rule.kept(len(own)) if len(own) else 0
                     sketch = own[:k]
                     if hot is not None:
-                        if not len(sketch) or not np.isin(sketch, hot, assume_unique=True).any():
+                        if not _among(sketch, hot).any():
                             continue
-                        common = np.isin(own, hot, assume_unique=True)
+                        common = _among(own, hot)
                         sketch = np.concatenate([own[~common], own[common]])[:k]
                     unsigned = own.view(np.uint64)
                     rows.append(row)
@@ -117,12 +125,13 @@ def _sketched(rule: Threshold, hot: np.ndarray | None):
     return run
 
 
-def _full_sets(width: int, cells: np.ndarray):
-    """Task: documents whose cell is one of ``cells`` (ascending) -> full sets."""
+def _full_sets(width: int, wanted: np.ndarray):
+    """Task: documents whose cell has its bit set in ``wanted`` -> full sets."""
 
     def run(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(np.isin(batch.column(2).to_numpy(), cells)))
+            cell = batch.column(2).to_numpy()
+            batch = batch.filter(pa.array((wanted[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)))
             for piece in slices(batch.column(1)):
                 sets = list(shingle_sets(piece, width))
                 yield pa.RecordBatch.from_arrays(
@@ -156,22 +165,14 @@ def _first_shared(rows: DataFrame, rule: Threshold) -> DataFrame:
     return first.where(_reach(rule, *columns, before=False))
 
 
-def _classes(links: DataFrame) -> DataFrame:
-    return cut(components(links))
-
-
-def _linked(pairs: DataFrame, sketches: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs that pass the estimate and the check on full sets, as a written table."""
-    near = cut(_estimated(pairs, sketches, rule))
+def _confirmed(near: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs whose full sets reach the threshold: ``u, v``."""
     one = full.select(F.col("doc_id").alias("a"), F.col("hashes").alias("ha"))
     two = full.select(F.col("doc_id").alias("b"), F.col("hashes").alias("hb"))
     shared = F.size(F.array_intersect("ha", "hb"))
-    result = cut(
-        near.join(one, "a").join(two, "b").where(rule.holds(shared, F.size("ha"), F.size("hb")))
-        .select(F.col("a").alias("u"), F.col("b").alias("v"))
-    )
-    discard(near)
-    return result
+    return near.join(one.join(near.select("a").distinct(), "a", "left_semi"), "a").join(two, "b").where(
+        rule.holds(shared, F.size("ha"), F.size("hb"))
+    ).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
 def _marks_apart(one: Column, two: Column) -> Column:
@@ -186,19 +187,80 @@ def _marked(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame
     return pairs.join(one, "a").join(two, "b").where(rule.differ(apart, F.col("na"), F.col("nb"))).select(*pairs.columns)
 
 
-def _full(texts: DataFrame, pairs: DataFrame, rule: Threshold) -> DataFrame:
-    """Full sets of the documents in pairs, as a written table.
+def _full(texts: DataFrame, needed: DataFrame, rule: Threshold) -> DataFrame:
+    """Full sets of the documents in ``needed(doc_id)``, and of a few more, as a written table.
 
-    Ids are hashed into ``CELLS`` cells; those with a wanted id, at most ``CELLS`` numbers, go to every task, so texts are
-    filtered where they are read and only sets are shuffled. The join then takes the wanted ids exactly.
+    Ids are hashed into ``CELLS`` cells, and the bits of the wanted cells go to every task: texts are filtered where they
+    are read, and nothing is shuffled.
     """
-    needed = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
     cell = F.pmod(F.xxhash64("doc_id"), F.lit(CELLS)).alias("cell")
-    wanted = cut(needed.select(cell).distinct())
-    cells = np.sort(np.array([r[0] for r in wanted.collect()], dtype=np.int64))
-    discard(wanted)
-    sets = texts.select("doc_id", "text", cell).mapInArrow(_full_sets(rule.width, cells), "doc_id long, hashes array<long>")
-    return cut(sets.join(needed, "doc_id", "left_semi"))
+    bits = needed.select(F.bitmap_bucket_number(cell + 1).alias("block"), F.bitmap_bit_position(cell + 1).alias("bit"))
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = bits.repartition(parts, "block").groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+    wanted = np.zeros(CELLS // 8, dtype=np.uint8)
+    for row in blocks:
+        own = np.frombuffer(row.bits, dtype=np.uint8)
+        wanted[(row.block - 1) * len(own):row.block * len(own)] = own
+    return cut(texts.select("doc_id", "text", cell).mapInArrow(_full_sets(rule.width, wanted), "doc_id long, hashes array<long>"))
+
+
+def _hubs(members: DataFrame, most: int) -> DataFrame:
+    """``value, hub`` of each list: the first member of up to ``most`` classes, in an order common to all lists."""
+    first = F.min(F.struct(F.xxhash64("rep").alias("order"), "rep", "p", "n", "class")).alias("hub")
+    if most == 1:
+        return members.groupBy("value").agg(first)
+    place = F.row_number().over(Window.partitionBy("value").orderBy("hub"))
+    return members.groupBy("value", "class").agg(first).withColumn("at", place).where(F.col("at") <= most).select("value", "hub")
+
+
+def _met(members: DataFrame, hubs: DataFrame, rule: Threshold) -> DataFrame:
+    """Pairs ``a, b`` of a hub and a member of another class in its list, if the threshold is in reach."""
+
+    def side(one: str, two: str, out: str) -> Column:
+        return F.when(F.col("rep") < F.col("hub.rep"), F.col(one)).otherwise(F.col(two)).alias(out)
+
+    rows = members.join(hubs, "value").where("class <> hub.class").select(
+        F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
+        side("p", "hub.p", "p_a"), side("hub.p", "p", "p_b"), side("n", "hub.n", "n_a"), side("hub.n", "n", "n_b"),
+    )
+    return _first_shared(rows, rule).select("a", "b")
+
+
+def _still_open(members: DataFrame, hubs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Lists without their hubs, with the members' new classes, where more than one class is left; a written table."""
+    rest = members.select("value", "rep", "p", "n").join(hubs.select("value", F.col("hub.rep").alias("rep")), ["value", "rep"], "left_anti")
+    labelled = rest.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select(
+        "value", "rep", "p", "n", F.coalesce("component", "rep").alias("class")
+    )
+    mixed = labelled.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
+    return cut(labelled.join(mixed.select("value"), "value", "left_semi"))
+
+
+def _linked(members: DataFrame, sketches: DataFrame, texts: DataFrame, rule: Threshold) -> DataFrame:
+    """Classes ``id, component`` of linked sets from the lists ``value, rep, p, n, class``; a written table."""
+    spark, most = members.sparkSession, 1
+    classes = spark.sql("SELECT 0L AS id, 0L AS component WHERE false")
+    tested = spark.sql("SELECT 0L AS a, 0L AS b WHERE false")
+    full = spark.sql("SELECT 0L AS doc_id, array(0L) AS hashes WHERE false")
+    tables, met = [], []
+    while not members.isEmpty():
+        hubs = cut(_hubs(members, most))
+        pairs = _met(members, hubs, rule).join(tested, ["a", "b"], "left_anti")
+        met.append(cut(_marked(pairs, sketches, rule)))
+        near = cut(_estimated(met[-1], sketches, rule))
+        needed = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
+        missing = cut(needed.join(full.select("doc_id"), "doc_id", "left_anti"))
+        if not missing.isEmpty():
+            tables.append(_full(texts, missing, rule))
+            full = full.unionByName(tables[-1])
+        links = classes.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(_confirmed(near, full, rule))
+        classes, last = cut(components(links)), classes
+        members, done = _still_open(members, hubs, classes), members
+        tested = tested.unionByName(met[-1])
+        discard(*(t for t in (hubs, near, missing, done, last) if hasattr(t, "cut_path")))
+        most *= MORE_HUBS
+    discard(*tables, *met)
+    return classes
 
 
 def _estimated(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
@@ -237,10 +299,8 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     sets = cut(usable.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("mark").alias("mark")))
 
     discard(first)
-    retained = sets.agg(F.sum(F.size("sketch"))).first()[0] or 0
-    limit = max(HOT_LEAST, -(-retained // HOT_VALUES))
-    counts = sets.select(F.explode("sketch").alias("value")).groupBy("value").count()
-    common = cut(counts.where(F.col("count") > limit).select("value"))
+    counts = sets.select(F.explode("sketch").alias("value")).groupBy("value").count().where(F.col("count") > HOT_LEAST)
+    common = cut(counts.orderBy(F.desc("count"), "value").limit(HOT_VALUES).select("value"))
     hot = np.sort(np.array([r[0] for r in common.collect()], dtype=np.int64))
     discard(common)
     sketches = sets.withColumn("plain", F.lit(True))
@@ -261,52 +321,12 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
     # smallest, stands for all. Members are compared by two sums of hashes and their number.
     lists_ = shared.groupBy("value").agg(
         F.count(F.lit(1)).alias("length"), F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"),
-        F.sum("p").alias("depth"), F.min(F.struct("p", "n", "rep")).alias("hub"),
+        F.sum("p").alias("depth"),
     )
-    hubs = lists_.groupBy("length", "s1", "s2").agg(F.min(F.struct("depth", "value", "hub")).alias("x")).select("x.value", "x.hub")
-    listed = cut(shared.join(hubs, "value"))
+    chosen = lists_.groupBy("length", "s1", "s2").agg(F.min(F.struct("depth", "value")).alias("x")).select("x.value")
+    listed = cut(shared.join(chosen, "value", "left_semi").select("value", "rep", "p", "n", F.col("rep").alias("class")))
     discard(shared)
-
-    def side(one: Column, two: Column, out: str) -> Column:
-        return F.when(F.col("rep") < F.col("hub.rep"), one).otherwise(two).alias(out)
-
-    p, n, hub_p, hub_n = (F.col(c) for c in ("p", "n", "hub.p", "hub.n"))
-    starred = cut(_marked(_first_shared(
-        listed.where("rep <> hub.rep").select(
-            F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
-            side(p, hub_p, "p_a"), side(hub_p, p, "p_b"), side(n, hub_n, "n_a"), side(hub_n, n, "n_b"),
-        ), rule
-    ), sketches, rule))
-    full = _full(texts, starred, rule)
-    tested = starred.select("a", "b").distinct()
-    links = _linked(tested, sketches, full, rule)
-    discard(full)
-    classes = _classes(links)
-
-    labelled = listed.select("value", "rep", "p", "n").join(
-        classes.withColumnRenamed("id", "rep"), "rep", "left"
-    ).withColumn("class", F.coalesce("component", "rep"))
-    mixed = labelled.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    open_lists = cut(
-        labelled.join(mixed.select("value"), "value", "left_semi").select("value", "rep", "p", "n", "class")
-        .join(sketches.select("rep", "mark"), "rep")
-    )
-    one, two = open_lists.alias("x"), open_lists.alias("y")
-    reach = _reach(rule, *(F.col(c) for c in ("x.p", "y.p", "x.n", "y.n")))
-    close = rule.differ(_marks_apart(F.col("x.mark"), F.col("y.mark")), F.col("x.n"), F.col("y.n"))
-    rest = one.join(two, F.expr("x.value = y.value AND x.rep < y.rep AND x.class <> y.class") & reach & close).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), F.col("x.p").alias("p_a"), F.col("y.p").alias("p_b"),
-        F.col("x.n").alias("n_a"), F.col("y.n").alias("n_b"),
-    )
-    last = cut(
-        _first_shared(rest, rule).select("a", "b")
-        .join(tested, ["a", "b"], "left_anti")
-    )
-    full = _full(texts, last, rule)
-    final = _linked(last, sketches, full, rule)
-    discard(listed, starred, open_lists, last, classes, full)
-    links = links.unionByName(final)
-    found = components(links).select(F.col("id").alias("rep"), "component")
+    found = _linked(listed, sketches, texts, rule).select(F.col("id").alias("rep"), "component")
     classes = cut(
         sketches.select(*digest, "rep").join(found, "rep", "left")
         .select(*digest, F.coalesce("component", "rep").alias("component_id"))
