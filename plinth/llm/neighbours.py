@@ -1,12 +1,16 @@
 """Approximate nearest neighbours by largest inner product: NN-descent builds a graph, queries search it greedily.
 
-Equal vectors are one node; a node keeps its ``k + 1`` smallest ids, which is all that a result can need. Nodes get one
-more component that makes all norms equal, so that a node's nearest by distance are its nearest by inner product.
+Equal vectors are one node; a node keeps its ``k + 1`` smallest ids, which is all that a result can need. A node's links
+lead to those with the largest inner product with it, whatever the norms. A code holds the direction in half precision
+and the norm, in single precision, as a share of the largest component of all; how near another node is to an owner is
+the cosine times the other's norm, since the owner's own norm changes no order.
 
 The graph begins with the nearest of each node in two blocks, one of nodes on the same side of random planes, one
 random. Then each round joins every node's neighbours, forward and backward, with each other (pairs of two old links were
 joined before and are skipped): whoever is nearer than a member's last neighbour is proposed to that member, and the best
-``LINKS`` stay. The rounds end when few links are new. These are the method's own bounds: a result is approximate, and
+``LINKS`` stay. Long vectors are near to very many nodes, so a node's backward links are dealt anew in every round into
+groups of about ``CROWD``, each joined with itself and with the node's forward links: a round's work follows the number of
+links, and no group is unbounded. The rounds end when few links are new. These are the method's own bounds: a result is approximate, and
 recall is measured in the tests.
 
 A query starts at its own node, then opens its ``OPEN`` best unopened candidates, looks at their neighbours, and so on
@@ -24,16 +28,22 @@ from plinth.llm.words import lists
 from plinth.runtime import cut, discard
 
 LINKS, PROPOSED, ROUNDS = 36, 16, 8
-BLOCK, PIVOTS = 256, 256
+BLOCK, PIVOTS, CROWD = 256, 256, 64
 OPEN, HOPS, KEPT = 32, 4, 120
 SETTLED = 0.02  # of all links new in a round: the graph is done
 
 _NODE = "id long, code binary, links array<long>, near array<float>, fresh array<boolean>"
 
 
-def _codes(column) -> np.ndarray:
-    raw = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return np.frombuffer(b"".join(raw.to_pylist()), np.float16).reshape(len(raw), -1).astype(np.float32)
+def _codes(column) -> tuple[np.ndarray, np.ndarray]:
+    """Directions and norms of coded vectors."""
+    raw = column.combine_chunks().to_pylist() if isinstance(column, pa.ChunkedArray) else column.to_pylist()
+    return _opened(raw)
+
+
+def _opened(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    held = np.frombuffer(b"".join(raw), np.uint8).reshape(len(raw), -1)
+    return held[:, :-4].copy().view(np.float16).astype(np.float32), held[:, -4:].copy().view(np.float32).ravel()
 
 
 def _ragged(column) -> list[np.ndarray]:
@@ -42,17 +52,21 @@ def _ragged(column) -> list[np.ndarray]:
 
 
 def _coded(dims: int, top: float, planes: np.ndarray):
-    """Vectors -> half-precision codes with the balancing component, and the side of each plane as a number."""
+    """Vectors -> codes, and the side of each plane as a number."""
 
     def run(batches):
         for batch in batches:
-            rows = np.zeros((batch.num_rows, dims + 1))
+            rows = np.zeros((batch.num_rows, dims))
             for row, own in zip(rows, _ragged(batch.column(1))):
                 row[:len(own)] = own
             rows /= top
-            rows[:, dims] = np.sqrt(np.maximum(0, 1 - (rows ** 2).sum(axis=1)))
+            largest = np.abs(rows).max(axis=1, initial=0)[:, None]
+            rows /= np.where(largest > 0, largest, 1)
+            size = np.sqrt((rows ** 2).sum(axis=1, keepdims=True))
+            rows /= np.where(size > 0, size, 1)
             side = ((rows @ planes) > 0) @ (1 << np.arange(planes.shape[1]))
-            codes = [r.tobytes() for r in rows.astype(np.float16)]
+            norms = (size * largest).astype(np.float32)
+            codes = [a.tobytes() + b.tobytes() for a, b in zip(rows.astype(np.float16), norms)]
             yield pa.RecordBatch.from_pydict({"id": batch.column(0), "code": pa.array(codes, type=pa.binary()), "side": side.astype(np.int64)})
 
     return run
@@ -81,8 +95,8 @@ def _proposals(owner, other, near, keep):
 
 def _in_block(table):
     """Members of one block -> the nearest others of each."""
-    ids, rows = table.column("id").to_numpy(), _codes(table.column("code"))
-    near = rows @ rows.T
+    ids, (rows, norms) = table.column("id").to_numpy(), _codes(table.column("code"))
+    near = rows @ rows.T * norms
     np.fill_diagonal(near, -np.inf)
     keep = min(LINKS // 2, len(ids) - 1)
     best = np.argpartition(-near, keep - 1, axis=1)[:, :keep] if keep > 0 else np.empty((len(ids), 0), dtype=np.int64)
@@ -96,7 +110,7 @@ def _joined(table):
     pivot, member = pivot[order], table.column("member").to_numpy()[order]
     fresh = table.column("fresh").to_numpy(zero_copy_only=False)[order]
     floor = table.column("floor").to_numpy()[order]
-    codes = _codes(table.column("code"))[order]
+    codes, norms = (x[order] for x in _codes(table.column("code")))
     found = [], [], []
     for lo, hi in zip(*(lambda e: (e[:-1], e[1:]))(np.flatnonzero(np.diff(pivot, prepend=pivot[0] - 1, append=pivot[-1] + 1)))):
         own, at = np.unique(member[lo:hi], return_index=True)
@@ -105,7 +119,7 @@ def _joined(table):
         if len(own) < 2 or not new.any():
             continue
         rows = codes[lo:hi][at]
-        near = rows @ rows.T
+        near = rows @ rows.T * norms[lo:hi][at]
         near[~(new[:, None] | new[None]) | (near <= floor[lo:hi][at][:, None])] = -np.inf
         np.fill_diagonal(near, -np.inf)
         keep = min(PROPOSED, len(own) - 1)
@@ -150,11 +164,11 @@ def _taken(nodes: DataFrame, proposals: DataFrame) -> DataFrame:
 
 
 def build_graph(vectors: DataFrame) -> tuple[DataFrame, int, float]:
-    """NN-descent graph of ``vectors(id, vector array<double>)`` with distinct ids: nodes, dimensions, largest norm."""
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
-    seen = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.max(norm)).first()
+    """NN-descent graph of ``vectors(id, vector array<double>)`` with distinct ids: nodes, dimensions, largest component."""
+    largest = F.array_max(F.transform("vector", F.abs))
+    seen = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector")), F.max(largest)).first()
     n, dims, top = seen[0], seen[1] or 0, seen[2] or 1.0
-    planes = np.random.default_rng(7).standard_normal((dims + 1, max(1, (n // BLOCK).bit_length())))
+    planes = np.random.default_rng(7).standard_normal((dims, max(1, (n // BLOCK).bit_length())))
     coded = cut(vectors.select("id", "vector").mapInArrow(_coded(dims, top, planes), "id long, code binary, side long"))
     # A side that many nodes share is split, so that no block outgrows BLOCK by much.
     shares = coded.groupBy("side").count().select("side", F.ceil(F.col("count") / BLOCK).alias("shares"))
@@ -171,14 +185,23 @@ def build_graph(vectors: DataFrame) -> tuple[DataFrame, int, float]:
     nodes = _taken(empty, near.groupBy("block").applyInArrow(_in_block, "id long, others array<long>, near array<float>"))
     discard(coded)
     pivots = -(-n // PIVOTS) or 1
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         floor = F.when(F.size("links") < LINKS, F.lit(float("-inf"))).otherwise(F.element_at("near", -1)).cast("float").alias("floor")
         linked = nodes.select("id", "code", floor, F.explode(F.arrays_zip("links", "fresh")).alias("x"))
         backward = linked.select(F.col("x.links").alias("pivot"), F.col("id").alias("member"), "code", "floor", "x.fresh")
         forward = linked.select(F.col("id").alias("pivot"), F.col("x.links").alias("member"), "x.fresh").join(
             nodes.select(F.col("id").alias("member"), "code", floor), "member"
         ).select("pivot", "member", "code", "floor", "fresh")
-        around = backward.unionByName(forward).withColumn("block", F.pmod(F.xxhash64("pivot"), F.lit(pivots)))
+        crowds = backward.groupBy("pivot").count().where(F.col("count") > CROWD).select(
+            "pivot", F.ceil(F.col("count") / CROWD).alias("shares"))
+        shares = F.coalesce("shares", F.lit(1))
+        group = lambda share: F.xxhash64("pivot", share).alias("pivot")
+        rest = "member", "code", "floor", "fresh"
+        around = backward.join(crowds, "pivot", "left").select(
+            group(F.pmod(F.xxhash64("member", F.lit(turn)), shares)), *rest
+        ).unionByName(forward.join(crowds, "pivot", "left").withColumn(
+            "share", F.explode(F.sequence(F.lit(0).cast("long"), shares - 1))
+        ).select(group(F.col("share")), *rest)).withColumn("block", F.pmod("pivot", F.lit(pivots)))
         found = around.groupBy("block").applyInArrow(_joined, "id long, others array<long>, near array<float>")
         last, nodes = nodes, _taken(nodes, found)
         discard(last)
@@ -191,12 +214,12 @@ def build_graph(vectors: DataFrame) -> tuple[DataFrame, int, float]:
 def _looked(batches):
     """Opened nodes with a query's code -> the nearness of their neighbours to the query."""
     for batch in batches:
-        queries = _codes(batch.column(1))
+        queries, _ = _codes(batch.column(1))
         found = [], []
         for query, links, raw in zip(queries, _ragged(batch.column(2)), batch.column(3).to_pylist()):
-            rows = np.frombuffer(b"".join(raw), np.float16).reshape(len(links), -1).astype(np.float32)
+            rows, norms = _opened(raw)
             found[0].append(links)
-            found[1].append(rows[:, :-1] @ query[:-1])
+            found[1].append(rows @ query * norms)
         counts = np.array([len(x) for x in found[0]], dtype=np.int64)
         flat = [np.concatenate(x) if x else np.empty(0) for x in found]
         yield pa.RecordBatch.from_arrays(

@@ -71,6 +71,25 @@ def test_recall(spark):
     assert hits >= 0.9 * total
 
 
+@pytest.mark.parametrize("kind", ["spread", "lognormal", "one huge"])
+def test_recall_with_unequal_norms(spark, kind):
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((3000, 32))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if kind == "one huge":
+        x[1234] *= 1e5
+    else:
+        x *= (rng.uniform(0.5, 2, 3000) if kind == "spread" else rng.lognormal(0, 1, 3000))[:, None]
+    vectors = cut(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vector array<double>"))
+    got = nearest(vectors, vectors.where("id % 20 = 0"), 20).collect()
+    score = x @ x.T
+    np.fill_diagonal(score, -np.inf)
+    best = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    hits = sum(r.vec_id in best[r.query_id] for r in got)
+    assert len(got) == 3000 and hits >= 0.9 * 3000
+    assert all(abs(r.score - score[r.query_id, r.vec_id]) <= 1e-9 * max(1, abs(r.score)) for r in got)
+
+
 @pytest.mark.parametrize("n,top", [(1, 0), (7, 3), (1000, 1000), (1000, 10**6), (3000, 10**12), (0, 0)])
 def test_elias_fano(n, top):
     rng = np.random.default_rng(n)
