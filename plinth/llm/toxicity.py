@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -166,15 +168,17 @@ class Lexicon:
                 clean.append((start, end))
             elif start not in doubtful:
                 met.setdefault(start, {})[text[start:end + 1]] = weight
+        starts = sorted(met)
         for lo, hi in clean:
-            for start in [s for s in met if lo <= s < hi]:
-                del met[start]
+            for start in starts[bisect_left(starts, lo):bisect_left(starts, hi)]:
+                met.pop(start, None)
         for start, word in doubtful.items():
             if own := self.met(word):
                 met[start] = {entry: self.entries[entry] for entry in own}
         if doubtful and self._around:
+            place = dict(zip(accumulate((len(w) + 1 for w in words), initial=0), range(len(words))))
             for start, own in met.items():
-                at = text.count(" ", 0, start)
+                at = place[start]
                 met[start] = {e: w for e, w in own.items() if not self.excused(words, at, e, 1 if start in doubtful else 2)}
         return sum(max(own.values(), default=0.0) for own in met.values()) / math.sqrt(len(words))
 

@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import re
 import zlib
 
@@ -320,6 +321,17 @@ def test_toxicity(spark, docs, nothing):
     assert lexicon.evidence(toxicity.folded("v1le")) == 3.0 and lexicon.evidence(toxicity.folded("near Vile Bay")) == 0
 
 
+def test_toxicity_of_long_texts():
+    """Evidence takes time with a text's length, and repeating a text scales its evidence as the formula says."""
+    lexicon = toxicity.Lexicon({" vorg": 3.0, " zimp ": 2.0}, ["vorgan", "not zimp"])
+    words = toxicity.folded("vorgaks v0rgaks zimp not zimp vorgan vorgans z1mp n0t z1mp clean ")
+    one = lexicon.evidence(words)
+    assert abs(one * math.sqrt(len(words)) - (3 + 3 + 2 + 3 + 2)) < 1e-9
+    begun = time.monotonic()
+    assert abs(lexicon.evidence(words * 10_000) / one - 100) < 1e-6
+    assert time.monotonic() - begun < 20
+
+
 def test_toxicity_of_disguised_words(spark):
     entries = {f" {w} ": 3.0 for w in ("loser", "clown", "worthless", "stupid", "scum", "imbecile", "asshole")} | {" ment": 2.0}
     lexicon = toxicity.Lexicon(entries, ["scum lake", "mentor"])
