@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from plinth.llm.words import lists
 
 CHUNK_CHARS, OVERLAP_CHARS = 1 << 15, 1 << 9
+CHUNKS_AT_ONCE = 16
 MARGIN = 8  # characters; more than the longest literal of the pattern
 BATCH_CHARS = 1 << 19
 DECODED_ROWS = 256
@@ -104,6 +105,24 @@ def stitch(coder: BytePairs, text: str, starts: list[int], found: list[list[int]
     return [*cuts, len(text)]
 
 
+def _chunked(chunk: int, overlap: int):
+    """Task: rows ``_row, text`` -> overlapping chunks, cut in one pass over a text."""
+
+    def run(batches):
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = text.as_py()
+                starts = range(0, len(text), chunk)
+                for lo in range(0, len(starts), CHUNKS_AT_ONCE):
+                    own = starts[lo:lo + CHUNKS_AT_ONCE]
+                    yield pa.RecordBatch.from_pydict({
+                        "_row": pa.array([key] * len(own), pa.string()), "_chunk": pa.array(range(lo, lo + len(own)), pa.int32()),
+                        "_start": pa.array(own, pa.int32()), "part": pa.array([text[s:s + chunk + overlap] for s in own], pa.string()),
+                    })
+
+    return run
+
+
 def _matched(path: str, pattern: str):
     def run(batches):
         coder = byte_pairs(path, pattern)
@@ -175,9 +194,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK_CHARS, o
         )
     )
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = long.select("_row", F.length("text").alias("n"), "text").select(
-        "_row", "text", F.posexplode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(chunk))).alias("_chunk", "_start")
-    ).select("_row", "_chunk", "_start", F.expr(f"substring(text, _start + 1, {chunk + overlap})").alias("part"))
+    chunks = long.select("_row", "text").mapInArrow(_chunked(chunk, overlap), "_row string, _chunk int, _start int, part string")
     found = chunks.repartition(parts, "_row", "_chunk").mapInArrow(
         _matched(path, pattern), "_row string, _chunk int, _start int, _found array<long>"
     )
