@@ -83,8 +83,8 @@ def _scored(k: int):
 def exact_top(rows: DataFrame, queries: DataFrame, k: int, row_block: int = ROWS, query_block: int = QUERIES) -> DataFrame:
     """The ``k`` rows with the largest inner product for each query: ``query_id, rank, vec_id, score``.
 
-    Both inputs hold ``id long, weights array<long>`` with unique non-null ids; a row with the query's own id is no
-    candidate. Ties go to the smaller id. Weights are integers, and so are scores (64 bits). Arrays may differ in length.
+    Both inputs hold ``id long, weights array<long>`` with non-null ids, unique among the queries. Rows that share an id
+    are candidates each for itself; rows with the query's own id are none. An empty array scores 0 with everything. Ties go to the smaller id. Weights are integers, and so are scores (64 bits). Arrays may differ in length.
     """
     n, m = rows.count(), queries.count()
     blocks = max(1, -(-n // row_block))

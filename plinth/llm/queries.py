@@ -134,18 +134,19 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_exact_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    vectors = usable(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", repeats=True)
     rows = vectors.select("id", F.transform("vector", lambda x: F.floor(x * 1024)).alias("weights"))
-    return exact_top(rows, rows.where("id % 100 = 0"), 10)
+    return exact_top(rows, rows.where("id % 100 = 0").groupBy("id").agg(F.min("weights").alias("weights")), 10)
 
 
 OP8_SQL = """
 WITH rows AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), asked AS (SELECT vec_id, min(w) AS w FROM rows WHERE vec_id % 100 = 0 GROUP BY vec_id
 ), scores AS (
-  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.w, r.w)::BIGINT AS score
-  FROM rows q JOIN rows r ON q.vec_id % 100 = 0 AND r.vec_id <> q.vec_id
+  SELECT q.vec_id AS query_id, r.vec_id, list_inner_product(q.w[:least(len(q.w), len(r.w))], r.w[:least(len(q.w), len(r.w))])::BIGINT AS score
+  FROM asked q JOIN rows r ON r.vec_id <> q.vec_id
 )
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scores QUALIFY rank <= 10

@@ -45,6 +45,22 @@ def test_exact_top(spark):
     assert exact_top(rows.where("id = 0"), rows.where("id = 0"), 7).collect() == []
 
 
+def test_exact_top_of_repeated_and_empty(spark, tmp_path):
+    """Repeated ids are candidates each, empty vectors score 0, the smallest of a query id's vectors asks."""
+    rows = [(i, [float(i % 7), float(-i % 5), 1.0]) for i in range(90, 140)]
+    rows += [(100, [9.0, 9.0, 9.0]), (101, [5.0, 5.0, 5.0]), (101, [5.0, 5.0, 5.0]), (150, []), (200, []), (151, None), (None, [1.0] * 3)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = [tuple(r) for r in QUERIES["op8_exact_top"](spark, str(tmp_path)).orderBy("query_id", "rank").collect()]
+    held = [(i, [int(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None]
+    expected = []
+    for q in (100, 200):
+        own = min(v for i, v in held if i == q)
+        best = sorted((-sum(a * b for a, b in zip(own, v)), i) for i, v in held if i != q)[:10]
+        expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert got == expected
+
+
 def test_nearest(spark):
     vectors = cut(usable(awkward(spark), "vec_id", "embedding", zeros=False))
     expected = plain(vectors, set(range(0, 400, 4)), 6)
