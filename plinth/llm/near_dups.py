@@ -11,7 +11,7 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
   ``HOT_VALUES`` of them, those that most sets retain, are broadcast; the order stays common whichever they are.
 * An inverted list is compared in rounds, hubs against members. The first round has one hub per list, the first member
   in an order common to all lists, so that a group's lists agree on it. Links join members into classes; a list whose
-  members are of one class is closed. In the others each further round takes up to four times as many hubs, each of
+  members are of one class is closed. In the others each further round takes ``MORE_HUBS`` times as many hubs, each of
   another class, and compares them with the members of other classes. A hub has then met its whole list and leaves it.
   The rounds end when no list is open: every pair of a list was compared, ruled out by a bound, or is of one class.
 * A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
@@ -37,7 +37,7 @@ HOT_VALUES = 200_000  # at most so many hashes are hot, whatever the corpus size
 HOT_LEAST = 64  # a shorter inverted list is never hot
 MARK_WORDS = 16
 CELLS = 1 << 26  # bits that tell which documents' full sets are wanted: 8 MB
-MORE_HUBS = 4
+MORE_HUBS = 32  # rounds have fixed costs, so few rounds with many hubs
 
 
 @dataclass(frozen=True)
