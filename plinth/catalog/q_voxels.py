@@ -86,9 +86,13 @@ def _(t):
 
 @query("v2_surface_cells", "SELECT mesh_id, x, y, z FROM soup_cells UNION ALL SELECT -mesh_id - 1, x, y, z FROM bfine_surface")
 def _(t):
-    fine = V.subdivide(V.grid_headers(t.boxes, BOX_RESOLUTION), V.SUBDIVISION)
-    boxes = V.surface_cells(t.boxes, fine).withColumn("mesh_id", -F.col("mesh_id") - 1)
-    return t.soup_cells.unionByName(boxes)
+    fine = V.subdivide(V.grid_headers(t.kind_boxes, BOX_RESOLUTION), V.SUBDIVISION)
+    return t.soup_cells.unionByName(below(t.of_boxes(V.surface_cells(t.kind_boxes, fine))))
+
+
+def below(boxes):
+    """Rows of boxes under negative mesh ids, apart from those of soups."""
+    return boxes.withColumn("mesh_id", -F.col("mesh_id") - 1)
 
 
 def fine_soup(t):
@@ -107,7 +111,7 @@ def _(t):
 
 @query("v4_downsampled_cells", "SELECT mesh_id, x, y, z FROM soup_solid UNION ALL SELECT -mesh_id - 1, x, y, z FROM box_solid")
 def _(t):
-    return soup_solid(t).unionByName(t.box_cells.withColumn("mesh_id", -F.col("mesh_id") - 1))
+    return soup_solid(t).unionByName(below(t.of_boxes(t.kind_cells)))
 
 
 def add_blocks(name: str, cells: str) -> None:
@@ -137,8 +141,13 @@ _ENDS = [f"{a}{e}" for e in "01" for a in "xyz"]
 
 @query("v5_blocks", f"SELECT mesh_id, {', '.join(_ENDS)} FROM soup_blocks UNION ALL SELECT -mesh_id - 1, {', '.join(_ENDS)} FROM box_blocks")
 def _(t):
-    boxes = t.box_cells.withColumn("mesh_id", -F.col("mesh_id") - 1)
-    return V.blocks(soup_solid(t).unionByName(boxes)).select("mesh_id", *_ENDS)
+    return all_blocks(t)
+
+
+def all_blocks(t):
+    """Blocks of soups and of boxes, the latter found once per kind."""
+    boxes = t.of_boxes(V.blocks(t.kind_cells).select("mesh_id", *_ENDS))
+    return V.blocks(soup_solid(t)).select("mesh_id", *_ENDS).unionByName(below(boxes))
 
 
 @query("l2_blocks_largest_first", "SELECT mesh_id, volume, rank FROM soup_blocks")
@@ -148,8 +157,7 @@ def _(t):
 
 @query("v6_block_cells", "SELECT mesh_id, x, y, z FROM soup_solid UNION ALL SELECT -mesh_id - 1, x, y, z FROM box_solid")
 def _(t):
-    boxes = t.box_cells.withColumn("mesh_id", -F.col("mesh_id") - 1)
-    return V.block_cells(V.blocks(soup_solid(t).unionByName(boxes)))
+    return V.block_cells(all_blocks(t))
 
 
 _DEC = "greatest(0, ceil(-log10(cell)) + 1)::INTEGER"

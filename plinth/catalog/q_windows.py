@@ -18,7 +18,7 @@ from plinth.operators import windows as W
 from plinth.operators.ordering import hash_ranked, ranked
 from plinth.plans import dealing as DL
 from plinth.plans import dimensions as D
-from plinth.runtime import cut
+from plinth.runtime import cut, large
 
 SEED = "plan"
 SETTINGS = ["kitchen", "garage", "coffee shop", "art studio", "fishing dock"]
@@ -204,10 +204,10 @@ def _(t):
 @query("j18_positional_assignment", """
     SELECT p.request_id, p.i, p.relation, p.level, md5(p.request_id || p.i) AS reply FROM plan p WHERE p.i % 3 < 2""")
 def _(t):
-    dealt = plan(t).select("request_id", "i", "relation", "level")
+    dealt = cut(plan(t).select("request_id", "i", "relation", "level"))
     replies = dealt.where("i % 3 < 2").select("request_id", "i", F.md5(F.concat("request_id", F.col("i").cast("string"))).alias("reply"))
     extra = replies.select("request_id", (F.col("i") + 1000).alias("i"), "reply")
-    return dealt.join(replies.unionByName(extra), ["request_id", "i"])
+    return dealt.join(large(replies.unionByName(extra)), ["request_id", "i"])
 
 
 @query("a21_first_request", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from plinth.runtime import cut, discard
+from plinth.runtime import cut, discard, large
 
 GROUND = -1  # label of components that hold a seed
 
@@ -24,12 +24,12 @@ def grounded_labels(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> Data
     before = None
     while True:
         parent = state.where(F.col("label") >= 0).select(*keys, F.col("id").alias("child"), F.col("label").alias("id"))
-        above = parent.join(state, [*keys, "id"]).select(*keys, F.col("child").alias("id"), "label").unionByName(
+        above = parent.join(large(state), [*keys, "id"]).select(*keys, F.col("child").alias("id"), "label").unionByName(
             state.where(F.col("label") < 0))
-        heard = both.join(above.withColumnRenamed("id", "a"), [*keys, "a"]).groupBy(*keys, F.col("b").alias("id")).agg(
+        heard = both.join(large(above.withColumnRenamed("id", "a")), [*keys, "a"]).groupBy(*keys, F.col("b").alias("id")).agg(
             F.min("label").alias("heard"))
         # What a node hears also goes to its parent, so that whole trees hook at once.
-        told = heard.join(state, [*keys, "id"]).where("label >= 0").select(*keys, F.col("label").alias("id"), F.col("heard").alias("label"))
+        told = heard.join(large(state), [*keys, "id"]).where("label >= 0").select(*keys, F.col("label").alias("id"), F.col("heard").alias("label"))
         seen = Observation()
         moved = cut(
             above.unionByName(heard.withColumnRenamed("heard", "label")).unionByName(told).groupBy(*keys, "id").agg(F.min("label").alias("label"))

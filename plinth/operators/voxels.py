@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from plinth.functions import vectors as G
 from plinth.operators import meshes as M
 from plinth.operators.components import GROUND, grounded_labels
-from plinth.runtime import cut, spread
+from plinth.runtime import cut, large, spread
 
 SAMPLES_PER_CELL = 2
 SUBDIVISION = 3
@@ -39,11 +39,12 @@ def grid_headers(triangles: DataFrame, resolution: int, pad: int = 0) -> DataFra
         "*", *[(F.greatest(F.lit(1), F.ceil(F.col(f"size{a}") / F.col("cell"))) + 2 * pad).cast("int").alias(f"n{a}")
                for a in "xyz"],
     )
-    return counted.select(
+    # A table, since many steps read it and its measured size decides how they join it.
+    return cut(counted.select(
         "mesh_id", "cell", "nx", "ny", "nz",
         *[(F.col(f"mid{a}") - F.col(f"n{a}") * F.col("cell") / 2).alias(f"g{a}") for a in "xyz"],
         *[f"mid{a}" for a in "xyz"], *[f"size{a}" for a in "xyz"],
-    )
+    ))
 
 
 def subdivide(headers: DataFrame, parts: int) -> DataFrame:
@@ -93,6 +94,7 @@ def filled_runs(cells: DataFrame, headers: DataFrame) -> DataFrame:
     neighbouring line is open somewhere beside it. Components that hold a seed are outside. No step holds a whole grid.
     """
     line = ["mesh_id", "y", "z"]
+    cells = cut(cells)
     before = F.lag("x").over(Window.partitionBy(*line).orderBy("x"))
     gaps = cut(
         cells.withColumn("_before", before).where(F.col("x") - F.col("_before") > 1)
@@ -112,11 +114,11 @@ def filled_runs(cells: DataFrame, headers: DataFrame) -> DataFrame:
                             F.col("x0").alias("a0"), F.col("x1").alias("a1"), F.col("id").alias("a"), F.col("edge").alias("_edge"))
 
     shut = F.coalesce((F.col("first") <= F.col("a0")) & (F.col("a1") <= F.col("last")), F.lit(False))
-    nodes = beside([(1, 0), (-1, 0), (0, 1), (0, -1)]).join(spans, line, "left").groupBy("mesh_id", F.col("a").alias("id")).agg(
+    nodes = beside([(1, 0), (-1, 0), (0, 1), (0, -1)]).join(large(spans), line, "left").groupBy("mesh_id", F.col("a").alias("id")).agg(
         F.max(F.col("_edge") | ~shut).alias("seed"))
-    edges = beside([(1, 0), (0, 1)]).join(gaps, line).where("a0 <= x1 AND x0 <= a1").select("mesh_id", "a", F.col("id").alias("b"))
+    edges = beside([(1, 0), (0, 1)]).join(large(gaps), line).where("a0 <= x1 AND x0 <= a1").select("mesh_id", "a", F.col("id").alias("b"))
     labels = grounded_labels(nodes, edges, ["mesh_id"])
-    held = gaps.join(labels, ["mesh_id", "id"]).where(F.col("label") != GROUND).select(*line, "x0", "x1")
+    held = gaps.join(large(labels), ["mesh_id", "id"]).where(F.col("label") != GROUND).select(*line, "x0", "x1")
     return cells.select(*line, F.col("x").alias("x0"), F.col("x").alias("x1")).unionByName(held)
 
 
@@ -363,7 +365,7 @@ def signed_distance(found: DataFrame, headers: DataFrame) -> DataFrame:
     """
     slabs = headers.select("mesh_id", "nx", "nz", F.explode(F.sequence(F.lit(0), F.col("ny") - 1)).alias("y"))
     held = found.groupBy("mesh_id", "y").agg(F.collect_list(F.struct("z", "x0", "x1")).alias("runs"))
-    first = spread(slabs.join(held, ["mesh_id", "y"], "left").select("mesh_id", "y", "nx", "nz", F.coalesce("runs", F.expr(
+    first = spread(slabs.join(large(held), ["mesh_id", "y"], "left").select("mesh_id", "y", "nx", "nz", F.coalesce("runs", F.expr(
         "cast(array() AS array<struct<z: int, x0: int, x1: int>>)")).alias("runs")), "mesh_id", "y")
     lines = first.mapInArrow(_slab_pass, "mesh_id long, y int, z int, o array<int>, i array<int>")
     second = spread(lines, "mesh_id", "z").groupBy("mesh_id", "z").agg(F.collect_list(F.struct("y", "o", "i")).alias("lines"))
@@ -402,13 +404,14 @@ def links(nodes: DataFrame, headers: DataFrame) -> DataFrame:
         F.struct(F.lit(kind).alias("kind"), *[F.lit(v).alias(f"o{a}") for v, a in zip(offset, "xyz")])
         for kind, offset in LINKS
     ]))
+    nodes = cut(nodes)
     wanted = nodes.select(*CELL, offsets.alias("o")).select(
         "mesh_id", "x", "y", "z", "o.*", *[(F.col(a) + F.col(f"o.o{a}")).alias(f"{a}2") for a in "xyz"]
     )
     present = nodes.select("mesh_id", *[F.col(a).alias(f"{a}2") for a in "xyz"])
     length = F.sqrt((F.col("ox") * F.col("ox") + F.col("oy") * F.col("oy") + F.col("oz") * F.col("oz")).cast("double"))
     return (
-        wanted.join(present, ["mesh_id", "x2", "y2", "z2"])
+        wanted.join(large(present), ["mesh_id", "x2", "y2", "z2"])
         .join(headers.select("mesh_id", "cell"), "mesh_id")
         .select("mesh_id", "x", "y", "z", "x2", "y2", "z2", "kind", (length * F.col("cell")).alias("rest"))
     )

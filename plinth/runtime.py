@@ -65,6 +65,15 @@ def remove(spark: SparkSession, path: str, encoded: bool = False) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def large(df: DataFrame) -> DataFrame:
+    """A side of a join that is never broadcast.
+
+    The planner guesses sizes from files: compressed columns, and rows before they unfold, look far smaller than what the
+    driver would have to hold.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Even out rows whose processing is far heavier than their size before they unfold.
 
