@@ -45,7 +45,7 @@ def fill(pool: DataFrame, total: int, contexts: list[str], call, seed: str, roun
 
 def fill_report(pool: DataFrame, total: int, contexts: list[str], call, seed: str, rounds: int = D.FILL_ROUNDS,
                 batch: int = D.SCENE_BATCH) -> Filled:
-    """Accepted scenes toward quotas for ``total``; stops when nothing is short or rounds run out.
+    """Accepted scenes toward quotas for ``total``; stops when nothing is short or ``rounds`` in a row brought no scene.
 
     Replies are written as they come, before anything is made of them, so a lost stage asks for none of them again. The driver only decides whether another round is needed. Each round is one set-oriented pass,
     and its accepted rows are written to the shared folder before the next. Rows past a quota are
@@ -60,7 +60,8 @@ def fill_report(pool: DataFrame, total: int, contexts: list[str], call, seed: st
     accepted = spark.createDataFrame([], ACCEPTED)
     taken = spark.createDataFrame([], "role string, category string, taken long")
     spent = [spark.createDataFrame([], "calls int, cost double")]
-    for turn in range(rounds):
+    turn = fruitless = 0
+    while fruitless < rounds:
         short = cut(Q.shortfall(quota, accepted).select("category", "complexity", "relations", "levels", "short"))
         plan = cut(DL.deal(short, sizes, contexts, f"{seed}/{turn}", batch))
         if plan.isEmpty():
@@ -99,6 +100,9 @@ def fill_report(pool: DataFrame, total: int, contexts: list[str], call, seed: st
         fresh = AC.first_wins(candidates, ["k1", "k2", "k3"], "seq", accepted)
         remaining = short.select("category", "complexity", F.col("short").alias("remaining"))
         kept = AC.within_quota(cut(fresh), ["category", "complexity"], "seq", remaining)
-        accepted = cut(accepted.unionByName(kept.select(*accepted.columns)))
+        brought = cut(kept.select(*accepted.columns))
+        fruitless = fruitless + 1 if brought.isEmpty() else 0
+        accepted = cut(accepted.unionByName(brought))
+        turn += 1
     short = Q.shortfall(quota, accepted).select("category", "complexity", "short").where("short > 0")
     return Filled(accepted, short, MM.spend(reduce(DataFrame.unionByName, spent)))

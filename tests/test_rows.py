@@ -12,6 +12,7 @@ from plinth.catalog import REGISTRY, q_files
 from plinth.operators import acceptance as AC
 from plinth.operators import model_map as MM
 from plinth.operators.ordering import Ordered, ranked
+from plinth.plans import fill as FI
 from plinth.plans import quotas as Q
 from plinth.sources import files as S
 from plinth.sources import logs as L
@@ -168,6 +169,25 @@ def test_samples_are_not_written_as_a_file_each(spark, tmp_path, monkeypatch):
     assert len(list((tmp_path / "out").rglob("*"))) < 300
 
 
+def test_fill_goes_on_while_rounds_bring_scenes(spark):
+    rows = [(f"{i:032d}", "a thing", "by", False, ["rigid"], ["rigid"]) for i in range(12)]
+    pool = spark.createDataFrame(rows, "uid string, caption string, license string, junk boolean, anchor array<string>, placed array<string>")
+
+    def one_a_call(prompts):
+        found = []
+        for p in prompts:
+            a, b = ([line[2:34] for line in block.split("\n")[1:]] for block in p.split("\n\n")[2:4])
+            relation = p.split("\n\n")[1].split("\n")[1].split(". ", 1)[1].split(" — ")[0]
+            scene = {"anchor_uid": a[0], "anchor_name": f"stand {a[0][-2:]}", "anchor_description": "x", "placed_uid": b[0],
+                     "placed_name": f"item {b[0][-2:]}", "placed_description": "x"}
+            scene["placement"] = f"{scene['placed_name']} {relation} the {scene['anchor_name']}"
+            found.append(json.dumps({"samples": [scene]}))
+        return found, 0.0
+
+    got = FI.fill_report(pool, 20, ["desk"], one_a_call, "s", rounds=1)
+    assert sorted((r["complexity"], r["count"]) for r in got.scenes.groupBy("complexity").count().collect()) == [("complex", 2), ("simple", 3)]
+
+
 def test_log_with_broken_transforms_keeps_sections(spark, tmp_path):
     (tmp_path / "2024-01-01T00-00-00-000Z_mug_1.md").write_text(
         "# mug_1\n\n- at: 2024-01-01T00:00:00.000Z\n- model: m\n- cost: $0.01\n\n## Placement\n\n\"on it\"\n\n## User prompt\n\n```\nhi\nyou\n```\n\n"
