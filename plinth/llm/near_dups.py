@@ -9,13 +9,17 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
 * Retained hashes that more than ``HOT_LEAST`` sets retain (a passage that a third of the corpus carries) come last in
   the common order: a set has to consist of them nearly whole before it enters their inverted lists. At most
   ``HOT_VALUES`` of them, those that most sets retain, are broadcast; the order stays common whichever they are.
+* A retained hash that only one set retains is shared with no set in whose sketch a later hash of the first is found. So
+  of the hashes before a shared one only those that several sets retain can be shared too (``r``, against ``p`` in all).
 * An inverted list is compared in rounds, hubs against members. The first round has one hub per list, the first member
-  in an order common to all lists, so that a group's lists agree on it. Links join members into classes; a list whose
+  in an order common to all lists, so that a group's lists agree on it: the set with the fewest hashes of its own (``u``),
+  which is the text that a group's members were copied from, if it is there. Links join members into classes; a list whose
   members are of one class is closed. In the others each further round takes ``MORE_HUBS`` times as many hubs, each of
   another class, and compares them with the members of other classes. A hub has then met its whole list and leaves it.
   The rounds end when no list is open: every pair of a list was compared, ruled out by a bound, or is of one class.
 * A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
-  bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there.
+  bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there. Members
+  carry their marks, and the join of a list tests bounds and marks itself: a pair far apart never becomes a row.
 * The union of two sketches estimates the Jaccard index; pairs far below the threshold stop there. The rest is
   confirmed on the full sets.
 """
@@ -145,24 +149,19 @@ def _full_sets(width: int, wanted: np.ndarray):
     return run
 
 
-def _reach(rule: Threshold, p_a: Column, p_b: Column, n_a: Column, n_b: Column, before: bool = True) -> Column:
+def _reach(rule: Threshold, p_a: Column, p_b: Column, n_a: Column, n_b: Column, before: Column) -> Column:
     """Can sets of ``n_a`` and ``n_b`` hashes that share one at positions ``p_a`` and ``p_b`` reach the threshold?
 
-    At most ``min(p_a, p_b)`` hashes before that one and the shorter rest after it can be shared too. With ``before``
-    false that one is the first shared hash: nothing before it is shared.
+    At most ``before`` hashes before that one and the shorter rest after it can be shared too.
     """
-    most = F.least(n_a - p_a, n_b - p_b) + (F.least(p_a, p_b) if before else F.lit(0))
-    return rule.holds(most, n_a, n_b)
+    return rule.holds(F.least(n_a - p_a, n_b - p_b) + before, n_a, n_b)
 
 
 def _first_shared(rows: DataFrame, rule: Threshold) -> DataFrame:
-    """One row per pair from rows ``a, b, p_a, p_b, n_a, n_b``, if the threshold is in reach."""
+    """One row per pair from rows ``a, b, p_a, p_b, n_a, n_b``: nothing is shared before the first shared hash."""
     bounds = ("p_a", "p_b", "n_a", "n_b")
-    columns = [F.col(c) for c in bounds]
-    first = rows.where(_reach(rule, *columns)).groupBy("a", "b").agg(
-        *[F.min(c).alias(c) for c in bounds]
-    )
-    return first.where(_reach(rule, *columns, before=False))
+    first = rows.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in bounds])
+    return first.where(_reach(rule, *[F.col(c) for c in bounds], before=F.lit(0)))
 
 
 def _confirmed(near: DataFrame, full: DataFrame, rule: Threshold) -> DataFrame:
@@ -180,13 +179,6 @@ def _marks_apart(one: Column, two: Column) -> Column:
     return sum((F.bit_count(F.get(one, i).bitwiseXOR(F.get(two, i))) for i in range(MARK_WORDS)), F.lit(0))
 
 
-def _marked(pairs: DataFrame, sketches: DataFrame, rule: Threshold) -> DataFrame:
-    one = sketches.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("mark").alias("ma"))
-    two = sketches.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("mark").alias("mb"))
-    apart = _marks_apart(F.col("ma"), F.col("mb"))
-    return pairs.join(one, "a").join(two, "b").where(rule.differ(apart, F.col("na"), F.col("nb"))).select(*pairs.columns)
-
-
 def _full(texts: DataFrame, needed: DataFrame, rule: Threshold) -> DataFrame:
     """Full sets of the documents in ``needed(doc_id)``, and of a few more, as a written table.
 
@@ -206,7 +198,7 @@ def _full(texts: DataFrame, needed: DataFrame, rule: Threshold) -> DataFrame:
 
 def _hubs(members: DataFrame, most: int) -> DataFrame:
     """``value, hub`` of each list: the first member of up to ``most`` classes, in an order common to all lists."""
-    first = F.min(F.struct(F.xxhash64("rep").alias("order"), "rep", "p", "n", "class")).alias("hub")
+    first = F.min(F.struct("u", F.xxhash64("rep").alias("order"), "rep", "p", "n", "r", "class", "mark")).alias("hub")
     if most == 1:
         return members.groupBy("value").agg(first)
     place = F.row_number().over(Window.partitionBy("value").orderBy("hub"))
@@ -214,12 +206,14 @@ def _hubs(members: DataFrame, most: int) -> DataFrame:
 
 
 def _met(members: DataFrame, hubs: DataFrame, rule: Threshold) -> DataFrame:
-    """Pairs ``a, b`` of a hub and a member of another class in its list, if the threshold is in reach."""
+    """Pairs ``a, b`` of a hub and a member of another class in its list, if bounds and marks allow the threshold."""
 
     def side(one: str, two: str, out: str) -> Column:
         return F.when(F.col("rep") < F.col("hub.rep"), F.col(one)).otherwise(F.col(two)).alias(out)
 
-    rows = members.join(hubs, "value").where("class <> hub.class").select(
+    p, n, r = ((F.col(c), F.col(f"hub.{c}")) for c in "pnr")
+    near = _reach(rule, *p, *n, before=F.least(*r)) & rule.differ(_marks_apart(F.col("mark"), F.col("hub.mark")), *n)
+    rows = members.join(hubs, "value").where((F.col("class") != F.col("hub.class")) & near).select(
         F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b"),
         side("p", "hub.p", "p_a"), side("hub.p", "p", "p_b"), side("n", "hub.n", "n_a"), side("hub.n", "n", "n_b"),
     )
@@ -228,16 +222,16 @@ def _met(members: DataFrame, hubs: DataFrame, rule: Threshold) -> DataFrame:
 
 def _still_open(members: DataFrame, hubs: DataFrame, classes: DataFrame) -> DataFrame:
     """Lists without their hubs, with the members' new classes, where more than one class is left; a written table."""
-    rest = members.select("value", "rep", "p", "n").join(hubs.select("value", F.col("hub.rep").alias("rep")), ["value", "rep"], "left_anti")
+    rest = members.drop("class").join(hubs.select("value", F.col("hub.rep").alias("rep")), ["value", "rep"], "left_anti")
     labelled = rest.join(classes.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "value", "rep", "p", "n", F.coalesce("component", "rep").alias("class")
+        *rest.columns, F.coalesce("component", "rep").alias("class")
     )
     mixed = labelled.groupBy("value").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
     return cut(labelled.join(mixed.select("value"), "value", "left_semi"))
 
 
 def _linked(members: DataFrame, sketches: DataFrame, texts: DataFrame, rule: Threshold) -> DataFrame:
-    """Classes ``id, component`` of linked sets from the lists ``value, rep, p, n, class``; a written table."""
+    """Classes ``id, component`` of linked sets from the lists ``value, rep, p, n, r, u, class, mark``; a written table."""
     spark, most = members.sparkSession, 1
     classes = spark.sql("SELECT 0L AS id, 0L AS component WHERE false")
     tested = spark.sql("SELECT 0L AS a, 0L AS b WHERE false")
@@ -245,8 +239,7 @@ def _linked(members: DataFrame, sketches: DataFrame, texts: DataFrame, rule: Thr
     tables, met = [], []
     while not members.isEmpty():
         hubs = cut(_hubs(members, most))
-        pairs = _met(members, hubs, rule).join(tested, ["a", "b"], "left_anti")
-        met.append(cut(_marked(pairs, sketches, rule)))
+        met.append(cut(_met(members, hubs, rule).join(tested, ["a", "b"], "left_anti")))
         near = cut(_estimated(met[-1], sketches, rule))
         needed = near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))).distinct()
         missing = cut(needed.join(full.select("doc_id"), "doc_id", "left_anti"))
@@ -312,10 +305,12 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         )
     sketches = cut(sketches.withColumn("n", F.col("n_shingles")))
     discard(sets)
-    postings = sketches.select("rep", "n", F.posexplode("sketch").alias("p", "value"))
+    postings = sketches.select("rep", "n", F.size("sketch").alias("k"), F.posexplode("sketch").alias("p", "value"))
     # Most retained hashes occur once; they go before anything wider than a count is shuffled.
     repeated = cut(postings.groupBy("value").count().where("count > 1").select("value"))
-    shared = cut(postings.join(repeated, "value", "left_semi"))
+    own = Window.partitionBy("rep")
+    shared = cut(postings.join(repeated, "value", "left_semi").select(
+        "value", "rep", "n", "p", (F.row_number().over(own.orderBy("p")) - 1).alias("r"), (F.col("k") - F.count(F.lit(1)).over(own)).alias("u")))
     discard(repeated)
     # Lists with the same members say the same; the first of them in the common order, where each member's position is
     # smallest, stands for all. Members are compared by two sums of hashes and their number.
@@ -324,7 +319,8 @@ def near_duplicates(docs: DataFrame, rule: Threshold = Threshold()) -> DataFrame
         F.sum("p").alias("depth"),
     )
     chosen = lists_.groupBy("length", "s1", "s2").agg(F.min(F.struct("depth", "value")).alias("x")).select("x.value")
-    listed = cut(shared.join(chosen, "value", "left_semi").select("value", "rep", "p", "n", F.col("rep").alias("class")))
+    marks = sketches.select("rep", "mark")
+    listed = cut(shared.join(chosen, "value", "left_semi").withColumn("class", F.col("rep")).join(marks, "rep"))
     discard(shared)
     found = _linked(listed, sketches, texts, rule).select(F.col("id").alias("rep"), "component")
     classes = cut(

@@ -384,3 +384,40 @@ def test_toxicity_on_held_out_labels(spark):
         F.avg((F.col("predicted") == F.col("toxic")).cast("double")).alias("right")
     ).collect()
     assert all(r.right > 0.95 for r in got)
+
+
+def test_members_of_a_list_that_are_far_apart_make_no_rows(spark, monkeypatch):
+    """Copies with four changed words each: any two share most of their sketches, few pairs reach the threshold."""
+    rng, made = random.Random(11), []
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for _ in range(150):
+        words = list(base)
+        for at in rng.sample(range(150), 4):
+            words[at] = f"v{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    plain = near_dups._first_shared
+
+    def counted(rows, rule):
+        made.append(rows.count())
+        return plain(rows, rule)
+
+    monkeypatch.setattr(near_dups, "_first_shared", counted)
+    rule = near_dups.Threshold(85, 100)
+    got = {r.doc_id: r.component_id for r in near_dups.near_duplicates(docs, rule).collect()}
+    sets = [{tuple(t.split()[i:i + 5]) for i in range(146)} for t in texts]
+    parent = list(range(150))
+    for a in range(150):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+                ra, rb = next(iter_roots(parent, a)), next(iter_roots(parent, b))
+                parent[max(ra, rb)] = min(ra, rb)
+    assert got == {i: next(iter_roots(parent, i)) for i in range(150)}
+    assert sum(made) < 150 * 20
+
+
+def iter_roots(parent, at):
+    while parent[at] != at:
+        at = parent[at]
+    yield at
