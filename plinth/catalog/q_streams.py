@@ -31,23 +31,29 @@ def feed_folder(t, parts=4, close=True):
 
 
 HELD_BACK, AGAIN = 50, 40  # one row in so many comes after all others; one in so many comes twice
+FILE_ROWS = 50_000
 
 
 def late_feed(t, parts=3):
-    """The events as files in the order of time, then rows that were held back or come again, then a far later row."""
+    """The events in the order of time, then rows that were held back or come again, then a far later row.
+
+    Comes with the number of files that each of these writes has, so that a micro-batch of as many files is one write and
+    no task reads or writes a whole one.
+    """
     path = scratch(t.spark, "feed")
     rows = t.events.cache()
     held = F.col("event_id") % HELD_BACK == 7
-    cuts = rows.where(~held).agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    for k in range(parts):  # one file per write, so that files have an order
+    cuts = rows.where(~held).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count(F.lit(1)).alias("n")).first()
+    files = max(1, cuts.n // parts // FILE_ROWS)  # few against the rows of any write, so that none stays empty
+    for k in range(parts):
         low, high = (cuts.a + (cuts.b - cuts.a) * n / parts for n in (k, k + 1))
         inside = (F.col("ts") >= F.lit(low)) & ((F.col("ts") < F.lit(high)) | F.lit(k + 1 == parts))
-        rows.where(~held & inside).coalesce(1).write.mode("append").parquet(path)
-    rows.where(held).unionByName(rows.where(F.col("event_id") % AGAIN == 3)).coalesce(1).write.mode("append").parquet(path)
+        rows.where(~held & inside).repartition(files).write.mode("append").parquet(path)
+    rows.where(held).unionByName(rows.where(F.col("event_id") % AGAIN == 3)).repartition(files).write.mode("append").parquet(path)
     end = t.spark.createDataFrame([(-1, cuts.b + datetime.timedelta(days=10), -1, "end", 0.0, "{}")], SCHEMA)
     end.coalesce(1).write.mode("append").parquet(path)
     rows.unpersist()
-    return path
+    return path, files
 
 
 _LATE_MARK = f"(SELECT epoch_ms(max(ts)) - 60000 FROM events WHERE event_id % {HELD_BACK} <> 7)"
@@ -97,11 +103,11 @@ _GRACES = 3600, 7200, 14400
     UNION ALL SELECT user_id, 'silent', island::BIGINT, epoch_us(ts) FROM b WHERE after IS NULL OR epoch_us(after) - epoch_us(ts) > {_GRACES[2] * 1000000}::BIGINT
     UNION ALL SELECT user_id, 'late', -1, epoch_us(ts) FROM f WHERE late""")
 def _(t):
-    source, out, state = late_feed(t), scratch(t.spark, "verdicts"), scratch(t.spark, "state")
+    (source, files), out, state = late_feed(t), scratch(t.spark, "verdicts"), scratch(t.spark, "state")
     before = t.spark.conf.get(R.STATE_STORE)
     t.spark.conf.set(R.STATE_STORE, R.ROCKS_DB)
     try:
-        stream = R.accept_once(R.folder(t.spark, source, SCHEMA, 1), ["event_id"])
+        stream = R.accept_once(R.folder(t.spark, source, SCHEMA, files), ["event_id"])
         R.run_available(R.watch(stream, "user_id", "ts", "event_id", F.col("event_type") == "error", *_GRACES, "1 minute"), out, state)
     finally:
         t.spark.conf.set(R.STATE_STORE, before)
@@ -112,8 +118,8 @@ def _(t):
     WITH f AS (SELECT *, event_id % {HELD_BACK} = 7 AND epoch_ms(date_trunc('hour', ts) + INTERVAL 1 HOUR) <= {_LATE_MARK} AS late FROM events)
     SELECT epoch_us(date_trunc('hour', ts)) AS since_us, event_type AS kind, count(*) AS rows, late FROM f GROUP BY ALL""")
 def _(t):
-    source, out, state = late_feed(t), scratch(t.spark, "progress"), scratch(t.spark, "state")
-    stream = R.accept_once(R.folder(t.spark, source, SCHEMA, 1), ["event_id"])
+    (source, files), out, state = late_feed(t), scratch(t.spark, "progress"), scratch(t.spark, "state")
+    stream = R.accept_once(R.folder(t.spark, source, SCHEMA, files), ["event_id"])
     for _run in range(2):  # the second run finds nothing new
         R.count_windows(stream, "ts", "1 hour", F.col("event_type"), "1 minute", out, state)
     late = t.spark.read.parquet(f"{out}/late").groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("since"), F.col("event_type").alias("kind")).agg(

@@ -2,14 +2,19 @@
 
 import datetime
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from plinth.catalog import REGISTRY, q_streams
+from plinth.catalog.tables import Tables
 from plinth.runtime import scratch
 from plinth.sources import sinks as K
 from plinth.streaming import feeds as R
+from tests.conftest import SF_DIR
+from tests.oracle import compare
 
 SCHEMA = "id long, v double, part string"
 
@@ -176,3 +181,13 @@ def test_a_replayed_batch_of_counts_changes_nothing(spark, monkeypatch):
 def test_nothing_published_without_data(spark):
     with pytest.raises(AnalysisException):
         K.published(spark, scratch(spark, "none"), scratch(spark, "none"))
+
+
+def test_late_feed_is_split_and_says_the_same(spark, duck, monkeypatch):
+    """Several files a write, each write one micro-batch."""
+    monkeypatch.setattr(q_streams, "FILE_ROWS", 50)
+    path, files = q_streams.late_feed(Tables(spark, SF_DIR))
+    assert files > 1 and len(list(Path(path).glob("*.parquet"))) == 4 * files + 1
+    query = REGISTRY["r4_progress_counts"]
+    verdict, note, _, _ = compare(spark, duck, query, SF_DIR)
+    assert verdict == "ok", note
