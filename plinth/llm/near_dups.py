@@ -14,8 +14,8 @@ one is shared. Sketches of that size lose no link, whatever the sizes are.
 * An inverted list is compared in rounds, hubs against members. The first round has one hub per list, the first member
   in an order common to all lists, so that a group's lists agree on it: the set with the fewest hashes of its own (``u``),
   which is the text that a group's members were copied from, if it is there. Links join members into classes; a list whose
-  members are of one class is closed. In the others each further round takes ``MORE_HUBS`` times as many hubs, each of
-  another class, and compares them with the members of other classes. A hub has then met its whole list and leaves it.
+  members are of one class is closed. In the others each further round takes ``MORE_HUBS`` times as many hubs, spread
+  over the classes, and compares them with the members of other classes. A hub has then met its whole list and leaves it.
   The rounds end when no list is open: every pair of a list was compared, ruled out by a bound, or is of one class.
 * A set also has a parity mark of ``MARK_WORDS`` x 64 bits: each hash flips one bit. Two marks differ in at most as many
   bits as hashes are in one set alone, so pairs whose marks differ in more than the threshold allows stop there. Members
@@ -197,12 +197,18 @@ def _full(texts: DataFrame, needed: DataFrame, rule: Threshold) -> DataFrame:
 
 
 def _hubs(members: DataFrame, most: int) -> DataFrame:
-    """``value, hub`` of each list: the first member of up to ``most`` classes, in an order common to all lists."""
-    first = F.min(F.struct("u", F.xxhash64("rep").alias("order"), "rep", "p", "n", "r", "class", "mark")).alias("hub")
+    """``value, hub`` of each list: up to ``most`` members, the same number of each class as far as it goes.
+
+    Members come in an order common to all lists. A class gives one hub in the first two rounds and ``MORE_HUBS`` times as
+    many in each later one, so that lists of a few large classes end after few rounds too.
+    """
+    hub = F.struct("u", F.xxhash64("rep").alias("order"), "rep", "p", "n", "r", "class", "mark").alias("hub")
     if most == 1:
-        return members.groupBy("value").agg(first)
-    place = F.row_number().over(Window.partitionBy("value").orderBy("hub"))
-    return members.groupBy("value", "class").agg(first).withColumn("at", place).where(F.col("at") <= most).select("value", "hub")
+        return members.groupBy("value").agg(F.min(hub).alias("hub"))
+    turn = F.row_number().over(Window.partitionBy("value", "class").orderBy("hub"))
+    place = F.row_number().over(Window.partitionBy("value").orderBy("turn", "hub"))
+    first = members.select("value", "class", hub).withColumn("turn", turn).where(F.col("turn") <= most // MORE_HUBS)
+    return first.withColumn("place", place).where(F.col("place") <= most).select("value", "hub")
 
 
 def _met(members: DataFrame, hubs: DataFrame, rule: Threshold) -> DataFrame:
