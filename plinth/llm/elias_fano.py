@@ -1,16 +1,21 @@
 """Elias-Fano sequences and trie levels as flat numpy arrays that can be memory-mapped, queried many at a time.
 
 A non-decreasing sequence is split into low bits (one, two or no bytes per value) and high bits in unary: value i sets bit
-``high(i) + i``. Every 512 bits the number of ones before is kept, so the k-th one or zero is found from one entry of
-that directory and one line of eight words.
+``high(i) + i``. For every word of 64 bits the numbers of ones and of zeros before it are kept, so the k-th one or zero is
+found from one entry of that directory and one word.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-LINE = 8  # words of 64 bits per directory entry
 _LOWS = {0: None, 8: np.uint8, 16: np.uint16, 32: np.uint32}
+_EACH, _TOP = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)  # a one, and the highest bit, in every byte
+_PLACES = np.zeros((256, 8), dtype=np.uint64)  # place of the k-th one in a byte
+for _byte in range(256):
+    for _k, _place in enumerate(i for i in range(8) if _byte >> i & 1):
+        _PLACES[_byte, _k] = _place
+_PLACES = _PLACES.reshape(-1)
 
 
 def encode(values: np.ndarray) -> dict[str, np.ndarray]:
@@ -20,55 +25,57 @@ def encode(values: np.ndarray) -> dict[str, np.ndarray]:
     ideal = max(0, (top // n).bit_length() - 1) if n else 0
     low_bits = next(b for b in _LOWS if b >= min(ideal, 32) or b == 16 and ideal <= 22)
     high = values >> low_bits
-    bits = n + (top >> low_bits) + 2
-    words = -(-bits // (64 * LINE)) * LINE
+    words = -(-(n + (top >> low_bits) + 2) // 64)
     flat = np.zeros(words * 64, dtype=np.uint8)
     flat[high + np.arange(n)] = 1
     upper = np.packbits(flat, bitorder="little").view(np.uint64)
-    ones = np.bitwise_count(upper).reshape(-1, LINE).sum(axis=1, dtype=np.int64)
+    ones = np.concatenate([[0], np.cumsum(np.bitwise_count(upper), dtype=np.int64)])
+    places = np.uint32 if words < 1 << 26 else np.int64
     kind = _LOWS[low_bits]
     return {
-        "upper": upper, "ones": np.concatenate([[0], np.cumsum(ones)]),
+        "upper": upper, "ones": ones.astype(places), "zeros": (np.arange(words + 1) * 64 - ones).astype(places),
         "low": (values & ((1 << low_bits) - 1)).astype(kind) if kind else np.empty(0, np.uint8),
         "shape": np.array([n, low_bits], dtype=np.int64),
     }
 
 
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the ``rank``-th (from 0) one in each word."""
-    place = np.zeros(len(word), dtype=np.int64)
-    rank = rank.copy()
-    word = word.copy()
-    for width in (32, 16, 8, 4, 2, 1):
-        held = np.bitwise_count(word & np.uint64((1 << width) - 1)).astype(np.int64)
-        right = rank >= held
-        rank -= np.where(right, held, 0)
-        place += np.where(right, width, 0)
-        word = np.where(right, word >> np.uint64(width), word)
-    return place
+    """Place of the ``rank``-th (from 0) one in each word: its byte by sums over all bytes at once, its bit from a table."""
+    sums = word - ((word >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + ((sums >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    sums = ((sums + (sums >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EACH  # ones up to and with each byte
+    rank = rank.astype(np.uint64)
+    shift = np.bitwise_count((rank * _EACH | _TOP) - sums & _TOP).astype(np.uint64) << np.uint64(3)
+    rank -= (sums << np.uint64(8)) >> shift & np.uint64(255)
+    byte = word >> shift & np.uint64(255)
+    return (shift + _PLACES[(byte << np.uint64(3) | rank).view(np.int64)]).view(np.int64)
 
 
 class Sequence:
     """Queries on the arrays of ``encode``."""
 
     def __init__(self, arrays: dict[str, np.ndarray]):
-        self.upper, self.ones, self.low = arrays["upper"], arrays["ones"], arrays["low"]
+        self.upper, self.ones, self.zeros, self.low = (arrays[k] for k in ("upper", "ones", "zeros", "low"))
         self.n, self.low_bits = (int(x) for x in arrays["shape"])
-        self.zeros = np.arange(len(self.ones)) * (64 * LINE) - self.ones
 
     def _select(self, rank: np.ndarray, ones: bool) -> np.ndarray:
         """Position of the ``rank``-th one or zero bit."""
         before = self.ones if ones else self.zeros
-        line = np.searchsorted(before, rank, side="right") - 1
-        words = self.upper.reshape(-1, LINE)[line]
-        if not ones:
-            words = ~words
-        held = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        rank = rank - before[line]
-        at = (held <= rank[:, None]).sum(axis=1)
-        rows = np.arange(len(line))
-        rank = rank - np.where(at > 0, held[rows, at - 1], 0)
-        return (line * LINE + at) * 64 + _select_in_word(words[rows, at], rank)
+        word = np.searchsorted(before, rank.astype(before.dtype), side="right") - 1
+        bits = self.upper[word] if ones else ~self.upper[word]
+        return word * 64 + _select_in_word(bits, rank - before[word])
+
+    def _run(self, at: np.ndarray) -> np.ndarray:
+        """Number of ones from bit ``at`` on, up to the next zero; a zero follows every one."""
+        word, shift = at >> 6, (at & 63).astype(np.uint64)
+        bits = self.upper[word] >> shift  # zeros come in from the left
+        length = np.bitwise_count(bits & ~(bits + np.uint64(1))).astype(np.int64)
+        out = np.flatnonzero(length + (at & 63) == 64)  # goes on in the next word
+        if len(out):
+            before = at[out] - (self.ones[word[out]] + np.bitwise_count(
+                self.upper[word[out]] & ((np.uint64(1) << shift[out]) - np.uint64(1))))  # zeros before the run
+            length[out] = self._select(before, False) - at[out]
+        return length
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values at places ``i``."""
@@ -80,31 +87,29 @@ class Sequence:
         found = np.full(len(target), -1, dtype=np.int64)
         if not self.n:
             return found
-        top = len(self.zeros) and int(self.zeros[-1])
         high = target >> self.low_bits
-        fits = np.flatnonzero((high + 1 < top) & (hi > lo))
+        fits = np.flatnonzero((high + 1 < int(self.zeros[-1])) & (hi > lo))
         high = high[fits]
-        begin = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) - high + 1, 0)
-        end = self._select(high, False) - high
+        after = np.where(high > 0, self._select(np.maximum(high - 1, 0), False) + 1, 0)  # where its bucket starts
+        begin = after - high
+        end = begin + self._run(after)
         begin, end = np.maximum(begin, lo[fits]), np.minimum(end, hi[fits])
         if not self.low_bits:
             ok = begin < end
             found[fits[ok]] = begin[ok]
             return found
-        low = (target[fits] & ((1 << self.low_bits) - 1)).astype(np.int64)
-        last = end
-        while True:  # binary search in the low bits of one bucket
-            open_ = np.flatnonzero(begin < end)
-            if not len(open_):
-                break
-            mid = (begin[open_] + end[open_]) >> 1
-            less = self.low[mid].astype(np.int64) < low[open_]
-            begin[open_] = np.where(less, mid + 1, begin[open_])
-            end = end.copy()
-            end[open_] = np.where(less, end[open_], mid)
-        inside = np.flatnonzero(begin < last)
-        hit = inside[self.low[begin[inside]] == low[inside]]
-        found[fits[hit]] = begin[hit]
+        inside = np.flatnonzero(begin < end)
+        place, last, fits = begin[inside], end[inside] - 1, fits[inside]
+        low = (target[fits] & ((1 << self.low_bits) - 1)).astype(self.low.dtype)
+        open_ = np.flatnonzero(place < last)
+        while len(open_):  # binary search in the low bits of one bucket
+            mid = (place[open_] + last[open_]) >> 1
+            less = self.low[mid] < low[open_]
+            place[open_[less]] = mid[less] + 1
+            last[open_[~less]] = mid[~less]
+            open_ = open_[place[open_] < last[open_]]
+        hit = np.flatnonzero(self.low[place] == low)
+        found[fits[hit]] = place[hit]
         return found
 
 
@@ -131,9 +136,11 @@ class Level:
         return both[:len(parent)], both[len(parent):]
 
     def find(self, parent: np.ndarray, child: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of each child (or -1), and place of its parent's first child."""
-        lo, hi = self.range(parent)
+        """Place of each child (or -1), and place of its parent's first child. Equal parents that follow each other are read once."""
+        own = np.flatnonzero(np.diff(parent, prepend=-1))
+        back = np.repeat(np.arange(len(own)), np.diff(own, append=len(parent)))
+        lo, hi = self.range(parent[own])
         base = np.zeros(len(lo), dtype=np.int64)
         later = np.flatnonzero((lo > 0) & (hi > lo))
         base[later] = self.values.access(lo[later] - 1)
-        return self.values.find(base + child, lo, hi), lo
+        return self.values.find(base[back] + child, lo[back], hi[back]), lo[back]

@@ -40,6 +40,7 @@ STEP = 1 / 2048
 RANGE_TOKENS = 1 << 21  # training tokens per range of word hashes, about
 NODES = 1 << 19
 BATCH_TOKENS = 1 << 20
+SCORE_TOKENS = 1 << 19  # scoring keeps twice as many arrays
 END = mix(np.array([0x656E64], dtype=np.uint64))[0]
 
 
@@ -141,20 +142,26 @@ class Trie:
     def find_triples(self, pair: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Probability code of the follower at ``place`` of each pair (-1: not seen), and the pair's back-off code."""
         code, backoff = np.full(len(pair), -1, dtype=np.int64), np.zeros(len(pair), dtype=np.int64)
-        order = np.argsort(pair, kind="stable")
-        order = order[np.searchsorted(pair[order], 0):]
-        blocks = pair[order] // self.nodes
-        for block in np.unique(blocks).tolist():
+        known = np.flatnonzero(pair >= 0)
+        span = int(place.max(initial=-1)) + 2
+        keys, back = np.unique(pair[known] * span + place[known] + 1, return_inverse=True)
+        one, two = np.divmod(keys, span)
+        two -= 1
+        found, held = np.full(len(keys), -1, dtype=np.int64), np.zeros(len(keys), dtype=np.int64)
+        blocks = one // self.nodes
+        edges = np.flatnonzero(np.diff(blocks, prepend=-1, append=-2))
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            block = int(blocks[lo])
             if block not in self.triples:
                 continue
-            own = order[np.searchsorted(blocks, block):np.searchsorted(blocks, block, side="right")]
             level, arrays = self.level(self.triples[block])
-            node = pair[own] - block * self.nodes
-            backoff[own] = arrays["backoff"][node]
-            ask = np.flatnonzero(place[own] >= 0)
-            at, _ = level.find(node[ask], place[own][ask])
+            node = one[lo:hi] - block * self.nodes
+            held[lo:hi] = arrays["backoff"][node]
+            ask = np.flatnonzero(two[lo:hi] >= 0)
+            at, _ = level.find(node[ask], two[lo:hi][ask])
             hit = np.flatnonzero(at >= 0)
-            code[own[ask[hit]]] = arrays["code"][at[hit]]
+            found[lo + ask[hit]] = arrays["code"][at[hit]]
+        code[known], backoff[known] = found[back], held[back]
         return code, backoff
 
 
@@ -183,6 +190,18 @@ def _batched(batches):
         yield np.concatenate(held), np.concatenate(rows)
 
 
+def _in_turn(texts: pa.Array, limit: int):
+    """First row, number of rows, token hashes and the row of each token (from the first), of about ``limit`` tokens of whole texts."""
+    held, rows, size, lo = [], [], 0, 0
+    for piece, hashes, own in _tokens(texts):
+        held.append(hashes)
+        rows.append(own + piece.lo - lo)
+        size += len(hashes)
+        if size >= limit or piece.hi == len(texts):
+            yield lo, piece.hi - lo, np.concatenate(held), np.concatenate(rows)
+            held, rows, size, lo = [], [], 0, piece.hi
+
+
 def _count_words(batches):
     for hashes, _ in _batched(batches):
         word, n = np.unique(hashes, return_counts=True)
@@ -276,9 +295,11 @@ def _count_triples(trie: Trie, bits: int):
             pair, place, code = trie.find_pairs(number[:-1], number[1:])
             inside = rows[2:] == rows[:-2]
             key = (pair[:-1][inside] << bits) + place[1:][inside]
-            key, at, n = np.unique(key, return_index=True, return_counts=True)
+            order = np.argsort(key)  # equal keys have equal codes, so any of them stands for all
+            first = np.flatnonzero(np.diff(key[order], prepend=-1))
+            at, n = order[first], np.diff(first, append=len(key))
             if len(key):
-                yield _send((key >> bits) // trie.nodes, [key, n, code[1:][inside][at]])
+                yield _send((key[at] >> bits) // trie.nodes, [key[at], n, code[1:][inside][at]])
 
     return run
 
@@ -303,8 +324,7 @@ def _write_triples(trie: Trie, bits: int):
 def _scored(trie: Trie, keep: int):
     def run(batches):
         for batch in batches:
-            for piece, hashes, rows in _tokens(batch.column(keep)):
-                n = piece.hi - piece.lo
+            for lo, n, hashes, rows in _in_turn(batch.column(keep), SCORE_TOKENS):
                 number, count, word_code = trie.find_words(hashes)
                 base = np.log10((count + 1) / (trie.tokens + trie.vocabulary + 1))
                 score = base.copy()
@@ -318,7 +338,7 @@ def _scored(trie: Trie, keep: int):
                 score[2:][both] = three[both]
                 total = lambda x: np.bincount(rows, weights=x, minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [c.slice(piece.lo, n) for i, c in enumerate(batch.columns) if i != keep] + [
+                    [c.slice(lo, n) for i, c in enumerate(batch.columns) if i != keep] + [
                         pa.array(np.bincount(rows, minlength=n)), pa.array(total(count > 0).astype(np.int64)),
                         pa.array(total(base)), pa.array(total(score)),
                     ],

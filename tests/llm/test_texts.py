@@ -11,12 +11,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plinth.llm import byte_pairs, licenses, lm, near_dups, packing, substrings, token_files, toxicity
+from plinth.llm import byte_pairs, licenses, lm, near_dups, packing, substrings, token_files, toxicity, words
 from plinth.llm.queries import ORACLE_SQL, QUERIES
 from plinth.runtime import cut, scratch
 from tests.conftest import SF_DIR
@@ -297,6 +298,25 @@ def test_lm(spark, docs, nothing, sizes):
     assert all(r.score == 0 for r in lm.score(docs, empty).collect())
 
 
+def test_lm_looks_a_batch_up_at_once(spark, docs, monkeypatch):
+    """op6: every slice of a megabyte, and every repeat of three words, went through all files of the model."""
+    trie = lm.train(docs, scratch(spark, "lm"), 500, 300)
+    texts = [t for _, t in ROWS if t]
+    batch = pa.RecordBatch.from_pydict({"text": texts * 2})
+    once = pa.Table.from_batches(lm._scored(trie, 0)([batch])).to_pylist()
+    found, asked, find = [], [], lm.Level.find
+    monkeypatch.setattr(lm.Level, "find", lambda level, parent, child: asked.append(len(parent)) or find(level, parent, child))
+    monkeypatch.setattr(lm.Trie, "find_triples", lambda self, *x, whole=lm.Trie.find_triples: found.append(len(x[0])) or whole(self, *x))
+    monkeypatch.setattr(lm, "slices", lambda column: words.slices(column, 100))
+    assert pa.Table.from_batches(lm._scored(trie, 0)([batch])).to_pylist() == once
+    single, all_asked = len(found), sum(asked)
+    asked.clear()
+    list(lm._scored(trie, 0)([pa.RecordBatch.from_pydict({"text": texts})]))
+    assert single == 1 and all_asked <= sum(asked) + 10  # besides words that meet where the texts do
+    monkeypatch.setattr(lm, "SCORE_TOKENS", 50)
+    assert pa.Table.from_batches(lm._scored(trie, 0)([batch])).to_pylist() == once and len(found) > 5
+
+
 def test_toxicity(spark, docs, nothing):
     rng = random.Random(1)
     words = [f"{a}{b}" for a in ("bal", "dor", "fin", "gat") for b in "aeiouy"]

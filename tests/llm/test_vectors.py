@@ -193,3 +193,17 @@ def test_pipeline_stages(spark):
     assert sorted(map(tuple, pipeline.run(spark, SF_DIR).drop("sequence_id", "offset").collect())) == sorted(
         tuple(v for k, v in r.asDict().items() if k not in ("sequence_id", "offset")) for r in packed
     )
+
+
+def test_long_runs_and_gaps_of_a_level():
+    """op6: buckets that fill whole words, start at any bit and end in a later word."""
+    rng = np.random.default_rng(3)
+    for dense, gap in ((700, 3), (130, 10**5), (64, 10**9)):
+        child = np.concatenate([np.arange(dense) + start for start in np.cumsum(rng.integers(dense, dense + gap, 40))])
+        parent = np.repeat([2, 5], [len(child) // 2, len(child) - len(child) // 2])
+        level = Level(Level.encode(9, parent, child))
+        assert (level.find(parent, child)[0] == np.arange(len(child))).all()
+        asked = rng.integers(0, child[-1] + 2, 5000)
+        owner = rng.integers(0, 9, 5000)
+        place = {p: i for i, p in enumerate(zip(parent.tolist(), child.tolist()))}
+        assert level.find(owner, asked)[0].tolist() == [place.get(p, -1) for p in zip(owner.tolist(), asked.tolist())]
