@@ -5,9 +5,11 @@ score first and then leftmost; the pair on top becomes one symbol and brings its
 that are no piece fall back to their bytes.
 
 No merge crosses two characters that stand side by side in no piece, so a text is cut there first and the agenda runs within
-the parts; parts recur, and each worker keeps the ids of those it has met. The new parts of an Arrow batch share one agenda
-in arrays, from which each part takes its best pair per step; a long part has an agenda of its own, a heap. In every batch the ids are compared with
-those of the ``sentencepiece`` library for the same whole texts, and a difference is an error. Texts beyond ``CHECKED_CHARS``
+the parts; parts recur, and each worker keeps the ids of those it meets often. The new parts of an Arrow batch share one agenda
+in arrays, from which each part takes its best pair per step; a long part has an agenda of its own, a heap.
+
+The ``sentencepiece`` library rewrites a whole text and then merges. Both are compared with it, and a difference is an error:
+every whole text as it stands after rewriting, and the ids of every part before its first use. Texts beyond ``CHECKED_CHARS``
 are compared in slices that begin where a run of spaces does, which bounds what the library holds.
 """
 
@@ -16,8 +18,10 @@ from __future__ import annotations
 import re
 import sys
 from array import array
+from collections import defaultdict
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +32,8 @@ from plinth.llm.words import lists
 
 SPACE = "▁"
 BATCH_CHARS, CHECKED_CHARS = 1 << 19, 1 << 20
-CACHED_PARTS = 400_000  # forgotten all at once when there are more; bounds memory, never results
+CACHED_PARTS, CACHED_IDS = 400_000, 3_200_000  # beyond either the less used half is forgotten; bounds memory, never results
+CHECKED_TOGETHER = 250  # new parts that the library encodes as one text
 SHORT = 48  # characters of a part that is merged together with others and kept; below 64, which its places are packed by
 NONE = np.iinfo(np.int64).max
 DECODED_IDS = 1 << 18
@@ -44,8 +49,8 @@ class SentencePieces:
         for probe in ("a  b ", "ﬁ Ａ\t　é\n"):
             if library.normalize(probe) != SPACE + probe.replace(" ", SPACE):
                 raise ValueError(f"{path} rewrites texts before it encodes them, which is not supported")
-        self.count = count = library.get_piece_size()
-        plain = [i for i in range(count) if not (library.is_unknown(i) or library.is_control(i) or library.is_byte(i) or library.is_unused(i))]
+        self.count = size = library.get_piece_size()
+        plain = [i for i in range(size) if not (library.is_unknown(i) or library.is_control(i) or library.is_byte(i) or library.is_unused(i))]
         self.ids = {library.id_to_piece(i): i for i in plain}
         self.bytes = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.longest = max(map(len, self.ids))
@@ -55,12 +60,15 @@ class SentencePieces:
         places = {s: n for n, s in enumerate(sorted(set(scores.values()), reverse=True))}
         self.order = {p: places[s] for p, s in scores.items()}
         self.beside = {p[i:i + 2] for p in self.order for i in range(len(p) - 1)}
+        self.joined = {c for p in self.beside for c in p}
         self.parts = self._parts()
-        self.known: dict[str, bytes] = {}
+        # A character of no longer piece keeps parts apart that the library sees in one text.
+        self.apart = next(c for c in map(chr, range(10, sys.maxunicode)) if c not in self.joined and c not in " " + SPACE)
+        self._forget([])
         # Symbols of the array agenda: pieces by id, then joined characters that are no piece.
-        loose = sorted({c for p in self.beside for c in p}.difference(self.ids))
-        symbols = self.ids | {c: count + n for n, c in enumerate(loose)}
-        self.symbols, self.base = symbols, count + len(loose) + 1
+        loose = sorted(self.joined.difference(self.ids))
+        symbols = self.ids | {c: size + n for n, c in enumerate(loose)}
+        self.symbols, self.base = symbols, size + len(loose) + 1
         self.characters = np.full(sys.maxunicode + 1, self.base - 1, dtype=np.int64)
         for s, i in symbols.items():
             if len(s) == 1:
@@ -72,12 +80,13 @@ class SentencePieces:
         self.pairs, self.place, self.into = (np.array(c, dtype=np.int64) for c in zip(*splits))
 
     def _parts(self) -> re.Pattern:
-        """Runs that merges stay within: spaces lead a word unless some piece has one behind another character."""
-        joined = {c for p in self.beside for c in p}
+        """Runs that merges stay within, in texts with plain spaces: spaces lead a word unless some piece has one behind
+        another character."""
+        joined = {c.replace(SPACE, " ") for c in self.joined}
         cls = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]"
-        if SPACE not in joined or any(p[1] == SPACE != p[0] for p in self.beside):
+        if " " not in joined or any(p[1] == SPACE != p[0] for p in self.beside):
             return re.compile(f"{cls(joined)}+|[^{cls(joined)[1:]}", re.S)
-        return re.compile(f"{SPACE}*{cls(joined - {SPACE})}+|{SPACE}+|[^{cls(joined)[1:]}", re.S)
+        return re.compile(f" *{cls(joined - {' '})}+| +|[^{cls(joined)[1:]}", re.S)
 
     def merged(self, text: str) -> list[str]:
         """Symbols of one part after all merges, best pair first.
@@ -166,28 +175,84 @@ class SentencePieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text without an end id, as little-endian 32-bit integers."""
-        if len(self.known) > CACHED_PARTS:
-            self.known.clear()
-        split = [self.parts.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
-        seen: set[str] = set()
-        for own in split:
-            seen.update(own)
-        new = list(seen.difference(self.known))
+        flat, counts = self.encoded(texts)
+        raw, ends = flat.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, without end ids, and their number per text."""
+        self.check_rewriting(texts)
+        if len(self.starts) > CACHED_PARTS or len(self.flat) > CACHED_IDS:
+            met = list(self.known.items())
+            places = np.array([i for _, i in met], dtype=np.int64)
+            best = np.argsort(-self.uses[places], kind="stable")[:CACHED_PARTS // 2]
+            best = best[np.cumsum(self.lengths[places[best]]) <= CACHED_IDS // 2]
+            self._forget([met[i] for i in best.tolist()])
+        split = [self.parts.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        old = len(self.known)
+        index = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(sizes.sum()))
+        new = list(islice(reversed(self.known), len(self.known) - old))[::-1]
+        try:
+            self._learn([p.replace(" ", SPACE) for p in new])
+        except ValueError:
+            self._forget([])
+            raise
+        for p in new:
+            if len(p) > SHORT:
+                del self.known[p]
+        self.uses += np.bincount(index, minlength=len(self.uses))
+        lengths = self.lengths[index]
+        ends = np.append(0, np.cumsum(lengths))
+        flat = self.flat[np.repeat(self.starts[index] - ends[:-1], lengths) + np.arange(ends[-1])]
+        return flat, np.diff(ends[np.append(0, np.cumsum(sizes))])
+
+    def _forget(self, kept: list[tuple[str, int]]) -> None:
+        """Begin anew with these parts: ``known`` gives a part its place, ``starts`` and ``lengths`` give a place its ids in ``flat``."""
+        self.known: dict[str, int] = defaultdict(count(len(kept)).__next__, zip((p for p, _ in kept), range(len(kept))))
+        if not kept:
+            self.flat = np.zeros(0, dtype="<i4")
+            self.starts, self.lengths, self.uses = (np.zeros(0, dtype=np.int64) for _ in range(3))
+            return
+        places = np.array([i for _, i in kept], dtype=np.int64)
+        before, self.lengths, self.uses = self.starts[places], self.lengths[places], self.uses[places] // 2
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.flat = self.flat[np.repeat(before - self.starts, self.lengths) + np.arange(self.lengths.sum())]
+
+    def _learn(self, new: list[str]) -> None:
+        """Add the ids of new parts in the order of their places, after a comparison with the library's."""
+        if not new:
+            return
         short = [p for p in new if len(p) <= SHORT]
-        self.known.update(zip(short, self.merged_together(short) if short else ()))
-        long = [p for p in new if len(p) > SHORT]
-        self.known.update((p, self.merged_alone(p)) for p in long)
-        get = self.known.__getitem__
-        found = [b"".join(map(get, own)) for own in split]
-        for p in long:
-            del self.known[p]
-        return found
+        together = iter(self.merged_together(short) if short else ())
+        found = [next(together) if len(p) <= SHORT else self.merged_alone(p) for p in new]
+        self.check_parts(new, found)
+        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+        self.starts = np.append(self.starts, len(self.flat) + np.cumsum(lengths) - lengths)
+        self.lengths = np.append(self.lengths, lengths)
+        self.uses = np.append(self.uses, np.zeros(len(new), dtype=np.int64))
+        self.flat = np.append(self.flat, np.frombuffer(b"".join(found), "<i4"))
+
+    def check_rewriting(self, texts: list[str]) -> None:
+        """Raise where the library rewrites a text in another way than spaces to their mark, behind one more."""
+        for text in texts:
+            for s in self.slices(text) if text else ():
+                if self.library.normalize(s) != SPACE + s.replace(" ", SPACE):
+                    raise ValueError(f"the library rewrites the text that begins {text[:80]!r}")
+
+    def check_parts(self, parts: list[str], found: list[bytes]) -> None:
+        """Raise where the library has other ids for a part; a text holds many, each behind a character that never merges."""
+        first, lead = self.merged_alone(SPACE), self.merged_alone(self.apart)
+        groups = [slice(lo, lo + CHECKED_TOGETHER) for lo in range(0, len(parts), CHECKED_TOGETHER)]
+        self.check(
+            [self.apart + self.apart.join(parts[g]) for g in groups], [first + lead + lead.join(found[g]) for g in groups]
+        )
 
     def slices(self, text: str, limit: int = CHECKED_CHARS) -> list[str]:
         """The text in slices of about ``limit`` characters, whose ids in a row are those of the text.
 
         A slice begins behind the first space of a run of spaces; the library puts that space back, but before nothing
-    (so the last slice is not empty).
+        (so the last slice is not empty).
         """
         if len(text) <= limit or any(p[1] == SPACE != p[0] for p in self.beside):
             return [text]
@@ -214,10 +279,18 @@ def sentence_pieces(path: str) -> SentencePieces:
     return SentencePieces(path)
 
 
+@lru_cache(maxsize=2)
+def processor(path: str):
+    """The library alone, which is all that decoding takes."""
+    import sentencepiece
+
+    return sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 def _encoded(path: str, end: bool):
     def run(batches):
         coder = sentence_pieces(path)
-        tail = np.array([coder.library.eos_id()] if end else [], dtype="<i4").tobytes()
+        eos = coder.library.eos_id()
         for batch in batches:
             texts, lo = batch.column(1), 0
             while lo < batch.num_rows:
@@ -226,11 +299,11 @@ def _encoded(path: str, end: bool):
                     some.append(texts[hi].as_py() or "")
                     chars += len(some[-1])
                     hi += 1
-                ids = coder.encode(some)
-                coder.check(some, ids)
-                flat = np.frombuffer(b"".join(x + tail for x in ids), "<i4")
+                flat, counts = coder.encoded(some)
+                if end:
+                    flat, counts = np.insert(flat, np.cumsum(counts), eos), counts + 1
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), lists(flat, np.array([(len(x) + len(tail)) // 4 for x in ids]), pa.int32())],
+                    [batch.column(0).slice(lo, hi - lo), lists(flat, counts, pa.int32())],
                     names=["doc_id", "ids"],
                 )
                 lo = hi
@@ -250,7 +323,7 @@ def encode(docs: DataFrame, path: str, end: bool = True) -> DataFrame:
 
 def _decoded(path: str, column: int):
     def run(batches):
-        coder = sentence_pieces(path)
+        library = processor(path)
         for batch in batches:
             ids, lo = batch.column(column), 0
             while lo < batch.num_rows:
@@ -259,7 +332,7 @@ def _decoded(path: str, column: int):
                     some.append(ids[hi].values.to_numpy().tolist() if ids[hi].is_valid else None)
                     count += len(some[-1] or ())
                     hi += 1
-                there = iter(coder.library.decode([x for x in some if x is not None], num_threads=1) or ())
+                there = iter(library.decode([x for x in some if x is not None], num_threads=1) or ())
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array([None if x is None else next(there) for x in some], type=pa.string())],

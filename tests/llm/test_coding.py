@@ -9,6 +9,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.errors import PythonException
@@ -94,6 +95,67 @@ def test_checked_slices(library):
         coder.check(["a b"], [np.array([264], dtype="<i4").tobytes()])
 
 
+class Watched:
+    """The library, with the characters that it was given to encode and, if asked for, other rewriting."""
+
+    def __init__(self, library, rewrite=None):
+        self.library, self.rewrite, self.seen = library, rewrite, 0
+
+    def __getattr__(self, name):
+        return getattr(self.library, name)
+
+    def encode(self, texts, **options):
+        self.seen += sum(map(len, texts))
+        return self.library.encode(texts, **options)
+
+    def normalize(self, text):
+        return (self.rewrite or (lambda t: t))(self.library.normalize(text))
+
+
+def test_known_parts_are_not_encoded_again(monkeypatch, library):
+    coder = sentence_pieces.SentencePieces(MODEL)
+    monkeypatch.setattr(sentence_pieces, "sentence_pieces", lambda path: coder)
+    coder.library = watched = Watched(library)
+    texts = [t for _, t in ROWS if not t or max(map(len, coder.parts.findall(t))) <= sentence_pieces.SHORT]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    for found in sentence_pieces._encoded(MODEL, True)([batch] * 10):
+        assert found.column(1).to_pylist() == [library.encode(t or "", add_eos=True) for t in texts]
+    assert 0 < watched.seen < sum(len(t or "") for t in texts)
+
+
+@pytest.mark.parametrize("parts,ids", [(40, 10**6), (10**6, 60), (1, 1)])
+def test_forgotten_parts(monkeypatch, library, parts, ids):
+    monkeypatch.setattr(sentence_pieces, "CACHED_PARTS", parts)
+    monkeypatch.setattr(sentence_pieces, "CACHED_IDS", ids)
+    coder, rng = sentence_pieces.SentencePieces(MODEL), random.Random(9)
+    words = ["".join(rng.choices("aeinorst中é\n▁x", k=rng.choice((2, 5, 9, 60)))) for _ in range(150)]
+    for _ in range(60):
+        texts = [" ".join(rng.choices(words, k=rng.randint(0, 12))) for _ in range(4)]
+        assert [np.frombuffer(x, "<i4").tolist() for x in coder.encode(texts)] == library.encode(texts)
+        assert max(map(len, coder.known), default=0) <= sentence_pieces.SHORT
+    assert len(coder.known) < 1000 and len(coder.flat) < 20_000
+
+
+def test_differences_from_the_library_are_errors(monkeypatch, library):
+    coder = sentence_pieces.SentencePieces(MODEL)
+    with monkeypatch.context() as patch:
+        patch.setattr(coder, "merged_together", lambda parts: [coder.merged_alone(p[::-1]) for p in parts])
+        with pytest.raises(ValueError, match="differ"):
+            coder.encode(["some words", "zebra stone"])
+    with monkeypatch.context() as patch:
+        patch.setattr(coder, "library", Watched(library, lambda t: t.replace("é", "e")))
+        with pytest.raises(ValueError, match="rewrites"):
+            coder.encode(["plain", "café"])
+    texts = ["some words", "zebra stone", "", "café 中\n文"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in coder.encode(texts)] == library.encode(texts)
+    parts = ["▁", "\n", "▁▁", "some", "▁中", "x" * 60]
+    ids = [coder.merged_alone(p) for p in parts]
+    coder.check_parts(parts, ids)
+    for i in range(len(parts)):
+        with pytest.raises(ValueError, match="differ"):
+            coder.check_parts(parts, ids[:i] + [ids[i] + ids[0]] + ids[i + 1:])
+
+
 def plain_units(text):
     return re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", text)
 
