@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from plinth.runtime import large
+
 ROWS, QUERIES = 1 << 13, 1 << 10
 
 
@@ -98,7 +100,8 @@ def exact_top(rows: DataFrame, queries: DataFrame, k: int, row_block: int = ROWS
     asked = packed(queries, max(1, -(-m // query_block)), "query").withColumn(
         "row_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>"))
     )
-    pairs = packed(rows, blocks, "row").join(asked, "row_block").select("row_ids", "row_weights", "query_ids", "query_weights")
+    # Few queries look small to the planner, but there is a copy of them per row block: they never pass through the driver.
+    pairs = packed(rows, blocks, "row").join(large(asked), "row_block").select("row_ids", "row_weights", "query_ids", "query_weights")
     found = pairs.mapInArrow(_scored(k), "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
